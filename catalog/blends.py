@@ -113,10 +113,10 @@ def blend_average(spark, folder):
 
 
 @query("blend_weighted", """
-select o_orderkey, round((0.5 * o_totalprice + 0.3 * (o_totalprice * 0.5 + o_custkey) + 0.4 * (o_totalprice - o_orderkey % 100)) / 1.2, 4) as prediction
+select o_orderkey, round((0.4 * o_totalprice + 0.2 * (o_totalprice * 0.5 + o_custkey) + 0.1 * (o_totalprice - o_orderkey % 100)) / 0.7, 4) as prediction
 from orders""")
 def blend_weighted(spark, folder):
-    out = op.weighted_blend(_predictions(spark, folder), "o_orderkey", {"a": 0.5, "b": 0.3, "c": 0.4})
+    out = op.weighted_blend(_predictions(spark, folder), "o_orderkey", {"a": 0.4, "b": 0.2, "c": 0.1})
     return rounded(out, {"prediction": 4})
 
 

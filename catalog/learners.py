@@ -6,19 +6,283 @@ from catalog import query, rnd, rounded, table
 from foldwise import operators as op
 from foldwise import plans
 
-FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+BASKET = """
+select l_orderkey as row_id, cast(l_orderkey % 3 as integer) as fold, count(*)::double as lines, sum(l_quantity) as quantity,
+       max(l_discount) as discount, round(sum(l_extendedprice), 2) as price,
+       (max(l_returnflag) = 'R')::int as returned, cast(max(l_linenumber) % 3 as integer) as kind
+from lineitem group by l_orderkey"""
+FEATURES = ["lines", "quantity", "discount"]
 
 
-def _lines(spark, folder):
-    """Order lines with a row key, a class and a fold."""
-    return table(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10 + F.col("l_suppkey") % 10).alias("row_id"),
-        (F.col("l_orderkey") % 3).cast("int").alias("fold"), F.col("l_extendedprice").alias("price"),
-        (F.col("l_returnflag") == "R").cast("int").alias("returned"), *FEATURES)
+def basket(spark, folder):
+    """One row per order with a price, two kinds of classes and a fold."""
+    return table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("row_id")).agg(
+        F.count(F.lit(1)).cast("double").alias("lines"), F.sum("l_quantity").alias("quantity"),
+        F.max("l_discount").alias("discount"), F.round(F.sum("l_extendedprice"), 2).alias("price"),
+        (F.max("l_returnflag") == "R").cast("int").alias("returned"),
+        (F.max("l_linenumber") % 3).cast("int").alias("kind"),
+    ).withColumn("fold", (F.col("row_id") % 3).cast("int"))
 
 
-def _scores(result, metric):
-    """Pooled score and rows of a cross-validation, computed from its predictions."""
-    table_ = op.evaluate(result.oof, result.target, "prediction", [metric], skip_missing=True)
-    rows = result.oof.agg(F.count(F.lit(1)).alias("rows"))
-    return rows.crossJoin(table_.select(rnd(metric, 4).alias(metric)))
+def _oof(result, digits=3):
+    return result.oof.select("row_id", "fold", rnd("prediction", digits).alias("prediction"))
+
+
+FIT = """fit as (select f.fold, regr_slope({y}, quantity) as s, regr_intercept({y}, quantity) as i
+from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold)"""
+
+
+@query("cv_linear", f"""
+with t as ({BASKET}), {FIT.format(y='price')}
+select row_id, t.fold, round(i + s * quantity, 3) + 0.0 as prediction from t join fit on fit.fold = t.fold""")
+def cv_linear(spark, folder):
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", ["quantity"], "ridge", "row_id",
+                                   model_params={"alpha": 0.0}))
+
+
+@query("cv_linear_test", f"""
+with a as ({BASKET}), t as (select * from a where row_id % 6 <> 5), {FIT.format(y='price')}
+select row_id, round(avg(i + s * quantity), 3) + 0.0 as prediction from a, fit where row_id % 6 = 5 group by row_id""")
+def cv_linear_test(spark, folder):
+    rows = basket(spark, folder)
+    train, test = rows.filter("row_id % 6 <> 5"), rows.filter("row_id % 6 = 5").drop("fold", "price")
+    result = plans.train_and_cv(train, "price", ["quantity"], "ridge", "row_id", test=test, model_params={"alpha": 0.0})
+    return rounded(result.test, {"prediction": 3})
+
+
+@query("cv_linear_log", f"""
+with t as ({BASKET}), {FIT.format(y='ln(1 + price / lines)')}
+select row_id, t.fold, round((exp(i + s * quantity) - 1) * lines, 3) + 0.0 as prediction from t join fit on fit.fold = t.fold""")
+def cv_linear_log(spark, folder):
+    rows = basket(spark, folder)
+    log = op.fit_target_transform(rows, "price", "log1p")
+    return _oof(plans.train_and_cv(rows, "price", ["quantity"], "ridge", "row_id", model_params={"alpha": 0.0},
+                                   target_transform=log, normalize_by="lines"))
+
+
+@query("cv_log_average", f"""
+with a as ({BASKET}), t as (select * from a where row_id % 6 <> 5), {FIT.format(y='ln(1 + price)')}
+select row_id, round(exp(avg(i + s * quantity)) - 1, 3) + 0.0 as prediction from a, fit where row_id % 6 = 5 group by row_id""")
+def cv_log_average(spark, folder):
+    rows = basket(spark, folder)
+    train, test = rows.filter("row_id % 6 <> 5"), rows.filter("row_id % 6 = 5").drop("fold", "price")
+    log = op.fit_target_transform(train, "price", "log1p")
+    result = plans.train_and_cv(train, "price", ["quantity"], "ridge", "row_id", test=test, target_transform=log,
+                                model_params={"alpha": 0.0}, average_on="transformed")
+    return rounded(result.test, {"prediction": 3})
+
+
+@query("cv_ridge")
+def cv_ridge(spark, folder):
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "ridge", "row_id",
+                                   model_params={"alpha": 5.0}))
+
+
+@query("cv_lasso")
+def cv_lasso(spark, folder):
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "lasso", "row_id",
+                                   model_params={"alpha": 10.0}))
+
+
+@query("cv_gbt")
+def cv_gbt(spark, folder):
+    params = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "random_state": 1}
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "lgbm", "row_id", model_params=params,
+                                   fit_params={"early_stopping_rounds": 5}))
+
+
+@query("cv_rf")
+def cv_rf(spark, folder):
+    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
+    return _oof(plans.train_and_cv(basket(spark, folder), "returned", FEATURES, "rf", "row_id", model_params=params), 6)
+
+
+@query("cv_rf_classes")
+def cv_rf_classes(spark, folder):
+    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
+    result = plans.train_and_cv(basket(spark, folder), "kind", FEATURES, "rf", "row_id", model_params=params)
+    return result.oof.select("row_id", "fold", *[rnd(F.col("prediction")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+@query("cv_logreg")
+def cv_logreg(spark, folder):
+    return _oof(plans.train_and_cv(basket(spark, folder), "returned", FEATURES, "logreg", "row_id"), 4)
+
+
+@query("cv_mlp")
+def cv_mlp(spark, folder):
+    vectors = table(spark, folder, "embeddings").withColumn("fold", (F.col("vec_id") % 3).cast("int"))
+    result = plans.train_and_cv(vectors, "label", ["embedding"], "mlp", "vec_id",
+                                model_params={"hidden_sizes": [8], "epochs": 20, "random_state": 1})
+    size = F.size("prediction")
+    return result.oof.select("vec_id", "fold", size.alias("classes"), rnd(F.col("prediction")[0], 4).alias("p0"))
+
+
+@query("cv_knn", """
+with t as (select vec_id, (vec_id % 3)::int as fold, embedding::double[] as v, label from embeddings),
+d as (select q.vec_id, q.fold, p.label, row_number() over (partition by q.vec_id order by list_distance(q.v, p.v), p.vec_id) as r
+      from t q join t p on p.fold <> q.fold)
+select vec_id, fold, round(avg(label), 6) as prediction from d where r <= 5 group by vec_id, fold""")
+def cv_knn(spark, folder):
+    vectors = table(spark, folder, "embeddings").withColumn("fold", (F.col("vec_id") % 3).cast("int"))
+    result = plans.train_and_cv(vectors, "label", ["embedding"], "knn_reg", "vec_id", model_params={"n_neighbors": 5})
+    return result.oof.select("vec_id", "fold", rnd("prediction").alias("prediction"))
+
+
+@query("knn", """
+with t as (select vec_id, embedding::double[] as v from embeddings),
+d as (select q.vec_id as query_id, p.vec_id as point_id, list_distance(q.v, p.v) as distance from t q join t p on p.vec_id <> q.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by distance, point_id) as integer) as rank, point_id,
+       round(distance, 6) as distance from d qualify rank <= 3""")
+def knn(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    found = plans.nearest_neighbours(vectors, vectors, "vec_id", ["embedding"], 3, exclude_self=True)
+    return rounded(found.select("query_id", "rank", "point_id", "distance"), {"distance": 6})
+
+
+@query("fold_score_table", f"""
+with t as ({BASKET}), {FIT.format(y='price')}
+select t.fold, round(sqrt(avg(power(price - (i + s * quantity), 2))), 3) as score from t join fit on fit.fold = t.fold group by t.fold""")
+def fold_score_table(spark, folder):
+    result = plans.train_and_cv(basket(spark, folder), "price", ["quantity"], "ridge", "row_id", model_params={"alpha": 0.0})
+    return rounded(result.fold_scores("rmse"), {"score": 3})
+
+
+@query("compare_models", f"""
+with t as ({BASKET}), {FIT.format(y='price')},
+g as (select f.fold, regr_slope(price, lines) as s, regr_intercept(price, lines) as i
+      from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
+s as (select 'quantity' as model, t.fold, sqrt(avg(power(price - (i + s * quantity), 2))) as score from t join fit on fit.fold = t.fold group by t.fold
+      union all select 'lines', t.fold, sqrt(avg(power(price - (i + s * lines), 2))) from t join g on g.fold = t.fold group by t.fold),
+m as (select model, avg(score) as mean, stddev_pop(score) as std from s group by model)
+select model, round(mean, 3) as mean, round(std, 3) as std, mean = (select min(mean) from m) as is_best from m""")
+def compare_models(spark, folder):
+    rows, scores = basket(spark, folder), None
+    for name in ("quantity", "lines"):
+        _, part, _ = plans.compare_models(rows, "price", [name], {name: ("ridge", {"alpha": 0.0})}, "row_id")
+        scores = part if scores is None else scores.unionByName(part)
+    return rounded(plans.fold_score_summary(scores), {"mean": 3, "std": 3})
+
+
+@query("importance_summary")
+def importance_summary(spark, folder):
+    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
+    result = plans.train_and_cv(basket(spark, folder), "price", FEATURES, "rf_reg", "row_id", model_params=params)
+    return rounded(plans.importance_summary(result.importances()), {"mean": 6, "std": 6})
+
+
+@query("stack_ridge")
+def stack_ridge(spark, folder):
+    rows = basket(spark, folder)
+    train, test = rows.filter("row_id % 6 <> 5"), rows.filter("row_id % 6 = 5").drop("fold", "price")
+    oof, held = {}, {}
+    for name in ("quantity", "lines"):
+        result = plans.train_and_cv(train, "price", [name], "ridge", "row_id", test=test, model_params={"alpha": 1.0})
+        oof[name], held[name] = result.oof, result.test
+    wide = [plans.widen_predictions(op.stack_predictions(f, "row_id", "prediction"), "row_id", list(f)) for f in (oof, held)]
+    predictions, _ = plans.train_stacking_meta_model(wide[0], train, wide[1], "row_id", "price")
+    return rounded(predictions, {"prediction": 3})
+
+
+# Least squares on one and on two columns per fold, from covariances.
+SCORES = f"""
+t as ({BASKET}),
+c as (select f.fold, avg(price) as my, avg(quantity) as mx, avg(lines) as mz, var_pop(quantity) as xx, var_pop(lines) as zz,
+             covar_pop(quantity, lines) as xz, covar_pop(price, quantity) as xy, covar_pop(price, lines) as zy
+      from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
+r as (select sqrt(avg(power(price - my - xy / xx * (quantity - mx), 2))) as quantity_only,
+             sqrt(avg(power(price - my - zy / zz * (lines - mz), 2))) as lines_only,
+             sqrt(avg(power(price - my - (xy * zz - zy * xz) / (xx * zz - xz * xz) * (quantity - mx)
+                                      - (zy * xx - xy * xz) / (xx * zz - xz * xz) * (lines - mz), 2))) as together
+      from t join c on c.fold = t.fold)"""
+
+
+def _named(rows, values, schema):
+    """Driver results of a selection as a table."""
+    return rows.sparkSession.createDataFrame(values, schema)
+
+
+@query("loo_importance", f"""
+with {SCORES} select 'lines' as feature, round(quantity_only - together, 4) + 0.0 as importance from r
+union all select 'quantity', round(lines_only - together, 4) + 0.0 from r""")
+def loo_importance(spark, folder):
+    rows = basket(spark, folder)
+    found = plans.calculate_loo_feature_importance(
+        rows, "price", ["lines", "quantity"], "ridge", "row_id", "rmse", model_params={"alpha": 0.0})
+    return rounded(_named(rows, list(found.items()), "feature string, importance double"), {"importance": 4})
+
+
+@query("select_forward", f"""
+with {SCORES}, b as (select least(quantity_only, lines_only) as one, together, quantity_only, lines_only from r)
+select 0 as place, case when quantity_only < lines_only then 'quantity' else 'lines' end as feature from b
+union all select 1, case when quantity_only < lines_only then 'lines' else 'quantity' end from b where one - together > 0.00001""")
+def select_forward(spark, folder):
+    rows = basket(spark, folder)
+    found = plans.select_features_forward(
+        rows, "price", ["lines", "quantity"], "ridge", "row_id", "rmse", model_params={"alpha": 0.0})
+    return _named(rows, list(enumerate(found)), "place int, feature string")
+
+
+@query("select_backward", f"""
+with {SCORES} select 0 as place, case when quantity_only < lines_only then 'quantity' else 'lines' end as feature from r""")
+def select_backward(spark, folder):
+    rows = basket(spark, folder)
+    found = plans.select_features_backward(
+        rows, "price", ["lines", "quantity"], "ridge", "row_id", "rmse", model_params={"alpha": 0.0})
+    return _named(rows, list(enumerate(found)), "place int, feature string")
+
+
+# --- the whole workflow ---------------------------------------------------
+
+FLOW = """
+raw as (select o_orderkey, cast(o_orderkey % 4 as integer) as fold, o_orderkey % 5 = 0 as is_test, c_mktsegment as segment, o_orderstatus as status,
+        least(greatest(nullif(c_acctbal, 0), 500.0), 8000.0) as balance, cast(replace(c_name, 'Customer#', '') as integer) as customer, o_totalprice as price
+        from orders join customer on o_custkey = c_custkey),
+flow as (select *, cast(case status when 'F' then 1 when 'O' then 2 end as tinyint) as code,
+        dense_rank() over (order by segment) as seg from raw),
+wide as (select *, avg(balance) over (partition by seg) as seg_mean,
+        dense_rank() over (order by seg || '_' || coalesce(code::varchar, 'null_str')) as label from flow),
+tr as (select * from wide where not is_test),
+p as (select f.fold, avg(price) as m from (select distinct fold from tr) f join tr on tr.fold <> f.fold group by f.fold),
+e as (select f.fold, label, avg(price) as s, count(*) as n from (select distinct fold from tr) f join tr on tr.fold <> f.fold group by f.fold, label),
+g as (select avg(price) as m from tr), h as (select label, avg(price) as s, count(*) as n from tr group by label)"""
+
+
+def _flow(spark, folder):
+    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", (F.col("o_orderkey") % 4).cast("int").alias("fold"), F.col("c_mktsegment").alias("segment"),
+        F.col("o_orderstatus").alias("status"), F.nullif("c_acctbal", F.lit(0.0)).alias("balance"),
+        F.col("c_name").alias("customer"), F.col("o_totalprice").alias("price"))
+    plan = plans.FeaturePlan(
+        row_id="o_orderkey", target="price", numeric=["balance"], categorical=["segment", "status"],
+        bounds={"balance": (500, 8000)}, maps={"status": {"F": 1, "O": 2}}, prefixes={"customer": "Customer#"},
+        ordinal=["segment"], powers=["balance"],
+        groups=[{"groupby_cols": ["segment"], "agg_col": "balance", "agg_func": "mean", "new_col_name": "segment_balance"}],
+        nway_features=["segment", "status"], nway_orders=[2])
+    train, test = rows.filter("o_orderkey % 5 <> 0"), rows.filter("o_orderkey % 5 = 0").drop("price", "fold")
+    train, test, _ = plans.build_features(train, test, plan, "fold")
+    label = "segment_status_inter2_label"
+    columns = ["o_orderkey", F.col("segment").cast("int").alias("segment"), F.col("customer").cast("int").alias("customer"),
+               rnd("balance_sqrt", 3).alias("balance_sqrt"), rnd("segment_balance", 2).alias("segment_balance"),
+               F.col(label).cast("int").alias("label"), rnd(f"{label}_te", 3).alias("label_te")]
+    return train.select(*columns), test.select(*columns)
+
+
+OUT = """select {t}.o_orderkey, cast({t}.seg as integer) as segment, {t}.customer,
+round(cast(cast(sqrt({t}.balance) as float) as double), 3) as balance_sqrt,
+round(cast(cast({t}.seg_mean as float) as double), 2) as segment_balance, cast({t}.label as integer) as label"""
+
+
+@query("feature_flow_train", f"""
+with {FLOW} {OUT.format(t='tr')}, round(coalesce((e.n * e.s + 10 * p.m) / (e.n + 10), p.m), 3) as label_te
+from tr join p on p.fold = tr.fold left join e on e.fold = tr.fold and e.label = tr.label""")
+def feature_flow_train(spark, folder):
+    return _flow(spark, folder)[0]
+
+
+@query("feature_flow_test", f"""
+with {FLOW} {OUT.format(t='w')}, round(coalesce((h.n * h.s + 10 * g.m) / (h.n + 10), g.m), 3) as label_te
+from (select * from wide where is_test) w cross join g left join h on h.label = w.label""")
+def feature_flow_test(spark, folder):
+    return _flow(spark, folder)[1]

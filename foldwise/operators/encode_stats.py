@@ -215,7 +215,8 @@ def _order_statistics(train, features, target, fold_col, folds, prob, small):
     numbers = [F.when(F.col("__fold").eqNullSafe(F.lit(fold)), F.lit(None).cast("int")).otherwise(F.lit(i))
                for i, fold in enumerate(folds)]
     spread = counted.withColumn("__into", F.explode(F.array_compact(F.array(*numbers, F.lit(-1)))))
-    spread = spread.groupBy(FEATURE, KEY, "__into", "__y").agg(F.sum("__n").alias("__n"))
+    if not small:
+        spread = spread.groupBy(FEATURE, KEY, "__into", "__y").agg(F.sum("__n").alias("__n"))
     both = grouped_quantiles(spread, [FEATURE, KEY, "__into"], "__y", [prob], out="__q", weight="__n", small=small)
     both = both.withColumn("__stat", F.col("__q")[0])
     picked = []
@@ -282,14 +283,15 @@ def fit_target_encoder(
     else:
         prob = 0.5 if agg_stat == "median" else float(percentile) / 100.0
         small = fits_in_map(train, target)
-        one = train.select(F.lit(0).alias("__one"), target, fold_col)
-        priors = _order_statistics(one, ["__one"], target, fold_col, folds, prob, small).first()
-        overall = priors["q"] if priors else None
-        fold_stats = [priors[f"q{i}"] if priors else None for i in range(k)]
+        # a constant as one more feature gives the priors in the same pass
+        rows = train.withColumn("__one", F.lit(0))
         names = [x for i in range(k) for x in (f"q{i}", f"n{i}")] + ["q", "n"]
         fitted = fit_features(
-            _order_statistics(train, features, target, fold_col, folds, prob, small), train, features,
-            names, rows="rows")
+            _order_statistics(rows, [*features, "__one"], target, fold_col, folds, prob, small), rows,
+            [*features, "__one"], names, rows="rows")
+        priors = fitted.table.filter(F.col(FEATURE) == len(features)).first()
+        overall = priors["q"] if priors else None
+        fold_stats = [priors[f"q{i}"] if priors else None for i in range(k)]
         outside = [(F.col(f"q{i}"), F.col(f"n{i}").cast("double")) for i in range(k)]
         whole = (F.col("q"), F.col("n").cast("double"))
 

@@ -104,8 +104,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         parts = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("r"))
                  for a, b in combinations(columns, 2)]
         half = rows.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
-        same = F.array(F.struct("f1", "f2", "r"), F.struct(F.col("f2"), F.col("f1"), F.col("r")))
-        both = half.select(F.inline(same)).toDF("f1", "f2", "r")
+        both = half.unionByName(half.select(F.col("f2").alias("f1"), F.col("f1").alias("f2"), "r"))
         names = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "f1 string, f2 string, r double")
         return both.unionByName(names)
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(rows)

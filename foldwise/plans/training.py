@@ -325,7 +325,7 @@ def train_and_cv(
         return fit_model(part, label, features, model_type, row_id, model_params, other if early else None, cat_features)
 
     with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
-        models = pool.map(inheritable_thread_target(run), folds)
+        models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
 
     oof = None
     for k, model in zip(folds, models):
