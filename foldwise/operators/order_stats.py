@@ -21,24 +21,33 @@ from foldwise.frame import materialise, require_columns
 
 MAP_ENTRIES = 500_000
 CUT_POINTS = 4096
+FEW_CUT_POINTS = 64
 CUT_ACCURACY = 20_000
 ROWS_PER_RANGE = 100_000
 
 _BUCKET, _WEIGHT, _VALUE = "__bucket", "__weight", "__value"
 
 
-def split_ranges(df: DataFrame, column: str, parts: int | None = None) -> DataFrame:
+def split_ranges(df: DataFrame, column: str) -> DataFrame:
     """Add ``__bucket``: an increasing function of the column with balanced sizes.
 
     The number of ranges follows from the number of rows, so that a range has
     about ``ROWS_PER_RANGE`` rows until ``CUT_POINTS`` ranges are reached.
     """
-    grid = ", ".join(f"{i / CUT_POINTS}D" for i in range(1, CUT_POINTS))
     ranged = df.withColumn("__number", F.col(column).cast("double"))
-    rows, cuts = ranged.agg(
-        F.count(F.lit(1)), F.expr(f"percentile_approx(__number, array({grid}), {CUT_ACCURACY})")).first()
-    parts = parts or min(CUT_POINTS, math.ceil(rows / ROWS_PER_RANGE) or 1)
-    picked = [cuts[i * CUT_POINTS // parts - 1] for i in range(1, parts)] if cuts else []
+
+    def cuts(points: int):
+        grid = ", ".join(f"{i / points}D" for i in range(1, points))
+        return ranged.agg(
+            F.count(F.lit(1)), F.expr(f"percentile_approx(__number, array({grid}), {CUT_ACCURACY})")).first()
+
+    points = FEW_CUT_POINTS
+    rows, found = cuts(points)
+    parts = min(CUT_POINTS, math.ceil(rows / ROWS_PER_RANGE) or 1)
+    if parts > points:
+        points = CUT_POINTS
+        _, found = cuts(points)
+    picked = [found[i * points // parts - 1] for i in range(1, parts)] if found else []
     edges = sorted({c for c in picked if not math.isnan(c) and not math.isinf(c)})
     if not edges:
         return df.withColumn(_BUCKET, F.lit(0.0))
