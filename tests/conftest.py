@@ -10,7 +10,7 @@ from tools.session import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return session("tests")
+    return session("tests", cores="4")
 
 
 @pytest.fixture
@@ -18,7 +18,8 @@ def frame(spark):
     """Build a frame from columns; the schema is a DDL string."""
     def build(schema, **columns):
         names = list(columns)
-        return spark.createDataFrame(list(zip(*columns.values())), schema) if names else spark.createDataFrame([], schema)
+        rows = list(zip(*columns.values())) if names else []
+        return spark.createDataFrame(rows, schema).coalesce(1)
     return build
 
 
