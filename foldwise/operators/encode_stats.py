@@ -12,7 +12,7 @@ from foldwise.frame import number_or_none, require_columns, require_numeric
 from foldwise.operators.lookup import (
     FEATURE, KEY, FeatureLookup, Lookup, attach, attach_features, fit_features, fit_lookup, long_keys,
 )
-from foldwise.operators.order_stats import fits_in_map, grouped_quantiles
+from foldwise.operators.order_stats import few_distinct, grouped_quantiles
 
 FOLD_LIMIT = 1000
 
@@ -282,7 +282,7 @@ def fit_target_encoder(
         whole = (F.try_divide(F.col("s"), F.nullif(F.col("n").cast("double"), F.lit(0.0))), F.col("n").cast("double"))
     else:
         prob = 0.5 if agg_stat == "median" else float(percentile) / 100.0
-        small = fits_in_map(train, target)
+        small = few_distinct(train, [target])[target]
         # a constant as one more feature gives the priors in the same pass
         rows = train.withColumn("__one", F.lit(0))
         names = [x for i in range(k) for x in (f"q{i}", f"n{i}")] + ["q", "n"]

@@ -2,9 +2,10 @@
 
 Spark's exact ``percentile`` keeps one map entry per distinct value of a group
 in a single task. That is fine while the number of distinct values is small, so
-it is measured first. Beyond ``MAP_ENTRIES`` the values are counted, split into
-ranges by approximate cut points, and only the ranges that hold a wanted rank
-are ordered. The cut points influence balance only: every result is exact.
+it is measured first. Beyond ``MAP_ENTRIES`` the values are split into ranges by
+approximate cut points, the ranges are counted, and only the ranges that hold a
+wanted rank are ordered. The cut points influence balance only: every result is
+exact.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foldwise.frame import materialise, require_columns
+from foldwise.operators import lookup
+from foldwise.operators.lookup import attach, fit_lookup
 
-MAP_ENTRIES = 500_000
+MAP_ENTRIES = 1_000_000
 CUT_POINTS = 4096
 FEW_CUT_POINTS = 64
 CUT_ACCURACY = 20_000
@@ -65,20 +67,22 @@ def _positions(total: Column, probs: Sequence[float]) -> tuple[Column, Column]:
 
 
 def ranked_values(
-    counted: DataFrame, keys: Sequence[str], value: str, weight: str, ranks: Column
+    df: DataFrame, keys: Sequence[str], value: str, ranks: Column, weight: str | None = None
 ) -> DataFrame:
     """One row per group with ``__total`` and a map from wanted rank to value.
 
-    ``counted`` holds distinct values with their counts. ``ranks`` is an array
-    expression over ``__total``. Ranks count from zero in ascending order.
+    ``ranks`` is an array expression over ``__total``; ranks count from zero in
+    ascending order. Three passes: cut points, rows per range, and the rows of
+    the ranges that hold a wanted rank. Only the last are ever ordered.
     """
     keys = list(keys)
-    parts = split_ranges(counted.select(*keys, F.col(value).alias(_VALUE), F.col(weight).alias(_WEIGHT)), _VALUE)
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    parts = split_ranges(df.select(*keys, F.col(value).alias(_VALUE), times.alias(_WEIGHT)), _VALUE)
     sizes = parts.groupBy(*keys, _BUCKET).agg(F.sum(_WEIGHT).alias("__size"))
     # at most CUT_POINTS + 1 rows per group reach one task here
-    group = Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0))
+    group = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
     running = group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    located = (
+    found = (
         sizes
         .withColumn("__total", F.sum("__size").over(group))
         .withColumn("__start", F.sum("__size").over(running) - F.col("__size"))
@@ -86,16 +90,18 @@ def ranked_values(
         .withColumn("__wanted", F.filter(
             "__wanted", lambda r: (r >= F.col("__start")) & (r < F.col("__start") + F.col("__size"))))
         .filter(F.size("__wanted") > 0)
-        .drop("__size")
     )
-    on = F.lit(True)
-    left, right = parts.alias("v"), located.alias("b")
-    for k in [*keys, _BUCKET]:
-        on = on & F.col(f"v.{k}").eqNullSafe(F.col(f"b.{k}"))
-    inside = left.join(right, on, "inner").select(
-        *[F.col(f"v.{k}").alias(k) for k in keys], F.col(f"v.{_BUCKET}").alias(_BUCKET),
-        F.col(f"v.{_VALUE}").alias(_VALUE), F.col(f"v.{_WEIGHT}").alias(_WEIGHT),
-        "b.__total", "b.__start", "b.__wanted")
+    located = fit_lookup(found, [*keys, _BUCKET], ["__total", "__start", "__wanted"], rows="__size")
+
+    facts = [F.first(c).alias(c) for c in located.payload]
+    count = F.sum(_WEIGHT).alias(_WEIGHT)
+    if located.n_bytes <= lookup.BROADCAST_BYTES:
+        # the other ranges are dropped before anything is shuffled
+        near = _join_ranges(parts, F.broadcast(located.table), keys, [_VALUE, _WEIGHT], located.payload)
+        inside = near.groupBy(*keys, _BUCKET, _VALUE).agg(count, *facts)
+    else:
+        counted = parts.groupBy(*keys, _BUCKET, _VALUE).agg(count)
+        inside = _join_ranges(counted, located.table.hint("shuffle_hash"), keys, [_VALUE, _WEIGHT], located.payload)
     ordered = (
         Window.partitionBy(*[F.col(k) for k in keys], F.col(_BUCKET)).orderBy(_VALUE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -112,9 +118,22 @@ def ranked_values(
     )
 
 
-def fits_in_map(df: DataFrame, value: str) -> bool:
-    """Whether the distinct values of a column are few enough for an in-memory count."""
-    return df.agg(F.approx_count_distinct(value, 0.02)).first()[0] <= MAP_ENTRIES * 0.9
+def _join_ranges(rows: DataFrame, located: DataFrame, keys, kept, facts) -> DataFrame:
+    left, right = rows.alias("v"), located.alias("b")
+    on = F.col(f"v.{_BUCKET}") == F.col(f"b.{_BUCKET}")
+    for k in keys:
+        on = on & F.col(f"v.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return left.join(right, on, "inner").select(
+        *[F.col(f"v.{c}").alias(c) for c in [*keys, _BUCKET, *kept]], *[F.col(f"b.{c}").alias(c) for c in facts])
+
+
+def few_distinct(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
+    """Whether the distinct values of each column are few enough for an in-memory count."""
+    columns = list(columns)
+    if not columns:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    return {c: row[c] <= MAP_ENTRIES * 0.9 for c in columns}
 
 
 def grouped_quantiles(
@@ -134,15 +153,12 @@ def grouped_quantiles(
     keys, probs = list(keys), [float(p) for p in probs]
     require_columns(df, [*keys, value])
     rows = df.filter(F.col(value).isNotNull())
-    if fits_in_map(rows, value) if small is None else small:
+    if few_distinct(rows, [value])[value] if small is None else small:
         times = F.lit(1) if weight is None else F.col(weight)
         return rows.groupBy(*keys).agg(
             F.percentile(F.col(value), F.lit(probs), times).alias(out), F.sum(times).alias("size"))
-    if weight is None:
-        weight = _WEIGHT
-        rows = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
     below, above = _positions(F.col("__total"), probs)
-    found = ranked_values(rows, keys, value, weight, F.concat(below, above))
+    found = ranked_values(rows, keys, value, F.concat(below, above), weight)
     at = []
     for p in probs:
         position = F.lit(p) * (F.col("__total") - 1)
@@ -161,9 +177,8 @@ def column_quantiles(
     columns, probs = list(columns), [float(p) for p in probs]
     if not columns:
         return {}
-    distinct = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    small = [c for c in columns if distinct[c] <= MAP_ENTRIES * 0.9]
-    large = [c for c in columns if c not in small]
+    few = few_distinct(df, columns)
+    small, large = [c for c in columns if few[c]], [c for c in columns if not few[c]]
     out: dict[str, list[float] | None] = {}
     if small:
         row = df.agg(*[F.percentile(F.col(c), F.lit(probs)).alias(c) for c in small]).first()
@@ -172,7 +187,7 @@ def column_quantiles(
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in large
         ])).alias("e")).select("e.*")
-        rows = grouped_quantiles(long, ["column"], "value", probs).collect()
+        rows = grouped_quantiles(long, ["column"], "value", probs, small=False).collect()
         out.update({c: None for c in large})
         out.update({r["column"]: r["quantiles"] for r in rows})
     return out
@@ -182,9 +197,9 @@ def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[in
     """Exact values at zero-based ranks of a column, in the column's own type."""
     if not ranks:
         return {}
-    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    rows = df.filter(F.col(column).isNotNull())
     wanted = F.lit([int(r) for r in ranks]).cast("array<bigint>")
-    row = ranked_values(counted, [], column, _WEIGHT, wanted).first()
+    row = ranked_values(rows, [], column, wanted).first()
     return dict(row["__ranked"]) if row is not None else {}
 
 
@@ -199,14 +214,18 @@ def nearest_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> lis
 
 
 def dense_index(distinct_rows: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:
-    """Number distinct rows 0, 1, 2, ... in the given order.
+    """Number distinct rows 0, 1, 2, ... in the given order, ties by a hash of the row.
 
     The rows are range-partitioned, sorted inside each partition and written
     once. A row's number is its place in its partition plus the sizes of the
     partitions before it; only those sizes (one per partition) are collected.
     """
     columns = distinct_rows.columns
-    ordered = materialise(distinct_rows.repartitionByRange(*order).sortWithinPartitions(*order))
+    # the hash lets one hot order value span several ranges
+    full = set(order) >= set(columns)
+    by = [*order] if full else [*order, "__tie"]
+    rows = distinct_rows if full else distinct_rows.withColumn("__tie", F.xxhash64(*columns))
+    ordered = materialise(rows.repartitionByRange(*by).sortWithinPartitions(*by)).select(*columns)
     place = ordered.withColumn("__place", F.monotonically_increasing_id())
     part, offset = F.shiftright(F.col("__place"), 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = place.groupBy(part.alias("part")).count().collect()
@@ -229,18 +248,16 @@ def row_numbers_in_groups(
     ``bucket`` must not decrease along ``order``; rows are numbered inside
     (group, bucket) and shifted by the rows in the buckets before.
     """
-    from foldwise.operators.lookup import attach, fit_lookup
-
     keys, columns = list(keys), df.columns
     parts = df.withColumn(_BUCKET, bucket)
     sizes = parts.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
     ahead = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]).orderBy(_BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).cast("bigint"))
-    lookup = fit_lookup(starts, [*keys, _BUCKET], ["__start"], rows="__rows")
+    fitted = fit_lookup(starts, [*keys, _BUCKET], ["__start"], rows="__rows")
     inside = Window.partitionBy(*[F.col(k) for k in keys], F.col(_BUCKET)).orderBy(*order)
     numbered = parts.withColumn("__inside", F.row_number().over(inside))
-    shifted = attach(numbered, lookup, null_safe=True)
+    shifted = attach(numbered, fitted, null_safe=True)
     return shifted.select(*columns, (F.col("__start") + F.col("__inside")).alias(out))
 
 
@@ -262,7 +279,3 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str]) -> DataFram
         (F.col(f"__start_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before")
         for v in values
     ])
-
-
-def is_orderable_number(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.NumericType)

@@ -56,18 +56,23 @@ def _smallest_hash(df: DataFrame, key: str, n: int | None, frac: float | None, s
     size = _wanted(sum(counts.values()), n, frac)
     if size == 0:
         return df.limit(0)
-    before, cut = 0, None
-    for b in sorted(counts):
-        if before + counts[b] >= size:
-            cut = b
-            break
-        before += counts[b]
-    # the last wanted (hash, key) lies in one bucket, a small share of the rows
-    last = (df.filter(bucket == cut).select(h.alias("h"), F.col(key).alias("k"))
-            .orderBy("h", "k").limit(size - before)
-            .agg(F.max(F.struct("h", "k")).alias("last")).first()["last"])
-    keep = (h < F.lit(last["h"])) | ((h == F.lit(last["h"])) & (F.col(key) <= F.lit(last["k"])))
-    return df.filter(keep)
+    before, cut = _cut(counts, 0, size)
+    # then the hash values of that bucket (at most HASH_SPACE / HASH_BUCKETS of them)
+    inside = {r["h"]: r["count"] for r in df.filter(bucket == cut).groupBy(h.alias("h")).count().collect()}
+    before, last = _cut(inside, before, size)
+    # then the few keys that share the last hash value
+    ties = df.filter(h == last).select(F.col(key).alias("k")).orderBy("k").limit(size - before)
+    key_cut = ties.agg(F.max("k")).first()[0]
+    return df.filter((h < F.lit(last)) | ((h == F.lit(last)) & (F.col(key) <= F.lit(key_cut))))
+
+
+def _cut(counts: Mapping[int, int], before: int, size: int) -> tuple[int, int]:
+    """The value at which the running count reaches ``size``, and the count before it."""
+    for value in sorted(counts):
+        if before + counts[value] >= size:
+            return before, value
+        before += counts[value]
+    raise ValueError("fewer rows than wanted")
 
 
 def head_rows(df: DataFrame, key: str, n: int | None = None, frac: float | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.frame import is_numeric, require_columns
+from foldwise.frame import is_numeric, materialise, require_columns
 from foldwise.functions.scalar import clip_numerical_features, map_values, replace_above, strip_prefix
 from foldwise.operators.aggregate import create_aggregation_features
 from foldwise.operators.cross import create_nway_interaction_features
@@ -95,7 +95,8 @@ def build_features(
     frames = {n: coerce_schema(f, [*plan.numeric, plan.target], plan.categorical) for n, f in frames.items()}
     stacked = union_splits(frames)
     require_target(stacked.filter(F.col(SPLIT) == "train"), plan.target)
-    ready = engineer(clean(stacked, plan), plan)
+    # written once: encoding and training read these rows many times
+    ready = materialise(engineer(clean(stacked, plan), plan))
     fixed = [plan.row_id, plan.target, fold, SPLIT]
     features = [c for c in ready.columns if c not in fixed]
     train_rows = take_split(ready, "train").withColumn(fold, F.col(fold).cast("int"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from foldwise.frame import is_float, is_numeric, key_text, numeric_columns, require_columns
 from foldwise.operators.lookup import FEATURE, KEY, long_keys
 from foldwise.operators.metrics import regression_metric
-from foldwise.operators.order_stats import column_quantiles, grouped_quantiles
+from foldwise.operators.order_stats import column_quantiles, few_distinct, grouped_quantiles
 
 log = logging.getLogger(__name__)
 
@@ -167,9 +167,9 @@ def detect_feature_type(df: DataFrame, feature: str, max_categories: int | None
     return "numerical" if seen > limit else "categorical"
 
 
-def _summarise(rows: DataFrame, group: str, target: str, order: str | None) -> DataFrame:
+def _summarise(rows: DataFrame, group: str, target: str, order: str | None, small: bool | None) -> DataFrame:
     stats = rows.groupBy(group).agg(F.count(F.lit(1)).alias("count"), F.avg(target).alias("target_mean"))
-    medians = grouped_quantiles(rows.select(group, target), [group], target, [0.5], out="__m")
+    medians = grouped_quantiles(rows.select(group, target), [group], target, [0.5], out="__m", small=small)
     medians = medians.select(F.col(group).alias("__g"), F.col("__m")[0].alias("target_median"))
     joined = stats.join(medians, F.col(group).eqNullSafe(F.col("__g")), "left")
     columns = [F.col(group).alias("feature_value"), "count", "target_mean", "target_median"]
@@ -180,12 +180,13 @@ def _summarise(rows: DataFrame, group: str, target: str, order: str | None) -> D
 
 def analyze_target_by_feature(
     df: DataFrame, target: str, feature: str, feature_type: str = "auto", num_bins: int = 10,
-    max_categories: int | None = DEFAULT_CATEGORIES, handle_nulls: str = "drop",
+    max_categories: int | None = DEFAULT_CATEGORIES, handle_nulls: str = "drop", few_targets: bool | None = None,
 ) -> DataFrame | None:
     """Count, mean and median of the target per category or per quantile bin of a feature.
 
     Categories beyond ``max_categories`` are left out of the report, smallest
     first. A numeric feature with too many distinct values to bin gives None.
+    ``few_targets`` passes on a measurement made before (``few_distinct``).
     """
     require_columns(df, [target, feature])
     if not is_numeric(df, target):
@@ -208,7 +209,7 @@ def analyze_target_by_feature(
                 F.desc("n"), F.asc(feature)).limit(max_categories)
             # max_categories rows
             rows = rows.join(F.broadcast(largest.select(feature)), feature, "left_semi")
-        return _summarise(rows, feature, target, None)
+        return _summarise(rows, feature, target, None, few_targets)
     if not is_numeric(rows, feature):
         raise TypeError(f"column '{feature}' is not numeric")
 
@@ -218,14 +219,14 @@ def analyze_target_by_feature(
         return None
     edges = column_quantiles(rows, [feature], [i / num_bins for i in range(num_bins + 1)])[feature]
     if n_distinct <= 1 or len(set(edges)) < len(edges):
-        return _summarise(rows.withColumn(feature, key_text(rows, feature)), feature, target, None)
+        return _summarise(rows.withColumn(feature, key_text(rows, feature)), feature, target, None, few_targets)
     # bins are closed on the right: (e_i, e_i+1]
     place = F.lit(0)
     for edge in edges[1:-1]:
         place = place + F.when(F.col(feature) > F.lit(edge), 1).otherwise(0)
     labels = F.lit([f"q{i + 1} ({edges[i]:.3g}-{edges[i + 1]:.3g})" for i in range(num_bins)])
     binned = rows.withColumn("__bin", place)
-    table = _summarise(binned, "__bin", target, "__bin")
+    table = _summarise(binned, "__bin", target, "__bin", few_targets)
     return table.select(F.element_at(labels, F.col("feature_value") + 1).alias("feature_value"),
                         "count", "target_mean", "target_median")
 
@@ -282,9 +283,10 @@ def profile_tables(
         section("top_target_correlations", lambda: top_correlations(found.target, f"{target}_correlation", top_k))
     if is_numeric(df, target):
         wanted = [c for c in (features or df.columns) if c in df.columns and c != target]
+        few = few_distinct(df, [target])[target]
         for c in wanted:
             section(f"by_{c}", lambda c=c: analyze_target_by_feature(
-                df, target, c, num_bins=num_bins, max_categories=max_categories))
+                df, target, c, num_bins=num_bins, max_categories=max_categories, few_targets=few))
     return tables
 
 
