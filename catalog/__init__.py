@@ -41,4 +41,4 @@ def rounded(df: DataFrame, columns: dict[str, int]) -> DataFrame:
 
 
 def load_all() -> None:
-    from catalog import blends, clean, crosses, encoders, folds, groups, learners, profiles, targets  # noqa: F401
+    from catalog import blends, clean, crosses, encoders, folds, groups, learners, profiles, stores, targets  # noqa: F401

@@ -24,13 +24,13 @@ from foldwise.operators.schema_ops import (
     add_missing_target, check_values, coerce_schema, compact_schema, drop_null_target, require_target,
 )
 from foldwise.operators.target import (
-    clip_predictions, denormalize_predictions_by_feature, fit_target_transform, normalize_target_by_feature,
+    apply_target_transformation, clip_predictions, denormalize_predictions_by_feature, fit_target_transform, normalize_target_by_feature,
     reverse_target_transformation,
 )
 
 __all__ = [
     "add_feature_cross_terms", "add_missing_target", "apply_count_encoding",
-    "apply_ratio_to_category_mean_encoding", "apply_target_encoding", "assign_folds", "average_predictions",
+    "apply_ratio_to_category_mean_encoding", "apply_target_encoding", "apply_target_transformation", "assign_folds", "average_predictions",
     "bin_and_encode_numerical_features", "calculate_metric", "check_values", "clip_predictions",
     "coerce_schema", "compact_schema", "contiguous_kfold", "create_aggregation_features",
     "create_enhanced_interaction_features", "create_interaction_features",

@@ -94,6 +94,14 @@ def fit_target_transform(df: DataFrame, target: str, method: str, n_bins: int |
     return TargetTransform(method, {"edges": edges, "n_bins": len(edges) - 1, "bins": seen})
 
 
+def apply_target_transformation(
+    train: DataFrame, target: str, method: str, test: DataFrame | None = None, n_bins: int | None = None
+) -> tuple[DataFrame, DataFrame | None, Mapping]:
+    """Fit on ``train`` and transform both frames; the parameters reverse it later."""
+    model = fit_target_transform(train, target, method, n_bins)
+    return model.transform(train, target), None if test is None else model.transform(test, target), model.params
+
+
 def reverse_target_transformation(
     df: DataFrame, column: str, method: str, params: Mapping | None = None, out: str | None = None
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.frame import require_columns, require_numeric
+from foldwise.frame import materialise, require_columns, require_numeric
 from foldwise.operators.encode_stats import observed_folds
 from foldwise.operators.metrics import LOWER_IS_BETTER, REGRESSION, calculate_metric, regression_metric
 from foldwise.operators.target import TargetTransform
@@ -216,11 +216,7 @@ def fit_model(
     vectors = assemble(rows, features, keep, learner.trees, indexers)
     if facts["width"] == 1 and isinstance(train.schema[features[0]].dataType, T.ArrayType):
         facts["width"] = len(vectors.select(VECTOR).first()[0])
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = learner.build(params, facts).fit(vectors)
-    finally:
-        vectors.unpersist()
+    model = learner.build(params, facts).fit(vectors)
     return FittedFold(model, features, learner.trees, indexers, classifier, facts["classes"])
 
 
@@ -295,7 +291,8 @@ def train_and_cv(
     ``normalize_by`` divides the target by a column and ``target_transform`` is
     applied after that; predictions are returned on the original scale.
     ``average_on`` says on which scale the test predictions of the folds are
-    averaged. Rows without a fold are predicted as NaN.
+    averaged. Rows without a fold are predicted as NaN. Predictions are written
+    once, so scoring, blending and saving them does not run the models again.
     """
     if average_on not in ("original", "transformed"):
         raise ValueError("average_on must be 'original' or 'transformed'")
@@ -324,19 +321,22 @@ def train_and_cv(
         early = bool((fit_params or {}).get("early_stopping_rounds")) and learner_of(model_type).build is _boosting
         return fit_model(part, label, features, model_type, row_id, model_params, other if early else None, cat_features)
 
-    with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
-        models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
-
-    oof = None
-    for k, model in zip(folds, models):
-        part = model.predict(rows.filter(F.col(fold) == k), row_id, [fold, target, *extra])
-        part = part.select(row_id, F.col(fold).alias("fold"), target, restore(F.col("prediction")).alias("prediction"))
-        oof = part if oof is None else oof.unionByName(part)
-    array = isinstance(oof.schema["prediction"].dataType, T.ArrayType)
-    nan = F.lit(float("nan"))
-    unseen = F.lit(None).cast("array<double>") if array else nan
-    oof = oof.unionByName(rows.filter(F.col(fold).isNull()).select(
-        row_id, F.col(fold).alias("fold"), target, unseen.alias("prediction")))
+    # every fold reads these rows several times
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+            models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
+        oof = None
+        for k, model in zip(folds, models):
+            part = model.predict(rows.filter(F.col(fold) == k), row_id, [fold, target, *extra])
+            part = part.select(row_id, F.col(fold).alias("fold"), target, restore(F.col("prediction")).alias("prediction"))
+            oof = part if oof is None else oof.unionByName(part)
+        array = isinstance(oof.schema["prediction"].dataType, T.ArrayType)
+        unseen = F.lit(None).cast("array<double>") if array else F.lit(float("nan"))
+        oof = materialise(oof.unionByName(rows.filter(F.col(fold).isNull()).select(
+            row_id, F.col(fold).alias("fold"), target, unseen.alias("prediction"))))
+    finally:
+        rows.unpersist()
 
     averaged = None
     if test is not None:
@@ -352,7 +352,7 @@ def train_and_cv(
             value = _mean_over_folds([restore(c) for c in values], array)
         else:
             value = restore(_mean_over_folds(values, array))
-        averaged = scored.select(row_id, value.alias("prediction"))
+        averaged = materialise(scored.select(row_id, value.alias("prediction")))
     return CvResult(oof, averaged, models, row_id, target)
 
 

@@ -326,6 +326,8 @@ def test_binned_target(frame):
     assert values(model.transform(test, "y"), "id", "y") == [None, 0, 0, 1, 2]
     back = model.reverse(frame("id int, y double", id=range(4), y=[-1., 0., 1., 7.]), "y")
     assert values(back, "id", "y") == [20, 20, 35, 35]
+    a, b, params = op.apply_target_transformation(train, "y", "standard", test)
+    assert values(op.reverse_target_transformation(b, "y", "standard", params), "id", "y") == approx([5, 15, 25, 35, 45])
     with pytest.raises(ValueError):
         op.fit_target_transform(train, "y", "binning")
     with pytest.raises(ValueError):
