@@ -12,8 +12,10 @@ import logging
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from foldwise.plans.training import train_and_cv
 
 log = logging.getLogger(__name__)
 
+CANDIDATES_AT_ONCE = 3
 GRAM_FEATURES = 60
 GRAM_METRICS = ("mse", "rmse", "r2")
 
@@ -109,6 +112,13 @@ def _try(score: Callable, chosen: Sequence[str], worst: float) -> float:
         return worst
 
 
+def _try_all(spark, score: Callable, sets: Mapping[str, Sequence[str]], worst: float) -> dict[str, float]:
+    """Score candidate sets side by side; small jobs of one leave cores idle for another."""
+    run = inheritable_thread_target(spark)(lambda chosen: _try(score, chosen, worst))
+    with ThreadPool(min(CANDIDATES_AT_ONCE, len(sets))) as pool:
+        return dict(zip(sets, pool.map(run, sets.values())))
+
+
 def select_features_forward(
     df: DataFrame, target: str, candidates: Sequence[str], model_type: str, row_id: str, metric: str,
     fold: str = "fold", initial: Sequence[str] = (), min_improvement: float = 1e-5,
@@ -123,7 +133,7 @@ def select_features_forward(
     score = _scorer(df, target, [*chosen, *left], model_type, row_id, metric, fold, model_params, options)
     best = score(chosen) if chosen else worst
     while left:
-        scores = {c: _try(score, [*chosen, c], worst) for c in left}
+        scores = _try_all(df.sparkSession, score, {c: [*chosen, c] for c in left}, worst)
         pick = (max if up else min)(scores, key=scores.get)
         gain = scores[pick] - best if up else best - scores[pick]
         if not gain > min_improvement:
@@ -153,7 +163,7 @@ def select_features_backward(
     score = _scorer(df, target, chosen, model_type, row_id, metric, fold, model_params, options)
     score(chosen)
     while len(chosen) > min_features:
-        scores = {c: _try(score, [f for f in chosen if f != c], worst) for c in chosen}
+        scores = _try_all(df.sparkSession, score, {c: [f for f in chosen if f != c] for c in chosen}, worst)
         pick = (max if up else min)(scores, key=scores.get)
         if score_threshold is not None and (
                 scores[pick] < score_threshold if up else scores[pick] > score_threshold):
