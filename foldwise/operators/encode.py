@@ -17,7 +17,8 @@ from foldwise.operators.order_stats import dense_index, nearest_quantiles
 ONE_HOT_LIMIT = 5000
 
 
-def _native(text: str | None, dtype: T.DataType):
+def native_value(text: str | None, dtype: T.DataType):
+    """A category from its text form."""
     if text is None:
         return None
     if isinstance(dtype, T.IntegralType):
@@ -37,7 +38,7 @@ def observed_categories(df: DataFrame, features: Sequence[str], limit: int = ONE
         raise ValueError(f"more than {limit} categories: one-hot encoding would add as many columns")
     out = {}
     for i, f in enumerate(features):
-        values = [_native(r[KEY], df.schema[f].dataType) for r in found if r[FEATURE] == i]
+        values = [native_value(r[KEY], df.schema[f].dataType) for r in found if r[FEATURE] == i]
         out[f] = sorted(v for v in values if v is not None) + ([None] if None in values else [])
     return out
 
@@ -182,9 +183,10 @@ class BinModel:
         return df.select(*kept, *added)
 
 
-def quantile_edges(df: DataFrame, feature: str, n_bins: int) -> list[float]:
-    """Distinct nearest-rank quantiles at 0, 1/n, ..., 1."""
-    return sorted(set(nearest_quantiles(df, feature, [i / n_bins for i in range(n_bins + 1)])))
+def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int) -> dict[str, list[float]]:
+    """Distinct nearest-rank quantiles at 0, 1/n, ..., 1 of each feature."""
+    found = nearest_quantiles(df, features, [i / n_bins for i in range(n_bins + 1)])
+    return {f: sorted(set(values)) for f, values in found.items()}
 
 
 def uniform_edges(low: float | None, high: float | None, n_bins: int) -> list[float]:
@@ -208,12 +210,12 @@ def fit_bins(
     require_numeric(df, features)
     bounds = df.agg(*[x for i, f in enumerate(features)
                       for x in (F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}"))]).first()
-    edges = {}
+    edges, quantiles = {}, quantile_edges(df, features, n_bins) if strategy == "quantile" else {}
     for i, f in enumerate(features):
         low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
         if low is None:
             raise ValueError(f"column '{f}' holds no values to bin")
-        found = quantile_edges(df, f, n_bins) if strategy == "quantile" else uniform_edges(low, high, n_bins)
+        found = quantiles[f] if quantiles else uniform_edges(low, high, n_bins)
         if len(found) < 2:
             if low != high:
                 raise ValueError(f"fewer than two distinct edges for column '{f}'")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldwise.frame import is_float, is_integer, is_numeric, require_columns
+from foldwise.operators.encode import native_value
+from foldwise.operators.lookup import FEATURE, KEY, long_keys
 from foldwise.operators.order_stats import column_quantiles
 
 STRATEGIES = ("mean", "median", "mode", "zero", "literal")
@@ -42,10 +44,21 @@ def _applies(df: DataFrame, column: str, strategy: str) -> bool:
     return is_numeric(df, column)
 
 
-def _most_frequent(df: DataFrame, column: str):
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # the smallest value among equally frequent ones
-    return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column)))).first()[0]
+def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Most frequent value of each column, the smallest among equally frequent ones.
+
+    Values of all columns are counted in one pass.
+    """
+    if not columns:
+        return {}
+    counts = long_keys(df, columns).filter(F.col(KEY).isNotNull()).groupBy(FEATURE, KEY).agg(
+        F.count(F.lit(1)).alias("n"))
+    numbers = [i for i, c in enumerate(columns) if is_numeric(df, c)]
+    number = F.when(F.col(FEATURE).isin(numbers), F.col(KEY).try_cast("decimal(38,0)"))
+    rows = counts.groupBy(FEATURE).agg(
+        F.min_by(KEY, F.struct(-F.col("n"), number.alias("number"), F.col(KEY))).alias("value")).collect()
+    found = {columns[r[FEATURE]]: r["value"] for r in rows}
+    return {c: native_value(found.get(c), df.schema[c].dataType) for c in columns}
 
 
 def fit_imputer(
@@ -86,7 +99,7 @@ def fit_imputer(
     elif strategy == "median":
         values = {c: q[0] if q else None for c, q in column_quantiles(df, holes, [0.5]).items()}
     elif strategy == "mode":
-        values = {c: _most_frequent(df, c) for c in holes}
+        values = most_frequent(df, holes)
     elif strategy == "zero":
         values = {c: 0 for c in holes}
     else:

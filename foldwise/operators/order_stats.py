@@ -203,14 +203,22 @@ def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[in
     return dict(row["__ranked"]) if row is not None else {}
 
 
-def nearest_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float]:
-    """Quantiles that are elements of the column: the element at the rounded rank."""
-    total = df.agg(F.count(column)).first()[0]
-    if total == 0:
-        return []
-    ranks = [math.floor((total - 1) * p + 0.5) for p in probs]
-    found = values_at_ranks(df, column, sorted(set(ranks)))
-    return [float(found[r]) for r in ranks]
+def nearest_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Quantiles that are elements of the column: the element at the rounded rank.
+
+    All columns are handled in the same passes; a column without values gives an
+    empty list.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)
+    ])).alias("e")).select("e.*").filter(F.col("value").isNotNull())
+    ranks = F.array(*[F.floor((F.col("__total") - 1) * F.lit(p) + F.lit(0.5)).cast("bigint") for p in probs])
+    out: dict[str, list[float]] = {c: [] for c in columns}
+    for row in ranked_values(long, ["column"], "value", ranks).collect():
+        found, last = row["__ranked"], row["__total"] - 1
+        out[columns[row["column"]]] = [found[math.floor(last * p + 0.5)] for p in probs]
+    return out
 
 
 def dense_index(distinct_rows: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:

@@ -85,7 +85,7 @@ def fit_target_transform(df: DataFrame, target: str, method: str, n_bins: int |
         return TargetTransform(method, {"min": 0.0, "max": 1.0} if low is None else {"min": low, "max": high})
     if not isinstance(n_bins, int) or n_bins <= 0:
         raise ValueError("'binning' needs a positive integer n_bins")
-    edges = quantile_edges(df, target, n_bins)
+    edges = quantile_edges(df, [target], n_bins)[target]
     if len(edges) < 2:
         raise ValueError("'binning' needs at least two distinct edges")
     place = count_edges(y, edges)
