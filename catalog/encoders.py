@@ -39,7 +39,7 @@ def _oof_sql(stat, features, smoothing, prior="fold"):
 
 
 def _oof(spark, folder, features, **options):
-    train, _ = op.apply_target_encoding(sales(spark, folder), features, "price", "fold", **options)
+    train, _ = op.apply_target_encoding(sales(spark, folder), features, "price", "fold", folds=range(5), **options)
     names = [f"{f}_te" for f in features]
     return rounded(train.select("o_orderkey", *names), dict.fromkeys(names, 3))
 
@@ -77,7 +77,7 @@ left join e3 on e3.customer = t.customer where fold = 0""")
 def te_mean_test(spark, folder):
     rows = sales(spark, folder)
     train, test = rows.filter("fold <> 0"), rows.filter("fold = 0")
-    model = op.fit_target_encoder(train, FEATURES, "price", "fold")
+    model = op.fit_target_encoder(train, FEATURES, "price", "fold", folds=range(1, 5))
     names = [f"{f}_te" for f in FEATURES]
     return rounded(model.transform(test).select("o_orderkey", *names), dict.fromkeys(names, 3))
 

@@ -297,9 +297,6 @@ def train_and_cv(
     if average_on not in ("original", "transformed"):
         raise ValueError("average_on must be 'original' or 'transformed'")
     require_columns(df, [row_id, fold, target, *features])
-    folds = observed_folds(df, fold)
-    if not folds:
-        raise ValueError(f"column '{fold}' assigns no folds")
     label, extra = "__y", [normalize_by] if normalize_by else []
     require_columns(df, extra)
     y = F.col(target).cast("double")
@@ -324,6 +321,9 @@ def train_and_cv(
     # every fold reads these rows several times
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        folds = observed_folds(rows, fold)
+        if not folds:
+            raise ValueError(f"column '{fold}' assigns no folds")
         with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
             models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
         oof = None
