@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from catalog import query, table
 from foldwise import operators as op
 from foldwise import sources
-from foldwise.frame import use_checkpoints
+from foldwise.frame import work_folder
 
 
 def _folder(spark):
-    """A new folder next to the checkpoints, which all executors can reach."""
-    use_checkpoints(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/stores-{uuid.uuid4().hex}"
+    """A new folder that all executors can reach."""
+    return f"{work_folder(spark)}/stores-{uuid.uuid4().hex}"
 
 
 def _orders(spark, folder):

@@ -6,7 +6,11 @@ a job is started.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,29 +91,36 @@ def number_or_none(value) -> float | None:
     return None if value != value else value
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make sure reliable checkpoints have a folder.
+def work_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables that driver and executors share.
 
-    The folder comes from ``spark.checkpoint.dir``. A private folder is taken
-    only for a local master, where driver and executors share one machine.
+    It is ``spark.checkpoint.dir``. Only where that is unset and the master is
+    local, where all run on one machine, a private folder is made; it goes with
+    the process. On a cluster an unset folder is an error.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="foldwise-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and return a frame that reads it.
-
-    Used for fitted tables, so that each later use reads the small result
-    instead of repeating the aggregation, also after an executor is lost.
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = _private_folder()
+    return f"{base.rstrip('/')}/foldwise-{context.applicationId}"
+
+
+@functools.cache
+def _private_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="foldwise-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
+def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet to the work folder and return a frame that reads it.
+
+    Each later use reads the columns and rows it needs instead of repeating the
+    plan, also after an executor is lost.
     """
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -233,8 +233,9 @@ def dense_index(distinct_rows: DataFrame, order: Sequence[str], out: str = "inde
     full = set(order) >= set(columns)
     by = [*order] if full else [*order, "__tie"]
     rows = distinct_rows if full else distinct_rows.withColumn("__tie", F.xxhash64(*columns))
-    ordered = materialise(rows.repartitionByRange(*by).sortWithinPartitions(*by)).select(*columns)
-    place = ordered.withColumn("__place", F.monotonically_increasing_id())
+    # the place is written with the row: files may be read back in other partitions
+    place = materialise(rows.repartitionByRange(*by).sortWithinPartitions(*by).select(
+        *columns, F.monotonically_increasing_id().alias("__place")))
     part, offset = F.shiftright(F.col("__place"), 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = place.groupBy(part.alias("part")).count().collect()
     starts, total = {}, 0
@@ -242,7 +243,7 @@ def dense_index(distinct_rows: DataFrame, order: Sequence[str], out: str = "inde
         starts[row["part"]] = total
         total += row["count"]
     if not starts:
-        return ordered.withColumn(out, F.lit(0).cast("bigint"))
+        return place.select(*columns, F.lit(0).cast("bigint").alias(out))
     first = F.lit([starts.get(p, 0) for p in range(max(starts) + 1)]).cast("array<bigint>")
     number = F.element_at(first, (part + 1).cast("int")) + offset
     return place.select(*columns, number.alias(out))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise import operators as op
-from foldwise.frame import use_checkpoints
+from foldwise.frame import work_folder
 from foldwise.operators import order_stats
 from foldwise.operators.lookup import attach, fit_lookup
 from tests.conftest import values
@@ -83,11 +83,14 @@ def test_large_keys_stay_exact(frame):
     assert values(folds, "k", "fold") == [0, 0, 0, 1, 1, 1, 2, 2, 2]
 
 
-def test_checkpoint_folder_is_kept(spark):
-    use_checkpoints(spark)
-    folder = spark.sparkContext.getCheckpointDir()
-    use_checkpoints(spark)
-    assert spark.sparkContext.getCheckpointDir() == folder
+def test_work_folder_is_the_configured_one(spark, tmp_path):
+    private = work_folder(spark)
+    assert work_folder(spark) == private
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        assert work_folder(spark).startswith(f"file://{tmp_path}/")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_results_do_not_depend_on_partitions(skewed):
