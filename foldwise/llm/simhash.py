@@ -11,7 +11,7 @@ for its full Hamming distance.
 
 Equal fingerprints are one node from the start, so copies never form pairs. A
 task handles one key at a time and emits at most one link per member. A key
-with more than ``CROWD`` distinct fingerprints is not paired: its members are
+with more than ``crowd`` distinct fingerprints is not paired: its members are
 linked through the values halfway between them, which is exact too and linear
 in the members.
 """
@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldwise.llm.components import connected_components
-from foldwise.llm.shared import append_columns, materialise, require_columns, require_text, texts_of
+from foldwise.llm.shared import append_columns, materialise, no_rows, require_columns, require_text, texts_of
 
 SEED = 42
 #: largest number of fingerprints of one key that are compared with each other
 CROWD = 4096
 ROWS = 1 << 16
+PAIRS = 1 << 20
 PIECE = 1 << 20
 _LANES = np.uint64(0x0101010101010101)
 _ALL = (1 << 64) - 1
@@ -213,50 +214,58 @@ def _keys(ring: Ring, value: str) -> Column:
     return F.array(*out)
 
 
-def _rotate(values: np.ndarray, turn: int) -> np.ndarray:
-    return values if not turn else (values << np.uint64(turn)) | (values >> np.uint64(64 - turn))
+def _rotate(values: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    return (values << turn) | (values >> ((np.uint64(64) - turn) & np.uint64(63)))
+
+
+def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Union of linked positions; every label is the smallest position of its set."""
+    while True:
+        one, two = label[a], label[b]
+        apart = one != two
+        if not apart.any():
+            return label
+        a, b, one, two = a[apart], b[apart], one[apart], two[apart]
+        np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
+        while not (label == label[label]).all():
+            label = label[label]
 
 
 def _links(chain: np.ndarray, key: np.ndarray, value: np.ndarray, ring: Ring) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside groups of equal (chain, key); each member is linked to at most one other."""
+    """Links inside groups of equal (chain, key); each member is linked to at most one other.
+
+    Rows are compared with those 1, 2, 3, ... places further on. At most about
+    ``PAIRS`` links are held before they are merged into the labels.
+    """
     n = len(key)
-    left, right = [], []
+    start = chain // 4
+    turn = np.array([ring.turn(i) for i in range(ring.n)], np.uint64)[start]
+    steps = [ring.budgets(i) for i in range(ring.n)]
+    budgets = [(np.array([own[j][0] for own in steps], np.uint64), steps[0][j][1]) for j in range(ring.distance - 1)]
+    label, left, right, held = np.arange(n), [], [], 0
     here, step = np.arange(n), 0
     while len(here):
         step += 1
         here = here[here + step < n]
-        there = here + step
-        same = (key[here] == key[there]) & (chain[here] == chain[there])
-        here, there = here[same], there[same]
-        change = value[here] ^ value[there]
-        good = np.bitwise_count(change) <= ring.distance if ring.distance == 1 else np.ones(len(here), bool)
-        for start in np.unique(chain[here] // 4) if ring.distance > 1 else ():
-            own = np.flatnonzero(chain[here] // 4 == start)
-            turned = _rotate(change[own], ring.turn(int(start)))
-            for mask, most in ring.budgets(int(start)):
-                held = np.bitwise_count(turned & np.uint64(mask)) <= most
-                good[own[~held]] = False
-                own, turned = own[held], turned[held]
-        good &= np.bitwise_count(change) <= ring.distance
-        left.append(here[good])
-        right.append(there[good])
-    a = np.concatenate(left) if left else np.zeros(0, np.int64)
-    b = np.concatenate(right) if right else np.zeros(0, np.int64)
-    label = np.arange(n)
-    while True:  # smallest position reachable
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
+        here = here[(key[here] == key[here + step]) & (chain[here] == chain[here + step])]
+        at = here
+        change = value[at] ^ value[at + step]
+        turned = _rotate(change, turn[at])
+        for masks, most in budgets:
+            keeps = np.bitwise_count(turned & masks[start[at]]) <= most
+            at, change, turned = at[keeps], change[keeps], turned[keeps]
+        at = at[np.bitwise_count(change) <= ring.distance]
+        left.append(at)
+        right.append(at + step)
+        held += len(at)
+        if held > PAIRS or not len(here):
+            label = _merge(label, np.concatenate(left), np.concatenate(right))
+            left, right, held = [], [], 0
     moved = np.flatnonzero(label != np.arange(n))
     return value[label[moved]], value[moved]
 
 
-def _pair_groups(batches: Iterable[pa.RecordBatch], ring: Ring) -> Iterator[pa.RecordBatch]:
+def _pair_groups(batches: Iterable[pa.RecordBatch], ring: Ring, crowd: int) -> Iterator[pa.RecordBatch]:
     """Links of rows sorted by (chain, key); a crowded key's members come out alone, with no partner."""
     names = ["a", "b"]
 
@@ -270,7 +279,7 @@ def _pair_groups(batches: Iterable[pa.RecordBatch], ring: Ring) -> Iterator[pa.R
             return
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (chain[1:] != chain[:-1])])
         size = np.repeat(np.diff(np.r_[new, len(key)]), np.diff(np.r_[new, len(key)]))
-        crowded = size > CROWD
+        crowded = size > crowd
         if crowded.any():
             yield send(value[crowded], None)
         few = (size > 1) & ~crowded
@@ -297,13 +306,13 @@ def _pair_groups(batches: Iterable[pa.RecordBatch], ring: Ring) -> Iterator[pa.R
             last = (held[1] == held[1][-1]) & (held[0] == held[0][-1])
             yield from settle(tuple(x[~last] for x in held))
             held = tuple(x[last] for x in held)
-            if len(held[1]) > CROWD:
+            if len(held[1]) > crowd:
                 yield send(held[2], None)
                 open_crowd, held = (held[0][0], held[1][0]), empty
     yield from settle(held)
 
 
-def near_pairs(values: DataFrame, value: str = "fingerprint", distance: int = 4) -> DataFrame:
+def near_pairs(values: DataFrame, value: str = "fingerprint", distance: int = 4, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that connect all distinct values which differ in at most ``distance`` bits.
 
     Two values have a path of links exactly if they have a path of such pairs;
@@ -314,16 +323,16 @@ def near_pairs(values: DataFrame, value: str = "fingerprint", distance: int = 4)
     distinct = values.filter(F.col(value).isNotNull()).select(F.col(value).cast("bigint").alias("v")).distinct()
     keyed = distinct.select(F.explode(_keys(ring, "v")).alias("k"), "v").select("k.chain", "k.key", "v")
     grouped = keyed.repartition("chain", "key").sortWithinPartitions("chain", "key", "v")
-    found = materialise(grouped.mapInArrow(lambda batches: _pair_groups(batches, ring), "a bigint, b bigint").distinct())
+    found = materialise(grouped.mapInArrow(lambda batches: _pair_groups(batches, ring, crowd), "a bigint, b bigint").distinct())
     pairs = found.filter(F.col("b").isNotNull())
-    crowd = found.filter(F.col("b").isNull()).select("a").distinct()
-    if crowd.limit(1).count() == 0:
+    crowded = found.filter(F.col("b").isNull()).select("a").distinct()
+    if no_rows(crowded):
         return pairs
     changes = ring.masks_within((distance + 1) // 2)
     # a fixed number of changes (2,081 for four bits), independent of the data
     masks = F.broadcast(values.sparkSession.createDataFrame(
         [(_signed(m), r) for m, r in changes], "mask bigint, r int"))
-    halfway = crowd.join(masks).select(F.col("a"), F.col("a").bitwiseXOR(F.col("mask")).alias("mid"), "r")
+    halfway = crowded.join(masks).select(F.col("a"), F.col("a").bitwiseXOR(F.col("mask")).alias("mid"), "r")
     centre = halfway.groupBy("mid").agg(F.min(F.struct("r", "a")).alias("c"))
     through = halfway.join(centre, "mid").filter(
         (F.col("a") != F.col("c.a")) & (F.col("r") + F.col("c.r") <= distance))
