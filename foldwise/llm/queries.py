@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foldwise.llm import simhash
+from foldwise.llm import simhash, substrings, vafile
 from foldwise.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -24,3 +24,43 @@ def query(name: str, sql: str | None = None):
 def op3_simhash_near_dedup(spark, folder):
     groups = simhash.near_duplicate_groups(table(spark, folder, "documents"), "doc_id", "text", shingle=4, distance=4)
     return groups.select("doc_id", simhash.hex_text(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query("op8_substring_dedup", r"""
+with docs as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as words
+  from documents),
+spans as (
+  select doc_id, unnest(range(1, len(words) - 18)) as s, words from docs where len(words) >= 20),
+windows as (
+  select doc_id, s, array_to_string(words[s:s + 19], ' ') as w from spans),
+repeats as (
+  select doc_id, s from (
+    select doc_id, s, row_number() over (partition by w order by doc_id, s) as n from windows) where n > 1),
+gone as (
+  select distinct doc_id, s + unnest(range(0, 20)) as i from repeats),
+lists as (
+  select doc_id, list(i) as removed from gone group by doc_id)
+select d.doc_id, cast(len(d.words) as bigint) as n_words, cast(coalesce(len(l.removed), 0) as bigint) as n_removed,
+       sha256(array_to_string(list_filter(d.words, lambda w, i: not coalesce(list_contains(l.removed, i), false)), ' '))
+         as kept_sha256
+from docs d left join lists l using (doc_id)""")
+def op8_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = substrings.drop_repeats(docs, "doc_id", "text", min_words=20, outputs=["n_words", "n_removed", "kept_sha256"])
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op9_exact_top_k", """
+with v as (
+  select vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20""")
+def op9_exact_top_k(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return vafile.top_k_inner_product(vectors, F.col("vec_id") % 20 == 0, k=20, key="vec_id", vector="embedding", scale=64)

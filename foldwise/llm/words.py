@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
