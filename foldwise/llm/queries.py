@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from foldwise.llm import simhash, substrings, vafile
-from foldwise.llm.shared import table
+from foldwise.llm import decontaminate, simhash, substrings, vafile, warc
+from foldwise.llm.shared import table, work_folder
 
 QUERIES, ORACLES = {}, {}
 
@@ -64,3 +66,59 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 def op9_exact_top_k(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return vafile.top_k_inner_product(vectors, F.col("vec_id") % 20 == 0, k=20, key="vec_id", vector="embedding", scale=64)
+
+
+@query("op5_warc", """
+with p as (
+  select page_id, coalesce(html, '') as body from pages),
+d as (
+  select page_id, cast(strlen(body) as bigint) as payload_bytes, sha1(body) as payload_digest from p),
+o as (
+  select payload_digest, max(page_id) as owner from d where payload_bytes >= 1000 group by 1)
+select d.page_id, d.payload_bytes, d.payload_digest,
+       case when d.page_id < o.owner then 'revisit' else 'response' end as record_type,
+       case when d.page_id < o.owner then o.owner end as refers_to
+from d left join o using (payload_digest)""")
+def op5_warc(spark, folder):
+    pages = table(spark, folder, "pages")
+    files = warc.write_warc(pages, f"{work_folder(spark)}/warc-{uuid.uuid4().hex}", "page_id", "url", "html")
+    records = warc.resolved(warc.read_warc(files, payload=False))
+    number = lambda c: F.regexp_extract(c, "urn:page:(-?[0-9]+)$", 1).try_cast("bigint")
+    return records.select(number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                          F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))
+
+
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce({0}, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+
+@query("op6_decontamination", f"""
+with docs as (
+  select doc_id, {_WORDS.format('text')} as words from documents),
+items as (
+  select item_id, words, least(10, len(words)) as n from (
+    select item_id, {_WORDS.format('text')} as words from benchmark) where len(words) > 0),
+starts as (
+  select item_id, n, words, unnest(range(1, len(words) - n + 2)) as s from items),
+windows as (
+  select distinct item_id, n, array_to_string(words[s:s + n - 1], ' ') as w from starts),
+places as (
+  select d.doc_id, l.n, d.words, unnest(range(1, len(d.words) - l.n + 2)) as s
+  from docs d, (select distinct n from items) l where len(d.words) >= l.n),
+hits as (
+  select p.doc_id, p.s, p.n, w.item_id from places p join windows w
+  on p.n = w.n and array_to_string(p.words[p.s:p.s + p.n - 1], ' ') = w.w),
+hit_words as (
+  select doc_id, count(distinct i) as n_hit from (select doc_id, s + unnest(range(0, n)) as i from hits) group by 1),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids from (
+    select distinct doc_id, cast(item_id as varchar) as i from hits) group by 1)
+select d.doc_id, cast(len(d.words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs d left join hit_words using (doc_id) left join hit_items using (doc_id)""")
+def op6_decontamination(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, folder, "benchmark"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
