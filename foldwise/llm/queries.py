@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, simhash, substrings, vafile, warc
+from foldwise.llm import (
+    decontaminate, langid, licenses, pieces, quality, simhash, substrings, token_counts, vafile, warc,
+)
 from foldwise.llm.shared import table, work_folder
 
 QUERIES, ORACLES = {}, {}
@@ -122,3 +124,89 @@ def op6_decontamination(spark, folder):
     found = decontaminate.find_contamination(docs, table(spark, folder, "benchmark"), n=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op1_language_id")
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.fit_language_model(docs, "text", "lang", "doc_id", usable=~held_out)
+    found = langid.identify(docs.select("doc_id", "text"), model, "text")
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op2_quality")
+def op2_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit_quality_model(docs, "text", "doc_id")
+    return quality.classify(docs, model, "text").select("doc_id", "posterior", "score", "keep")
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, "text").select("doc_id", "token_ids", "n_tokens", "round_trip", "parity")
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, "text").select("doc_id", "n_tokens")
+
+
+_TEMPLATES = ", ".join(f"('{name}', '{body}')" for name, body in licenses.TEMPLATES)
+
+
+@query("op10_license_scan", f"""
+with files as (
+  select doc_id, source || '/' || lang || '/' || doc_id as path, source || '/' || lang as dir, source as top, text,
+         regexp_matches(lower(split_part(coalesce(text, ''), chr(10), 1)), 'licen[sc]|rights reserved') as is_file
+  from documents),
+templates(licence, body) as (values {_TEMPLATES}),
+template_words as (
+  select licence, word, count(*) as n from (
+    select licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) as word from templates) group by all),
+size as (select count(*) as n from files),
+idf as (
+  select t.word, ln((1 + (select n from size)) / (1 + count(d.path))) + 1 as idf
+  from (select distinct word from template_words) t left join (
+    select distinct path, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as word from files) d using (word)
+  group by t.word),
+lines as (
+  select path, is_file, unnest(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10))) as unit,
+         generate_subscripts(string_split(text, chr(10)), 1) as i from files
+  union all select path, is_file, text, 0 from files where is_file),
+vectors as (
+  select path, i, word, count(*) as n from (
+    select path, i, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) as word from lines) group by all),
+weighted as (
+  select path, i, word, n * coalesce(idf, ln((1 + (select n from size)) / 2) + 1) as x from vectors left join idf using (word)),
+lengths as (select path, i, sqrt(sum(x * x)) as length from weighted group by all),
+template_weights as (select licence, word, n * idf as x from template_words join idf using (word)),
+template_lengths as (select licence, sqrt(sum(x * x)) as length from template_weights group by all),
+scores as (
+  select w.path, t.licence, round(sum(w.x * t.x) / (any_value(l.length) * any_value(tl.length)), 6) as score
+  from weighted w join template_weights t using (word) join lengths l on l.path = w.path and l.i = w.i
+  join template_lengths tl on tl.licence = t.licence group by w.path, w.i, t.licence),
+own as (
+  select path, licence, score from (
+    select *, row_number() over (partition by path order by score desc, licence) as n from scores where score >= 0.8)
+  where n = 1),
+dirs as (
+  select dir, licence, score from (
+    select f.dir, o.*, row_number() over (partition by f.dir order by o.score desc, o.path) as n
+    from files f join own o using (path) where f.is_file) where n = 1)
+select f.doc_id, coalesce(o.licence, d.licence) as licence,
+       case when o.licence is not null then o.score else d.score end as licence_score,
+       case when o.licence is not null then 'own' when d.licence is not null then 'inherited' end as licence_origin,
+       case when o.licence is null then d.dir end as licence_dir
+from files f left join own o using (path)
+left join dirs d on d.dir = f.dir and d.licence is not null""")
+def op10_license_scan(spark, folder):
+    """Documents as files <source>/<lang>/<doc_id>; one that opens with a licence line is its directory's licence file."""
+    docs = table(spark, folder, "documents")
+    files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                                              F.col("doc_id").cast("string")).alias("path"), "text")
+    opens = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[sc]|rights reserved")
+    found = licenses.scan_licences(files, "path", "text", licence_file=opens)
+    return found.select("doc_id", "licence", "licence_score", "licence_origin", "licence_dir")
