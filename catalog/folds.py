@@ -39,12 +39,23 @@ def kfold_stratified(spark, folder):
 
 
 @query("kfold_group", """
-select o_custkey, count(*) as rows, 1::bigint as folds from orders group by o_custkey""")
+with recursive sizes as (
+  select row_number() over (order by count(*) desc) as i, count(*) as n from orders group by o_custkey),
+steps as (
+  select 0::bigint as i, [0, 0, 0, 0, 0]::bigint[] as loads
+  union all
+  select s.i, [loads[j] + case when j = list_position(loads, list_min(loads)) then s.n else 0 end for j in range(1, 6)]
+  from steps p join sizes s on s.i = p.i + 1),
+last as (select unnest(loads) as rows, generate_subscripts(loads, 1) - 1 as fold from steps where i = (select max(i) from sizes))
+select cast(fold as integer) as fold, cast(rows as bigint) as rows, 0::bigint as split_groups from last""")
 def kfold_group(spark, folder):
+    """Rows per fold as by placing the biggest group first on the lightest fold, and the number of groups that are split."""
     folded = op.group_kfold(_orders(spark, folder, "o_custkey"), "o_custkey", 5)
-    return folded.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.max("fold") - F.min("fold") + 1).cast("bigint").alias("folds"))
+    split = folded.groupBy("o_custkey").agg(F.count_distinct("fold").alias("folds")).agg(
+        F.count_if(F.col("folds") > 1).alias("split_groups"))
+    # one row
+    return folded.groupBy("fold").agg(F.count(F.lit(1)).alias("rows")).join(F.broadcast(split)).select(
+        F.col("fold").cast("int").alias("fold"), "rows", "split_groups")
 
 
 @query("fold_pairs", """
@@ -84,6 +95,15 @@ def sample_n(spark, folder):
     return op.sample_dataframe(_orders(spark, folder, "o_totalprice"), "o_orderkey", n=1000, seed=7)
 
 
+@query("sample_null_keys", "select 60::bigint as rows, 60::bigint as distinct_rows")
+def sample_null_keys(spark, folder):
+    """Half of the keys are null and the others repeat: the sample still has the wanted number of different rows."""
+    df = _orders(spark, folder, "o_totalprice", "o_custkey").withColumn(
+        "k", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey") % 5))
+    found = op.sample_dataframe(df, "k", n=60, seed=3)
+    return found.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("distinct_rows"))
+
+
 @query("sample_frac", f"""
 with t as (select o_orderkey, o_totalprice, row_number() over (order by {H7}, o_orderkey) as r, count(*) over () as n from orders)
 select o_orderkey, o_totalprice from t where r <= floor(n * 0.1)""")

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 from catalog import query, rnd, rounded, table
 from foldwise import operators as op
 from foldwise import plans
+from foldwise.frame import materialise
 
 BASKET = """
 select l_orderkey as row_id, cast(l_orderkey % 3 as integer) as fold, count(*)::double as lines, sum(l_quantity) as quantity,
        max(l_discount) as discount, round(sum(l_extendedprice), 2) as price,
-       (max(l_returnflag) = 'R')::int as returned, cast(max(l_linenumber) % 3 as integer) as kind
+       (max(l_returnflag) = 'R')::int as returned, cast(max(l_linenumber) % 3 as integer) as kind,
+       (count(*) >= 4)::int as many, (sum(l_quantity) >= 100)::int as bulk, least(floor(sum(l_quantity) / 80), 2)::int as load
 from lineitem group by l_orderkey"""
 FEATURES = ["lines", "quantity", "discount"]
 
@@ -21,6 +23,9 @@ def basket(spark, folder):
         F.max("l_discount").alias("discount"), F.round(F.sum("l_extendedprice"), 2).alias("price"),
         (F.max("l_returnflag") == "R").cast("int").alias("returned"),
         (F.max("l_linenumber") % 3).cast("int").alias("kind"),
+        (F.count(F.lit(1)) >= 4).cast("int").alias("many"),
+        (F.sum("l_quantity") >= 100).cast("int").alias("bulk"),
+        F.least(F.floor(F.sum("l_quantity") / 80), F.lit(2)).cast("int").alias("load"),
     ).withColumn("fold", (F.col("row_id") % 3).cast("int"))
 
 
@@ -72,50 +77,115 @@ def cv_log_average(spark, folder):
     return rounded(result.test, {"prediction": 3})
 
 
-@query("cv_ridge")
+def _three(alpha):
+    """Ridge coefficients of three columns by determinants, from centred sums per fold."""
+    rows = [[f"(xx + {alpha})", "xz", "xd"], ["xz", f"(zz + {alpha})", "zd"], ["xd", "zd", f"(dd + {alpha})"]]
+    right = ["xy", "zy", "dy"]
+
+    def det(m):
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+                f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+    swapped = [[[right[i] if j == k else rows[i][j] for j in range(3)] for i in range(3)] for k in range(3)]
+    return [f"{det(m)} / {det(rows)}" for m in swapped]
+
+
+W1, W2, W3 = _three(5.0)
+
+
+@query("cv_ridge", f"""
+with t as ({BASKET}),
+c as (select f.fold, avg(price) as my, avg(quantity) as mx, avg(lines) as mz, avg(discount) as md,
+             var_pop(quantity) * count(*) as xx, var_pop(lines) * count(*) as zz, var_pop(discount) * count(*) as dd,
+             covar_pop(quantity, lines) * count(*) as xz, covar_pop(quantity, discount) * count(*) as xd,
+             covar_pop(lines, discount) * count(*) as zd, covar_pop(price, quantity) * count(*) as xy,
+             covar_pop(price, lines) * count(*) as zy, covar_pop(price, discount) * count(*) as dy
+      from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
+w as (select fold, my, mx, mz, md, {W1} as w1, {W2} as w2, {W3} as w3 from c)
+select row_id, t.fold, round(my + w1 * (quantity - mx) + w2 * (lines - mz) + w3 * (discount - md), 3) + 0.0 as prediction
+from t join w on w.fold = t.fold""")
 def cv_ridge(spark, folder):
-    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "ridge", "row_id",
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", ["quantity", "lines", "discount"], "ridge", "row_id",
                                    model_params={"alpha": 5.0}))
 
 
-@query("cv_lasso")
+@query("cv_lasso", f"""
+with t as ({BASKET}),
+c as (select f.fold, avg(price) as my, avg(quantity) as mx, covar_pop(price, quantity) as xy, var_pop(quantity) as xx
+      from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold)
+select row_id, t.fold, round(my + greatest(xy - 20000, 0) / xx * (quantity - mx), 1) + 0.0 as prediction from t join c on c.fold = t.fold""")
 def cv_lasso(spark, folder):
-    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "lasso", "row_id",
-                                   model_params={"alpha": 10.0}))
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", ["quantity"], "lasso", "row_id",
+                                   model_params={"alpha": 20000.0}), 1)
 
 
-@query("cv_gbt")
+SHARES = """s as (select f.fold, many, avg({y}) as p from (select distinct fold from t) f join t on t.fold <> f.fold
+group by f.fold, many)"""
+
+
+@query("cv_gbt", f"""
+with t as ({BASKET}), {SHARES.format(y='price')}
+select row_id, t.fold, round(p, 3) + 0.0 as prediction from t join s on s.fold = t.fold and s.many = t.many""")
 def cv_gbt(spark, folder):
-    params = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "random_state": 1}
-    return _oof(plans.train_and_cv(basket(spark, folder), "price", FEATURES, "lgbm", "row_id", model_params=params,
-                                   fit_params={"early_stopping_rounds": 5}))
+    """One round of depth one on a column of two values: the mean of the other folds' rows with the same value."""
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", ["many"], "lgbm", "row_id",
+                                   model_params={"n_estimators": 9, "max_depth": 1, "random_state": 1},
+                                   fit_params={"num_boost_round": 1}))
+
+
+@query("single_fold", f"""
+with t as ({BASKET}), s as (select many, avg(price) as p from t where fold <> 0 group by many)
+select row_id, round(p, 3) + 0.0 as prediction from t join s using (many) where fold = 0""")
+def single_fold(spark, folder):
+    """Boosting with patience on a column that one round exhausts keeps the predictions of one round."""
+    rows = basket(spark, folder)
+    result = plans.train_single_fold(
+        rows.filter("fold <> 0"), rows.filter("fold = 0"), None, "price", ["many"], "xgb", "row_id",
+        {"max_depth": 1, "random_state": 1}, {"num_boost_round": 4, "early_stopping_rounds": 2})
+    return rounded(result.valid, {"prediction": 3})
+
+
+FOREST = {"n_estimators": 1, "max_depth": 1, "bootstrap": False, "random_state": 1}
 
 
-@query("cv_rf")
+@query("cv_rf", f"""
+with t as ({BASKET}), {SHARES.format(y='bulk')}
+select row_id, t.fold, round(p, 6) + 0.0 as prediction from t join s on s.fold = t.fold and s.many = t.many""")
 def cv_rf(spark, folder):
-    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
-    return _oof(plans.train_and_cv(basket(spark, folder), "returned", FEATURES, "rf", "row_id", model_params=params), 6)
+    return _oof(plans.train_and_cv(basket(spark, folder), "bulk", ["many"], "rf", "row_id", model_params=FOREST), 6)
 
 
-@query("cv_rf_classes")
+@query("cv_rf_classes", f"""
+with t as ({BASKET}),
+s as (select f.fold, many, avg((load = 0)::int) as p0, avg((load = 1)::int) as p1, avg((load = 2)::int) as p2
+      from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold, many)
+select row_id, t.fold, round(p0, 6) + 0.0 as p0, round(p1, 6) + 0.0 as p1, round(p2, 6) + 0.0 as p2
+from t join s on s.fold = t.fold and s.many = t.many""")
 def cv_rf_classes(spark, folder):
-    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
-    result = plans.train_and_cv(basket(spark, folder), "kind", FEATURES, "rf", "row_id", model_params=params)
+    result = plans.train_and_cv(basket(spark, folder), "load", ["many"], "rf", "row_id", model_params=FOREST)
     return result.oof.select("row_id", "fold", *[rnd(F.col("prediction")[i], 6).alias(f"p{i}") for i in range(3)])
 
 
-@query("cv_logreg")
+@query("cv_logreg", f"""
+with t as ({BASKET}), {SHARES.format(y='returned')}
+select row_id, t.fold, round(p, 2) + 0.0 as prediction from t join s on s.fold = t.fold and s.many = t.many""")
 def cv_logreg(spark, folder):
-    return _oof(plans.train_and_cv(basket(spark, folder), "returned", FEATURES, "logreg", "row_id"), 4)
+    """With one column of two values and hardly a penalty the probabilities are the shares of the class."""
+    return _oof(plans.train_and_cv(basket(spark, folder), "returned", ["many"], "logreg", "row_id",
+                                   model_params={"C": 1e9, "max_iter": 200}), 2)
 
 
-@query("cv_mlp")
+@query("cv_mlp", """
+with t as (select vec_id, (vec_id % 3)::int as fold, label from embeddings),
+c as (select f.fold, max(label) + 1 as classes from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold)
+select vec_id, t.fold, cast(classes as integer) as classes, 1.0::double as total, true as in_range from t join c on c.fold = t.fold""")
 def cv_mlp(spark, folder):
     vectors = table(spark, folder, "embeddings").withColumn("fold", (F.col("vec_id") % 3).cast("int"))
     result = plans.train_and_cv(vectors, "label", ["embedding"], "mlp", "vec_id",
                                 model_params={"hidden_sizes": [8], "epochs": 20, "random_state": 1})
-    size = F.size("prediction")
-    return result.oof.select("vec_id", "fold", size.alias("classes"), rnd(F.col("prediction")[0], 4).alias("p0"))
+    total = F.aggregate("prediction", F.lit(0.0), lambda s, p: s + p)
+    return result.oof.select("vec_id", "fold", F.size("prediction").alias("classes"), rnd(total).alias("total"),
+                             F.forall("prediction", lambda p: (p >= 0) & (p <= 1)).alias("in_range"))
 
 
 @query("cv_knn", """
@@ -149,31 +219,43 @@ def fold_score_table(spark, folder):
 
 
 @query("compare_models", f"""
-with t as ({BASKET}), {FIT.format(y='price')},
-g as (select f.fold, regr_slope(price, lines) as s, regr_intercept(price, lines) as i
+with t as ({BASKET}),
+c as (select f.fold, avg(price) as my, avg(quantity) as mx, covar_pop(price, quantity) * count(*) as xy, var_pop(quantity) * count(*) as xx
       from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
-s as (select 'quantity' as model, t.fold, sqrt(avg(power(price - (i + s * quantity), 2))) as score from t join fit on fit.fold = t.fold group by t.fold
-      union all select 'lines', t.fold, sqrt(avg(power(price - (i + s * lines), 2))) from t join g on g.fold = t.fold group by t.fold),
+s as (select a.model, t.fold, sqrt(avg(power(price - my - xy / (xx + a.alpha) * (quantity - mx), 2))) as score
+      from t join c on c.fold = t.fold, (values ('plain', 0.0), ('mild', 100.0), ('strong', 1e7)) a(model, alpha) group by all),
 m as (select model, avg(score) as mean, stddev_pop(score) as std from s group by model)
-select model, round(mean, 3) as mean, round(std, 3) as std, mean = (select min(mean) from m) as is_best from m""")
+select model, round(mean, 3) as mean, round(std, 3) as std, mean = (select min(mean) from m) as is_best,
+       (select arg_min(model, mean) from m) as chosen from m""")
 def compare_models(spark, folder):
-    rows, scores = basket(spark, folder), None
-    for name in ("quantity", "lines"):
-        _, part, _ = plans.compare_models(rows, "price", [name], {name: ("ridge", {"alpha": 0.0})}, "row_id")
-        scores = part if scores is None else scores.unionByName(part)
-    return rounded(plans.fold_score_summary(scores), {"mean": 3, "std": 3})
+    models = {"plain": ("ridge", {"alpha": 0.0}), "mild": ("ridge", {"alpha": 100.0}), "strong": ("ridge", {"alpha": 1e7})}
+    _, scores, chosen = plans.compare_models(basket(spark, folder), "price", ["quantity"], models, "row_id")
+    return rounded(plans.fold_score_summary(scores), {"mean": 3, "std": 3}).withColumn("chosen", F.lit(chosen))
 
 
-@query("importance_summary")
+@query("importance_summary", """
+select 'many' as feature, 1.0::double as mean, 0.0::double as std""")
 def importance_summary(spark, folder):
-    params = {"n_estimators": 5, "max_depth": 4, "random_state": 1}
-    result = plans.train_and_cv(basket(spark, folder), "price", FEATURES, "rf_reg", "row_id", model_params=params)
+    """All importance of a tree on one column is that column's."""
+    result = plans.train_and_cv(basket(spark, folder), "price", ["many"], "rf_reg", "row_id", model_params=FOREST)
     return rounded(plans.importance_summary(result.importances()), {"mean": 6, "std": 6})
 
 
-@query("stack_ridge")
+@query("stack_ridge", f"""
+with t as ({BASKET}), a as (select * from t where row_id % 6 <> 5),
+c as (select f.fold, avg(price) as my, avg(quantity) as mx, avg(lines) as mz,
+             covar_pop(price, quantity) * count(*) / (var_pop(quantity) * count(*) + 1) as sx,
+             covar_pop(price, lines) * count(*) / (var_pop(lines) * count(*) + 1) as sz
+      from (select distinct fold from a) f join a on a.fold <> f.fold group by f.fold),
+o as (select price as y, my + sx * (quantity - mx) as q, my + sz * (lines - mz) as l from a join c on c.fold = a.fold),
+h as (select row_id, avg(my + sx * (quantity - mx)) as q, avg(my + sz * (lines - mz)) as l from t, c where row_id % 6 = 5 group by row_id),
+n as (select avg(y) as my, avg(q) as mq, avg(l) as ml, var_pop(q) * count(*) + 1 as qq, var_pop(l) * count(*) + 1 as ll,
+             covar_pop(q, l) * count(*) as ql, covar_pop(y, q) * count(*) as qy, covar_pop(y, l) * count(*) as ly from o)
+select row_id, round(my + (qy * ll - ly * ql) / (qq * ll - ql * ql) * (q - mq) + (ly * qq - qy * ql) / (qq * ll - ql * ql) * (l - ml), 2)
+       + 0.0 as prediction from h, n""")
 def stack_ridge(spark, folder):
-    rows = basket(spark, folder)
+    # read by every training and prediction below
+    rows = materialise(basket(spark, folder))
     train, test = rows.filter("row_id % 6 <> 5"), rows.filter("row_id % 6 = 5").drop("fold", "price")
     oof, held = {}, {}
     for name in ("quantity", "lines"):
@@ -181,7 +263,7 @@ def stack_ridge(spark, folder):
         oof[name], held[name] = result.oof, result.test
     wide = [plans.widen_predictions(op.stack_predictions(f, "row_id", "prediction"), "row_id", list(f)) for f in (oof, held)]
     predictions, _ = plans.train_stacking_meta_model(wide[0], train, wide[1], "row_id", "price")
-    return rounded(predictions, {"prediction": 3})
+    return rounded(predictions, {"prediction": 2})
 
 
 # Least squares on one and on two columns per fold, from covariances.
@@ -223,6 +305,52 @@ def select_forward(spark, folder):
     return _named(rows, list(enumerate(found)), "place int, feature string")
 
 
+def _exact(spark, folder):
+    """A target that two of three columns give exactly."""
+    return basket(spark, folder).select(
+        "row_id", "fold", "lines", "quantity", "discount", (F.col("lines") * 2 + F.col("quantity")).alias("y"))
+
+
+@query("select_forward_exact", "select 'lines' as feature union all select 'quantity'")
+def select_forward_exact(spark, folder):
+    found = plans.select_features_forward(
+        _exact(spark, folder), "y", ["lines", "quantity", "discount"], "ridge", "row_id", "rmse", model_params={"alpha": 0.0})
+    return _named(table(spark, folder, "region"), [(f,) for f in found], "feature string")
+
+
+@query("select_backward_exact", "select 'lines' as feature union all select 'quantity'")
+def select_backward_exact(spark, folder):
+    found = plans.select_features_backward(
+        _exact(spark, folder), "y", ["lines", "quantity", "discount"], "ridge", "row_id", "mse", min_features=2,
+        model_params={"alpha": 0.0})
+    return _named(table(spark, folder, "region"), [(f,) for f in found], "feature string")
+
+
+@query("loo_importance_exact", f"""
+with t as (select *, lines * 2 + quantity as y from ({BASKET})),
+c as (select f.fold, avg(y) as my, avg(quantity) as mx, avg(lines) as mz, covar_pop(y, quantity) / var_pop(quantity) as sx,
+             covar_pop(y, lines) / var_pop(lines) as sz from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
+r as (select sqrt(avg(power(y - my - sx * (quantity - mx), 2))) as without_lines,
+             sqrt(avg(power(y - my - sz * (lines - mz), 2))) as without_quantity from t join c on c.fold = t.fold)
+select 'lines' as feature, round(without_lines, 5) + 0.0 as importance from r
+union all select 'quantity', round(without_quantity, 5) + 0.0 from r""")
+def loo_importance_exact(spark, folder):
+    rows = _exact(spark, folder)
+    found = plans.calculate_loo_feature_importance(
+        rows, "y", ["lines", "quantity"], "ridge", "row_id", "rmse", model_params={"alpha": 0.0})
+    return rounded(_named(rows, list(found.items()), "feature string, importance double"), {"importance": 5})
+
+
+@query("evaluate_features", f"""
+with t as ({BASKET}), {SHARES.format(y='price')}
+select round(sqrt(avg(power(price - p, 2))), 2) as score from t join s on s.fold = t.fold and s.many = t.many""")
+def evaluate_features(spark, folder):
+    """The way through the learner: one tree on one column."""
+    rows = basket(spark, folder)
+    score = plans.evaluate_features_cv(rows, "price", ["many"], "rf_reg", "row_id", "rmse", model_params=FOREST)
+    return rounded(_named(rows, [(score,)], "score double"), {"score": 2})
+
+
 @query("select_backward", f"""
 with {SCORES} select 0 as place, case when quantity_only < lines_only then 'quantity' else 'lines' end as feature from r""")
 def select_backward(spark, folder):

@@ -118,14 +118,27 @@ def auto_type(spark, folder):
 
 
 @query("profile_report", """
-select 'by_o_orderpriority' as section, count(distinct o_orderpriority) as rows from orders
-union all select 'by_o_orderstatus', count(distinct o_orderstatus) from orders
-union all select 'summary', 3 union all select 'target_distribution', 30""")
+select 'by_o_orderpriority' as section, o_orderpriority as name, count(*)::double as a, round(avg(o_totalprice), 4) as b,
+       round(median(o_totalprice), 4) as c from orders group by o_orderpriority
+union all select 'by_o_orderstatus', o_orderstatus, count(*), round(avg(o_totalprice), 4), round(median(o_totalprice), 4) from orders group by o_orderstatus
+union all select 'summary', 'o_totalprice', count(distinct o_totalprice), round(avg(o_totalprice), 4), round(median(o_totalprice), 4) from orders
+union all select 'summary', 'o_orderstatus', count(distinct o_orderstatus), null, null from orders
+union all select 'summary', 'o_orderpriority', count(distinct o_orderpriority), null, null from orders
+union all select 'target_distribution', 'all', count(*), round(min(o_totalprice), 4), round(max(o_totalprice), 4) from orders""")
 def profile_report(spark, folder):
     df = table(spark, folder, "orders").select("o_totalprice", "o_orderstatus", "o_orderpriority")
     out = None
-    for name, found in plans.profile_tables(df, "o_totalprice").items():
-        part = found.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("section"), "rows")
+    for section, found in plans.profile_tables(df, "o_totalprice").items():
+        if section.startswith("by_"):
+            columns = ["feature_value", "count", "target_mean", "target_median"]
+        elif section == "summary":
+            columns = ["Column", "NumUnique", "Mean", "Median"]
+        else:
+            found = found.agg(F.sum("rows").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).withColumn("all", F.lit("all"))
+            columns = ["all", "n", "low", "high"]
+        name, a, b, c = columns
+        part = found.select(F.lit(section).alias("section"), F.col(name).alias("name"), F.col(a).cast("double").alias("a"),
+                            rnd(b, 4).alias("b"), rnd(c, 4).alias("c"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from catalog import query, rnd, table
 from foldwise import operators as op
 from foldwise import sources
 from foldwise.frame import work_folder
@@ -43,15 +43,20 @@ def io_parquet(spark, folder):
 
 
 @query("io_samples", """
-select 'orders.csv' as name, 10 as rows union all select 'orders.parquet', 10""")
+select n as name, o_orderkey, o_orderpriority, o_totalprice from (
+  select o_orderkey, o_orderpriority, round(o_totalprice, 2) as o_totalprice from orders order by o_orderkey limit 10),
+  (values ('orders.csv'), ('orders.parquet')) v(n)""")
 def io_samples(spark, folder):
     raw, samples = f"{_folder(spark)}/raw", f"{_folder(spark)}/samples"
-    sources.save_csv(_orders(spark, folder), f"{raw}/orders.csv")
-    sources.save_parquet(_orders(spark, folder), f"{raw}/orders.parquet")
+    # one sorted file each, so that it is known which rows come first
+    ordered = _orders(spark, folder).coalesce(1).sortWithinPartitions("o_orderkey")
+    sources.save_csv(ordered, f"{raw}/orders.csv")
+    sources.save_parquet(ordered, f"{raw}/orders.parquet")
     sources.create_data_samples(spark, raw, samples, 10)
-    counts = [sources.load_csv(spark, f"{samples}/orders.csv"), sources.load_parquet(spark, f"{samples}/orders.parquet")]
-    rows = [df.agg(F.count(F.lit(1)).cast("int").alias("rows")).select(F.lit(name).alias("name"), "rows")
-            for name, df in zip(("orders.csv", "orders.parquet"), counts)]
+    found = {"orders.csv": sources.load_csv(spark, f"{samples}/orders.csv"),
+             "orders.parquet": sources.load_parquet(spark, f"{samples}/orders.parquet")}
+    rows = [df.select(F.lit(name).alias("name"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority",
+                      rnd("o_totalprice", 2).alias("o_totalprice")) for name, df in found.items()]
     return rows[0].unionByName(rows[1])
 
 

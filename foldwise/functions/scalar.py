@@ -10,12 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foldwise.frame import is_numeric, require_columns, require_numeric
 
-MAP_LITERAL_LIMIT = 1000
-
 
 def clip(column: Column, low: float | None = None, high: float | None = None) -> Column:
     """Bound a value on one or both sides; null stays null."""
@@ -46,12 +43,11 @@ def replace_above(column: Column, threshold: float, value: float) -> Column:
 
 
 def map_values(column: Column, mapping: Mapping, default=None, dtype: str = "tinyint") -> Column:
-    """Replace values through a small dictionary; an unmapped value takes the default.
+    """Replace values through a dictionary; an unmapped value takes the default.
 
-    Larger mappings belong in a table and go through ``operators.lookup``.
+    The dictionary becomes part of the expression. ``operators.map_column``
+    gives the same result by a join, which suits large dictionaries.
     """
-    if len(mapping) > MAP_LITERAL_LIMIT:
-        raise ValueError(f"more than {MAP_LITERAL_LIMIT} entries: use a lookup table")
     if not mapping:
         return F.lit(default).cast(dtype)
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
@@ -128,7 +124,3 @@ def add_float_casts(df: DataFrame, target: str | None = None, dtype: str = "floa
         F.col(c).cast(dtype).alias(c) if c != target and is_numeric(df, c) else F.col(c)
         for c in df.columns
     ])
-
-
-def cast_type_name(dtype: T.DataType) -> str:
-    return dtype.simpleString()

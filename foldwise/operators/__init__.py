@@ -5,7 +5,8 @@ from foldwise.operators.cross import (
     create_n_way_multiplication_features, create_nway_interaction_features, create_polynomial_features,
 )
 from foldwise.operators.encode import (
-    bin_and_encode_numerical_features, encode_categorical_features, fit_bins, fit_label, fit_onehot, fit_ordinal,
+    bin_and_encode_numerical_features, encode_categorical_features, fit_bins, fit_label, fit_onehot, fit_onehot_vector,
+    fit_ordinal,
 )
 from foldwise.operators.encode_stats import (
     apply_count_encoding, apply_ratio_to_category_mean_encoding, apply_target_encoding, fit_count_encoder,
@@ -15,6 +16,7 @@ from foldwise.operators.folds import (
     assign_folds, contiguous_kfold, fold_pairs, group_kfold, kfold, stratified_kfold,
 )
 from foldwise.operators.impute import fit_imputer, handle_missing_values
+from foldwise.operators.lookup import map_column
 from foldwise.operators.metrics import calculate_metric, evaluate
 from foldwise.operators.sample import (
     drop_duplicates_keep_first, head_rows, sample_dataframe, take_split, union_splits, with_row_index,
@@ -37,9 +39,9 @@ __all__ = [
     "create_n_way_multiplication_features", "create_nway_interaction_features",
     "create_polynomial_features", "denormalize_predictions_by_feature", "drop_duplicates_keep_first",
     "drop_null_target", "encode_categorical_features", "evaluate", "fit_bins", "fit_count_encoder",
-    "fit_imputer", "fit_label", "fit_onehot", "fit_ordinal", "fit_ratio_encoder", "fit_scaler",
+    "fit_imputer", "fit_label", "fit_onehot", "fit_onehot_vector", "fit_ordinal", "fit_ratio_encoder", "fit_scaler",
     "fit_target_encoder", "fit_target_transform", "fold_pairs", "group_kfold", "handle_missing_values",
-    "head_rows", "kfold", "normalize_target_by_feature", "require_target", "reverse_target_transformation",
+    "head_rows", "kfold", "map_column", "normalize_target_by_feature", "require_target", "reverse_target_transformation",
     "sample_dataframe", "scale_numerical_features", "stack_predictions", "stratified_kfold", "take_split",
     "union_splits", "usable_models", "weighted_blend", "with_row_index",
 ]

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.frame import refuse_target, require_columns
-from foldwise.operators.lookup import attach, fit_lookup
-from foldwise.operators.order_stats import few_distinct, grouped_quantiles
+from foldwise.operators.lookup import attach_all, fit_lookup
+from foldwise.operators.order_stats import grouped_quantiles
 
 FUNCTIONS = ("mean", "std", "min", "max", "count", "size", "nunique", "sum", "median")
 CONFIG_KEYS = ("groupby_cols", "agg_col", "agg_func", "new_col_name")
@@ -59,16 +59,12 @@ def create_aggregation_features(
     by_keys: dict[tuple[str, ...], list[Mapping]] = {}
     for config in agg_configs:
         by_keys.setdefault(tuple(config["groupby_cols"]), []).append(config)
-    medians = sorted({c["agg_col"] for c in agg_configs if c["agg_func"].lower() == "median"})
-    small = few_distinct(df, medians)
-    out = df
-    for keys, configs in by_keys.items():
-        out = attach(out, _fit_group(df, list(keys), configs, count_null, small))
+    out = attach_all(df, [_fit_group(df, list(keys), configs, count_null) for keys, configs in by_keys.items()])
     names = [c["new_col_name"] for c in agg_configs]
     return out.select(*df.columns, *names)
 
 
-def _fit_group(df: DataFrame, keys: list[str], configs: Sequence[Mapping], count_null: bool, small: Mapping[str, bool]):
+def _fit_group(df: DataFrame, keys: list[str], configs: Sequence[Mapping], count_null: bool):
     present = df
     for k in keys:
         present = present.filter(F.col(k).isNotNull())
@@ -83,7 +79,7 @@ def _fit_group(df: DataFrame, keys: list[str], configs: Sequence[Mapping], count
     for function, column, name in extra:
         if function == "median":
             part = grouped_quantiles(
-                present, keys, column, [0.5], out="__q", small=small[column]).select(
+                present, keys, column, [0.5], out="__q").select(
                 *keys, F.col("__q")[0].alias(name))
         else:
             pairs = present.select(*keys, F.col(column).alias("__value")).distinct()

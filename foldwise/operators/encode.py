@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldwise.frame import is_float, require_columns, require_numeric
 from foldwise.functions.scalar import count_edges
-from foldwise.operators.lookup import FEATURE, KEY, Lookup, attach, fit_lookup, long_keys
+from foldwise.operators.lookup import FEATURE, KEY, FeatureLookup, attach_features, fit_features, long_keys
 from foldwise.operators.order_stats import dense_index, nearest_quantiles
 
-ONE_HOT_LIMIT = 5000
-
 
 def native_value(text: str | None, dtype: T.DataType):
     """A category from its text form."""
@@ -30,12 +29,19 @@ def native_value(text: str | None, dtype: T.DataType):
     return text
 
 
-def observed_categories(df: DataFrame, features: Sequence[str], limit: int = ONE_HOT_LIMIT) -> dict[str, list]:
-    """Sorted distinct values per feature, null last; an error beyond ``limit`` values."""
+def observed_categories(df: DataFrame, features: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
+    """Sorted distinct values per feature, null last; each becomes a column.
+
+    With ``max_categories``, a feature with more values is an error.
+    """
     require_columns(df, features)
-    found = long_keys(df, features).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories: one-hot encoding would add as many columns")
+    distinct = long_keys(df, features).distinct()
+    if max_categories is not None:
+        sizes = distinct.groupBy(FEATURE).count().filter(F.col("count") > max_categories).collect()
+        if sizes:
+            wide = sorted(features[r[FEATURE]] for r in sizes)
+            raise ValueError(f"more than {max_categories} categories in columns: {wide}")
+    found = distinct.collect()
     out = {}
     for i, f in enumerate(features):
         values = [native_value(r[KEY], df.schema[f].dataType) for r in found if r[FEATURE] == i]
@@ -74,18 +80,18 @@ class OneHotModel:
 
 def fit_onehot(
     df: DataFrame, features: Sequence[str], handle_unknown: str = "ignore",
-    prefix: str = "", drop_original: bool = True, limit: int = ONE_HOT_LIMIT,
+    prefix: str = "", drop_original: bool = True, max_categories: int | None = None,
 ) -> OneHotModel:
     if handle_unknown not in ("ignore", "error"):
         raise ValueError("handle_unknown must be 'ignore' or 'error'")
-    return OneHotModel(observed_categories(df, features, limit), handle_unknown, prefix, drop_original)
+    return OneHotModel(observed_categories(df, features, max_categories), handle_unknown, prefix, drop_original)
 
 
 @dataclass(frozen=True)
 class OrdinalModel:
-    """Sorted position of each category; the tables may be of any size."""
+    """Sorted position of each category; the table may be of any size."""
 
-    lookups: dict[str, Lookup]
+    lookup: FeatureLookup
     handle_unknown: str = "error"
     unknown_value: float | None = None
     add_one: bool = False
@@ -93,11 +99,10 @@ class OrdinalModel:
     drop_original: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
-        require_columns(df, self.lookups)
-        out, codes = df, {}
-        for i, (f, lookup) in enumerate(self.lookups.items()):
-            found = attach(out, lookup, on=[f])
-            out = found.withColumnRenamed("code", f"__code{i}")
+        require_columns(df, self.lookup.features)
+        codes = {}
+        out = attach_features(df, self.lookup, {f: [f"__code{i}"] for i, f in enumerate(self.lookup.features)})
+        for i, f in enumerate(self.lookup.features):
             code = F.col(f"__code{i}") + (1 if self.add_one else 0)
             missing = F.col(f).isNull()
             if self.handle_unknown == "error":
@@ -124,11 +129,51 @@ def fit_ordinal(
     if handle_unknown not in ("error", "use_encoded_value"):
         raise ValueError("handle_unknown must be 'error' or 'use_encoded_value'")
     require_columns(df, features)
-    lookups = {}
-    for f in features:
-        values = df.filter(F.col(f).isNotNull()).groupBy(f).agg(F.count(F.lit(1)).alias("rows"))
-        lookups[f] = fit_lookup(dense_index(values, [f], out="code"), [f], ["code"], rows="rows")
-    return OrdinalModel(lookups, handle_unknown, unknown_value, add_one, prefix, drop_original)
+    features = list(dict.fromkeys(features))
+    values = long_keys(df, features).filter(F.col(KEY).isNotNull()).groupBy(FEATURE, KEY).agg(F.count(F.lit(1)).alias("rows"))
+    # numbers are ordered as numbers (whole ones exactly), all else as text
+    whole = [i for i, f in enumerate(features) if isinstance(df.schema[f].dataType, (T.IntegralType, T.DecimalType))]
+    floats = [i for i, f in enumerate(features) if is_float(df, f)]
+    values = values.select(
+        FEATURE, F.when(F.col(FEATURE).isin(whole), F.col(KEY).try_cast("decimal(38,10)")).alias("__exact"),
+        F.when(F.col(FEATURE).isin(floats), F.col(KEY).try_cast("double")).alias("__float"), KEY, "rows")
+    # one range-partitioned pass over the distinct values of all features
+    ranked = dense_index(values, [FEATURE, "__exact", "__float", KEY], out="place")
+    starts = {r[FEATURE]: r["start"] for r in ranked.groupBy(FEATURE).agg(F.min("place").alias("start")).collect()}
+    start = F.lit([starts.get(i, 0) for i in range(len(features))]).cast("array<bigint>")
+    coded = ranked.withColumn("code", F.col("place") - F.element_at(start, F.col(FEATURE) + 1))
+    return OrdinalModel(fit_features(coded, df, features, ["code"], rows="rows"), handle_unknown, unknown_value, add_one, prefix, drop_original)
+
+
+@dataclass(frozen=True)
+class OneHotVectorModel:
+    """One sparse vector with a slot per category of every feature, in sorted order."""
+
+    ordinal: OrdinalModel
+    slots: dict[str, int]
+    out: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"{self.ordinal.prefix}{f}" for f in self.slots]
+        coded = self.ordinal.transform(df)
+        # missing and unknown categories take one more code, the last, which has no slot
+        coded = coded.withColumns({
+            n: F.coalesce(F.nanvl(F.col(n).cast("double"), F.lit(float(size))), F.lit(float(size)))
+            for n, size in zip(names, self.slots.values())})
+        last = df.sparkSession.createDataFrame([tuple(float(size) for size in self.slots.values())], names)
+        vectors = [f"{n}_slots" for n in names]
+        encoded = OneHotEncoder(inputCols=names, outputCols=vectors, dropLast=True).fit(last).transform(coded)
+        return VectorAssembler(inputCols=vectors, outputCol=self.out).transform(encoded).select(*df.columns, self.out)
+
+
+def fit_onehot_vector(df: DataFrame, features: Sequence[str], out: str = "onehot") -> OneHotVectorModel:
+    """One-hot codes as one sparse vector, for features with many categories.
+
+    No category is brought to the driver; missing and unknown ones have no slot.
+    """
+    ordinal = fit_ordinal(df, features, "use_encoded_value", prefix="__code_")
+    sizes = ordinal.lookup.sizes
+    return OneHotVectorModel(ordinal, {f: sizes[i][0] for i, f in enumerate(ordinal.lookup.features)}, out)
 
 
 def fit_label(df: DataFrame, features: Sequence[str], prefix: str = "") -> OrdinalModel:

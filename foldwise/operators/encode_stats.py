@@ -12,9 +12,7 @@ from foldwise.frame import number_or_none, require_columns, require_numeric
 from foldwise.operators.lookup import (
     FEATURE, KEY, FeatureLookup, Lookup, attach, attach_features, fit_features, fit_lookup, long_keys,
 )
-from foldwise.operators.order_stats import few_distinct, grouped_quantiles
-
-FOLD_LIMIT = 1000
+from foldwise.operators.order_stats import grouped_quantiles
 
 
 def _pick_source(train: DataFrame, test: DataFrame | None, which: str, columns: Sequence[str]) -> DataFrame:
@@ -168,10 +166,12 @@ class TargetModel:
         return self._attach(df).select(*[F.col(c) for c in df.columns], *encoded)
 
 
-def observed_folds(df: DataFrame, fold_col: str) -> list[int]:
-    rows = df.filter(F.col(fold_col).isNotNull()).select(fold_col).distinct().limit(FOLD_LIMIT + 1).collect()
-    if len(rows) > FOLD_LIMIT:
-        raise ValueError(f"column '{fold_col}' has more than {FOLD_LIMIT} values and is no fold column")
+def observed_folds(df: DataFrame, fold_col: str, max_folds: int | None = None) -> list[int]:
+    """Fold numbers in the column; with ``max_folds``, an error if there are more."""
+    found = df.filter(F.col(fold_col).isNotNull()).select(fold_col).distinct()
+    rows = (found if max_folds is None else found.limit(max_folds + 1)).collect()
+    if max_folds is not None and len(rows) > max_folds:
+        raise ValueError(f"column '{fold_col}' has more than {max_folds} values and is no fold column")
     return sorted(r[0] for r in rows)
 
 
@@ -202,7 +202,7 @@ def _mean_statistics(train, features, target, fold_col, folds):
     return long.groupBy(FEATURE, KEY).agg(*parts)
 
 
-def _order_statistics(train, features, target, fold_col, folds, prob, small):
+def _order_statistics(train, features, target, fold_col, folds, prob):
     """(feature, key) rows with the quantile and count of the rows outside each fold.
 
     Equal (category, fold, target) rows are counted first; only those counts are
@@ -215,9 +215,7 @@ def _order_statistics(train, features, target, fold_col, folds, prob, small):
     numbers = [F.when(F.col("__fold").eqNullSafe(F.lit(fold)), F.lit(None).cast("int")).otherwise(F.lit(i))
                for i, fold in enumerate(folds)]
     spread = counted.withColumn("__into", F.explode(F.array_compact(F.array(*numbers, F.lit(-1)))))
-    if not small:
-        spread = spread.groupBy(FEATURE, KEY, "__into", "__y").agg(F.sum("__n").alias("__n"))
-    both = grouped_quantiles(spread, [FEATURE, KEY, "__into"], "__y", [prob], out="__q", weight="__n", small=small)
+    both = grouped_quantiles(spread, [FEATURE, KEY, "__into"], "__y", [prob], out="__q", weight="__n")
     both = both.withColumn("__stat", F.col("__q")[0])
     picked = []
     for i in [*range(len(folds)), -1]:
@@ -282,12 +280,11 @@ def fit_target_encoder(
         whole = (F.try_divide(F.col("s"), F.nullif(F.col("n").cast("double"), F.lit(0.0))), F.col("n").cast("double"))
     else:
         prob = 0.5 if agg_stat == "median" else float(percentile) / 100.0
-        small = few_distinct(train, [target])[target]
         # a constant as one more feature gives the priors in the same pass
         rows = train.withColumn("__one", F.lit(0))
         names = [x for i in range(k) for x in (f"q{i}", f"n{i}")] + ["q", "n"]
         fitted = fit_features(
-            _order_statistics(rows, [*features, "__one"], target, fold_col, folds, prob, small), rows,
+            _order_statistics(rows, [*features, "__one"], target, fold_col, folds, prob), rows,
             [*features, "__one"], names, rows="rows")
         priors = fitted.table.filter(F.col(FEATURE) == len(features)).first()
         overall = priors["q"] if priors else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import heapq
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -16,7 +16,6 @@ from foldwise.operators.order_stats import dense_index, row_numbers_in_groups, v
 
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 1 << 16
-GROUPS_ON_DRIVER = 100_000
 
 
 def _hash_buckets(rows: int) -> int:
@@ -87,36 +86,65 @@ def stratified_kfold(
     return _dealt(df, [target], key, n_splits, seed, out)
 
 
+def _places(loads: list[int], size: int, groups: int) -> list[int]:
+    """How many of ``groups`` groups of one size each fold gets.
+
+    The same numbers as placing one group after the other on the lightest fold
+    (the first of equally light ones), without walking through the groups.
+    """
+    def below(level: int) -> list[int]:
+        return [max(0, -((load - level) // size)) for load in loads]
+
+    low, high = min(loads), max(loads) + size * groups + 1
+    while high - low > 1:  # the highest level that needs no more groups than there are
+        middle = (low + high) // 2
+        if sum(below(middle)) <= groups:
+            low = middle
+        else:
+            high = middle
+    counts = below(low)
+    left = groups - sum(counts)
+    for fold, load in enumerate(loads):
+        if left and load + counts[fold] * size == low:
+            counts[fold] += 1
+            left -= 1
+    return counts
+
+
 def group_kfold(
     df: DataFrame, group: str | None, n_splits: int = 5, out: str = "fold", seed: int = 0
 ) -> DataFrame:
     """Folds that never split a group, balanced by group size.
 
-    The largest groups are placed one by one on the lightest fold. Groups
-    beyond ``GROUPS_ON_DRIVER``, each a tiny share of the rows, are spread by
-    hash.
+    Biggest groups first, each to the lightest fold. Only how many groups there
+    are of each size reaches the driver (fewer sizes than twice the root of the
+    rows); groups of one size are dealt in the order of a hash, the first of
+    them to fold 0 and so on. A null group is a group of its own.
     """
     _check_k(n_splits)
     if group is None:
         raise ValueError("group folds need a group column")
     require_columns(df, [group])
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows"))
-    lookup = fit_lookup(sizes, [group], ["__rows"], rows="__rows")
+    lookup = fit_lookup(sizes, [group], [], rows="__rows")
     if lookup.n_keys < n_splits:
         raise ValueError(f"{lookup.n_keys} groups cannot fill {n_splits} folds")
-    largest = lookup.table.select(group, "__rows").orderBy(
-        F.desc("__rows"), F.asc(group)).limit(GROUPS_ON_DRIVER).collect()
-    heap = [(0, i) for i in range(n_splits)]
-    placed = []
-    for name, rows in largest:
-        load, fold = heapq.heappop(heap)
-        placed.append((name, rows, fold))
-        heapq.heappush(heap, (load + rows, fold))
-    schema = f"`{group}` {df.schema[group].dataType.simpleString()}, __rows bigint, __fold int"
-    table = df.sparkSession.createDataFrame(placed, schema)
-    found = attach(df, fit_lookup(table, [group], ["__fold"], rows="__rows"), null_safe=True)
-    spread = F.pmod(F.xxhash64(F.col(group), F.lit(seed)), F.lit(n_splits)).cast("int")
-    return found.select(*df.columns, F.coalesce(F.col("__fold"), spread).alias(out))
+    classes = lookup.table.groupBy("__rows").count().collect()
+    loads, cuts = [0] * n_splits, []
+    for size, groups in sorted(((r["__rows"], r["count"]) for r in classes), reverse=True):
+        counts = _places(loads, size, groups)
+        loads = [load + n * size for load, n in zip(loads, counts)]
+        ends = list(itertools.accumulate(counts))
+        cuts.append((size, ends[:-1], groups))
+    table = df.sparkSession.createDataFrame(cuts, "__size bigint, __ends array<bigint>, __groups bigint")
+    hashed = lookup.table.withColumn("__h", F.coalesce(keyed_hash(group, seed), F.lit(0).cast("bigint")))
+    buckets = _hash_buckets(lookup.n_keys)
+    numbered = row_numbers_in_groups(
+        hashed.withColumnRenamed("__rows", "__size"), ["__size"], ["__h", group], F.floor(F.col("__h") * F.lit(buckets) / F.lit(HASH_SPACE)).cast("int"), "__rn")
+    placed = attach(numbered, fit_lookup(table, ["__size"], ["__ends"], rows="__groups")).select(
+        group, F.size(F.filter("__ends", lambda end: end < F.col("__rn"))).alias("__fold"), F.col("__size").alias("__rows"))
+    found = attach(df, fit_lookup(placed, [group], ["__fold"], rows="__rows"), null_safe=True)
+    return found.select(*df.columns, F.col("__fold").alias(out))
 
 
 def fold_pairs(df: DataFrame, fold: str = "fold", n_splits: int | None = None) -> Iterator[tuple[int, DataFrame, DataFrame]]:

@@ -74,7 +74,7 @@ def _row_bytes(table: DataFrame, keys: Sequence[str], payload: Sequence[str], ro
 def fit_lookup(table: DataFrame, keys: Sequence[str], payload: Sequence[str], rows: str) -> Lookup:
     """Write the table once and measure it. ``rows`` counts the rows behind each key."""
     keys, payload = list(keys), list(payload)
-    table = materialise(table.select(*keys, *payload, rows))
+    table = materialise(table.select(*dict.fromkeys([*keys, *payload, rows])))
     size = table.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(rows), F.lit(0)).alias("r"),
         F.coalesce(F.sum(_row_bytes(table, keys, payload, rows)), F.lit(0)).alias("b"),
@@ -97,11 +97,13 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 def attach(
-    df: DataFrame, lookup: Lookup, on: Sequence[str] | None = None, null_safe: bool = False
+    df: DataFrame, lookup: Lookup, on: Sequence[str] | None = None, null_safe: bool = False,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Left join: all columns of ``df`` plus the payload, null where the key is unknown.
 
-    ``on`` names the columns of ``df`` in the order of the lookup's keys. With
+    A table of up to ``broadcast_bytes`` (by default ``BROADCAST_BYTES``) is
+    broadcast; callers that attach several tables share one budget. ``on`` names the columns of ``df`` in the order of the lookup's keys. With
     ``null_safe`` a null key matches a null key.
     """
     on = list(on or lookup.keys)
@@ -115,7 +117,7 @@ def attach(
     left, right = [F.col(f"`{c}`") for c in on], [F.col(n) for n in names.values()]
     condition = _match(left, right, null_safe)
 
-    if lookup.n_bytes <= BROADCAST_BYTES:
+    if lookup.n_bytes <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         joined = df.join(F.broadcast(renamed.drop("__covered")), condition, "left")
         return joined.select(*[F.col(f"`{c}`") for c in columns],
                              *[F.col(p).alias(name) for p, name in zip(payload, lookup.payload)])
@@ -141,6 +143,40 @@ def attach(
     ])
 
 
+def map_column(
+    df: DataFrame, column: str, mapping: Mapping, default=None, dtype: str = "tinyint", out: str | None = None
+) -> DataFrame:
+    """Replace a column's values (or add ``out``) through a dictionary of any size, by a join.
+
+    The result of ``functions.map_values``: unmapped values and nulls take the default.
+    """
+    require_columns(df, [column])
+    out = out or column
+    kind = df.schema[column].dataType.simpleString()
+    pairs = [(k, v) for k, v in mapping.items() if k is not None]
+    rows = df.sparkSession.createDataFrame(
+        [(str(k).lower() if isinstance(k, bool) else str(k), None if v is None else str(v)) for k, v in pairs],
+        "k string, v string")
+    table = rows.select(F.col("k").try_cast(kind).alias("__from"), F.col("v").cast(dtype).alias("__to"), F.lit(1).alias("__n"))
+    found = attach(df, fit_lookup(table.filter(F.col("__from").isNotNull()), ["__from"], ["__to"], rows="__n"), on=[column])
+    value = F.col("__to") if default is None else F.coalesce(F.col("__to"), F.lit(default).cast(dtype))
+    kept = [F.col(f"`{c}`") if c != out else value.alias(out) for c in df.columns]
+    return found.select(*kept, *([] if out in df.columns else [value.alias(out)]))
+
+
+def attach_all(df: DataFrame, lookups: Sequence[Lookup], null_safe: bool = False) -> DataFrame:
+    """Attach several tables; the smallest are broadcast while one common budget lasts."""
+    budget, small = BROADCAST_BYTES, set()
+    for i in sorted(range(len(lookups)), key=lambda i: lookups[i].n_bytes):
+        if lookups[i].n_bytes <= budget:
+            budget -= lookups[i].n_bytes
+            small.add(i)
+    out = df
+    for i, lookup in enumerate(lookups):
+        out = attach(out, lookup, null_safe=null_safe, broadcast_bytes=lookup.n_bytes if i in small else -1)
+    return out
+
+
 def long_keys(df: DataFrame, features: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:
     """Rows of (feature number, key text, kept columns), one per feature and row.
 
@@ -161,8 +197,16 @@ def long_keys(df: DataFrame, features: Sequence[str], keep: Sequence[Column] = (
 def fit_features(
     table: DataFrame, source: DataFrame, features: Sequence[str], payload: Sequence[str], rows: str
 ) -> FeatureLookup:
-    """Write a (feature, key) table once and measure each feature's part."""
-    table = materialise(table.select(FEATURE, KEY, *payload, F.col(rows).alias("__covered")))
+    """Write a (feature, key) table once, one folder per feature, and measure each feature's part.
+
+    A join of one feature reads its folder only.
+    """
+    table = table.select(FEATURE, KEY, *payload, F.col(rows).alias("__covered"))
+    if len(features) > 1:
+        # few files per folder; a large feature still has several
+        table = materialise(table.hint("rebalance", FEATURE), partition_by=[FEATURE])
+    else:
+        table = materialise(table)
     measured = table.groupBy(FEATURE).agg(
         F.count(F.lit(1)).alias("n"), F.sum("__covered").alias("r"),
         F.sum(_row_bytes(table, [KEY], payload, "__covered")).alias("b")).collect()

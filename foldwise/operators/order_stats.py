@@ -1,11 +1,10 @@
 """Exact order statistics, ranks and running totals without a global sort.
 
-Spark's exact ``percentile`` keeps one map entry per distinct value of a group
-in a single task. That is fine while the number of distinct values is small, so
-it is measured first. Beyond ``MAP_ENTRIES`` the values are split into ranges by
-approximate cut points, the ranges are counted, and only the ranges that hold a
-wanted rank are ordered. The cut points influence balance only: every result is
-exact.
+Spark's exact ``percentile`` gathers the values of a group in a single task.
+Here the values are split into ranges by approximate cut points, the ranges are
+counted, and only the ranges that hold a wanted rank are ordered, after equal
+values have been counted. The cut points influence balance only: every result
+is exact.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ from foldwise.frame import materialise, require_columns
 from foldwise.operators import lookup
 from foldwise.operators.lookup import attach, fit_lookup
 
-MAP_ENTRIES = 1_000_000
 CUT_POINTS = 4096
 FEW_CUT_POINTS = 64
 CUT_ACCURACY = 20_000
@@ -127,15 +125,6 @@ def _join_ranges(rows: DataFrame, located: DataFrame, keys, kept, facts) -> Data
         *[F.col(f"v.{c}").alias(c) for c in [*keys, _BUCKET, *kept]], *[F.col(f"b.{c}").alias(c) for c in facts])
 
 
-def few_distinct(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
-    """Whether the distinct values of each column are few enough for an in-memory count."""
-    columns = list(columns)
-    if not columns:
-        return {}
-    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    return {c: row[c] <= MAP_ENTRIES * 0.9 for c in columns}
-
-
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -143,20 +132,14 @@ def grouped_quantiles(
     probs: Sequence[float],
     out: str = "quantiles",
     weight: str | None = None,
-    small: bool | None = None,
 ) -> DataFrame:
     """Exact linear quantiles per group, as an array of doubles, and the group's ``size``.
 
-    Nulls are skipped. Pass ``weight`` when ``df`` already holds counted values,
-    and ``small`` when the number of distinct values was measured before.
+    Nulls are skipped. Pass ``weight`` when ``df`` already holds counted values.
     """
     keys, probs = list(keys), [float(p) for p in probs]
     require_columns(df, [*keys, value])
     rows = df.filter(F.col(value).isNotNull())
-    if few_distinct(rows, [value])[value] if small is None else small:
-        times = F.lit(1) if weight is None else F.col(weight)
-        return rows.groupBy(*keys).agg(
-            F.percentile(F.col(value), F.lit(probs), times).alias(out), F.sum(times).alias("size"))
     below, above = _positions(F.col("__total"), probs)
     found = ranked_values(rows, keys, value, F.concat(below, above), weight)
     at = []
@@ -177,19 +160,11 @@ def column_quantiles(
     columns, probs = list(columns), [float(p) for p in probs]
     if not columns:
         return {}
-    few = few_distinct(df, columns)
-    small, large = [c for c in columns if few[c]], [c for c in columns if not few[c]]
-    out: dict[str, list[float] | None] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c), F.lit(probs)).alias(c) for c in small]).first()
-        out.update({c: row[c] for c in small})
-    if large:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in large
-        ])).alias("e")).select("e.*")
-        rows = grouped_quantiles(long, ["column"], "value", probs, small=False).collect()
-        out.update({c: None for c in large})
-        out.update({r["column"]: r["quantiles"] for r in rows})
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    ])).alias("e")).select("e.*")
+    out: dict[str, list[float] | None] = {c: None for c in columns}
+    out.update({r["column"]: r["quantiles"] for r in grouped_quantiles(long, ["column"], "value", probs).collect()})
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.frame import is_integer, require_columns
@@ -30,7 +30,9 @@ def sample_dataframe(
 
     The rows with the smallest keyed hash are taken (``shuffle=False``: those
     with the smallest key). The cut value is found from bucket counts, so the
-    sample itself is a filter: no row is moved and no row order is needed.
+    sample itself is a filter: no row is moved and no row order is needed. A null
+    key is hashed like a value; of rows that share the last key the wanted
+    number is taken by a hash of the row.
     ``approx`` takes a Bernoulli sample of a fraction instead.
     """
     if (n is None) == (frac is None):
@@ -48,7 +50,8 @@ def sample_dataframe(
 
 
 def _smallest_hash(df: DataFrame, key: str, n: int | None, frac: float | None, seed: int) -> DataFrame:
-    h = keyed_hash(key, seed)
+    # a missing key is hashed like a value
+    h = keyed_hash(F.coalesce(F.col(key).cast("string"), F.lit("null")), seed)
     width = HASH_SPACE // HASH_BUCKETS
     bucket = F.floor(h / F.lit(width)).cast("int")
     # at most HASH_BUCKETS rows
@@ -60,14 +63,36 @@ def _smallest_hash(df: DataFrame, key: str, n: int | None, frac: float | None, s
     # then the hash values of that bucket (at most HASH_SPACE / HASH_BUCKETS of them)
     inside = {r["h"]: r["count"] for r in df.filter(bucket == cut).groupBy(h.alias("h")).count().collect()}
     before, last = _cut(inside, before, size)
-    # then the few keys that share the last hash value
-    ties = df.filter(h == last).select(F.col(key).alias("k")).orderBy("k").limit(size - before)
-    key_cut = ties.agg(F.max("k")).first()[0]
-    return df.filter((h < F.lit(last)) | ((h == F.lit(last)) & (F.col(key) <= F.lit(key_cut))))
+    # then the few keys that share the last hash value, nulls first
+    tied = df.filter(h == last).groupBy(F.col(key).alias("k")).count().collect()
+    smaller = h < F.lit(last)
+    for row in sorted(tied, key=lambda r: (r["k"] is not None, r["k"] if r["k"] is not None else 0)):
+        same = (h == F.lit(last)) & F.col(key).eqNullSafe(F.lit(row["k"]))
+        if before + row["count"] >= size:
+            return _with_ties(df, smaller, same, size - before, row["count"])
+        smaller, before = smaller | same, before + row["count"]
+    raise ValueError("fewer rows than wanted")
+
+
+def _with_ties(df: DataFrame, sure: Column, tied: Column, wanted: int, there: int) -> DataFrame:
+    """All ``sure`` rows and ``wanted`` of the ``there`` tied ones, chosen by a hash of the row."""
+    if wanted == there:
+        return df.filter(sure | tied)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    bucket = F.shiftright(row_hash, 50)
+    # at most 2 ** 14 rows each
+    counts = {r["b"]: r["count"] for r in df.filter(tied).groupBy(bucket.alias("b")).count().collect()}
+    before, cut = _cut(counts, 0, wanted)
+    part = df.filter(tied & (bucket == cut))
+    values = {r["v"]: r["count"] for r in part.groupBy(row_hash.alias("v")).count().orderBy("v").limit(wanted - before).collect()}
+    before, last = _cut(values, before, wanted)
+    chosen = df.filter(sure | (tied & ((bucket < cut) | ((bucket == cut) & (row_hash < last)))))
+    # rows that repeat every column are alike
+    return chosen.unionByName(df.filter(tied & (row_hash == last)).limit(wanted - before))
 
 
 def _cut(counts: Mapping[int, int], before: int, size: int) -> tuple[int, int]:
-    """The value at which the running count reaches ``size``, and the count before it."""
+    """The running count reached before ``size``, and the value at which it is reached."""
     for value in sorted(counts):
         if before + counts[value] >= size:
             return before, value
@@ -76,13 +101,20 @@ def _cut(counts: Mapping[int, int], before: int, size: int) -> tuple[int, int]:
 
 
 def head_rows(df: DataFrame, key: str, n: int | None = None, frac: float | None = None) -> DataFrame:
-    """The first rows in key order."""
+    """The first rows in key order, null keys last; of rows that share the last key as many as are wanted."""
     require_columns(df, [key])
     size = _wanted(df.count(), n, frac)
     if size == 0:
         return df.limit(0)
     if is_integer(df, key):
-        return df.filter(F.col(key) <= F.lit(values_at_ranks(df, key, [size - 1])[size - 1]))
+        present = df.filter(F.col(key).isNotNull()).count()
+        if size <= present:
+            last = values_at_ranks(df, key, [size - 1])[size - 1]
+            sure, tied = F.coalesce(F.col(key) < F.lit(last), F.lit(False)), F.col(key).eqNullSafe(F.lit(last))
+        else:
+            sure, tied = F.col(key).isNotNull(), F.col(key).isNull()
+        counted = df.agg(F.count_if(sure), F.count_if(tied)).first()
+        return _with_ties(df, sure, tied, size - counted[0], counted[1])
     return dense_index(df, [key], "__place").filter(F.col("__place") < size).drop("__place")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -15,16 +14,15 @@ from pyspark.sql import functions as F
 from foldwise.frame import is_float, is_numeric, key_text, numeric_columns, require_columns
 from foldwise.operators.lookup import FEATURE, KEY, long_keys
 from foldwise.operators.metrics import regression_metric
-from foldwise.operators.order_stats import column_quantiles, few_distinct, grouped_quantiles
+from foldwise.operators.order_stats import column_quantiles, grouped_quantiles
 
 log = logging.getLogger(__name__)
 
-# fixed values: limits of the target-by-feature tables
+# fixed values: default limits of the target-by-feature tables
 MAX_NUMERIC_DISTINCT = 1000
 MAX_DISTINCT_SHARE = 0.9
 MIN_SPREAD = 1e-9
 DEFAULT_CATEGORIES = 20
-PAIRWISE_COLUMNS = 24
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -98,19 +96,20 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair over rows without nulls, in one pass."""
+    """Pearson correlation of every ordered pair over rows without nulls, in one pass.
+
+    Null where a column does not vary over those rows.
+    """
     rows = _complete(df, columns)
-    if len(columns) <= PAIRWISE_COLUMNS:
-        parts = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("r"))
-                 for a, b in combinations(columns, 2)]
-        half = rows.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
-        both = half.unionByName(half.select(F.col("f2").alias("f1"), F.col("f1").alias("f2"), "r"))
-        names = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "f1 string, f2 string, r double")
-        return both.unionByName(names)
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(rows)
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    spread = rows.agg(*[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    varies = [spread[f"s{i}"] is not None and spread[f"s{i}"] > MIN_SPREAD for i in range(len(columns))]
+    matrix = None
+    if any(varies):
+        vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(rows)
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     return df.sparkSession.createDataFrame(
-        [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)],
+        [(a, b, float(matrix[i, j]) if varies[i] and varies[j] else None)
+         for i, a in enumerate(columns) for j, b in enumerate(columns)],
         "f1 string, f2 string, r double")
 
 
@@ -167,9 +166,9 @@ def detect_feature_type(df: DataFrame, feature: str, max_categories: int | None
     return "numerical" if seen > limit else "categorical"
 
 
-def _summarise(rows: DataFrame, group: str, target: str, order: str | None, small: bool | None) -> DataFrame:
+def _summarise(rows: DataFrame, group: str, target: str, order: str | None) -> DataFrame:
     stats = rows.groupBy(group).agg(F.count(F.lit(1)).alias("count"), F.avg(target).alias("target_mean"))
-    medians = grouped_quantiles(rows.select(group, target), [group], target, [0.5], out="__m", small=small)
+    medians = grouped_quantiles(rows.select(group, target), [group], target, [0.5], out="__m")
     medians = medians.select(F.col(group).alias("__g"), F.col("__m")[0].alias("target_median"))
     joined = stats.join(medians, F.col(group).eqNullSafe(F.col("__g")), "left")
     columns = [F.col(group).alias("feature_value"), "count", "target_mean", "target_median"]
@@ -180,13 +179,15 @@ def _summarise(rows: DataFrame, group: str, target: str, order: str | None, smal
 
 def analyze_target_by_feature(
     df: DataFrame, target: str, feature: str, feature_type: str = "auto", num_bins: int = 10,
-    max_categories: int | None = DEFAULT_CATEGORIES, handle_nulls: str = "drop", few_targets: bool | None = None,
+    max_categories: int | None = DEFAULT_CATEGORIES, handle_nulls: str = "drop",
+    max_distinct: int | None = MAX_NUMERIC_DISTINCT, max_distinct_share: float | None = MAX_DISTINCT_SHARE,
 ) -> DataFrame | None:
     """Count, mean and median of the target per category or per quantile bin of a feature.
 
     Categories beyond ``max_categories`` are left out of the report, smallest
-    first. A numeric feature with too many distinct values to bin gives None.
-    ``few_targets`` passes on a measurement made before (``few_distinct``).
+    first. A numeric feature with more than ``max_distinct`` distinct values, or a
+    larger share of them than ``max_distinct_share``, gives None; where both are
+    None it is always binned.
     """
     require_columns(df, [target, feature])
     if not is_numeric(df, target):
@@ -209,24 +210,29 @@ def analyze_target_by_feature(
                 F.desc("n"), F.asc(feature)).limit(max_categories)
             # max_categories rows
             rows = rows.join(F.broadcast(largest.select(feature)), feature, "left_semi")
-        return _summarise(rows, feature, target, None, few_targets)
+        return _summarise(rows, feature, target, None)
     if not is_numeric(rows, feature):
         raise TypeError(f"column '{feature}' is not numeric")
 
-    n_rows = rows.count()
-    n_distinct = rows.select(feature).distinct().limit(MAX_NUMERIC_DISTINCT + 1).count()
-    if n_distinct > MAX_NUMERIC_DISTINCT or n_distinct / n_rows > MAX_DISTINCT_SHARE:
+    distinct = rows.select(feature).distinct()
+    if max_distinct_share is not None:
+        n_distinct, n_rows = distinct.count(), rows.count()
+    else:
+        n_distinct, n_rows = distinct.limit(2 if max_distinct is None else max_distinct + 1).count(), None
+    if max_distinct is not None and n_distinct > max_distinct:
+        return None
+    if max_distinct_share is not None and n_distinct / n_rows > max_distinct_share:
         return None
     edges = column_quantiles(rows, [feature], [i / num_bins for i in range(num_bins + 1)])[feature]
     if n_distinct <= 1 or len(set(edges)) < len(edges):
-        return _summarise(rows.withColumn(feature, key_text(rows, feature)), feature, target, None, few_targets)
+        return _summarise(rows.withColumn(feature, key_text(rows, feature)), feature, target, None)
     # bins are closed on the right: (e_i, e_i+1]
     place = F.lit(0)
     for edge in edges[1:-1]:
         place = place + F.when(F.col(feature) > F.lit(edge), 1).otherwise(0)
     labels = F.lit([f"q{i + 1} ({edges[i]:.3g}-{edges[i + 1]:.3g})" for i in range(num_bins)])
     binned = rows.withColumn("__bin", place)
-    table = _summarise(binned, "__bin", target, "__bin", few_targets)
+    table = _summarise(binned, "__bin", target, "__bin")
     return table.select(F.element_at(labels, F.col("feature_value") + 1).alias("feature_value"),
                         "count", "target_mean", "target_median")
 
@@ -256,11 +262,13 @@ def target_histogram(df: DataFrame, target: str, bins: int = 30) -> DataFrame:
 
 def profile_tables(
     df: DataFrame, target: str, features: Sequence[str] | None = None, max_categories: int = DEFAULT_CATEGORIES,
-    num_bins: int = 10, top_k: int = 50,
+    num_bins: int = 10, top_k: int = 50, max_distinct: int | None = MAX_NUMERIC_DISTINCT,
+    max_distinct_share: float | None = MAX_DISTINCT_SHARE,
 ) -> dict[str, DataFrame]:
-    """All profile tables by name; a section that fails is left out and logged."""
+    """All profile tables by name; a section that fails is named in ``failed_sections`` and logged."""
     require_columns(df, [target])
     tables: dict[str, DataFrame] = {}
+    failed: list[tuple[str, str]] = []
 
     def section(name, build):
         try:
@@ -269,6 +277,7 @@ def profile_tables(
                 tables[name] = table
         except Exception as error:  # one bad column must not stop the report
             log.warning("section %s left out: %s", name, error)
+            failed.append((name, str(error)[:500]))
 
     section("summary", lambda: calculate_feature_summary(df))
     section("target_distribution", lambda: target_histogram(df, target))
@@ -277,16 +286,19 @@ def profile_tables(
         found = calculate_correlations(df, target)
     except Exception as error:
         log.warning("correlations left out: %s", error)
+        failed.append(("correlations", str(error)[:500]))
     section("feature_correlations", lambda: found.matrix)
     section("target_correlations", lambda: found.target)
     if found.target is not None:
         section("top_target_correlations", lambda: top_correlations(found.target, f"{target}_correlation", top_k))
     if is_numeric(df, target):
         wanted = [c for c in (features or df.columns) if c in df.columns and c != target]
-        few = few_distinct(df, [target])[target]
         for c in wanted:
             section(f"by_{c}", lambda c=c: analyze_target_by_feature(
-                df, target, c, num_bins=num_bins, max_categories=max_categories, few_targets=few))
+                df, target, c, num_bins=num_bins, max_categories=max_categories, max_distinct=max_distinct,
+                max_distinct_share=max_distinct_share))
+    if failed:
+        tables["failed_sections"] = df.sparkSession.createDataFrame(failed, "section string, reason string")
     return tables
 
 

@@ -1,80 +1,131 @@
 """Greedy feature selection and leave-one-out importance.
 
 Every candidate needs a cross-validated score. For ridge with a squared-error
-metric those scores follow from sums of products per fold, which one pass
-collects for all features; candidates then cost no further job. Other learners
-run the folds through MLlib.
+metric the coefficients of all candidates follow from sums of products per fold,
+which one pass collects for all features; one more pass per round computes the
+real residuals of all candidates of that round. Other learners run the folds
+through MLlib.
 """
 
 from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.frame import is_numeric, require_columns
+from foldwise.frame import is_numeric, materialise, require_columns
 from foldwise.operators.metrics import higher_is_better
 from foldwise.plans.training import train_and_cv
 
 log = logging.getLogger(__name__)
 
 CANDIDATES_AT_ONCE = 3
-GRAM_FEATURES = 60
-GRAM_METRICS = ("mse", "rmse", "r2")
+CLOSED_METRICS = ("mse", "rmse", "r2")
+#: what a learner raises for data or settings it cannot be trained with
+TRAINING_ERRORS = (ValueError, TypeError, ArithmeticError, IllegalArgumentException, np.linalg.LinAlgError)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(fold, values) of each batch; values are (1, features around their means, target around its mean)."""
+    for batch in batches:
+        if batch.num_rows:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            yield batch.column(0).to_numpy(), flat.reshape(batch.num_rows, -1)
 
 
 @dataclass(frozen=True)
 class FoldProducts:
-    """Per fold: rows and sums of products of (1, features, target), around the column means."""
+    """Rows around the column means and, per fold, the sums of products of (1, features, target)."""
 
     features: list[str]
-    matrices: list[np.ndarray]
-
-    def score(self, features: Sequence[str], alpha: float, metric: str) -> float:
-        pick = [0, *[1 + self.features.index(f) for f in features]]
-        last = len(self.features) + 1
-        whole = sum(self.matrices)
-        error = rows = 0.0
-        for own in self.matrices:
+    rows: DataFrame                    # fold, values
+    matrices: dict[int, np.ndarray]
+
+    def weights(self, chosen: Sequence[str], alpha: float) -> dict[int, np.ndarray]:
+        """Per fold the residual's weight of each value, fitted without that fold."""
+        pick = [0, *[1 + self.features.index(f) for f in chosen]]
+        size = len(self.features) + 2
+        whole, out = sum(self.matrices.values()), {}
+        for fold, own in self.matrices.items():
             rest = whole - own
-            a, b = rest[np.ix_(pick, pick)].copy(), rest[pick, last]
+            a = rest[np.ix_(pick, pick)].copy()
             a[np.arange(1, len(pick)), np.arange(1, len(pick))] += alpha
-            w = np.linalg.solve(a, b)
-            index = [*pick, last]
-            v = np.concatenate([-w, [1.0]])
-            error += float(v @ own[np.ix_(index, index)] @ v)
-            rows += own[0, 0]
-        if metric == "mse":
-            return error / rows
-        if metric == "rmse":
-            return math.sqrt(error / rows)
-        spread = whole[last, last] - whole[0, last] ** 2 / whole[0, 0]
-        return 1.0 - error / spread
+            vector = np.zeros(size)
+            vector[pick], vector[-1] = -np.linalg.solve(a, rest[pick, size - 1]), 1.0
+            out[fold] = vector
+        return out
+
+    def scores(self, sets: Mapping[str, Sequence[str]], alpha: float, metric: str) -> dict[str, float | Exception]:
+        """Pooled score of each feature set, from the residuals of one pass over the rows."""
+        out: dict[str, float | Exception] = {}
+        fitted: dict[str, dict[int, np.ndarray]] = {}
+        for name, chosen in sets.items():
+            try:
+                fitted[name] = self.weights(chosen, alpha)
+            except np.linalg.LinAlgError as error:
+                out[name] = error
+        if not fitted:
+            return out
+        stacked = {fold: np.stack([w[fold] for w in fitted.values()], axis=1) for fold in self.matrices}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(fitted))
+            for folds, values in _blocks(batches):
+                for fold in np.unique(folds):
+                    total += np.square(values[folds == fold] @ stacked[int(fold)]).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["place", "error"])
+
+        found = self.rows.mapInArrow(run, "place int, error double").groupBy("place").agg(F.sum("error").alias("e")).collect()
+        errors = {r["place"]: r["e"] for r in found}
+        whole = sum(self.matrices.values())
+        n, spread = whole[0, 0], whole[-1, -1] - whole[0, -1] ** 2 / whole[0, 0]
+        for place, name in enumerate(fitted):
+            error = errors[place]
+            if metric == "r2":
+                out[name] = 1.0 - error / spread if spread else float("nan")
+            else:
+                out[name] = error / n if metric == "mse" else math.sqrt(error / n)
+        return out
 
 
 def fold_products(df: DataFrame, target: str, features: Sequence[str], fold: str) -> FoldProducts:
-    """One aggregate by fold; the result has one row per fold."""
+    """One pass for the means and one for the sums; any number of features. Nulls are an error."""
     names = [*features, target]
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names)]).first()
-    shifted = [F.lit(1.0), *[F.col(c).cast("double") - F.lit(means[f"m{i}"] or 0.0) for i, c in enumerate(names)]]
-    size = len(shifted)
-    rows = df.filter(F.col(fold).isNotNull()).groupBy(fold).agg(*[
-        F.sum(shifted[i] * shifted[j]).alias(f"s{i}_{j}") for i in range(size) for j in range(i, size)]).collect()
-    matrices = []
-    for row in sorted(rows, key=lambda r: r[fold]):
-        m = np.zeros((size, size))
-        for i in range(size):
-            for j in range(i, size):
-                m[i, j] = m[j, i] = row[f"s{i}_{j}"]
-        matrices.append(m)
-    return FoldProducts(list(features), matrices)
+    rows = df.filter(F.col(fold).isNotNull())
+    row = rows.agg(*[x for i, c in enumerate(names) for x in (
+        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.count_if(F.col(c).isNull()).alias(f"n{i}"))]).first()
+    holes = [c for i, c in enumerate(names) if row[f"n{i}"]]
+    if holes:
+        raise ValueError(f"columns with missing values cannot be scored: {holes}")
+    values = F.array(F.lit(1.0), *[F.col(c).cast("double") - F.lit(row[f"m{i}"] or 0.0) for i, c in enumerate(names)])
+    table = materialise(rows.select(F.col(fold).cast("int").alias("fold"), values.alias("values")))
+    size = len(names) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for folds, block in _blocks(batches):
+            for k in np.unique(folds):
+                own = block[folds == k]
+                sums[int(k)] = sums.get(int(k), 0.0) + own.T @ own
+        for k, matrix in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size * size, k, np.int32)), pa.array(np.arange(size * size, dtype=np.int32)),
+                 pa.array(matrix.ravel())], ["fold", "place", "value"])
+
+    found = table.mapInArrow(run, "fold int, place int, value double").groupBy("fold", "place").agg(F.sum("value").alias("v")).collect()
+    matrices: dict[int, np.ndarray] = {}
+    for r in found:
+        matrices.setdefault(r["fold"], np.zeros((size, size))).flat[r["place"]] = r["v"]
+    return FoldProducts(list(features), table, dict(sorted(matrices.items())))
 
 
 def evaluate_features_cv(
@@ -88,35 +139,42 @@ def evaluate_features_cv(
     return result.pooled_score(metric, **(metric_params or {}))
 
 
-def _scorer(df, target, features, model_type, row_id, metric, fold, model_params, options) -> Callable[[Sequence[str]], float]:
+def _scorer(
+    df, target, features, model_type, row_id, metric, fold, model_params, options,
+) -> Callable[[Mapping[str, Sequence[str]]], dict[str, float | Exception]]:
+    """A function from named feature sets to their scores; a set that cannot be trained gives its error."""
     require_columns(df, [row_id, fold, target, *features])
     params, metric = dict(model_params or {}), metric.lower()
-    closed = (model_type.lower() == "ridge" and metric in GRAM_METRICS and len(features) <= GRAM_FEATURES
-              and not options and params.get("fit_intercept", True) and all(is_numeric(df, f) for f in features))
-    if closed:
-        holes = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate([*features, target])]).first()
-        closed = not any(holes)
-    if closed:
+    if (model_type.lower() == "ridge" and metric in CLOSED_METRICS and not options
+            and params.get("fit_intercept", True) and all(is_numeric(df, f) for f in features)):
         products = fold_products(df, target, features, fold)
         alpha = float(params.get("alpha", 1.0))
-        return lambda chosen: products.score(list(chosen), alpha, metric)
-    return lambda chosen: evaluate_features_cv(
-        df, target, list(chosen), model_type, row_id, metric, fold, model_params=params, **options)
+        return lambda sets: products.scores(sets, alpha, metric)
+
+    def one(chosen: Sequence[str]) -> float | Exception:
+        try:
+            return evaluate_features_cv(df, target, list(chosen), model_type, row_id, metric, fold, model_params=params, **options)
+        except TRAINING_ERRORS as error:
+            return error
 
+    def many(sets: Mapping[str, Sequence[str]]) -> dict[str, float | Exception]:
+        # side by side: small jobs of one leave cores idle for another
+        run = inheritable_thread_target(df.sparkSession)(one)
+        with ThreadPool(min(CANDIDATES_AT_ONCE, len(sets))) as pool:
+            return dict(zip(sets, pool.map(run, sets.values())))
 
-def _try(score: Callable, chosen: Sequence[str], worst: float) -> float:
-    try:
-        return score(chosen)
-    except Exception as error:  # a candidate that cannot be trained is never chosen
-        log.warning("features %s could not be scored: %s", chosen, error)
-        return worst
+    return many
 
 
-def _try_all(spark, score: Callable, sets: Mapping[str, Sequence[str]], worst: float) -> dict[str, float]:
-    """Score candidate sets side by side; small jobs of one leave cores idle for another."""
-    run = inheritable_thread_target(spark)(lambda chosen: _try(score, chosen, worst))
-    with ThreadPool(min(CANDIDATES_AT_ONCE, len(sets))) as pool:
-        return dict(zip(sets, pool.map(run, sets.values())))
+def _score_all(score: Callable, sets: Mapping[str, Sequence[str]], worst: float) -> dict[str, float]:
+    """Scores of all sets; one that cannot be trained gets the worst. If none can be, that is an error."""
+    found = score(sets)
+    failed = {name: error for name, error in found.items() if isinstance(error, Exception)}
+    if len(failed) == len(sets):
+        raise RuntimeError("no feature set could be scored") from next(iter(failed.values()))
+    for name, error in failed.items():
+        log.warning("features %s could not be scored: %s", sets[name], error)
+    return {name: worst if name in failed else found[name] for name in sets}
 
 
 def select_features_forward(
@@ -131,9 +189,9 @@ def select_features_forward(
     up = higher_is_better(metric)
     worst = -math.inf if up else math.inf
     score = _scorer(df, target, [*chosen, *left], model_type, row_id, metric, fold, model_params, options)
-    best = score(chosen) if chosen else worst
+    best = _score_all(score, {"": chosen}, worst)[""] if chosen else worst
     while left:
-        scores = _try_all(df.sparkSession, score, {c: [*chosen, c] for c in left}, worst)
+        scores = _score_all(score, {c: [*chosen, c] for c in left}, worst)
         pick = (max if up else min)(scores, key=scores.get)
         gain = scores[pick] - best if up else best - scores[pick]
         if not gain > min_improvement:
@@ -161,9 +219,8 @@ def select_features_backward(
     up = higher_is_better(metric)
     worst = -math.inf if up else math.inf
     score = _scorer(df, target, chosen, model_type, row_id, metric, fold, model_params, options)
-    score(chosen)
     while len(chosen) > min_features:
-        scores = _try_all(df.sparkSession, score, {c: [f for f in chosen if f != c] for c in chosen}, worst)
+        scores = _score_all(score, {c: [f for f in chosen if f != c] for c in chosen}, worst)
         pick = (max if up else min)(scores, key=scores.get)
         if score_threshold is not None and (
                 scores[pick] < score_threshold if up else scores[pick] > score_threshold):
@@ -176,23 +233,26 @@ def calculate_loo_feature_importance(
     df: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str, metric: str,
     fold: str = "fold", model_params: Mapping | None = None, **options,
 ) -> dict[str, float]:
-    """Loss of score without each feature, largest first; empty if the baseline fails."""
+    """Loss of score without each feature, largest first; empty if the baseline cannot be trained.
+
+    A feature without which the rest cannot be trained, and a single one, get 0.
+    """
     if not features:
         return {}
     up = higher_is_better(metric)
-    try:
-        score = _scorer(df, target, features, model_type, row_id, metric, fold, model_params, options)
-        baseline = score(features)
-    except Exception as error:
-        log.warning("baseline could not be scored: %s", error)
+    sets = {f: [c for c in features if c != f] for f in features}
+    score = _scorer(df, target, features, model_type, row_id, metric, fold, model_params, options)
+    found = score({"": list(features), **{f: rest for f, rest in sets.items() if rest}})
+    baseline = found[""]
+    if isinstance(baseline, Exception):
+        log.warning("baseline could not be scored: %s", baseline)
         return {}
     out = {}
     for f in features:
-        rest = [c for c in features if c != f]
-        if not rest:
-            out[f] = 0.0
-            continue
-        without = _try(score, rest, math.nan)
+        without = found.get(f, math.nan)
+        if isinstance(without, Exception):
+            log.warning("features %s could not be scored: %s", sets[f], without)
+            without = math.nan
         change = baseline - without if up else without - baseline
         out[f] = 0.0 if math.isnan(change) else change
     return dict(sorted(out.items(), key=lambda item: item[1], reverse=True))

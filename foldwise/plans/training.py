@@ -43,20 +43,49 @@ class Learner:
     trees: bool = False
 
 
+# fixed values: accepted settings that do not change the model
+WITHOUT_EFFECT = ("objective", "metric", "eval_metric", "verbose", "verbosity", "silent", "n_jobs", "nthread",
+                  "num_threads", "thread_count", "boosting_type", "importance_type")
+DEFAULT_ROUNDS = 100
+
+
 def _known(estimator, params: Mapping) -> dict:
+    """The parameters that the learner has; one without a counterpart is an error."""
+    unknown = sorted(k for k in params if not estimator.hasParam(k) and k not in WITHOUT_EFFECT)
+    if unknown:
+        raise ValueError(f"parameters without a counterpart in {type(estimator).__name__}: {unknown}")
     return {k: v for k, v in params.items() if estimator.hasParam(k)}
 
 
+def _only(params: Mapping, *names: str) -> Mapping:
+    unknown = sorted(set(params) - set(names) - set(WITHOUT_EFFECT) - {"random_state"})
+    if unknown:
+        raise ValueError(f"unknown learner parameters: {unknown}")
+    return params
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the smallest loss before ``patience`` rounds without a smaller one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def _translate(params: Mapping, table: Mapping) -> dict:
     return {table.get(k, k): v for k, v in params.items()}
 
 
 def _boosting(params: Mapping, facts: Mapping):
-    params = _translate(params, TREE_PARAMS)
+    params = {"maxIter": DEFAULT_ROUNDS, **_translate(params, TREE_PARAMS)}
     classes = params.get("objective") in CLASS_OBJECTIVES
     estimator = GBTClassifier() if classes else GBTRegressor()
     estimator.setParams(featuresCol=VECTOR, labelCol=LABEL, **_known(estimator, params))
     if facts.get("valid"):
+        # several classes are boosted one against the rest, which has no common curve
         estimator.setValidationIndicatorCol(VALID)
     if classes and facts["classes"] > 2:
         return OneVsRest(classifier=estimator, featuresCol=VECTOR, labelCol=LABEL)
@@ -72,6 +101,7 @@ def _forest(cls):
 
 
 def _ridge(params: Mapping, facts: Mapping):
+    _only(params, "alpha", "fit_intercept")
     # the solver divides the penalty by the spread of the label; undo that to get |y - Xw|^2 + alpha |w|^2
     penalty = float(params.get("alpha", 1.0)) / facts["rows"] * (facts["label_std"] or 1.0)
     return LinearRegression(featuresCol=VECTOR, labelCol=LABEL, regParam=penalty, elasticNetParam=0.0,
@@ -79,17 +109,20 @@ def _ridge(params: Mapping, facts: Mapping):
 
 
 def _lasso(params: Mapping, facts: Mapping):
+    _only(params, "alpha", "max_iter")
     return LinearRegression(featuresCol=VECTOR, labelCol=LABEL, regParam=float(params.get("alpha", 1.0)),
                             elasticNetParam=1.0, standardization=False, maxIter=int(params.get("max_iter", 200)))
 
 
 def _logreg(params: Mapping, facts: Mapping):
+    _only(params, "C", "max_iter")
     return LogisticRegression(featuresCol=VECTOR, labelCol=LABEL, standardization=False,
                               regParam=1.0 / (float(params.get("C", 1.0)) * facts["rows"]),
                               maxIter=int(params.get("max_iter", 100)))
 
 
 def _perceptron(params: Mapping, facts: Mapping):
+    _only(params, "hidden_sizes", "hidden_layers", "epochs", "max_iter")
     hidden = list(params.get("hidden_sizes", params.get("hidden_layers", [32])))
     return MultilayerPerceptronClassifier(
         featuresCol=VECTOR, labelCol=LABEL, layers=[facts["width"], *hidden, facts["classes"]],
@@ -171,6 +204,14 @@ class FittedFold:
     points: DataFrame | None = None   # training rows, for nearest neighbours
     k: int = 5
 
+    def slot_importances(self) -> list[tuple[str, float]]:
+        values = self.model.featureImportances.toArray()
+        if len(values) == len(self.features):
+            return list(zip(self.features, values))
+        if len(self.features) > 1:
+            raise ValueError("importances of several vector features cannot be told apart")
+        return [(f"{self.features[0]}[{i}]", v) for i, v in enumerate(values)]
+
     def predict(self, df: DataFrame, row_id: str, keep: Sequence[str] = (), out: str = "prediction") -> DataFrame:
         require_columns(df, [row_id, *self.features])
         kept = list(dict.fromkeys([row_id, *keep]))
@@ -186,10 +227,20 @@ class FittedFold:
 def fit_model(
     train: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str,
     model_params: Mapping | None = None, valid: DataFrame | None = None,
-    cat_features: Sequence[str] | None = None,
+    cat_features: Sequence[str] | None = None, fit_params: Mapping | None = None,
 ) -> FittedFold:
-    """Fit one learner. With ``valid``, boosting stops early on it."""
-    params, learner = dict(model_params or {}), learner_of(model_type)
+    """Fit one learner.
+
+    For boosting, ``fit_params`` may hold ``num_boost_round`` (it wins over a
+    number among the parameters) and ``early_stopping_rounds``: with ``valid``,
+    the rounds up to the best one before that many without gain are kept.
+    """
+    params, learner, fit_params = dict(model_params or {}), learner_of(model_type), dict(fit_params or {})
+    boosting = learner.build is _boosting
+    if boosting and fit_params.get("num_boost_round"):
+        params = {**_translate(params, TREE_PARAMS), "maxIter": int(fit_params["num_boost_round"])}
+    patience = int(fit_params.get("early_stopping_rounds") or 0) if boosting else 0
+    valid = valid if patience else None
     require_columns(train, [target, *features], "train")
     require_numeric(train, [target])
     features = list(features)
@@ -199,7 +250,10 @@ def fit_model(
     if not facts["rows"]:
         raise ValueError("no training rows")
     classes = int(facts["top"]) + 1 if classifier else 0
-    facts.update(classes=max(classes, 2) if classifier else 0, width=len(features), valid=valid is not None)
+    several = classifier and classes > 2
+    facts.update(classes=max(classes, 2) if classifier else 0, width=len(features), valid=valid is not None and several)
+    held = valid if not several else None  # the curve of these rows decides about the rounds
+    valid = valid if several else None
     if learner.build is None:
         k = int(params.get("n_neighbors", params.get("k", 5)))
         points = train.withColumn(LABEL, F.col(target).cast("double"))
@@ -217,6 +271,13 @@ def fit_model(
     if facts["width"] == 1 and isinstance(train.schema[features[0]].dataType, T.ArrayType):
         facts["width"] = len(vectors.select(VECTOR).first()[0])
     model = learner.build(params, facts).fit(vectors)
+    if held is not None:
+        curve = assemble(held.select("*", label), features, [LABEL], learner.trees, indexers)
+        losses = model.evaluateEachIteration(curve) if classifier else model.evaluateEachIteration(curve, "squared")
+        rounds = best_round(losses, patience)
+        if rounds < len(losses):
+            # boosting with the same seed gives the same first trees
+            model = learner.build({**_translate(params, TREE_PARAMS), "maxIter": rounds}, facts).fit(vectors)
     return FittedFold(model, features, learner.trees, indexers, classifier, facts["classes"])
 
 
@@ -237,9 +298,7 @@ def train_single_fold(
     require_columns(valid, [target, *features], "valid")
     if test is not None:
         require_columns(test, features, "test")
-    early = bool((fit_params or {}).get("early_stopping_rounds"))
-    use_valid = valid if early and learner_of(model_type).build is _boosting else None
-    model = fit_model(train, target, features, model_type, row_id, model_params, use_valid, cat_features)
+    model = fit_model(train, target, features, model_type, row_id, model_params, valid, cat_features, fit_params)
     return FoldResult(model, model.predict(valid, row_id), None if test is None else model.predict(test, row_id))
 
 
@@ -267,9 +326,8 @@ class CvResult:
         return rows.sparkSession.createDataFrame(scores, "fold int, score double")
 
     def importances(self) -> DataFrame:
-        """(fold, feature, importance) rows of tree models."""
-        rows = [(i, f, float(v)) for i, m in enumerate(self.models) for f, v in zip(
-            m.features, m.model.featureImportances.toArray())]
+        """(fold, feature, importance) rows of tree models; a vector feature has a row per slot, ``name[i]``."""
+        rows = [(i, name, float(v)) for i, m in enumerate(self.models) for name, v in m.slot_importances()]
         return self.oof.sparkSession.createDataFrame(rows, "fold int, feature string, importance double")
 
 
@@ -315,8 +373,7 @@ def train_and_cv(
 
     def run(k: int) -> FittedFold:
         part, other = rows.filter(F.col(fold) != k), rows.filter(F.col(fold) == k)
-        early = bool((fit_params or {}).get("early_stopping_rounds")) and learner_of(model_type).build is _boosting
-        return fit_model(part, label, features, model_type, row_id, model_params, other if early else None, cat_features)
+        return fit_model(part, label, features, model_type, row_id, model_params, other, cat_features, fit_params)
 
     # every fold reads these rows several times
     rows.persist(StorageLevel.MEMORY_AND_DISK)

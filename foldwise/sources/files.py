@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -49,6 +50,24 @@ def _list_paths(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     return sorted((s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(root))
 
 
+def first_csv_rows(spark: SparkSession, path: str, n_rows: int) -> DataFrame:
+    """The first rows of a CSV with a header; their types are inferred from these rows only."""
+    names = spark.read.options(header=True).csv(path)
+    head = spark.createDataFrame(names.limit(n_rows).collect(), names.schema)
+    if head.isEmpty():
+        return head
+    # what the whole sample can be read as, from narrow to wide
+    casts = {}
+    for c in names.columns:
+        column = F.col(f"`{c}`")
+        for kind in ("int", "bigint", "double", "boolean", "timestamp"):
+            bad = head.filter(column.isNotNull() & column.try_cast(kind).isNull())
+            if bad.isEmpty() and not head.filter(column.isNotNull()).isEmpty():
+                casts[c] = kind
+                break
+    return head.select(*[F.col(f"`{c}`").cast(casts.get(c, "string")).alias(c) for c in names.columns])
+
+
 def create_data_samples(
     spark: SparkSession, raw_dir: str, samples_dir: str, n_rows: int = 10,
     include_extensions: Sequence[str] = (".csv", ".parquet"),
@@ -69,7 +88,7 @@ def create_data_samples(
         try:
             target = f"{samples_dir.rstrip('/')}/{name}"
             if extension == ".csv":
-                save_csv(load_csv(spark, path).limit(n_rows), target)
+                save_csv(first_csv_rows(spark, path, n_rows), target)
             else:
                 save_parquet(load_parquet(spark, path, n_rows=n_rows), target)
             done["sampled"] += 1

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.frame import require_columns
-from foldwise.operators.blend import same_rows
 from foldwise.sources.files import save_csv
 
 log = logging.getLogger(__name__)
@@ -37,9 +36,15 @@ def load_predictions(
     rows = rows.select(F.col("row_id").alias(row_id), F.col("model").cast("string"), "prediction")
     if reference is not None:
         names = models or [r["model"] for r in rows.select("model").distinct().collect()]
-        for name in names:
-            if not same_rows(reference, rows.filter(F.col("model") == name), row_id):
-                raise ValueError(f"predictions of model '{name}' do not cover the reference rows")
+        ids = rows.groupBy(row_id).agg(*[F.count_if(F.col("model") == name).alias(f"n{i}") for i, name in enumerate(names)])
+        wanted = reference.groupBy(F.col(row_id).alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+        joined = wanted.join(ids, F.col("__id") == F.col(row_id), "full_outer")
+        # a row of the reference has each model once for each of its rows, a row beyond it has none
+        wrong = joined.agg(*[F.count_if(F.coalesce(F.col(f"n{i}"), F.lit(0)) != F.coalesce(F.col("__n"), F.lit(0))).alias(f"n{i}")
+                             for i in range(len(names))]).first()
+        missing = [name for i, name in enumerate(names) if wrong[f"n{i}"]]
+        if missing:
+            raise ValueError(f"predictions of models {missing} do not cover the reference rows")
     return rows
 
 

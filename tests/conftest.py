@@ -25,15 +25,13 @@ def frame(spark):
 
 @pytest.fixture
 def big_data_routes(monkeypatch):
-    """Force the routes taken for large tables: no broadcast of lookups, no in-memory counts."""
+    """Force the routes taken for large tables: no broadcast of lookups, many small ranges."""
     from foldwise.operators import folds, lookup, order_stats, sample
 
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(lookup, "HOT_PARTS", 4)
-    monkeypatch.setattr(order_stats, "MAP_ENTRIES", 0)
     monkeypatch.setattr(order_stats, "ROWS_PER_RANGE", 3)
     monkeypatch.setattr(folds, "ROWS_PER_BUCKET", 3)
-    monkeypatch.setattr(folds, "GROUPS_ON_DRIVER", 2)
     monkeypatch.setattr(sample, "HASH_BUCKETS", 4)
 
 

@@ -50,9 +50,12 @@ def test_correlations(frame, monkeypatch):
     assert [r["feature"] for r in plans.top_correlations(found.target, "target_correlation", 2).collect()] == ["feat1", "feat2"]
     assert plans.calculate_correlations(df, "cat").target is None
     assert plans.calculate_correlations(df, "target", ["cat", "flat"]).matrix is None
-    monkeypatch.setattr("foldwise.plans.profile.PAIRWISE_COLUMNS", 1)
-    wide = {r["feature"]: r for r in plans.calculate_correlations(df, "target").matrix.collect()}
-    assert wide["feat1"]["feat3"] == approx(rows["feat1"]["feat3"])
+    # feat3 varies, but not over the rows without nulls
+    part = frame("target double, feat1 double, feat2 double, feat3 double", target=[1., 2., 3., 4.],
+                 feat1=[2., 4., 6., None], feat2=[5., 4., 1., 2.], feat3=[1., 1., 1., 2.])
+    for names in (["feat1", "feat2", "feat3"], ["feat1", "feat3"]):
+        held = {r["feature"]: r for r in plans.calculate_correlations(part, "target", names).matrix.collect()}
+        assert held["feat1"]["feat3"] is None and held["feat3"]["feat3"] is None and held["feat1"]["feat1"] == approx(1)
 
 
 def test_target_by_feature(frame):

@@ -69,7 +69,7 @@ def test_ranges_split_a_hot_group(spark, monkeypatch):
     """Ranks of a group that holds most rows come from several ranges, equal to a plain sort."""
     monkeypatch.setattr(order_stats, "ROWS_PER_RANGE", 50)
     df = spark.range(2000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("g"), (F.col("id") * 7919 % 2003).alias("v"))
-    got = {r["g"]: r["q"] for r in order_stats.grouped_quantiles(df, ["g"], "v", [0, .25, .5, .9, 1], "q", small=False).collect()}
+    got = {r["g"]: r["q"] for r in order_stats.grouped_quantiles(df, ["g"], "v", [0, .25, .5, .9, 1], "q").collect()}
     want = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", F.lit([0., .25, .5, .9, 1.])).alias("q")).collect()}
     assert got.keys() == want.keys()
     assert all(got[g] == pytest.approx(want[g]) for g in want)
@@ -83,14 +83,10 @@ def test_large_keys_stay_exact(frame):
     assert values(folds, "k", "fold") == [0, 0, 0, 1, 1, 1, 2, 2, 2]
 
 
-def test_work_folder_is_the_configured_one(spark, tmp_path):
-    private = work_folder(spark)
-    assert work_folder(spark) == private
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        assert work_folder(spark).startswith(f"file://{tmp_path}/")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_work_folder_is_shared(spark):
+    folder, configured = work_folder(spark), spark.conf.get("spark.checkpoint.dir", None)
+    assert work_folder(spark) == folder
+    assert folder.startswith(configured.rstrip("/") if configured else "file://")
 
 
 def test_results_do_not_depend_on_partitions(skewed):
@@ -102,3 +98,102 @@ def test_results_do_not_depend_on_partitions(skewed):
         got = (values(folds, "id", "fold"), values(sample, "id", "id"))
         want = want or got
         assert got == want
+
+
+def greedy(sizes, k):
+    loads = [0] * k
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return loads
+
+
+@pytest.mark.parametrize("k", [2, 3, 7])
+def test_group_folds_follow_the_greedy_loads(spark, k):
+    sizes = [40, 31, 30, 12, 12, 12, 9, 5, 5, 5, 5, 4, 3, 3, *[2] * 25, *[1] * 61]
+    rows = spark.createDataFrame([(g, i) for g, n in enumerate(sizes) for i in range(n)], "g int, i int")
+    rows = rows.withColumn("g", F.when(F.col("g") != 3, F.col("g")))  # one group is null
+    folded = op.group_kfold(rows, "g", k, seed=5)
+    assert folded.groupBy("g").agg(F.count_distinct("fold").alias("n")).filter("n <> 1").count() == 0
+    got = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    assert [got[f] for f in range(k)] == greedy(sizes, k)
+
+
+def test_places_of_equal_groups():
+    from foldwise.operators.folds import _places
+
+    for loads, size, groups in (([5, 0, 9], 4, 3), ([0, 0, 0, 0], 3, 10), ([7, 7, 1], 2, 1), ([100, 0], 1, 250), ([3, 8], 5, 0)):
+        counts, have = [0] * len(loads), list(loads)
+        for _ in range(groups):
+            i = have.index(min(have))
+            have[i] += size
+            counts[i] += 1
+        assert _places(loads, size, groups) == counts
+
+
+def test_wide_mappings_and_categories(spark):
+    from foldwise.functions import map_values
+
+    rows = spark.range(3000).select(F.col("id").cast("int").alias("k"))
+    for n in (999, 1001):
+        mapping = {i: i % 7 for i in range(n)}
+        want = [i % 7 if i < n else 9 for i in range(3000)]
+        joined = op.map_column(rows, "k", mapping, default=9, dtype="int", out="v")
+        assert values(joined, "k", "v") == want
+        assert values(rows.withColumn("v", map_values(F.col("k"), mapping, 9, "int")), "k", "v") == want
+    from foldwise.operators.encode import fit_onehot, fit_onehot_vector
+
+    assert len(fit_onehot(rows.withColumn("k2", F.col("k")), ["k", "k2"]).categories["k"]) == 3000
+    with pytest.raises(ValueError):
+        fit_onehot(rows, ["k"], max_categories=2999)
+    fit_onehot(rows, ["k"], max_categories=3000)
+    sparse = fit_onehot_vector(rows.filter("k < 2000"), ["k"], "v").transform(rows).orderBy("k").collect()
+    assert sparse[5]["v"].size == 2000 and list(sparse[5]["v"].indices) == [5] and list(sparse[2500]["v"].indices) == []
+
+
+def test_no_limit_on_folds(spark):
+    from foldwise.operators.encode_stats import observed_folds
+
+    rows = spark.range(1500).withColumnRenamed("id", "fold")
+    assert len(observed_folds(rows, "fold")) == 1500
+    with pytest.raises(ValueError):
+        observed_folds(rows, "fold", max_folds=1499)
+
+
+def test_samples_with_null_and_repeated_keys(spark):
+    rows = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("k"), F.col("id"))
+    same = rows.select("k", F.lit(1).alias("v"))
+    for n in (0, 1, 5, 66, 120, 200):
+        assert op.sample_dataframe(rows, "k", n=n, seed=1).select("id").distinct().count() == n
+        assert op.sample_dataframe(rows, "k", n=n, shuffle=False).select("id").distinct().count() == n
+        assert op.sample_dataframe(same, "k", n=n, seed=1).count() == n
+
+
+def test_selection_has_no_limit_on_width(spark):
+    from foldwise import plans
+
+    for width in (59, 62):
+        rows = spark.range(400).select(
+            F.col("id"), (F.col("id") % 3).cast("int").alias("fold"),
+            *[F.xxhash64(F.lit(i), "id").cast("double").alias(f"h{i}") for i in range(width)])
+        rows = rows.select("id", "fold", *[(F.col(f"h{i}") / 1e18).alias(f"x{i}") for i in range(width)])
+        rows = rows.withColumn("y", 2 * F.col("x1") + F.col("x3"))
+        names = [f"x{i}" for i in range(width)]
+        found = plans.select_features_forward(rows, "y", names, "ridge", "id", "rmse", model_params={"alpha": 0.0})
+        assert sorted(found) == ["x1", "x3"]
+    gaps = rows.withColumn("y", F.when(F.col("id") > 0, F.col("y")))
+    with pytest.raises(ValueError):
+        plans.select_features_forward(gaps, "y", names, "ridge", "id", "rmse")
+    from foldwise.plans.training import best_round
+
+    assert best_round([3, 2, 2.5, 2.4, 1], 2) == 2 and best_round([3, 2, 2.5, 1], 2) == 4 and best_round([1], 1) == 1
+    with pytest.raises(ValueError):
+        plans.train_and_cv(rows, "y", ["x1"], "xgb", "id", model_params={"gamma_ray": 1})
+
+
+def test_no_percentile_over_raw_rows(spark, skewed):
+    from foldwise import plans
+
+    plan = op.create_aggregation_features(skewed, [
+        {"groupby_cols": ["id"], "agg_col": "y", "agg_func": "median", "new_col_name": "m"}])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in text
