@@ -12,13 +12,11 @@ text is empty), and set ``n_chars`` anew where the text changed.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm import decontaminate, pieces, quality, simhash, substrings
-from foldwise.llm.shared import table, work_folder
+from foldwise.llm.shared import materialise, table
 
 
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -68,8 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir))
     return docs
