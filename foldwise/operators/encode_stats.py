@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.frame import number_or_none, require_columns, require_numeric
 from foldwise.operators.lookup import (
     FEATURE, KEY, FeatureLookup, Lookup, attach, attach_features, fit_features, fit_lookup, long_keys,
 )
-from foldwise.operators.order_stats import grouped_quantiles
+from foldwise.operators.order_stats import RANGE, split_ranges
 
 
 def _pick_source(train: DataFrame, test: DataFrame | None, which: str, columns: Sequence[str]) -> DataFrame:
@@ -205,25 +205,53 @@ def _mean_statistics(train, features, target, fold_col, folds):
 def _order_statistics(train, features, target, fold_col, folds, prob):
     """(feature, key) rows with the quantile and count of the rows outside each fold.
 
-    Equal (category, fold, target) rows are counted first; only those counts are
-    repeated for the folds they train.
+    Equal (category, target) rows are counted once, with their number per fold;
+    the rows outside a fold are the difference. The values are split into
+    ranges, and only ranges that hold a wanted rank of some fold are ordered.
+    What is shuffled does not grow with the number of folds.
     """
     y = F.col(target).cast("double")
     long = long_keys(train, features, [y.alias("__y"), F.col(fold_col).alias("__fold")])
-    counted = long.filter(F.col("__y").isNotNull()).groupBy(FEATURE, KEY, "__fold", "__y").agg(
-        F.count(F.lit(1)).alias("__n"))
-    numbers = [F.when(F.col("__fold").eqNullSafe(F.lit(fold)), F.lit(None).cast("int")).otherwise(F.lit(i))
-               for i, fold in enumerate(folds)]
-    spread = counted.withColumn("__into", F.explode(F.array_compact(F.array(*numbers, F.lit(-1)))))
-    both = grouped_quantiles(spread, [FEATURE, KEY, "__into"], "__y", [prob], out="__q", weight="__n")
-    both = both.withColumn("__stat", F.col("__q")[0])
+    counted = long.filter(F.col("__y").isNotNull()).groupBy(FEATURE, KEY, "__y").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col("__fold").eqNullSafe(F.lit(f))).alias(f"__f{i}") for i, f in enumerate(folds)])
+    every = range(len(folds) + 1)  # the last stands for all rows
+    parts = split_ranges(counted, "__y").select(FEATURE, KEY, RANGE, "__y", *[
+        (F.col("__n") - F.col(f"__f{i}") if i < len(folds) else F.col("__n")).alias(f"__w{i}") for i in every])
+    group = Window.partitionBy(FEATURE, KEY)
+    before = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = parts.groupBy(FEATURE, KEY, RANGE).agg(*[F.sum(f"__w{i}").alias(f"__s{i}") for i in every])
+    sizes = sizes.select(
+        F.col(FEATURE).alias("__lf"), F.col(KEY).alias("__lk"), F.col(RANGE).alias("__lr"), *[f"__s{i}" for i in every],
+        *[F.sum(f"__s{i}").over(group).alias(f"__t{i}") for i in every],
+        *[(F.sum(f"__s{i}").over(before) - F.col(f"__s{i}")).alias(f"__b{i}") for i in every])
+
+    def position(i):
+        return F.lit(float(prob)) * (F.col(f"__t{i}") - 1)
+
+    def ranks(i):
+        return F.floor(position(i)).cast("bigint"), F.ceil(position(i)).cast("bigint")
+
+    wanted = F.lit(False)
+    for i in every:
+        for rank in ranks(i):
+            wanted = wanted | ((F.col(f"__t{i}") > 0) & (rank >= F.col(f"__b{i}")) & (rank < F.col(f"__b{i}") + F.col(f"__s{i}")))
+    located = sizes.filter(wanted)
+    near = parts.join(located, (F.col(FEATURE) == F.col("__lf")) & F.col(KEY).eqNullSafe(F.col("__lk")) & (F.col(RANGE) == F.col("__lr")))
+    inside = Window.partitionBy(FEATURE, KEY, RANGE).orderBy("__y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = near.withColumns({f"__e{i}": F.col(f"__b{i}") + F.sum(f"__w{i}").over(inside) for i in every})
     picked = []
-    for i in [*range(len(folds)), -1]:
-        name = str(i) if i >= 0 else ""
-        here = F.col("__into") == i
-        picked += [F.max(F.when(here, F.col("__stat"))).alias(f"q{name}"),
-                   F.coalesce(F.max(F.when(here, F.col("size"))), F.lit(0)).alias(f"n{name}")]
-    return both.groupBy(FEATURE, KEY).agg(*picked).withColumn("rows", F.col("n"))
+    for i in every:
+        for name, rank in zip(("low", "high"), ranks(i)):
+            here = (rank < F.col(f"__e{i}")) & (rank >= F.col(f"__e{i}") - F.col(f"__w{i}"))
+            picked.append(F.max(F.when(here, F.col("__y"))).alias(f"__{name}{i}"))
+        picked.append(F.coalesce(F.max(f"__t{i}"), F.lit(0)).alias(f"__t{i}"))
+    found, out = ended.groupBy(FEATURE, KEY).agg(*picked), []
+    for i in every:
+        name = str(i) if i < len(folds) else ""
+        (low, high), low_value, high_value = ranks(i), F.col(f"__low{i}"), F.col(f"__high{i}")
+        value = F.when(low == high, low_value).otherwise(low_value * (high - position(i)) + high_value * (position(i) - low))
+        out += [value.alias(f"q{name}"), F.col(f"__t{i}").alias(f"n{name}")]
+    return found.select(FEATURE, KEY, *out).withColumn("rows", F.col("n"))
 
 
 def fit_target_encoder(

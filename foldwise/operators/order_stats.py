@@ -25,7 +25,8 @@ FEW_CUT_POINTS = 64
 CUT_ACCURACY = 20_000
 ROWS_PER_RANGE = 100_000
 
-_BUCKET, _WEIGHT, _VALUE = "__bucket", "__weight", "__value"
+RANGE, _WEIGHT, _VALUE = "__bucket", "__weight", "__value"
+_BUCKET = RANGE
 
 
 def split_ranges(df: DataFrame, column: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from foldwise.frame import require_columns
 
 BLOCK_ROWS = 8192
 MIN_BLOCKS = 8
+QUERY_ROWS = 512
 
 
 def _vector(df: DataFrame, features: Sequence[str]) -> Column:
@@ -37,30 +39,70 @@ def _best_in_block(k: int):
         x = np.stack(points["vector"].to_numpy()).astype(float)
         ids, labels = points["point_id"].to_numpy(), points["label"].to_numpy(dtype=float)
         norms = (x * x).sum(axis=1)
-        out = []
-        for query, v in zip(queries["query_id"], queries["vector"]):
-            v = np.asarray(v, dtype=float)
-            rough = norms - 2.0 * (x @ v)
+        names, out = queries["query_id"].to_numpy(), []
+        for at in range(0, len(queries), QUERY_ROWS):
+            v = np.stack(queries["vector"].iloc[at: at + QUERY_ROWS].to_numpy()).astype(float)
+            rough = norms[None, :] - 2.0 * (v @ x.T)
+            limit = np.full(len(v), np.inf)
             if k < len(ids):
-                limit = np.partition(rough, k - 1)[k - 1]
-                slack = 1e-9 * (abs(limit) + v @ v + norms.max() + 1.0)
-                near = np.flatnonzero(rough <= limit + slack)
-            else:
-                near = np.arange(len(ids))
-            exact = np.sqrt(((x[near] - v) ** 2).sum(axis=1))
-            order = np.argsort(exact, kind="stable")[:k]
+                limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
+                limit = limit + 1e-9 * (np.abs(limit) + (v * v).sum(axis=1) + norms.max() + 1.0)
+            # the few candidates, in the order of query, exact distance and point
+            q, p = np.nonzero(rough <= limit[:, None])
+            exact = np.sqrt(((x[p] - v[q]) ** 2).sum(axis=1))
+            order = np.lexsort((p, exact, q))
+            q, p, exact = q[order], p[order], exact[order]
+            first = np.searchsorted(q, np.arange(len(v)))
+            kept = np.arange(len(q)) - first[q] < k
             out.append(pd.DataFrame({
-                "query_id": query, "point_id": ids[near[order]], "label": labels[near[order]],
-                "distance": exact[order]}))
+                "query_id": names[at: at + QUERY_ROWS][q[kept]], "point_id": ids[p[kept]], "label": labels[p[kept]],
+                "distance": exact[kept]}))
         return pd.concat(out)
     return best
 
 
+@dataclass(frozen=True)
+class ProjectionIndex:
+    """Random projections for large point sets: wider buckets and more tables find more, at more work."""
+
+    bucket_length: float
+    tables: int = 8
+    seed: int = 0
+
+
+def _from_index(points, queries, row_id, features, k, label, exclude_self, index: ProjectionIndex) -> DataFrame:
+    """Neighbours among the points that share a bucket of a random projection with the query."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    require_columns(points, [row_id, *features, *([label] if label else [])])
+    require_columns(queries, [row_id, *features])
+    p = points.select(F.col(row_id).alias("point_id"), array_to_vector(_vector(points, features)).alias("v"))
+    q = queries.select(F.col(row_id).alias("query_id"), array_to_vector(_vector(queries, features)).alias("v"))
+    model = BucketedRandomProjectionLSH(
+        inputCol="v", outputCol="buckets", bucketLength=index.bucket_length, numHashTables=index.tables, seed=index.seed).fit(p)
+    met = model.approxSimilarityJoin(q, p, float("inf"), "distance").select(
+        F.col("datasetA.query_id"), F.col("datasetB.point_id"), "distance")
+    if exclude_self:
+        met = met.filter(F.col("query_id") != F.col("point_id"))
+    best = Window.partitionBy("query_id").orderBy("distance", "point_id")
+    near = met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    value = F.col(label).cast("double") if label else F.lit(None).cast("double")
+    labels = points.select(F.col(row_id).alias("point_id"), value.alias("label"))
+    return near.join(labels, "point_id").select("query_id", "rank", "point_id", "distance", "label")
+
+
 def nearest_neighbours(
     points: DataFrame, queries: DataFrame, row_id: str, features: Sequence[str], k: int = 5,
-    label: str | None = None, exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
+    label: str | None = None, exclude_self: bool = False, block_rows: int = BLOCK_ROWS, index: ProjectionIndex | None = None,
 ) -> DataFrame:
-    """Rows of (query_id, rank, point_id, distance, label), nearest first, ties by point id."""
+    """Rows of (query_id, rank, point_id, distance, label), nearest first, ties by point id.
+
+    Exact, with work that grows with queries x points. With an ``index`` only
+    points that share a bucket with a query are compared, which is approximate.
+    """
+    if index is not None:
+        return _from_index(points, queries, row_id, features, k, label, exclude_self, index)
     if k < 1:
         raise ValueError("k must be at least 1")
     require_columns(points, [row_id, *features, *([label] if label else [])])

@@ -138,7 +138,7 @@ def test_ridge_equals_closed_form(points):
     want = math.sqrt(np.mean((oof_ridge(x, y, 4.0) - y) ** 2))
     assert result.pooled_score("rmse") == approx(want)
     products = fold_products(df, "y", ["a", "b", "c"], "fold")
-    assert products.score(["a", "b", "c"], 4.0, "rmse") == approx(want)
+    assert products.scores({"all": ["a", "b", "c"]}, 4.0, "rmse")["all"] == approx(want)
     assert result.fold_scores("rmse").count() == 3
 
 

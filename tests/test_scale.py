@@ -197,3 +197,17 @@ def test_no_percentile_over_raw_rows(spark, skewed):
         {"groupby_cols": ["id"], "agg_col": "y", "agg_func": "median", "new_col_name": "m"}])
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile(" not in text
+
+
+def test_index_of_neighbours_recalls_most(spark):
+    from foldwise import plans
+    from foldwise.plans.knn import ProjectionIndex
+
+    rows = spark.range(400).select("id", *[((F.xxhash64(F.lit(i), F.col("id") % 40) % 1000) / 100 + (
+        F.xxhash64(F.lit(9 - i), "id") % 1000) / 4000).alias(f"x{i}") for i in range(4)])
+    names = [f"x{i}" for i in range(4)]
+    exact = plans.nearest_neighbours(rows, rows, "id", names, 3, exclude_self=True)
+    found = plans.nearest_neighbours(rows, rows, "id", names, 3, exclude_self=True, index=ProjectionIndex(6.0, 8, 1))
+    same = exact.select("query_id", "point_id").intersect(found.select("query_id", "point_id")).count()
+    assert same >= 0.9 * exact.count()
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
