@@ -321,7 +321,9 @@ def near_pairs(values: DataFrame, value: str = "fingerprint", distance: int = 4,
     require_columns(values, [value])
     ring = Ring(distance)
     distinct = values.filter(F.col(value).isNotNull()).select(F.col(value).cast("bigint").alias("v")).distinct()
-    keyed = distinct.select(F.explode(_keys(ring, "v")).alias("k"), "v").select("k.chain", "k.key", "v")
+    # few bytes now, but each value becomes many rows: keep them spread over the tasks
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.repartition(tasks, "v").select(F.explode(_keys(ring, "v")).alias("k"), "v").select("k.chain", "k.key", "v")
     grouped = keyed.repartition("chain", "key").sortWithinPartitions("chain", "key", "v")
     found = materialise(grouped.mapInArrow(lambda batches: _pair_groups(batches, ring, crowd), "a bigint, b bigint").distinct())
     pairs = found.filter(F.col("b").isNotNull())
