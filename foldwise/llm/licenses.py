@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import materialise, require_columns, require_text
+from foldwise.operators.lookup import Lookup, attach, fit_lookup
 
 #: fixed values: short forms of well-known licences
 TEMPLATES = (
@@ -109,8 +110,7 @@ def scan_licences(
     own = best.select(F.col("path").alias("__p"), F.col("hash").alias("__h"), F.col("licence").alias("__own"),
                       F.col("score").alias("__score"))
     found = rows.drop(text).join(own, F.col(path).eqNullSafe(F.col("__p")) & (F.col("__hash") == F.col("__h")), "left").drop("__p", "__h")
-    above = _inherited(found, path)
-    joined = found.join(above, "__dir", "left")
+    joined = attach(found, _inherited(found, path), on=["__dir"])
     result = joined.select(
         *[F.col(f"`{c}`") for c in rest if c != text], F.col("__hash"),
         F.coalesce("__own", "__from").alias("licence"),
@@ -164,18 +164,24 @@ def _matches(rows: DataFrame, path: str, text: str, vectors, threshold: float) -
     return good.withColumn("n", F.row_number().over(first)).filter(F.col("n") == 1).select("path", "hash", "licence", "score")
 
 
-def _inherited(found: DataFrame, path: str) -> DataFrame:
-    """For each directory with files the licence of the nearest directory at or above it: (__dir, __from, ...)."""
+def _inherited(found: DataFrame, path: str) -> Lookup:
+    """For each directory with files the licence of the nearest directory at or above it.
+
+    The table has a row per directory and knows how many files each holds, so
+    that a directory with many of them does not gather in one task.
+    """
+    light = materialise(found.filter(F.col("__dir").isNotNull()).select(path, "__dir", "__is_file", "__own", "__score"))
     first = Window.partitionBy("__dir").orderBy(F.desc("__score"), F.asc(path), F.asc("__own"))
-    holders = found.filter(F.col("__is_file") & F.col("__own").isNotNull() & F.col("__dir").isNotNull()).select(
-        "__dir", path, "__own", "__score").withColumn("n", F.row_number().over(first)).filter(F.col("n") == 1)
+    holders = light.filter(F.col("__is_file") & F.col("__own").isNotNull()).withColumn(
+        "n", F.row_number().over(first)).filter(F.col("n") == 1)
     holders = materialise(holders.select(F.col("__dir").alias("__from_dir"), F.col("__own").alias("__from"), F.col("__score").alias("__from_score")))
-    dirs = found.select("__dir").filter(F.col("__dir").isNotNull()).distinct()
+    dirs = light.groupBy("__dir").agg(F.count(F.lit(1)).alias("__files"))
     parts = F.split("__dir", "/")
     up = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(
         i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("up")))
     # a directory and all above it, the root ('') included
-    ways = dirs.select("__dir", F.inline(F.when(F.col("__dir") == "", F.slice(up, 1, 1)).otherwise(up)))
+    ways = dirs.select("__dir", "__files", F.inline(F.when(F.col("__dir") == "", F.slice(up, 1, 1)).otherwise(up)))
     met = ways.join(holders, F.col("up") == F.col("__from_dir"))
-    return met.groupBy("__dir").agg(F.max_by(F.struct("__from", "__from_score", "__from_dir"), "depth").alias("f")).select(
-        "__dir", "f.*")
+    nearest = met.groupBy("__dir").agg(
+        F.max_by(F.struct("__from", "__from_score", "__from_dir"), "depth").alias("f"), F.max("__files").alias("__files"))
+    return fit_lookup(nearest.select("__dir", "f.*", "__files"), ["__dir"], ["__from", "__from_score", "__from_dir"], rows="__files")
