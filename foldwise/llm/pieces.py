@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +34,9 @@ UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHARS = 1 << 20
-KNOWN_UNITS = 500_000
+CHARS = 1 << 19
+TOKENS = 1 << 18
+KNOWN_UNITS = 300_000
 #: marks and what follows up to the next mark
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 PROBES = (
@@ -190,16 +192,21 @@ def build_tokenizer(model: PieceModel):
     return tokenizer
 
 
+def _threads(n: int) -> None:
+    """Threads of the library in this worker; they are counted when it first runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "true" if n > 1 else "false"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(n))
+
+
 class Codec:
-    """Encodes and decodes batches; ids are checked against SentencePiece."""
+    """Encodes batches; ids are checked against SentencePiece."""
 
     def __init__(self, path: str, threads: int = 2):
-        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
-        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+        _threads(threads)
         import sentencepiece
 
         self.model = load_model(path)
-        self.tokenizer = build_tokenizer(self.model)
+        self.tokenizer = _decoder(path)
         self.check = sentencepiece.SentencePieceProcessor(model_file=path)
         self.shown = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
                       for p, k in zip(self.model.pieces, self.model.kinds)]
@@ -230,10 +237,12 @@ class Codec:
 
         Where the two differ the ids of SentencePiece count.
         """
-        shown = [n.replace(MARK, " ") for n in normal]
         cut = self.model.add_dummy_prefix
+        shown = [n.replace(MARK, " ") for n in normal]
         shown = [n[1:] if cut and n.startswith(" ") else n for n in shown]
         wanted = self.check.encode(shown)
+        # a lone mark ends a text that ends in a space; no text of its own gives it
+        wanted = [[self.check.piece_to_id(MARK)] if n == MARK else w for n, w in zip(normal, wanted)]
         parity = np.array([a == b for a, b in zip(ids, wanted)], bool)
         table = self.shown
         back = (b"".join([table[i] for i in own]) for own in wanted)
@@ -281,9 +290,10 @@ class Codec:
         return (self.unit_ids[place], per_text(size), per_text(~self.unit_parity[at]) == 0,
                 per_text(~self.unit_trip[at]) == 0)
 
-    def decode(self, ids: Sequence[Sequence[int]]) -> list[str]:
-        """Texts of id lists; bytes that do not form UTF-8 become replacement characters."""
-        return self.tokenizer.decode_batch(list(ids), skip_special_tokens=False)
+
+@functools.cache
+def _decoder(path: str):
+    return build_tokenizer(load_model(path))
 
 
 @functools.cache
@@ -338,20 +348,33 @@ def encode(df: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, thread
 def decode(df: DataFrame, ids: str = "token_ids", out: str = "text", model: str = DEFAULT_MODEL, threads: int = 2) -> DataFrame:
     """Add the text of each id list. A null list has a null text; a column named ``out`` is replaced.
 
-    Null ids are skipped; ids outside the vocabulary raise an error.
+    Null ids are skipped; ids outside the vocabulary raise an error; bytes that do
+    not form UTF-8 become replacement characters.
     """
     require_columns(df, [ids])
 
     def compute():
-        def function(batch: pa.RecordBatch) -> list[pa.Array]:
-            codec = _codec(model, threads)
-            lists = [None if x is None else [i for i in x if i is not None] for x in batch.column(0).to_pylist()]
-            worst = max((i for x in lists if x for i in x), default=0)
-            least = min((i for x in lists if x for i in x), default=0)
-            if least < 0 or worst >= len(codec.model.pieces):
+        _threads(threads)
+        size = len(load_model(model).pieces)
+
+        def texts(lists: pa.Array) -> list[str | None]:
+            flat = lists.flatten()
+            if len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= size):
                 raise ValueError("a token id is not in the vocabulary")
-            texts = codec.decode([x or [] for x in lists])
-            return [pa.array([None if x is None else t for x, t in zip(lists, texts)], pa.string())]
+            found = [None if x is None else [i for i in x if i is not None] for x in lists.to_pylist()]
+            back = _decoder(model).decode_batch([x or [] for x in found], skip_special_tokens=False)
+            return [None if x is None else t for x, t in zip(found, back)]
+
+        def function(batch: pa.RecordBatch) -> list[pa.Array]:
+            # id lists become Python numbers, so only so many at a time
+            column, parts, first, held = batch.column(0), [], 0, 0
+            for i, n in enumerate(pc.fill_null(pc.list_value_length(column), 0).to_pylist()):
+                held += n
+                if held >= TOKENS:
+                    parts.append(pa.array(texts(column[first: i + 1]), pa.string()))
+                    first, held = i + 1, 0
+            parts.append(pa.array(texts(column[first:]), pa.string()))
+            return [pa.concat_arrays(parts)]
         return function
 
     return append_columns(df.withColumn(ids, F.col(ids).cast("array<int>")), [T.StructField(out, T.StringType())], compute, [ids])

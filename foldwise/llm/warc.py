@@ -246,8 +246,6 @@ def _search(read: Callable[[int, int], bytes], at: int, size: int, mark: bytes,
 
 def _plain(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int, int, Record | str]]:
     def good(at: int) -> bool:
-        if at and read(at - 1, 1) != b"\n":
-            return False
         try:
             parse_record(read, at)
         except Damage:
