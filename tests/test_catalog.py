@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+import catalog
 from tools.check import normal
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables are not here")
 
@@ -34,6 +35,7 @@ def test_same_rows(spark, db, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).limit(1).count() == 1
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) == set(QUERIES)
 
 
 def test_no_row_wise_python(spark):
