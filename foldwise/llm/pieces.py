@@ -317,20 +317,24 @@ ENCODED = [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructFie
            T.StructField("round_trip", T.BooleanType()), T.StructField("parity", T.BooleanType())]
 
 
-def encode(df: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, threads: int = 2) -> DataFrame:
+def encode(
+    df: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, threads: int = 2, decoded: str | None = None,
+) -> DataFrame:
     """Add ``token_ids``, ``n_tokens``, ``round_trip`` and ``parity`` of each whole text.
 
     ``round_trip`` tells whether the ids decode to the normalised text, ``parity``
     whether the rebuilt tokenizer gave SentencePiece's ids; where it did not, the
     ids are SentencePiece's. A null text has null ids, 0 tokens and null checks;
     an empty one has no ids. The model file must be readable in the tasks.
+    With ``decoded`` a column of that name gets the text that the ids decode to.
     Columns of these names are replaced.
     """
     require_text(df, text)
 
     def compute():
+        codec = _codec(model, threads)
+
         def function(batch: pa.RecordBatch) -> list[pa.Array]:
-            codec = _codec(model, threads)
             texts = batch.column(0).to_pylist()
             parts = [codec.encode([t or "" for t in texts[rows]]) for rows in _pieces_of(texts)]
             ids, sizes, parity, trip = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int32),) * 4
@@ -338,11 +342,35 @@ def encode(df: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, thread
             bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             lists = pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()), mask=none)
             missing = np.array([t is None for t in texts], bool)
+            back = [] if decoded is None else [_texts(lists, model)]
             return [lists, pa.array(sizes, pa.int64()), pa.array(trip.astype(bool), mask=missing),
-                    pa.array(parity.astype(bool), mask=missing)]
+                    pa.array(parity.astype(bool), mask=missing), *back]
+        function.done = codec.forget
         return function
 
-    return append_columns(df, ENCODED, compute, [text])
+    more = [] if decoded is None else [T.StructField(decoded, T.StringType())]
+    return append_columns(df, [*ENCODED, *more], compute, [text])
+
+
+def _texts(column: pa.Array, model: str) -> pa.Array:
+    """Decoded texts; id lists become Python numbers, so only about TOKENS of them at a time."""
+    size = len(load_model(model).pieces)
+
+    def texts(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        if len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= size):
+            raise ValueError("a token id is not in the vocabulary")
+        found = [None if x is None else [i for i in x if i is not None] for x in lists.to_pylist()]
+        back = _decoder(model).decode_batch([x or [] for x in found], skip_special_tokens=False)
+        return pa.array([None if x is None else t for x, t in zip(found, back)], pa.string())
+
+    parts, first, held = [], 0, 0
+    for i, n in enumerate(pc.fill_null(pc.list_value_length(column), 0).to_pylist()):
+        held += n
+        if held >= TOKENS:
+            parts.append(texts(column[first: i + 1]))
+            first, held = i + 1, 0
+    return pa.concat_arrays([*parts, texts(column[first:])])
 
 
 def decode(df: DataFrame, ids: str = "token_ids", out: str = "text", model: str = DEFAULT_MODEL, threads: int = 2) -> DataFrame:
@@ -355,26 +383,6 @@ def decode(df: DataFrame, ids: str = "token_ids", out: str = "text", model: str
 
     def compute():
         _threads(threads)
-        size = len(load_model(model).pieces)
-
-        def texts(lists: pa.Array) -> list[str | None]:
-            flat = lists.flatten()
-            if len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= size):
-                raise ValueError("a token id is not in the vocabulary")
-            found = [None if x is None else [i for i in x if i is not None] for x in lists.to_pylist()]
-            back = _decoder(model).decode_batch([x or [] for x in found], skip_special_tokens=False)
-            return [None if x is None else t for x, t in zip(found, back)]
-
-        def function(batch: pa.RecordBatch) -> list[pa.Array]:
-            # id lists become Python numbers, so only so many at a time
-            column, parts, first, held = batch.column(0), [], 0, 0
-            for i, n in enumerate(pc.fill_null(pc.list_value_length(column), 0).to_pylist()):
-                held += n
-                if held >= TOKENS:
-                    parts.append(pa.array(texts(column[first: i + 1]), pa.string()))
-                    first, held = i + 1, 0
-            parts.append(pa.array(texts(column[first:]), pa.string()))
-            return [pa.concat_arrays(parts)]
-        return function
+        return lambda batch: [_texts(batch.column(0), model)]
 
     return append_columns(df.withColumn(ids, F.col(ids).cast("array<int>")), [T.StructField(out, T.StringType())], compute, [ids])

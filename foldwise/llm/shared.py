@@ -15,6 +15,7 @@ __all__ = ["append_columns", "materialise", "no_rows", "require_columns", "requi
            "texts_of", "with_fields", "work_folder"]
 
 LEAST = -(1 << 63)
+PART_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,7 +49,8 @@ def append_columns(
     """Add columns computed from Arrow batches.
 
     ``compute()`` is called once per task and returns a function from a batch
-    with the ``inputs`` to one array per field. A column of ``df`` that has the
+    with the ``inputs`` to one array per field; the function may have an attribute
+    ``done`` to be called at the task's end. A column of ``df`` that has the
     name of a new field is replaced.
     """
     require_columns(df, inputs)
@@ -60,10 +62,18 @@ def append_columns(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = compute()
-        for batch in batches:
-            given = pa.RecordBatch.from_arrays([batch.column(f"__in_{c}") for c in inputs], list(inputs))
-            arrays = [batch.column(i) for i in range(len(kept))] + function(given)
-            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+        try:
+            for whole in batches:
+                # what is computed at once is bounded by bytes, not by rows
+                step = max(1, whole.num_rows * PART_BYTES // max(1, whole.nbytes))
+                for at in range(0, max(1, whole.num_rows), step):
+                    batch = whole.slice(at, step)
+                    given = pa.RecordBatch.from_arrays([batch.column(f"__in_{c}") for c in inputs], list(inputs))
+                    arrays = [batch.column(i) for i in range(len(kept))] + function(given)
+                    yield pa.RecordBatch.from_arrays(arrays, schema.names)
+        finally:
+            # workers outlive their tasks; what a task has gathered does not
+            getattr(function, "done", lambda: None)()
 
     return sent.mapInArrow(run, schema)
 
