@@ -8,6 +8,11 @@ threshold if it holds one of a template's heaviest words, so only such
 stretches are vectorised. Files without a licence of their own inherit the one
 of the nearest directory above them that holds a licence file.
 
+Notices, licence texts and SPDX tags are looked for apart from lines: a stretch
+has as many words as the notice, so comment marks and line ends do not matter.
+Its vector has the weight of each distinct word. A text is only cut into
+stretches for the notices of which it holds enough words to reach the threshold.
+
 The templates are a parameter of bounded size; directories are reduced to
 distinct ones before they are joined, and only file names, no texts, are
 shuffled for it.
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +39,43 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("Proprietary", "All rights reserved."),
 )
+_GNU = ("This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License "
+        "as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version. ")
+_GNU_END = ("This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+            "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License for more details.")
+#: fixed values: notices at the head of files, found anywhere in a text
+NOTICES = (
+    *TEMPLATES,
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+     "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law "
+     "or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+     "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+     "limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    *((name, part.format(what, kind, version)) for name, what, kind, version in (
+        ("AGPL-3.0", "program", "Affero ", "3"), ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"),
+        ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "library", "Lesser ", "3")) for part in (_GNU, _GNU + _GNU_END)),
+)
+#: fixed values: headings, which have a line of their own
+TITLES = (
+    ("Apache-2.0", "Apache License Version 2.0"), ("Apache-2.0", "Apache License 2.0"), ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("GPL-2.0", "GNU General Public License Version 2"),
+    ("GPL-3.0", "GNU General Public License Version 3"), ("ISC", "ISC License"), ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
+SPDX = (r"(?i)SPDX-License-Identifier:[ \t]*(\(?[a-z0-9][a-z0-9.+-]*\)?"
+        r"(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[a-z0-9][a-z0-9.+-]*\)?)*)")
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense|notice)([.-][^/]*)?$"
 MAX_TEMPLATE_WORDS = 100_000
+BODY_WORDS = 50
+SHIFTS = 10
+
+
+def licence_texts() -> list[tuple[str, str]]:
+    """Names and wordings of whole licences."""
+    files = resources.files("foldwise.llm").joinpath("licence_texts").iterdir()
+    return sorted((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in files if f.name.endswith(".txt"))
 
 
 def words(text: Column) -> Column:
@@ -77,6 +118,7 @@ def _heavy_words(weights: dict[str, float], threshold: float) -> list[str]:
 def scan_licences(
     df: DataFrame, path: str = "path", text: str = "text", licence_file: Column | None = None,
     templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.8,
+    notices: Sequence[tuple[str, str]] | None = None, notice_threshold: float = 0.8,
 ) -> DataFrame:
     """Add ``licence``, ``licence_score``, ``licence_origin`` and ``licence_dir`` to every file.
 
@@ -87,6 +129,11 @@ def scan_licences(
     highest cosine (to six digits), then the smallest template name; of several
     licence files in a directory the best match counts, then the smallest path.
 
+    ``notices`` (by default, with the default templates: ``NOTICES``, ``TITLES``
+    and ``licence_texts()``, with SPDX tags) are compared with stretches of as
+    many words anywhere in the text. What is found in ``BODY_WORDS`` words or more
+    and SPDX tags, whose expression is the licence, come before matching lines.
+
     A null path has no directory; null and empty texts match nothing. Repeated
     rows are kept and get the same result. Without templates nothing matches.
     Columns with the names of outputs are replaced.
@@ -98,15 +145,35 @@ def scan_licences(
     vectors = [v for v in vectors if v[2]]
     if sum(len(c) for _, _, c in vectors) > MAX_TEMPLATE_WORDS:
         raise ValueError("too many templates")
+    known = notices is None and templates is TEMPLATES
+    wordings = [(name, body, False) for name, body in (NOTICES if known else notices or ())]
+    if known:
+        wordings += [(name, body, False) for name, body in licence_texts()] + [(name, body, True) for name, body in TITLES]
+    wordings = [w for w in wordings if _counts(w[1])]
+    if sum(len(_counts(body)) for _, body, _ in wordings) > MAX_TEMPLATE_WORDS:
+        raise ValueError("too many notices")
     is_file = F.coalesce(F.col(path).rlike(LICENCE_FILE) if licence_file is None else licence_file, F.lit(False))
     rest = [c for c in df.columns if c not in outputs]
     marked = df.select(*[F.col(f"`{c}`") for c in rest], is_file.alias("__is_file"), F.xxhash64(text).alias("__hash"))
     rows = marked.withColumn("__dir", F.when(F.instr(path, "/") > 0, F.regexp_extract(path, "^(.*)/[^/]*$", 1)).otherwise(
         F.when(F.col(path).isNotNull(), F.lit(""))))
-    if not vectors:
+    if not vectors and not wordings:
         return df.select(*rest, *[F.lit(None).cast(t).alias(c) for c, t in zip(
             outputs, ("string", "double", "string", "string"))])
-    best = materialise(_matches(marked, path, text, vectors, threshold))
+    vocabulary = sorted({w for _, _, c in vectors for w in c} | {w for _, body, _ in wordings for w in _counts(body)})
+    idf, other = inverse_frequencies(marked, text, vocabulary)
+    best = _matches(marked, path, text, vectors, threshold, idf, other) if vectors else None
+    if wordings:
+        more = _notices(marked, path, text, wordings, notice_threshold, idf, other, known)
+        both = more.withColumn("line", F.lit(False))
+        if best is not None:
+            both = both.unionByName(best.withColumns({"body": F.lit(False), "line": F.lit(True)}))
+        # a licence that a line matches keeps the score of the line
+        lined = F.max(F.when(F.col("line"), F.col("licence"))).over(Window.partitionBy("path", "hash"))
+        both = both.withColumn("lined", lined).filter(F.col("line") | F.col("body") | ~F.col("licence").eqNullSafe(F.col("lined")))
+        first = Window.partitionBy("path", "hash").orderBy(F.desc("body"), F.desc("score"), F.asc("licence"))
+        best = both.withColumn("n", F.row_number().over(first)).filter(F.col("n") == 1).drop("n", "body", "line", "lined")
+    best = materialise(best)
     own = best.select(F.col("path").alias("__p"), F.col("hash").alias("__h"), F.col("licence").alias("__own"),
                       F.col("score").alias("__score"))
     found = rows.drop(text).join(own, F.col(path).eqNullSafe(F.col("__p")) & (F.col("__hash") == F.col("__h")), "left").drop("__p", "__h")
@@ -125,11 +192,70 @@ def _stretch(n: int):
     return lambda i: F.struct(F.lit(n).alias("lines"), F.array_join(F.slice("lines", i, n), "\n").alias("unit"))
 
 
-def _matches(rows: DataFrame, path: str, text: str, vectors, threshold: float) -> DataFrame:
+def _least_shared(weights: Sequence[float], threshold: float) -> int:
+    """How many distinct words of a notice a text must hold at least to reach the threshold."""
+    left, n = threshold * threshold * sum(w * w for w in weights) * (1 - 1e-9), 0
+    for w in sorted(weights, reverse=True):
+        if left <= 0:
+            break
+        left, n = left - w * w, n + 1
+    return n
+
+
+def _list(values: Sequence[str]) -> Column:
+    return F.split(F.lit(" ".join(values)), " ")
+
+
+def _notices(
+    rows: DataFrame, path: str, text: str, wordings, threshold: float, idf: dict[str, float], other: float, tags: bool,
+) -> DataFrame:
+    """(path, hash, licence, score, body) of the stretches that match a notice, and of SPDX tags."""
+    spark = rows.sparkSession
+    facts, seen = [], []
+    for i, (name, body, title) in enumerate(wordings):
+        own = sorted(_counts(body))
+        weights, size = [idf[w] for w in own], sum(_counts(body).values())
+        least = _least_shared(weights, threshold)
+        facts.append((i, name, own, math.sqrt(sum(w * w for w in weights)), least, size, max(1, size // SHIFTS), title))
+        seen.append((own, least))
+    every = _list(sorted({w for own, _ in seen for w in own}))
+    # the words of a text are cut and met with the vocabulary once
+    near = F.transform(F.array(F.array_intersect(words(F.col(text)), every)), lambda have: F.filter(
+        F.array(*[F.when(F.size(F.array_intersect(have, _list(own))) >= least, F.lit(i)) for i, (own, least) in enumerate(seen)]),
+        lambda i: i.isNotNull()))[0]
+    tag = F.regexp_extract(text, SPDX, 1) if tags else F.lit("")
+    held = rows.select(F.col(path).alias("path"), F.col("__hash").alias("hash"), F.col("__is_file").alias("is_file"),
+                       F.col(text).alias("text"), near.alias("near"), tag.alias("tag"))
+    held = materialise(held.filter((F.size("near") > 0) | (F.col("tag") != "")).dropDuplicates(["path", "hash"]))
+    table = F.broadcast(spark.createDataFrame(
+        facts, "i int, licence string, own array<string>, norm double, least int, size int, step int, title boolean"))
+    cut = held.select("path", "hash", "is_file", "text", words(F.col("text")).alias("words"), F.explode("near").alias("i")).join(table, "i")
+    last = F.greatest(F.size("words") - F.col("size") + 1, F.lit(1))
+    starts = F.array_distinct(F.array_append(F.sequence(F.lit(1), last, F.col("step")), last))
+    stretches = F.transform(starts, lambda s: F.slice("words", s, F.col("size")))
+    lines = F.transform(F.split("text", "\r?\n"), lambda line: words(line))
+    units = F.concat(F.when(F.col("title"), lines).otherwise(stretches),
+                     F.when(F.col("is_file"), F.array("words")).otherwise(F.slice(F.array("words"), 1, 0)))
+    # numbered once and written, so that the numbers stay
+    units = materialise(cut.select("path", "hash", "i", "licence", "own", "norm", (F.col("size") >= BODY_WORDS).alias("body"), F.explode(
+        F.filter(units, lambda u: F.size(F.array_intersect(u, F.col("own"))) >= F.col("least"))).alias("u")).withColumn(
+        "uid", F.monotonically_increasing_id()))
+    weight = F.broadcast(spark.createDataFrame(list(idf.items()), "word string, x double"))
+    square = F.pow(F.coalesce("x", F.lit(other)), F.lit(2.0))
+    mass = units.select("uid", "own", F.explode(F.array_distinct("u")).alias("word")).join(weight, "word", "left").groupBy("uid").agg(
+        F.sum(F.when(F.array_contains("own", F.col("word")), square)).alias("dot"), F.sqrt(F.sum(square)).alias("length"))
+    scored = units.join(mass, "uid").select(
+        "path", "hash", "licence", F.round(F.col("dot") / (F.col("length") * F.col("norm")), 6).alias("score"), "body")
+    return scored.filter(F.col("score") >= threshold).unionByName(held.filter(F.col("tag") != "").select(
+        "path", "hash", F.col("tag").alias("licence"), F.lit(1.0).alias("score"), F.lit(True).alias("body")))
+
+
+def _matches(
+    rows: DataFrame, path: str, text: str, vectors, threshold: float, idf: dict[str, float], other: float,
+) -> DataFrame:
     """The best template of each (path, text hash) that has one."""
     spark = rows.sparkSession
     vocabulary = sorted({w for _, _, c in vectors for w in c})
-    idf, other = inverse_frequencies(rows, text, vocabulary)
     weights = [(name, {w: n * idf[w] for w, n in counts.items()}, body.strip().count("\n") + 1) for name, body, counts in vectors]
     heavy = sorted({w for _, own, _ in weights for w in _heavy_words(own, threshold)})
     pattern = "(?i)(^|[^a-zA-Z0-9])(" + "|".join(heavy) + ")($|[^a-zA-Z0-9])"

@@ -64,3 +64,24 @@ def test_scores_against_a_plain_computation(spark):
             best = max(best, (cosine, name), key=lambda b: b[0])
         assert got[path].licence == (best[1] if best[0] >= 0.3 else None)
         assert got[path].licence is None or abs(got[path].licence_score - best[0]) < 1e-6
+
+
+def test_notices_texts_and_tags(spark):
+    texts = dict(licenses.licence_texts())
+    bsd = dict(licenses.TEMPLATES)["BSD-3-Clause"].split()
+    comment = "\n".join(f" * {line}" for line in texts["MIT"].splitlines())
+    cases = {
+        "mit": (f"/*\n * Copyright (c) 2020 Some Body. All rights reserved.\n{comment}\n */\nint main() {{ return 0; }}\n" * 2, "MIT"),
+        "wrapped": (f"# {' '.join(bsd[:9])}\n# {' '.join(bsd[9:])}\nimport os\n" + "x = 1\n" * 50, "BSD-3-Clause"),
+        "within": ("# Copyright 2019 The Authors. Licensed under the Apache License, Version 2.0. More of it\ny = 2", "Apache-2.0"),
+        "tag": ("// SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note\nvoid f();", "GPL-2.0-only WITH Linux-syscall-note"),
+        "either": ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nz", "(MIT OR Apache-2.0)"),
+        "title": ("MIT License\n\nCopyright (c) 2021 Any One", "MIT"),
+        "prose": ("The MIT course told us that a license of the library may be granted to any person.\n" * 40, None),
+        "lines": ("All rights reserved.\n" + texts["BSD-2-Clause"], "BSD-2-Clause"),
+        "moved": ("x " * 7 + texts["GPL-3.0"], "GPL-3.0"),
+        **{name: (body, name) for name, body in texts.items()}}
+    got = scan(spark, [(f"{name}/f", text) for name, (text, _) in cases.items()] + [(f"n{i}/g", f"plain words {i}") for i in range(60)])
+    found = {name: got[f"{name}/f"].licence for name in cases}
+    assert found == {name: want for name, (_, want) in cases.items()}
+    assert all(got[f"n{i}/g"].licence is None for i in range(60))
