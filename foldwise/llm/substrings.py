@@ -135,7 +135,8 @@ def _runs(df: DataFrame, key: str, text: str, windows: Windows) -> DataFrame:
 def _extensions(df: DataFrame, key: str, text: str, seeds: DataFrame, windows: Windows) -> DataFrame:
     """One row per window of the given runs: (did, th, start, anchor, words, again)."""
     did, th = row_key(df, key, text)
-    lists = seeds.groupBy("did", "th").agg(F.collect_list(F.struct("start", "size", "anchor")).alias("seeds"))
+    # rows that repeat id and text give the same seeds, each of which counts once
+    lists = seeds.groupBy("did", "th").agg(F.collect_set(F.struct("start", "size", "anchor")).alias("seeds"))
     docs = df.select(did.alias("did"), th.alias("th"), F.col(text).alias("text"))
     # rows that repeat id and text are the same document here
     joined = docs.join(lists, ["did", "th"]).select("did", "th", "text", "seeds")

@@ -83,3 +83,12 @@ def test_runs_do_not_depend_on_chunks(monkeypatch):
     assert whole[0] == list(range(2994))
     monkeypatch.setattr(substrings, "CHUNK", 50)
     assert hashes() == whole
+
+
+def test_repeated_row_is_the_first_holder(spark):
+    whole = [f"w{i}" for i in range(30)]
+    rows = [(3, " ".join(whole))] * 2 + [(10 + i, " ".join([f"p{i}", *whole[i:i + 9], f"q{i}"])) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = ["n_words", "n_removed", "kept_sha256"]
+    got = sorted(tuple(r) for r in substrings.drop_repeats(frame, min_words=6, outputs=out).select("doc_id", *out).collect())
+    assert got == brute(rows, 6) and got[0][2] == got[1][2] == 0
