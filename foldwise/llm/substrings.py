@@ -32,7 +32,7 @@ from foldwise.llm.shared import append_columns, materialise, require_columns, re
 from foldwise.llm.words import Rolling, hashed, mix
 
 CHUNK = 1 << 17
-_RUNS = "did bigint, th int, start int, size int, anchor bigint, content bigint, again boolean"
+_RUNS = "did bigint, th bigint, tl int, start int, size int, anchor bigint, content bigint, again boolean"
 
 
 class Windows:
@@ -119,37 +119,40 @@ def _runs(df: DataFrame, key: str, text: str, windows: Windows) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for first, bounds, words in hashed(texts_of(batch.column(2))):
+            lengths = batch.column(2).fill_null(0).to_numpy()
+            for first, bounds, words in hashed(texts_of(batch.column(3))):
                 owner, start, size, seed, content = windows.runs(bounds, words)
                 again = _seen_before(owner, seed, content)
                 # a repeat inside its document is settled; a key of its own keeps it from gathering anywhere
                 seed = np.where(again, mix(content ^ (start.astype(np.uint64) << np.uint64(20)) ^ owner.astype(np.uint64)), seed)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[first + owner]), pa.array(marks[first + owner]), pa.array(start.astype(np.int32)),
+                    pa.array(ids[first + owner]), pa.array(marks[first + owner]), pa.array(lengths[first + owner]),
+                    pa.array(start.astype(np.int32)),
                     pa.array(size.astype(np.int32)), pa.array(seed.view(np.int64)), pa.array(content.view(np.int64)),
-                    pa.array(again)], ["did", "th", "start", "size", "anchor", "content", "again"])
+                    pa.array(again)], ["did", "th", "tl", "start", "size", "anchor", "content", "again"])
 
-    return df.select(did.alias("did"), th.alias("th"), F.col(text).alias("text")).mapInArrow(run, _RUNS)
+    return df.select(did.alias("did"), th.alias("th"), F.octet_length(text).alias("tl"), F.col(text).alias("text")).mapInArrow(run, _RUNS)
 
 
 def _extensions(df: DataFrame, key: str, text: str, seeds: DataFrame, windows: Windows) -> DataFrame:
-    """One row per window of the given runs: (did, th, start, anchor, words, again)."""
+    """One row per window of the given runs: (did, th, tl, start, anchor, words, again)."""
     did, th = row_key(df, key, text)
     # rows that repeat id and text give the same seeds, each of which counts once
-    lists = seeds.groupBy("did", "th").agg(F.collect_set(F.struct("start", "size", "anchor")).alias("seeds"))
-    docs = df.select(did.alias("did"), th.alias("th"), F.col(text).alias("text"))
+    lists = seeds.groupBy("did", "th", "tl").agg(F.collect_set(F.struct("start", "size", "anchor")).alias("seeds"))
+    docs = df.select(did.alias("did"), th.alias("th"), F.octet_length(text).alias("tl"), F.col(text).alias("text"))
     # rows that repeat id and text are the same document here
-    joined = docs.join(lists, ["did", "th"]).select("did", "th", "text", "seeds")
+    joined = docs.join(lists, ["did", "th", "tl"]).select("did", "th", "tl", "text", "seeds")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            lists = batch.column(3)
+            lengths = batch.column(2).fill_null(0).to_numpy()
+            lists = batch.column(4)
             offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             flat = lists.flatten()
             starts, sizes = flat.field("start").to_numpy(), flat.field("size").to_numpy()
             anchors = flat.field("anchor").to_numpy()
-            for first, bounds, words in hashed(texts_of(batch.column(2))):
+            for first, bounds, words in hashed(texts_of(batch.column(3))):
                 for i in range(len(bounds) - 1):
                     own = slice(offsets[first + i], offsets[first + i + 1])
                     order = np.argsort(starts[own], kind="stable")
@@ -161,16 +164,17 @@ def _extensions(df: DataFrame, key: str, text: str, seeds: DataFrame, windows: W
                     again = _seen_before(np.zeros(len(at), np.int64), seed.view(np.uint64), values)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(at), ids[first + i])), pa.array(np.full(len(at), marks[first + i])),
+                        pa.array(np.full(len(at), lengths[first + i])),
                         pa.array(at.astype(np.int32)), pa.array(seed), pa.array(values.view(np.int64)), pa.array(again),
-                    ], ["did", "th", "start", "anchor", "words", "again"])
+                    ], ["did", "th", "tl", "start", "anchor", "words", "again"])
 
-    return joined.mapInArrow(run, "did bigint, th int, start int, anchor bigint, words bigint, again boolean")
+    return joined.mapInArrow(run, "did bigint, th bigint, tl int, start int, anchor bigint, words bigint, again boolean")
 
 
 def repeated_windows(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 20, anchor_words: int | None = None,
 ) -> DataFrame:
-    """Rows (did, th, start, size): ``size`` windows from word ``start`` on that repeat an earlier one."""
+    """Rows (did, th, tl, start, size): ``size`` windows from word ``start`` on that repeat an earlier one."""
     require_text(df, text)
     require_columns(df, [key])
     windows = Windows(min_words, anchor_words or max(1, min_words * 2 // 5))
@@ -186,18 +190,18 @@ def repeated_windows(
         .filter(F.col("again") | F.col("single").isNotNull())
         .withColumn("again", F.col("again") | (F.col("single") & (F.col("did") > F.col("oldest"))))
         .filter(F.col("again") | ~F.col("single"))
-        .select("did", "th", "start", "size", "anchor", "content", "again"))
-    spans = found.filter("again").select("did", "th", "start", "size")
+        .select("did", "th", "tl", "start", "size", "anchor", "content", "again"))
+    spans = found.filter("again").select("did", "th", "tl", "start", "size")
     open_runs = found.filter(~F.col("again"))
     oldest = open_runs.groupBy("anchor", "content").agg(F.min("did").alias("oldest"))
     judged = materialise(open_runs.join(oldest, ["anchor", "content"]).select(
-        "did", "th", "start", "size", "anchor", (F.col("did") > F.col("oldest")).alias("again")))
-    copies = judged.filter("again").select("did", "th", "start", "size")
+        "did", "th", "tl", "start", "size", "anchor", (F.col("did") > F.col("oldest")).alias("again")))
+    copies = judged.filter("again").select("did", "th", "tl", "start", "size")
     extended = materialise(_extensions(df, key, text, judged.filter(~F.col("again")), windows))
     first = extended.filter(~F.col("again")).groupBy("anchor", "words").agg(
         F.count(F.lit(1)).alias("n"), F.min("did").alias("oldest")).filter(F.col("n") > 1)
     later = extended.join(first.select("anchor", "words", "oldest"), ["anchor", "words"], "left").filter(
-        F.col("again") | (F.col("did") > F.col("oldest"))).select("did", "th", "start", F.lit(1).alias("size"))
+        F.col("again") | (F.col("did") > F.col("oldest"))).select("did", "th", "tl", "start", F.lit(1).alias("size"))
     return spans.unionByName(copies).unionByName(later)
 
 
@@ -238,11 +242,11 @@ def drop_repeats(
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
     did, th = row_key(df, key, text)
     found = repeated_windows(df, key, text, min_words, anchor_words)
-    lists = found.groupBy("did", "th").agg(F.collect_list(F.struct("start", "size")).alias("__spans"))
-    lists = lists.select(F.col("did").alias("__did"), F.col("th").alias("__th"), "__spans")
-    rows = df.withColumns({"__l": did, "__h": th})
-    rows = rows.join(lists, (F.col("__l") == F.col("__did")) & (F.col("__h") == F.col("__th")), "left").drop(
-        "__did", "__th", "__l", "__h")
+    lists = found.groupBy("did", "th", "tl").agg(F.collect_list(F.struct("start", "size")).alias("__spans"))
+    lists = lists.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("tl").alias("__tl"), "__spans")
+    rows = df.withColumns({"__l": did, "__h": th, "__n": F.octet_length(text)})
+    same = (F.col("__l") == F.col("__did")) & (F.col("__h") == F.col("__th")) & (F.col("__n") == F.col("__tl"))
+    rows = rows.join(lists, same, "left").drop("__did", "__th", "__tl", "__l", "__h", "__n")
 
     def compute():
         return lambda batch: _facts(batch, min_words, [f.name for f in fields])

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foldwise.llm import substrings, words
 
@@ -92,3 +93,16 @@ def test_repeated_row_is_the_first_holder(spark):
     out = ["n_words", "n_removed", "kept_sha256"]
     got = sorted(tuple(r) for r in substrings.drop_repeats(frame, min_words=6, outputs=out).select("doc_id", *out).collect())
     assert got == brute(rows, 6) and got[0][2] == got[1][2] == 0
+
+
+def test_texts_of_one_id_whose_short_hashes_collide(spark):
+    passage = " ".join(f"w{i}" for i in range(8))
+    made = spark.range(150_000).select(F.col("id").cast("string").alias("i"))
+    long = made.select(F.concat("i", F.lit(f" a b c d e f {passage} z {passage}")).alias("x"))
+    short = made.select(F.concat(F.lit("k l m n o p "), "i").alias("y"))
+    pair = long.join(short, F.hash("x") == F.hash("y")).orderBy("x").first()
+    frame = spark.createDataFrame([(None, pair.y), (None, pair.x)], "doc_id bigint, text string")
+    assert frame.select(F.hash("text")).distinct().count() == 1
+    # the places cut out of the long text lie beyond the end of the short one
+    got = {r.text: r for r in substrings.drop_repeats(frame, min_words=5).collect()}
+    assert got[pair.x].repeats == [[16, 24]] and got[pair.y].n_removed == 0 and got[pair.y].kept_text == pair.y
