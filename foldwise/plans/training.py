@@ -33,6 +33,10 @@ TREE_PARAMS = {
     "bagging_fraction": "subsamplingRate", "min_child_samples": "minInstancesPerNode",
     "min_samples_leaf": "minInstancesPerNode", "max_bin": "maxBins", "random_state": "seed", "seed": "seed",
 }
+SQUARED = ("regression", "regression_l2", "l2", "mse", "mean_squared_error", "rmse", "root_mean_squared_error",
+           "reg:squarederror", "reg:linear", "RMSE")
+ABSOLUTE = ("regression_l1", "l1", "mae", "mean_absolute_error", "reg:absoluteerror", "MAE")
+PLAIN_BOOSTING = ("gbdt", "gbrt", "gbtree", "Plain")
 CLASS_OBJECTIVES = ("binary", "binary:logistic", "logloss", "multiclass", "multi:softprob", "multi:softmax")
 
 
@@ -44,9 +48,11 @@ class Learner:
 
 
 # fixed values: accepted settings that do not change the model
-WITHOUT_EFFECT = ("objective", "metric", "eval_metric", "verbose", "verbosity", "silent", "n_jobs", "nthread",
-                  "num_threads", "thread_count", "boosting_type", "importance_type")
+WITHOUT_EFFECT = ("metric", "eval_metric", "verbose", "verbosity", "silent", "n_jobs", "nthread",
+                  "num_threads", "thread_count", "importance_type")
+# rounds where neither parameters nor fit settings name any
 DEFAULT_ROUNDS = 100
+XGB_ROUNDS = 1000
 
 
 def _known(estimator, params: Mapping) -> dict:
@@ -79,17 +85,28 @@ def _translate(params: Mapping, table: Mapping) -> dict:
     return {table.get(k, k): v for k, v in params.items()}
 
 
-def _boosting(params: Mapping, facts: Mapping):
-    params = {"maxIter": DEFAULT_ROUNDS, **_translate(params, TREE_PARAMS)}
-    classes = params.get("objective") in CLASS_OBJECTIVES
-    estimator = GBTClassifier() if classes else GBTRegressor()
-    estimator.setParams(featuresCol=VECTOR, labelCol=LABEL, **_known(estimator, params))
-    if facts.get("valid"):
-        # several classes are boosted one against the rest, which has no common curve
-        estimator.setValidationIndicatorCol(VALID)
-    if classes and facts["classes"] > 2:
-        return OneVsRest(classifier=estimator, featuresCol=VECTOR, labelCol=LABEL)
-    return estimator
+def _boosting(rounds: int):
+    def build(params: Mapping, facts: Mapping):
+        params = {"maxIter": rounds, **_translate(params, TREE_PARAMS)}
+        objective, kind = params.pop("objective", None), params.pop("boosting_type", None)
+        if kind is not None and kind not in PLAIN_BOOSTING:
+            raise ValueError(f"boosting type without a counterpart: '{kind}'")
+        classes = objective in CLASS_OBJECTIVES
+        estimator = GBTClassifier() if classes else GBTRegressor()
+        if objective in ABSOLUTE or objective in SQUARED:
+            loss = "absolute" if objective in ABSOLUTE else "squared"
+            if params.setdefault("lossType", loss) != loss:
+                raise ValueError(f"objective '{objective}' contradicts lossType '{params['lossType']}'")
+        elif objective is not None and not classes:
+            raise ValueError(f"objective without a counterpart: '{objective}'")
+        estimator.setParams(featuresCol=VECTOR, labelCol=LABEL, **_known(estimator, params))
+        if facts.get("valid"):
+            # several classes are boosted one against the rest, which has no common curve
+            estimator.setValidationIndicatorCol(VALID)
+        if classes and facts["classes"] > 2:
+            return OneVsRest(classifier=estimator, featuresCol=VECTOR, labelCol=LABEL)
+        return estimator
+    return build
 
 
 def _forest(cls):
@@ -131,7 +148,8 @@ def _perceptron(params: Mapping, facts: Mapping):
 
 _CLASS, _REG = "classification", "regression"
 MODELS: dict[str, Learner] = {
-    **{n: Learner("objective", _boosting, True) for n in ("lgbm", "lightgbm", "xgb", "xgboost", "catboost")},
+    **{n: Learner("objective", _boosting(DEFAULT_ROUNDS), True) for n in ("lgbm", "lightgbm", "catboost")},
+    **{n: Learner("objective", _boosting(XGB_ROUNDS), True) for n in ("xgb", "xgboost")},
     **{n: Learner(_CLASS, _forest(RandomForestClassifier), True) for n in ("rf", "randomforest")},
     "rf_reg": Learner(_REG, _forest(RandomForestRegressor), True),
     **{n: Learner(_CLASS, _logreg) for n in ("logreg", "logisticregression")},
@@ -236,7 +254,7 @@ def fit_model(
     the rounds up to the best one before that many without gain are kept.
     """
     params, learner, fit_params = dict(model_params or {}), learner_of(model_type), dict(fit_params or {})
-    boosting = learner.build is _boosting
+    boosting = learner.kind == "objective"
     if boosting and fit_params.get("num_boost_round"):
         params = {**_translate(params, TREE_PARAMS), "maxIter": int(fit_params["num_boost_round"])}
     patience = int(fit_params.get("early_stopping_rounds") or 0) if boosting else 0
@@ -273,7 +291,7 @@ def fit_model(
     model = learner.build(params, facts).fit(vectors)
     if held is not None:
         curve = assemble(held.select("*", label), features, [LABEL], learner.trees, indexers)
-        losses = model.evaluateEachIteration(curve) if classifier else model.evaluateEachIteration(curve, "squared")
+        losses = model.evaluateEachIteration(curve) if classifier else model.evaluateEachIteration(curve, model.getLossType())
         rounds = best_round(losses, patience)
         if rounds < len(losses):
             # boosting with the same seed gives the same first trees

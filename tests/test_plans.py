@@ -287,3 +287,18 @@ def test_transformed_target(points):
                                average_on="transformed")
     a, b = values(result.test, "id", "prediction"), values(other.test, "id", "prediction")
     assert a == approx(b, rel=.05) and a != b
+
+
+def test_boosting_takes_its_loss_and_rounds_from_the_settings(spark):
+    rows = [(i, i % 2, float(i % 2) + (1000.0 if i % 10 == 0 else 0.0)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, a int, y double")
+    small = {"n_estimators": 3, "max_depth": 1, "boosting_type": "gbdt"}
+    fitted = {o: plans.train_single_fold(df, df, None, "y", ["a"], "lgbm", "id", {**small, "objective": o}, {"early_stopping_rounds": 1})
+              for o in ("regression_l1", "regression")}
+    assert {o: f.model.model.getLossType() for o, f in fitted.items()} == {"regression_l1": "absolute", "regression": "squared"}
+    for bad in ({"objective": "quantile"}, {"boosting_type": "dart"}):
+        with pytest.raises(ValueError, match="without a counterpart"):
+            plans.train_single_fold(df, df, None, "y", ["a"], "lgbm", "id", {**small, **bad})
+    rounds = {name: plans.MODELS[name].build({}, {}).getMaxIter() for name in ("xgb", "xgboost", "lgbm")}
+    assert rounds == {"xgb": 1000, "xgboost": 1000, "lgbm": 100}
+    assert plans.MODELS["xgb"].build({"n_estimators": 7}, {}).getMaxIter() == 7
