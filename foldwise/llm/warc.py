@@ -6,7 +6,8 @@ The reader checks each member and record (gzip checksum, version line, lengths,
 closing line ends, block and payload digests). Where a check fails it looks for
 the next place where a member or, in plain files, a version line begins a record
 that can be read, goes on from there, and reports the bytes between as a gap.
-Memory is bounded by the largest record.
+A member that fails is unpacked up to the damage, and the records before it that a
+digest confirms are kept. Memory is bounded by the largest record.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
 BROADCAST_OWNERS = 100_000
 PIECE = 1 << 16
+KEEP_BYTES = 4 << 20
+CUT_SHORT = "member is cut short"
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = b"\r\n\r\n"
@@ -155,6 +158,7 @@ class Record:
     refers_to: str | None
     payload: bytes | None
     payload_digest: str | None
+    confirmed: bool = False  # by a digest in its header
 
 
 def _headers(lines: bytes) -> dict[str, str]:
@@ -171,8 +175,8 @@ def _bare(value: str | None) -> str | None:
     return value.strip("<>") if value else None
 
 
-def parse_record(read: Callable[[int, int], bytes], at: int) -> tuple[Record, int]:
-    """The record at an offset and the offset after it; Damage if any check fails."""
+def parse_record(read: Callable[[int, int], bytes], at: int, limit: int) -> tuple[Record, int]:
+    """The record at an offset and the offset after it; Damage if any check fails. Nothing lies beyond the limit."""
     head = read(at, PIECE)
     if not head.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n")):
         raise Damage("no version line")
@@ -185,7 +189,11 @@ def parse_record(read: Callable[[int, int], bytes], at: int) -> tuple[Record, in
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damage("no content length")
-    start, size = at + close + 4, int(length)
+    start, length = at + close + 4, length.lstrip("0") or "0"
+    # an impossible length is neither read nor, with many digits, converted
+    if len(length) > 18 or start + int(length) + 4 > limit:
+        raise Damage("record is cut short")
+    size = int(length)
     block = read(start, size + 4)
     if len(block) < size + 4:
         raise Damage("record is cut short")
@@ -202,6 +210,8 @@ def parse_record(read: Callable[[int, int], bytes], at: int) -> tuple[Record, in
             raise Damage("http header without an end")
         payload = block[cut + 4:]
     digest = digest_hex(fields.get("warc-payload-digest"))
+    # the payload is the whole block or what follows a header that no digest covers
+    confirmed = wanted is not None or (digest is not None and kind != "revisit" and payload is block)
     if kind == "revisit":
         payload = None
     else:
@@ -210,7 +220,7 @@ def parse_record(read: Callable[[int, int], bytes], at: int) -> tuple[Record, in
             raise Damage("payload digest differs")
         digest = own
     return Record(kind, _bare(fields.get("warc-record-id")), fields.get("warc-target-uri"),
-                  _bare(fields.get("warc-refers-to")), payload, digest), start + size + 4
+                  _bare(fields.get("warc-refers-to")), payload, digest, confirmed), start + size + 4
 
 
 def _unpack(read: Callable[[int, int], bytes], at: int, most: int | None = None) -> tuple[bytes, int]:
@@ -231,6 +241,65 @@ def _unpack(read: Callable[[int, int], bytes], at: int, most: int | None = None)
     return b"".join(parts), here - len(opened.unused_data)
 
 
+class _Member:
+    """The content of the gzip member at an offset, read forward, up to its end or its damage."""
+
+    def __init__(self, read: Callable[[int, int], bytes], at: int):
+        self.file, self.begin = read, at
+        self.size, self.end, self.damage = 0, at, None
+        kept: list[bytes] | None = []
+        for part in self._parts():
+            self.size += len(part)
+            if kept is not None:
+                kept = kept + [part] if self.size <= KEEP_BYTES else None
+        self.held, self.base = bytearray(b"".join(kept or ())), 0
+        self.more = iter(()) if kept is not None else self._parts()
+
+    def _parts(self) -> Iterator[bytes]:
+        opened, here = zlib.decompressobj(31), self.begin
+        while not opened.eof:
+            piece = self.file(here, PIECE)
+            if not piece:
+                self.damage = CUT_SHORT
+                return
+            here += len(piece)
+            while piece and not opened.eof:
+                before = opened.copy()
+                try:
+                    part = opened.decompress(piece, PIECE)
+                except zlib.error as error:
+                    self.damage = f"member cannot be unpacked: {error}"
+                    yield from self._bytewise(before, piece)
+                    return
+                piece = opened.unconsumed_tail
+                yield part
+        self.end = here - len(opened.unused_data)
+
+    @staticmethod
+    def _bytewise(opened, piece: bytes) -> Iterator[bytes]:
+        """What can be unpacked before the byte that fails."""
+        try:
+            for i in range(len(piece)):
+                yield opened.decompress(piece[i: i + 1])
+        except zlib.error:
+            return
+
+    def read(self, at: int, n: int) -> bytes:
+        if at < self.base:
+            # a search went on from an earlier place
+            self.held, self.base, self.more = bytearray(), 0, self._parts()
+        while self.base + len(self.held) < at + n:
+            part = next(self.more, None)
+            if part is None:
+                break
+            self.held += part
+            far = min(at - self.base, len(self.held)) - KEEP_BYTES
+            if far > KEEP_BYTES:
+                del self.held[:far]
+                self.base += far
+        return bytes(self.held[at - self.base: at - self.base + n])
+
+
 def _search(read: Callable[[int, int], bytes], at: int, size: int, mark: bytes, good: Callable[[int], bool]) -> int:
     """The first place from ``at`` on where the mark stands and ``good`` holds, or the end."""
     while at < size:
@@ -247,7 +316,7 @@ def _search(read: Callable[[int, int], bytes], at: int, size: int, mark: bytes,
 def _plain(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int, int, Record | str]]:
     def good(at: int) -> bool:
         try:
-            parse_record(read, at)
+            parse_record(read, at, size)
         except Damage:
             return False
         return True
@@ -255,7 +324,7 @@ def _plain(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int,
     at = 0
     while at < size:
         try:
-            record, end = parse_record(read, at)
+            record, end = parse_record(read, at, size)
             yield at, end, record
         except Damage as damage:
             end = _search(read, at + 1, size, b"WARC/1.", good)
@@ -263,6 +332,24 @@ def _plain(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int,
         at = end
 
 
+def _before_damage(member: _Member) -> Iterator[tuple[int, int, Record]]:
+    """The records of a failing member before the first one that no digest confirms.
+
+    Digests cover no headers. If every record is confirmed and the checksum still
+    differs, some header is wrong, it cannot be told which, and none is given; in
+    a member that is only cut short nothing is wrong before its end.
+    """
+    def bad(found: Record | str) -> bool:
+        return isinstance(found, str) or not found.confirmed
+
+    if member.damage != CUT_SHORT and not any(bad(found) for _, _, found in _plain(member.read, member.size)):
+        return
+    for entry in _plain(member.read, member.size):
+        if bad(entry[2]):
+            return
+        yield entry
+
+
 def _gzipped(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int, int, Record | str]]:
     def good(at: int) -> bool:
         try:
@@ -272,16 +359,17 @@ def _gzipped(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int
 
     at = 0
     while at < size:
-        try:
-            data, end = _unpack(read, at)
-        except Damage as damage:
-            end = _search(read, at + 1, size, _GZIP, good)
-            yield at, end, str(damage)
-        else:
-            for _, _, found in _plain(lambda a, n: data[a: a + n], len(data)):
-                yield at, end, found
-            if not data:
-                yield at, end, "empty member"
+        member = _Member(read, at)
+        end = _search(read, at + 1, size, _GZIP, good) if member.damage else member.end
+        inside = _plain(member.read, member.size)
+        if member.damage:
+            inside = _before_damage(member)
+        for _, _, found in inside:
+            yield at, end, found
+        if member.damage:
+            yield at, end, member.damage
+        elif not member.size:
+            yield at, end, "empty member"
         at = end
 
 
@@ -289,7 +377,8 @@ def entries(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int,
     """(start, end, record or reason of a gap) in file order; offsets are those in the file.
 
     Inside a gzip member that unpacks well but holds a damaged record, the gap
-    has the offsets of the member.
+    has the offsets of the member. One that fails gives the confirmed records
+    before its damage and, with the same offsets, one gap for the rest.
     """
     packed = read(0, 3) == _GZIP
     if not packed and size and not read(0, 5) == b"WARC/":

@@ -86,3 +86,35 @@ def test_pages_round_trip(spark):
     assert warc.read_warc(warc.find_archives(spark, f"{work_folder(spark)}/warc-test-True")).count() == len(rows)
     empty = warc.write_warc(pages.limit(0), f"{work_folder(spark)}/warc-test-none")
     assert warc.read_warc(empty).count() == 0
+
+
+def test_records_before_the_damage_of_a_member(monkeypatch):
+    whole = b"".join(records(40, False, size=9000))
+    data = gzip.compress(whole)
+    at = len(data) * 9 // 10
+    broken = data[:at] + bytes([data[at] ^ 255]) + data[at + 1:]
+    for kept in (warc.KEEP_BYTES, 1000):
+        monkeypatch.setattr(warc, "KEEP_BYTES", kept)
+        for bad in (broken, data[:at]):
+            ids, gaps = read(bad)
+            assert ids[:34] == list(range(34)) and len(gaps) == 1 and gaps[0][:2] == (0, len(bad))
+        assert read(data + gzip.compress(records(1, False)[0])) == ([*range(40), 0], [])
+        ids, gaps = read(broken + gzip.compress(records(1, False)[0]))
+        assert ids[:34] == list(range(34)) and ids[-1] == 0 and gaps[0][:2] == (0, len(broken))
+
+
+def test_impossible_lengths():
+    one, two, three = records(3, False)
+
+    def strict(data):
+        def at_most(at, n):
+            assert n <= len(data) + warc.PIECE + 8
+            return data[at: at + n]
+        return at_most
+
+    for length in (b"9" * 16, b"9" * 31, b"9" * 6000):
+        bad = re.sub(rb"Content-Length: \d+\r\n\r\nHTTP", b"Content-Length: " + length + b"\r\n\r\nHTTP", two)
+        data = one + bad + three
+        found = list(warc.entries(strict(data), len(data)))
+        assert [isinstance(f, str) for _, _, f in found] == [False, True, False]
+        assert read(gzip.compress(data))[0] == [0, 2]
