@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from foldwise.llm import (
-    decontaminate, langid, licenses, pieces, quality, simhash, substrings, token_counts, vafile, warc,
+    bpe, codes, decontaminate, filter_audit, langid, licenses, pieces, quality, simhash, substrings, token_counts, vafile, warc,
 )
 from foldwise.llm.shared import table, work_folder
 
@@ -210,3 +210,107 @@ def op10_license_scan(spark, folder):
     opens = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[sc]|rights reserved")
     found = licenses.scan_licences(files, "path", "text", licence_file=opens)
     return found.select("doc_id", "licence", "licence_score", "licence_origin", "licence_dir")
+
+
+@query("op11_filter_audit", r"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as words
+  from documents),
+fails as (
+  select doc_id, part,
+         case when len(words) < 100 then 1 else 0 end
+         + case when 100 * len(list_distinct(words)) < 80 * len(words) then 2 else 0 end
+         + case when 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t) then 4 else 0 end
+         + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+         + case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end as mask
+  from docs),
+known as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels group by doc_id),
+counts as (
+  select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from fails left join known using (doc_id) group by part, mask),
+f(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (
+  select [a.letter, b.letter, c.letter, d.letter, e.letter] as letters, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from f a, f b, f c, f d, f e
+  where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps as (
+  select array_to_string(letters, '') as filter_order, step, bits[step] as bit,
+         coalesce(list_sum(bits[1:step - 1]), 0)::bigint as before
+  from orders, range(1, 6) as r(step)),
+audit as (
+  select part, filter_order, step, bit,
+         sum(case when mask & (before | bit) = 0 then n else 0 end) as kept,
+         sum(case when mask & before = 0 and mask & bit <> 0 then n else 0 end) as removed,
+         sum(case when mask & before <> 0 and mask & bit <> 0 then n else 0 end) as redundant,
+         sum(case when mask = bit then n else 0 end) as unique_fails,
+         sum(case when mask & before = 0 and mask & bit <> 0 then good else 0 end) as good_lost,
+         sum(case when mask & before = 0 and mask & bit <> 0 then toxic else 0 end) as toxic_lost
+  from counts, steps group by all)
+select part, filter_order, step::integer as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from audit""")
+def op11_filter_audit(spark, folder):
+    return filter_audit.audit_filters(
+        table(spark, folder, "documents"), filter_audit.default_filters("text"), "E", "doc_id", "text", part="lang",
+        labels=table(spark, folder, "labels"), lost={"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1})
+
+
+def _codebook_rounds(rounds: int) -> str:
+    """SQL: assignments to the codebook of a round, and the codebook that they give."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+gaps{i} as materialized (
+  select p.vec_id, p.part, b.entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as gap
+  from parts p join book{i} b using (part)),
+near{i} as materialized (
+  select vec_id, part, entry, gap from (
+    select *, row_number() over (partition by vec_id, part order by gap, entry) as r from gaps{i}) where r = 1)""")
+        if i < rounds:
+            steps.append(f"""
+means{i} as (
+  select n.part, n.entry, d.place, floor(sum(p.v[d.place])::double / count(*))::bigint as x
+  from near{i} n join parts p using (vec_id, part), (select unnest(range(1, (select max(len(v)) from parts) + 1)) as place) d
+  group by all),
+book{i + 1} as materialized (
+  select b.part, b.entry, coalesce(m.v, b.v) as v from book{i} b left join (
+    select part, entry, list(x order by place) as v from means{i} group by part, entry) m using (part, entry))""")
+    return ",".join(steps)
+
+
+@query("op12_vector_codes", f"""
+with kept as (
+  select vec_id, label, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+parts as materialized (
+  select vec_id, part, v[part * w + 1:(part + 1) * w] as v from (select *, len(v) // 16 as w from kept), range(16) as r(part)),
+book0 as materialized (
+  select part, f.entry, v from parts join (
+    select vec_id, row_number() over (order by vec_id) - 1 as entry from kept order by vec_id limit 64) f using (vec_id)),
+{_codebook_rounds(2)},
+coded as (
+  select vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' order by part) as code, sum(gap)::bigint as error
+  from near2 group by vec_id)
+select c.vec_id, c.code, c.error, (sum(c.error) over (partition by k.label))::bigint as label_error,
+       (select sha256(string_agg(x::varchar, ',' order by part, entry, place)) from (
+          select part, entry, unnest(v) as x, generate_subscripts(v, 1) as place from book2)) as codebooks_sha256
+from coded c join kept k using (vec_id)""")
+def op12_vector_codes(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    books = codes.fit_codebooks(vectors, "vec_id", "embedding", parts=16, entries=64, rounds=2, scale=256)
+    coded = codes.encode_vectors(vectors, books, "embedding").drop("embedding")
+    return codes.label_errors(coded, "label").select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+@query("op13_bpe")
+def op13_bpe(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = bpe.encode(docs, "text", decoded="decoded")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -27,7 +27,7 @@ def test_same_rows(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_pipeline(spark):
