@@ -21,12 +21,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm.shared import materialise, require_columns, require_text
+from foldwise.llm.shared import require_columns, require_text
 from foldwise.operators.lookup import attach, fit_lookup
 
 CELLS_PER_TEXT = 8
 RAISED = 3
 BLOCK_CELLS = 4096
+BLOCKS_PER_FILE = 256
 MAX_FILTERS = 6
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -72,6 +73,8 @@ def crowded_cells(docs: DataFrame, text: str, blocks: int):
         F.count(F.lit(1)).alias("n"))
     merged = raised.filter(F.col("n") > 1).groupBy("block").agg(
         F.collect_list("cell").alias("crowded"), F.max("n").alias("covered"))
+    # a few hundred cells of a block are left: no more files than they need
+    merged = merged.coalesce(max(1, blocks // BLOCKS_PER_FILE))
     return fit_lookup(merged, ["block"], ["crowded"], rows="covered")
 
 
@@ -129,8 +132,8 @@ def mask_counts(masks: DataFrame, labels: DataFrame | None, label_key: str, lost
         known = labels.select(F.col(label_key).cast("bigint").alias("label_id"), *[
             F.coalesce(c, F.lit(False)).cast("int").alias(n) for n, c in zip(names, lost.values())])
         known = known.filter(F.col("label_id").isNotNull()).groupBy("label_id").agg(
-            *[F.max(n).alias(n) for n in names], F.count(F.lit(1)).alias("rows"))
-        rows = attach(rows, fit_lookup(known, ["label_id"], names, rows="rows"), ["id"])
+            *[F.max(n).alias(n) for n in names])
+        rows = rows.join(known, F.col("id") == F.col("label_id"), "left")
     else:
         rows = rows.withColumns({n: F.lit(0) for n in names})
     return rows.groupBy("part", "mask").agg(F.sum("n").alias("n"), *[
@@ -153,7 +156,7 @@ def audit_filters(
     if not 1 <= len(names) <= MAX_FILTERS or len(set(names)) != len(names):
         raise ValueError(f"1 to {MAX_FILTERS} filters of distinct names are needed")
     lost = dict(lost or {})
-    counts = materialise(mask_counts(failure_masks(docs, failures, duplicate, key, text, part), labels, label_key, lost))
+    counts = mask_counts(failure_masks(docs, failures, duplicate, key, text, part), labels, label_key, lost)
     steps = [
         {"o": "".join(order), "s": s + 1, "b": 1 << names.index(order[s]), "p": sum(1 << names.index(f) for f in order[:s])}
         for order in itertools.permutations(names) for s in range(len(names))]
