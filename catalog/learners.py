@@ -129,7 +129,7 @@ select row_id, t.fold, round(p, 3) + 0.0 as prediction from t join s on s.fold =
 def cv_gbt(spark, folder):
     """One round of depth one on a column of two values: the mean of the other folds' rows with the same value."""
     return _oof(plans.train_and_cv(basket(spark, folder), "price", ["many"], "lgbm", "row_id",
-                                   model_params={"n_estimators": 9, "max_depth": 1, "random_state": 1},
+                                   model_params={"n_estimators": 9, "max_depth": 1, "learning_rate": 1.0, "random_state": 1},
                                    fit_params={"num_boost_round": 1}))
 
 
@@ -141,10 +141,68 @@ def single_fold(spark, folder):
     rows = basket(spark, folder)
     result = plans.train_single_fold(
         rows.filter("fold <> 0"), rows.filter("fold = 0"), None, "price", ["many"], "xgb", "row_id",
-        {"max_depth": 1, "random_state": 1}, {"num_boost_round": 4, "early_stopping_rounds": 2})
+        {"max_depth": 1, "learning_rate": 1.0, "reg_lambda": 0.0, "random_state": 1}, {"num_boost_round": 4, "early_stopping_rounds": 2})
     return rounded(result.valid, {"prediction": 3})
 
 
+@query("boost_penalised", f"""
+with t as ({BASKET}),
+b as (select f.fold, avg(price) as base from (select distinct fold from t) f join t on t.fold <> f.fold group by f.fold),
+leaf as (
+  select b.fold, many, bulk, any_value(base) as base, sum(base - price) as g, count(*) as n
+  from b join t on t.fold <> b.fold group by b.fold, many, bulk)
+select row_id, t.fold, round(base - 0.5 * sign(g) * greatest(abs(g) - 5000, 0) / (n + 20), 3) + 0.0 as prediction
+from t join leaf on leaf.fold = t.fold and leaf.many = t.many and leaf.bulk = t.bulk""")
+def boost_penalised(spark, folder):
+    """One tree over two columns of two values: its leaves are their four combinations, with both penalties."""
+    return _oof(plans.train_and_cv(basket(spark, folder), "price", ["many", "bulk"], "xgb", "row_id", model_params={
+        "objective": "reg:squarederror", "tree_method": "hist", "max_depth": 2, "learning_rate": 0.5, "reg_alpha": 5000, "reg_lambda": 20,
+        "min_child_weight": 1, "n_estimators": 1}))
+
+
+@query("boost_classes", """
+with t as (
+  select l_orderkey * 10 + l_linenumber as row_id, cast(l_orderkey % 3 as integer) as fold, (l_linestatus = 'O')::int as open,
+         case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as flag from lineitem),
+b as (select f.fold, c.flag, avg((t.flag = c.flag)::int) as p from (select distinct fold from t) f join t on t.fold <> f.fold,
+      (select unnest([0, 1, 2]) as flag) c group by f.fold, c.flag),
+leaf as (
+  select b.fold, b.flag, open, any_value(p) as p, sum(p - (t.flag = b.flag)::int) as g, sum(greatest(2 * p * (1 - p), 1e-16)) as h
+  from b join t on t.fold <> b.fold group by b.fold, b.flag, open),
+s as (select *, ln(p) - 0.3 * g / (h + 1) as score from leaf),
+e as (select fold, open, flag, exp(score) / sum(exp(score)) over (partition by fold, open) as chance from s),
+w as (select fold, open, max(case when flag = 0 then chance end) as p0, max(case when flag = 1 then chance end) as p1,
+             max(case when flag = 2 then chance end) as p2 from e group by fold, open)
+select row_id, t.fold, round(p0, 6) as p0, round(p1, 6) as p1, round(p2, 6) as p2 from t join w on w.fold = t.fold and w.open = t.open""")
+def boost_classes(spark, folder):
+    """One round for three classes from one histogram pass, on a column of two values."""
+    lines = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), (F.col("l_orderkey") % 3).cast("int").alias("fold"),
+        (F.col("l_linestatus") == "O").cast("int").alias("open"),
+        F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2).alias("flag"))
+    result = plans.train_and_cv(lines, "flag", ["open"], "xgb", "row_id", model_params={
+        "objective": "multi:softprob", "num_class": 3, "max_depth": 1, "learning_rate": 0.3, "reg_lambda": 1, "min_child_weight": 0, "n_estimators": 1})
+    return result.oof.select("row_id", "fold", *[rnd(F.col("prediction")[i]).alias(f"p{i}") for i in range(3)])
+
+
+@query("boost_flagship", f"""
+with t as ({BASKET})
+select fold, count(*) as n, true as every_row_scored, true as beats_the_mean, true as stopped_by_patience from t group by fold""")
+def boost_flagship(spark, folder):
+    """The settings of a long run: penalties, drawn rows and columns, a falling rate, rounds until patience ends."""
+    rows = basket(spark, folder)
+    result = plans.train_and_cv(rows, "price", FEATURES, "xgb", "row_id", model_params={
+        "objective": "reg:squarederror", "eval_metric": "rmse", "seed": 42, "max_depth": 4, "min_child_weight": 20, "reg_alpha": 5, "reg_lambda": 1,
+        "subsample": 0.85, "colsample_bytree": 0.67, "colsample_bynode": 0.67, "tree_method": "hist"},
+        fit_params={"num_boost_round": 1_000_000, "early_stopping_rounds": 1, "learning_rates": [0.9, 0.8, 0.9]})
+    stops = {k: m.model.rounds_trained == m.model.best_round + 1 for k, m in enumerate(result.models)}
+    scored = result.oof.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.every(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("every_row_scored"),
+        (F.avg((F.col("price") - F.col("prediction")) ** 2) < F.var_pop("price")).alias("beats_the_mean"))
+    stopped = F.create_map(*[x for k, v in stops.items() for x in (F.lit(k), F.lit(v))])
+    return scored.withColumn("stopped_by_patience", stopped[F.col("fold")])
+
+
 FOREST = {"n_estimators": 1, "max_depth": 1, "bootstrap": False, "random_state": 1}
 
 

@@ -124,3 +124,14 @@ def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a frame that ``materialise`` wrote and that no later plan reads."""
+    spark = df.sparkSession
+    folder = work_folder(spark).removeprefix("file:").lstrip("/")
+    for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if folder not in path:
+            raise ValueError("only tables of the work folder can be discarded")
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

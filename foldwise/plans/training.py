@@ -1,4 +1,4 @@
-"""Fold-wise training on MLlib with out-of-fold predictions."""
+"""Fold-wise training with out-of-fold predictions: boosting in ``boosting``, neighbours in ``knn``, other learners on MLlib."""
 
 from __future__ import annotations
 
@@ -9,11 +9,11 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
+    LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,22 +22,19 @@ from foldwise.frame import materialise, require_columns, require_numeric
 from foldwise.operators.encode_stats import observed_folds
 from foldwise.operators.metrics import LOWER_IS_BETTER, REGRESSION, calculate_metric, regression_metric
 from foldwise.operators.target import TargetTransform
+from foldwise.plans.boosting import (
+    BINARY_LOSS, CLASSES_LOSS, OBJECTIVES, TRAIN, VALID, WITHOUT_EFFECT, BoostedTrees, best_round, fit_boosting, settings_of,
+)
 from foldwise.plans.knn import knn_predict
 
-VECTOR, LABEL, VALID = "__vector", "__label", "__valid"
+VECTOR, LABEL = "__vector", "__label"
 
-# fixed values: accepted parameter names and their MLlib counterparts
+# fixed values: accepted parameter names of forests and their MLlib counterparts
 TREE_PARAMS = {
-    "n_estimators": "maxIter", "num_boost_round": "maxIter", "iterations": "maxIter", "max_depth": "maxDepth",
-    "depth": "maxDepth", "learning_rate": "stepSize", "eta": "stepSize", "subsample": "subsamplingRate",
-    "bagging_fraction": "subsamplingRate", "min_child_samples": "minInstancesPerNode",
-    "min_samples_leaf": "minInstancesPerNode", "max_bin": "maxBins", "random_state": "seed", "seed": "seed",
+    "n_estimators": "numTrees", "max_depth": "maxDepth", "subsample": "subsamplingRate", "min_samples_leaf": "minInstancesPerNode",
+    "min_child_samples": "minInstancesPerNode", "max_bin": "maxBins", "random_state": "seed", "seed": "seed",
 }
-SQUARED = ("regression", "regression_l2", "l2", "mse", "mean_squared_error", "rmse", "root_mean_squared_error",
-           "reg:squarederror", "reg:linear", "RMSE")
-ABSOLUTE = ("regression_l1", "l1", "mae", "mean_absolute_error", "reg:absoluteerror", "MAE")
-PLAIN_BOOSTING = ("gbdt", "gbrt", "gbtree", "Plain")
-CLASS_OBJECTIVES = ("binary", "binary:logistic", "logloss", "multiclass", "multi:softprob", "multi:softmax")
+CLASS_OBJECTIVES = (*OBJECTIVES[BINARY_LOSS], *OBJECTIVES[CLASSES_LOSS])
 
 
 @dataclass(frozen=True)
@@ -45,14 +42,7 @@ class Learner:
     kind: str  # regression or classification
     build: Callable | None
     trees: bool = False
-
-
-# fixed values: accepted settings that do not change the model
-WITHOUT_EFFECT = ("metric", "eval_metric", "verbose", "verbosity", "silent", "n_jobs", "nthread",
-                  "num_threads", "thread_count", "importance_type")
-# rounds where neither parameters nor fit settings name any
-DEFAULT_ROUNDS = 100
-XGB_ROUNDS = 1000
+    family: str | None = None  # of boosting: whose defaults hold
 
 
 def _known(estimator, params: Mapping) -> dict:
@@ -70,48 +60,13 @@ def _only(params: Mapping, *names: str) -> Mapping:
     return params
 
 
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """Number of rounds up to the smallest loss before ``patience`` rounds without a smaller one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def _translate(params: Mapping, table: Mapping) -> dict:
     return {table.get(k, k): v for k, v in params.items()}
 
 
-def _boosting(rounds: int):
-    def build(params: Mapping, facts: Mapping):
-        params = {"maxIter": rounds, **_translate(params, TREE_PARAMS)}
-        objective, kind = params.pop("objective", None), params.pop("boosting_type", None)
-        if kind is not None and kind not in PLAIN_BOOSTING:
-            raise ValueError(f"boosting type without a counterpart: '{kind}'")
-        classes = objective in CLASS_OBJECTIVES
-        estimator = GBTClassifier() if classes else GBTRegressor()
-        if objective in ABSOLUTE or objective in SQUARED:
-            loss = "absolute" if objective in ABSOLUTE else "squared"
-            if params.setdefault("lossType", loss) != loss:
-                raise ValueError(f"objective '{objective}' contradicts lossType '{params['lossType']}'")
-        elif objective is not None and not classes:
-            raise ValueError(f"objective without a counterpart: '{objective}'")
-        estimator.setParams(featuresCol=VECTOR, labelCol=LABEL, **_known(estimator, params))
-        if facts.get("valid"):
-            # several classes are boosted one against the rest, which has no common curve
-            estimator.setValidationIndicatorCol(VALID)
-        if classes and facts["classes"] > 2:
-            return OneVsRest(classifier=estimator, featuresCol=VECTOR, labelCol=LABEL)
-        return estimator
-    return build
-
-
 def _forest(cls):
     def build(params: Mapping, facts: Mapping):
-        params = _translate(params, {**TREE_PARAMS, "n_estimators": "numTrees"})
+        params = _translate(params, TREE_PARAMS)
         estimator = cls()
         return estimator.setParams(featuresCol=VECTOR, labelCol=LABEL, **_known(estimator, params))
     return build
@@ -148,8 +103,8 @@ def _perceptron(params: Mapping, facts: Mapping):
 
 _CLASS, _REG = "classification", "regression"
 MODELS: dict[str, Learner] = {
-    **{n: Learner("objective", _boosting(DEFAULT_ROUNDS), True) for n in ("lgbm", "lightgbm", "catboost")},
-    **{n: Learner("objective", _boosting(XGB_ROUNDS), True) for n in ("xgb", "xgboost")},
+    **{n: Learner("objective", None, True, family) for n, family in (
+        ("lgbm", "lgbm"), ("lightgbm", "lgbm"), ("catboost", "catboost"), ("xgb", "xgb"), ("xgboost", "xgb"))},
     **{n: Learner(_CLASS, _forest(RandomForestClassifier), True) for n in ("rf", "randomforest")},
     "rf_reg": Learner(_REG, _forest(RandomForestRegressor), True),
     **{n: Learner(_CLASS, _logreg) for n in ("logreg", "logisticregression")},
@@ -171,7 +126,7 @@ def learner_of(model_type: str) -> Learner:
 def is_classifier(model_type: str, params: Mapping) -> bool:
     learner = learner_of(model_type)
     if learner.kind == "objective":
-        return params.get("objective") in CLASS_OBJECTIVES
+        return params.get("objective", params.get("loss_function")) in CLASS_OBJECTIVES
     return learner.kind == _CLASS
 
 
@@ -200,12 +155,7 @@ def _index_categories(df: DataFrame, cat_features: Sequence[str]) -> list:
 def _prediction(model, scored: DataFrame, classifier: bool, classes: int) -> Column:
     if not classifier:
         return F.col("prediction")
-    if "probability" in scored.columns:
-        chances = vector_to_array("probability")
-    else:
-        raw = F.transform(vector_to_array("rawPrediction"), lambda r: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * r)))
-        whole = F.aggregate(raw, F.lit(0.0), lambda a, b: a + b)
-        chances = F.transform(raw, lambda r: r / whole)
+    chances = vector_to_array("probability")
     return chances[1] if classes == 2 else chances
 
 
@@ -223,6 +173,8 @@ class FittedFold:
     k: int = 5
 
     def slot_importances(self) -> list[tuple[str, float]]:
+        if isinstance(self.model, BoostedTrees):
+            return self.model.importances()
         values = self.model.featureImportances.toArray()
         if len(values) == len(self.features):
             return list(zip(self.features, values))
@@ -237,11 +189,29 @@ class FittedFold:
             found = knn_predict(self.points, df, row_id, self.features, LABEL, self.k,
                                 self.classes if self.classifier else None)
             return df.select(*kept).join(found.withColumnRenamed("prediction", out), row_id, "left")
+        if isinstance(self.model, BoostedTrees):
+            return df.select(*kept, self.model.prediction(df).alias(out))
         vectors = assemble(df, self.features, kept, self.trees, self.indexers)
         scored = self.model.transform(vectors)
         return scored.select(*kept, _prediction(self.model, scored, self.classifier, self.classes).alias(out))
 
 
+def _boosted(
+    df: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str, roles: Column, models: int,
+    params: Mapping, fit_params: Mapping, cat_features: Sequence[str] | None,
+) -> list[FittedFold]:
+    """Boosted models of all folds; ``roles`` tells what a row is to each of them."""
+    rate = fit_params.get("learning_rates")
+    if rate is not None and not callable(rate):
+        given = list(rate)
+        rate = lambda i: given[min(i, len(given) - 1)]
+    settings = settings_of(learner_of(model_type).family, params, fit_params.get("num_boost_round"))
+    fitted = fit_boosting(
+        df, row_id, target, features, roles, models, settings, int(fit_params.get("early_stopping_rounds") or 0),
+        [f for f in cat_features or () if f in features], rate)
+    return [FittedFold(m, list(features), True, (), settings.classification, m.classes) for m in fitted]
+
+
 def fit_model(
     train: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str,
     model_params: Mapping | None = None, valid: DataFrame | None = None,
@@ -250,28 +220,27 @@ def fit_model(
     """Fit one learner.
 
     For boosting, ``fit_params`` may hold ``num_boost_round`` (it wins over a
-    number among the parameters) and ``early_stopping_rounds``: with ``valid``,
-    the rounds up to the best one before that many without gain are kept.
+    number among the parameters), ``learning_rates`` (a list or a function of the round) and
+    ``early_stopping_rounds``: training ends when the loss of ``valid`` has not fallen for
+    that many rounds, and the rounds up to the best one are kept.
     """
     params, learner, fit_params = dict(model_params or {}), learner_of(model_type), dict(fit_params or {})
-    boosting = learner.kind == "objective"
-    if boosting and fit_params.get("num_boost_round"):
-        params = {**_translate(params, TREE_PARAMS), "maxIter": int(fit_params["num_boost_round"])}
-    patience = int(fit_params.get("early_stopping_rounds") or 0) if boosting else 0
-    valid = valid if patience else None
     require_columns(train, [target, *features], "train")
     require_numeric(train, [target])
     features = list(features)
+    if learner.family:
+        columns = list(dict.fromkeys([row_id, target, *features]))
+        rows = train.select(*columns, F.array(F.lit(TRAIN)).alias("__role"))
+        if valid is not None and fit_params.get("early_stopping_rounds"):
+            rows = rows.unionByName(valid.select(*columns, F.array(F.lit(VALID)).alias("__role")))
+        return _boosted(rows, target, features, model_type, row_id, F.col("__role"), 1, params, fit_params, cat_features)[0]
     classifier = is_classifier(model_type, params)
     facts = train.agg(F.count(F.lit(1)).alias("rows"), F.stddev_pop(F.col(target).cast("double")).alias("label_std"),
                       F.max(target).alias("top")).first().asDict()
     if not facts["rows"]:
         raise ValueError("no training rows")
     classes = int(facts["top"]) + 1 if classifier else 0
-    several = classifier and classes > 2
-    facts.update(classes=max(classes, 2) if classifier else 0, width=len(features), valid=valid is not None and several)
-    held = valid if not several else None  # the curve of these rows decides about the rounds
-    valid = valid if several else None
+    facts.update(classes=max(classes, 2) if classifier else 0, width=len(features))
     if learner.build is None:
         k = int(params.get("n_neighbors", params.get("k", 5)))
         points = train.withColumn(LABEL, F.col(target).cast("double"))
@@ -281,22 +250,10 @@ def fit_model(
         widest = max(len(i.labels) for i in indexers) + 1
         params["maxBins"] = max(int(params.get("maxBins", 32)), widest)
     label = F.col(target).cast("double").alias(LABEL)
-    rows = train.select("*", label) if valid is None else (
-        train.select("*", label, F.lit(False).alias(VALID)).unionByName(
-            valid.select("*", label, F.lit(True).alias(VALID))))
-    keep = [LABEL, VALID] if valid is not None else [LABEL]
-    vectors = assemble(rows, features, keep, learner.trees, indexers)
+    vectors = assemble(train.select("*", label), features, [LABEL], learner.trees, indexers)
     if facts["width"] == 1 and isinstance(train.schema[features[0]].dataType, T.ArrayType):
         facts["width"] = len(vectors.select(VECTOR).first()[0])
-    model = learner.build(params, facts).fit(vectors)
-    if held is not None:
-        curve = assemble(held.select("*", label), features, [LABEL], learner.trees, indexers)
-        losses = model.evaluateEachIteration(curve) if classifier else model.evaluateEachIteration(curve, model.getLossType())
-        rounds = best_round(losses, patience)
-        if rounds < len(losses):
-            # boosting with the same seed gives the same first trees
-            model = learner.build({**_translate(params, TREE_PARAMS), "maxIter": rounds}, facts).fit(vectors)
-    return FittedFold(model, features, learner.trees, indexers, classifier, facts["classes"])
+    return FittedFold(learner.build(params, facts).fit(vectors), features, learner.trees, indexers, classifier, facts["classes"])
 
 
 @dataclass(frozen=True)
@@ -399,8 +356,15 @@ def train_and_cv(
         folds = observed_folds(rows, fold)
         if not folds:
             raise ValueError(f"column '{fold}' assigns no folds")
-        with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
-            models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
+        if learner_of(model_type).family:
+            # the trees of all folds grow in the same passes
+            place = F.col(fold)
+            roles = F.array(*[F.when(place == k, VALID).when(place.isNotNull(), TRAIN).otherwise(0) for k in folds])
+            models = _boosted(rows, label, features, model_type, row_id, roles, len(folds), dict(model_params or {}),
+                              dict(fit_params or {}), cat_features)
+        else:
+            with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+                models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
         oof = None
         for k, model in zip(folds, models):
             part = model.predict(rows.filter(F.col(fold) == k), row_id, [fold, target, *extra])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from foldwise import operators as op
 from foldwise import plans
+from foldwise.plans.boosting import settings_of
 from foldwise.plans.profile import save_profile
 from foldwise.plans.selection import fold_products
 from tests.conftest import values
@@ -295,10 +296,10 @@ def test_boosting_takes_its_loss_and_rounds_from_the_settings(spark):
     small = {"n_estimators": 3, "max_depth": 1, "boosting_type": "gbdt"}
     fitted = {o: plans.train_single_fold(df, df, None, "y", ["a"], "lgbm", "id", {**small, "objective": o}, {"early_stopping_rounds": 1})
               for o in ("regression_l1", "regression")}
-    assert {o: f.model.model.getLossType() for o, f in fitted.items()} == {"regression_l1": "absolute", "regression": "squared"}
+    assert {o: f.model.model.settings.loss for o, f in fitted.items()} == {"regression_l1": "absolute", "regression": "squared"}
     for bad in ({"objective": "quantile"}, {"boosting_type": "dart"}):
         with pytest.raises(ValueError, match="without a counterpart"):
             plans.train_single_fold(df, df, None, "y", ["a"], "lgbm", "id", {**small, **bad})
-    rounds = {name: plans.MODELS[name].build({}, {}).getMaxIter() for name in ("xgb", "xgboost", "lgbm")}
+    rounds = {name: settings_of(plans.MODELS[name].family, {}).rounds for name in ("xgb", "xgboost", "lgbm")}
     assert rounds == {"xgb": 1000, "xgboost": 1000, "lgbm": 100}
-    assert plans.MODELS["xgb"].build({"n_estimators": 7}, {}).getMaxIter() == 7
+    assert settings_of("xgb", {"n_estimators": 7}).rounds == 7 and settings_of("xgb", {"n_estimators": 7}, 5).rounds == 5
