@@ -37,10 +37,13 @@ LABELLERS = (
     ("long_words", 0.02, 0.20),   # words of more than 40 bytes
     ("line_copies", 0.20, 0.50),  # lines that repeat an earlier line
     ("odd_words", 0.15, 0.40),    # words that are not letters or digits with at most one closing mark
-    ("pair_copies", 0.45, 0.70),  # pairs of neighbouring words that occurred before
+    ("run_copies", 0.30, 0.50),   # runs of five words that occurred before in the text
 )
 MEASURES = tuple(name for name, _, _ in LABELLERS)
 LEAST_WORDS = 8
+RUN = 5
+#: share of the votes cast that is added as expected right votes on good texts
+TRUST = 0.05
 BINS = 12
 BLOCK = 1 << 18
 
@@ -58,17 +61,12 @@ def _share(part: float, whole: float, least: float) -> float:
     return part / whole if whole >= least else float("nan")
 
 
-def _pair_copies(words: list[bytes]) -> float:
-    """Repeated neighbours of a long text, as the mean over stretches of 1000 words."""
-    parts = [words[i: i + 1000] for i in range(0, len(words) - 1, 1000)]
-    return sum(max(0, len(p) - 1 - len(set(zip(p, p[1:])))) for p in parts)
-
-
 def measures(text: bytes | None) -> list[float]:
     """The measures of a whole text, NaN where it is too short for one."""
     text = text or b""
-    words, n = text.split(), 0
+    words = text.split()
     n = len(words)
+    runs = max(0, n - RUN + 1)
     solid = len(text.translate(None, _WHITE))
     signs = solid - len(text.translate(None, _WHITE + _SYMBOLS))
     upper = len(text) - len(text.translate(None, _UPPER))
@@ -83,8 +81,8 @@ def measures(text: bytes | None) -> list[float]:
         _share(sum(len(w) > 40 for w in words), n, LEAST_WORDS),
         _share(len(lines) - len(set(lines)), len(lines), 4),
         _share(n - len(_PLAIN.findall(text)), n, LEAST_WORDS),
-        _share(n - 1 - len(set(zip(words, words[1:]))), n - 1, LEAST_WORDS) if n < 2000 else
-        _share(_pair_copies(words), n - 1, LEAST_WORDS),
+        # prose of any length hardly repeats five words in a row, so one rule holds for all lengths
+        _share(runs - len(set(zip(*[words[i:] for i in range(RUN)]))), runs, LEAST_WORDS),
     ]
 
 
@@ -112,11 +110,11 @@ class LabelModel:
         return float(1 / (1 + np.exp(np.clip(bad - good, -700, 700))))
 
 
-def fit_label_model(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: int = 200) -> LabelModel:
+def fit_label_model(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: int = 200, trust: float = TRUST) -> LabelModel:
     """Expectation-maximisation over counted vote patterns, begun at the majority of votes.
 
     A missing vote says nothing. Labellers are expected not to call a good text
-    bad: half as many votes as were cast are added to that side, 99.5 % of them
+    bad: ``trust`` times the votes cast, and 20 more, are added to that side, 99.5 % of them
     right. Without patterns they keep that expectation.
     """
     m = len(LABELLERS)
@@ -127,11 +125,11 @@ def fit_label_model(patterns: Sequence[Sequence[int]], counts: Sequence[int], ro
     # one bad vote outweighs its absence: a text is junk by any one of the kinds of junk
     q = np.where(cast == 0, 0.9, np.where(bad.any(axis=1), 0.1, 0.95))
     prior, on_good, on_bad = 0.9, np.full(m, 0.95), np.full(m, 0.3)
+    added = 20 + trust * (n @ (good | bad))
     for _ in range(rounds):
         g, b = n * q, n * (1 - q)
         prior = float(np.clip((g.sum() + 9) / (n.sum() + 10), 0.01, 0.99))
-        trust = 20 + 0.5 * (n @ (good | bad))
-        on_good = np.clip((g @ good + 0.995 * trust) / (g @ (good | bad) + trust), 0.5, 0.999)
+        on_good = np.clip((g @ good + 0.995 * added) / (g @ (good | bad) + added), 0.5, 0.999)
         on_bad = np.clip((b @ bad + 1) / (b @ (good | bad) + 2), 0.01, 0.99)
         model = LabelModel(prior, on_good.tolist(), on_bad.tolist())
         new = np.array([model.posterior(row) for row in v]) if len(v) else q
@@ -196,10 +194,12 @@ def train_scorer(
 
 def fit_quality_model(
     df: DataFrame, text: str = "text", key: str = "doc_id", max_rows: int = 6000, buckets: int = 1 << 13,
-    threshold: float = 0.5, seed: int = 11,
+    threshold: float = 0.5, seed: int = 11, trust: float = TRUST,
 ) -> QualityModel:
     """Fit the label model to the votes on all texts and the scorer to about ``max_rows`` of them.
 
+    ``trust`` is the weight of the expectation that labellers rarely call a good text bad (see ``fit_label_model``).
+
     The sample is drawn by a hash of key and text. Only counts of vote patterns
     and the sparse features of the sample reach the driver. An empty table
     gives a model that scores by its prior.
@@ -214,7 +214,7 @@ def fit_quality_model(
     voted = append_columns(df.select(text), vote, compute_votes, [text]).select("votes")
     found = voted.groupBy("votes").count().collect()  # at most 3 ** 10 rows
     found.sort(key=lambda r: r["votes"])
-    labels = fit_label_model([r["votes"] for r in found], [r["count"] for r in found])
+    labels = fit_label_model([r["votes"] for r in found], [r["count"] for r in found], trust=trust)
     total = sum(r["count"] for r in found)
     if not total:
         return QualityModel(labels, np.zeros(buckets), float(np.log(labels.prior / (1 - labels.prior))), threshold)

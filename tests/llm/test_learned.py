@@ -83,12 +83,34 @@ def test_label_model_finds_the_accuracies():
 def test_measures():
     names = quality.MEASURES
     junk = dict(zip(names, quality.measures(b"### $$$ %%% BUY!! NOW!! " * 20)))
-    assert junk["symbols"] > 0.4 and junk["shouts"] > 0.3 and junk["odd_words"] > 0.5 and junk["pair_copies"] > 0.9
+    assert junk["symbols"] > 0.4 and junk["shouts"] > 0.3 and junk["odd_words"] > 0.5 and junk["run_copies"] > 0.9
     fine = quality.measures("Ein Satz mit Wörtern, der nicht laut ist und sich kaum wiederholt.".encode())
     assert quality.BAD not in quality.votes(fine)
     assert set(quality.votes(quality.measures(None))) == {quality.NO_VOTE} == set(quality.votes(quality.measures(b" ")))
 
 
+@pytest.mark.parametrize("length", [300, 1_999, 2_000, 2_001, 15_000])
+def test_pasted_blocks_get_one_vote_at_any_length(length):
+    """A block pasted again and again on one line is bad, prose of the same length is not."""
+    rng = np.random.default_rng(length)
+    prose = [f"w{i}" for i in rng.zipf(1.3, length) % 4_000]
+    place = quality.MEASURES.index("run_copies")
+    block = prose[: length // 10]
+    for words, vote in ((prose, quality.GOOD), (block * 10, quality.BAD)):
+        assert quality.votes(quality.measures(" ".join(words).encode()))[place] == vote
+
+
+@needs_tables
+def test_labellers_are_right_where_they_vote_bad(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").collect()
+    votes = np.array([quality.votes(quality.measures(r.text.encode() if r.text else None)) for r in rows])
+    bad = np.array([r.quality == 0 for r in rows])
+    for name, own in zip(quality.MEASURES, votes.T):
+        called = own == quality.BAD
+        assert not called.any() or bad[called].mean() > 0.95, name
+    assert (votes == quality.BAD).any(axis=1)[bad].mean() > 0.8  # recall of all labellers together
+
+
 def test_features_do_not_depend_on_blocks(texts, monkeypatch):
     data = [(t or "").encode() for t in texts]
     whole = [quality.features(t, quality.measures(t), 512) for t in data]
