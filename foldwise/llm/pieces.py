@@ -199,7 +199,7 @@ def _threads(n: int) -> None:
 
 
 class Codec:
-    """Encodes batches; ids are checked against SentencePiece."""
+    """Encodes batches with the rebuilt tokenizer; ids are checked against SentencePiece and decoded again."""
 
     def __init__(self, path: str, threads: int = 2):
         _threads(threads)
@@ -208,8 +208,6 @@ class Codec:
         self.model = load_model(path)
         self.tokenizer = _decoder(path)
         self.check = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.shown = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
-                      for p, k in zip(self.model.pieces, self.model.kinds)]
         self.by_unit = self.model.splits_at_marks and self.model.add_dummy_prefix
         self.plain = not (self.model.charsmap or self.model.remove_extra_whitespaces)
         self.bare = build_tokenizer(self.model)
@@ -232,26 +230,21 @@ class Codec:
             return ""
         return MARK + text.replace(" ", MARK) if self.plain else self.tokenizer.normalizer.normalize_str(text)
 
-    def _checked(self, normal: list[str], ids: list[list[int]]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-        """Ids, where they are those of SentencePiece, and where they decode to what was encoded.
-
-        Where the two differ the ids of SentencePiece count.
-        """
+    def _checked(self, normal: list[str], ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids are those of SentencePiece, and where the backend decodes them to what was encoded."""
         cut = self.model.add_dummy_prefix
         shown = [n.replace(MARK, " ") for n in normal]
         shown = [n[1:] if cut and n.startswith(" ") else n for n in shown]
         wanted = self.check.encode(shown)
         # a lone mark ends a text that ends in a space; no text of its own gives it
-        wanted = [[self.check.piece_to_id(MARK)] if n == MARK else w for n, w in zip(normal, wanted)]
-        parity = np.array([a == b for a, b in zip(ids, wanted)], bool)
-        table = self.shown
-        back = (b"".join([table[i] for i in own]) for own in wanted)
-        trip = np.array([a[cut and a[:1] == b" ":] == b.encode() for a, b in zip(back, shown)], bool)
-        return wanted, parity, trip
+        lone = [self.check.piece_to_id(MARK)]
+        parity = np.array([own == (lone if n == MARK else w) for n, own, w in zip(normal, ids, wanted)], bool)
+        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return parity, np.array([b == n for b, n in zip(back, shown)], bool)
 
     def _learn(self, units: list[str]) -> None:
         ids = [e.ids for e in self.bare.encode_batch_fast(units, add_special_tokens=False)]
-        ids, parity, trip = self._checked(units, ids)
+        parity, trip = self._checked(units, ids)
         first = len(self.known)
         self.known.update(zip(units, range(first, first + len(units))))
         sizes = np.array([len(i) for i in ids], np.int64)
@@ -265,7 +258,7 @@ class Codec:
         normal = [self.normal(t) for t in texts]
         if not self.by_unit:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
-            ids, parity, trip = self._checked(normal, ids)
+            parity, trip = self._checked(normal, ids)
             sizes = np.array([len(i) for i in ids], np.int64)
             return np.fromiter((x for i in ids for x in i), np.int32, sizes.sum()), sizes, parity, trip
         units = [UNIT.findall(n) for n in normal]
@@ -322,9 +315,8 @@ def encode(
 ) -> DataFrame:
     """Add ``token_ids``, ``n_tokens``, ``round_trip`` and ``parity`` of each whole text.
 
-    ``round_trip`` tells whether the ids decode to the normalised text, ``parity``
-    whether the rebuilt tokenizer gave SentencePiece's ids; where it did not, the
-    ids are SentencePiece's. A null text has null ids, 0 tokens and null checks;
+    The ids are those of the rebuilt tokenizer. ``round_trip`` tells whether it
+    decodes them to the normalised text, ``parity`` whether SentencePiece gives the same ids. A null text has null ids, 0 tokens and null checks;
     an empty one has no ids. The model file must be readable in the tasks.
     With ``decoded`` a column of that name gets the text that the ids decode to.
     Columns of these names are replaced.

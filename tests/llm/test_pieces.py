@@ -3,6 +3,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
+from tokenizers.decoders import ByteLevel
 
 from foldwise.llm import pieces, token_counts
 
@@ -45,6 +46,24 @@ def test_parity_and_round_trip(documents, nothing):
     assert pieces.encode(nothing, "text").count() == 0 and pieces.decode(pieces.encode(nothing, "text")).count() == 0
 
 
+def test_faults_of_the_backend_show(monkeypatch):
+    """Ids come from the rebuilt tokenizer, so a wrong merge table or decoder turns a flag false."""
+    texts = ["some words of a text", "other words", ""]
+    right = pieces.Codec(pieces.DEFAULT_MODEL).encode(texts)[0].tolist()
+    monkeypatch.setattr(pieces, "PROBES", ())
+    merges = pieces._merges
+    monkeypatch.setattr(pieces, "_merges", lambda model: merges(model)[5_000:])
+    codec = pieces.Codec(pieces.DEFAULT_MODEL)
+    ids, _, parity, trip = codec.encode(texts)
+    assert ids.tolist() != right and parity.tolist() == [False, False, True] and trip.all()
+    monkeypatch.setattr(pieces, "_merges", merges)
+    codec = pieces.Codec(pieces.DEFAULT_MODEL)
+    codec.tokenizer = pieces.build_tokenizer(codec.model)
+    codec.tokenizer.decoder = ByteLevel()
+    ids, _, parity, trip = codec.encode(texts)
+    assert ids.tolist() == right and parity.all() and trip.tolist() == [False, False, True]
+
+
 def test_unigram_models(unigram, texts):
     codec = pieces.Codec(unigram)
     some = [t or "" for t in texts if len(t or "") < 2000]
