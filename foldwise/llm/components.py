@@ -13,18 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import materialise
+from foldwise.operators.lookup import attach, fit_lookup
+
+
+def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges with the smallest b of their a, and these (a, m) alone.
+
+    The centre of a large group is one key. Its smallest neighbour is found with partial minima and attached without gathering the
+    key's edges: by a broadcast, or where the table is large by a join that spreads hot keys.
+    """
+    least = fit_lookup(edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), ["a"], ["m"], rows="n")
+    return attach(edges, least), least.table.select("a", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    both, _ = _with_least(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return both.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges point from the larger node a to the smaller node b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    found, least = _with_least(edges)
+    moved = found.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
@@ -45,7 +55,7 @@ def connected_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edges = materialise(edges)
     before = _state(edges)
     while before[0]:
-        edges = materialise(_small_star(_large_star(edges).distinct()).distinct())
+        edges = materialise(_small_star(materialise(_large_star(edges).distinct())).distinct())
         after = _state(edges)
         if after == before:
             break

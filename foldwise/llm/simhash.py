@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from foldwise.llm.components import connected_components
 from foldwise.llm.shared import append_columns, materialise, no_rows, require_columns, require_text, texts_of
+from foldwise.operators.lookup import attach, fit_lookup
 
 SEED = 42
 #: largest number of fingerprints of one key that are compared with each other
@@ -358,10 +359,12 @@ def _grouped(df: DataFrame, key: str, text: str, shingle: int, distance: int) ->
 def near_duplicate_groups(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4,
 ) -> DataFrame:
-    """Rows (key, fingerprint, component_id) of all documents.
+    """Rows (key, fingerprint, component_id, group) of all documents.
 
     ``component_id`` is the smallest key that can be reached over fingerprints
-    with at most ``distance`` differing bits, the document's own included.
+    with at most ``distance`` differing bits, the document's own included. It names one
+    group where keys are unique; if texts that are not linked share a key, only ``group`` (the
+    smallest fingerprint of the group, as a signed number) tells their groups apart.
     Documents with equal fingerprints are always linked, also those without
     words. Null keys are kept; they are the component's id only where it has no
     other. Repeated rows give repeated rows; an empty table gives none.
@@ -369,8 +372,11 @@ def near_duplicate_groups(
     require_columns(df, [key])
     marked, known = _grouped(df, key, text, shingle, distance)
     smallest = known.groupBy("root").agg(F.min("first").alias("least"))
-    named = materialise(known.join(smallest, "root").select("fingerprint", F.col("least.key").alias("component_id")))
-    return marked.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
+    sizes = marked.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    named = known.join(smallest, "root").join(sizes, "fingerprint").select(
+        "fingerprint", F.col("least.key").alias("component_id"), F.col("root").alias("group"), "n")
+    found = attach(marked, fit_lookup(named, ["fingerprint"], ["component_id", "group"], rows="n"))
+    return found.select(F.col("key").alias(key), "fingerprint", "component_id", "group")
 
 
 def drop_near_duplicates(

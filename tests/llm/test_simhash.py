@@ -6,8 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from foldwise.llm import simhash
+from foldwise.llm import components, simhash
 from foldwise.llm.components import connected_components
+from foldwise.operators import lookup
 
 
 def fingerprint(text, size=4):
@@ -84,9 +85,27 @@ def test_components_of_a_long_path(spark):
     assert connected_components(edges.limit(0)).count() == 0
 
 
+def test_a_star_does_not_gather_in_one_task(spark, monkeypatch):
+    """The centre of a large group is one key; its edges stay spread on either route."""
+    edges = spark.range(5_000).select((F.col("id") + 1).alias("a"), F.lit(0).cast("bigint").alias("b")).union(
+        spark.createDataFrame([(9_001, 9_000)], "a bigint, b bigint"))
+    for limit in (lookup.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+        roots = {r.node: r.root for r in connected_components(edges).collect()}
+        assert roots == {**dict.fromkeys(range(5_001), 0), 9_000: 9_000, 9_001: 9_000}
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).repartition(6)
+        found, _ = components._with_least(both)
+        sizes = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in sizes) < 0.5 * both.count()
+
+
 def test_one_document_of_each_group_stays(documents, nothing):
     kept = simhash.drop_near_duplicates(documents)
     assert kept.columns == documents.columns
-    found = simhash.near_duplicate_groups(documents).select("component_id").distinct().count()
-    assert kept.count() == found
+    groups = simhash.near_duplicate_groups(documents)
+    assert kept.count() == groups.select("group").distinct().count()
+    # the fixture has two texts of one id that are not linked: the id names two groups
+    assert groups.filter("component_id = 4").select("group").distinct().count() == 2
+    named = groups.filter("doc_id <> 4 and component_id <> 4").groupBy("component_id").agg(F.countDistinct("group").alias("n"))
+    assert named.filter("n <> 1").count() == 0
     assert simhash.near_duplicate_groups(nothing).count() == 0 and simhash.drop_near_duplicates(nothing).count() == 0
