@@ -13,8 +13,10 @@ extended to the left and right one word at a time: each extension of
 document or further up. Neighbouring repeats together are the maximal ones.
 
 No pairs are formed: every step compares a row with one aggregated row of its
-key, so a passage in a third of all documents costs its occurrences, and joins
-on a hot key can be split. Keys are 128 bits wide (anchor and words).
+key, so a passage in a third of all documents costs its occurrences. The
+aggregated rows are written and measured first; hot keys among them are
+broadcast, so the rows of one key never gather in a task. Windows count as equal if
+128 bits agree (the hashes of anchor and words); words are not compared again.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import types as T
 
 from foldwise.llm.shared import append_columns, materialise, require_columns, require_text, row_key, texts_of
 from foldwise.llm.words import Rolling, hashed, mix
+from foldwise.operators.lookup import attach, fit_lookup
 
 CHUNK = 1 << 17
 _RUNS = "did bigint, th bigint, tl int, start int, size int, anchor bigint, content bigint, again boolean"
@@ -179,28 +182,30 @@ def repeated_windows(
     require_columns(df, [key])
     windows = Windows(min_words, anchor_words or max(1, min_words * 2 // 5))
     runs = _runs(df, key, text, windows)
-    shared = (
+    # each table below is written and measured before rows meet it: small ones are broadcast, of others the hot keys
+    shared = fit_lookup(
         runs.filter(~F.col("again")).groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"),
              F.min("did").alias("oldest"))
         .filter(F.col("n") > 1)
-        .select("anchor", (F.col("lo") == F.col("hi")).alias("single"), "oldest"))
+        .select("anchor", (F.col("lo") == F.col("hi")).alias("single"), "oldest", "n"), ["anchor"], ["single", "oldest"], rows="n")
     found = materialise(
-        runs.join(shared, "anchor", "left")
+        attach(runs, shared, ["anchor"])
         .filter(F.col("again") | F.col("single").isNotNull())
         .withColumn("again", F.col("again") | (F.col("single") & (F.col("did") > F.col("oldest"))))
         .filter(F.col("again") | ~F.col("single"))
         .select("did", "th", "tl", "start", "size", "anchor", "content", "again"))
     spans = found.filter("again").select("did", "th", "tl", "start", "size")
     open_runs = found.filter(~F.col("again"))
-    oldest = open_runs.groupBy("anchor", "content").agg(F.min("did").alias("oldest"))
-    judged = materialise(open_runs.join(oldest, ["anchor", "content"]).select(
+    oldest = fit_lookup(open_runs.groupBy("anchor", "content").agg(F.min("did").alias("oldest"), F.count(F.lit(1)).alias("n")),
+                        ["anchor", "content"], ["oldest"], rows="n")
+    judged = materialise(attach(open_runs, oldest).select(
         "did", "th", "tl", "start", "size", "anchor", (F.col("did") > F.col("oldest")).alias("again")))
     copies = judged.filter("again").select("did", "th", "tl", "start", "size")
     extended = materialise(_extensions(df, key, text, judged.filter(~F.col("again")), windows))
-    first = extended.filter(~F.col("again")).groupBy("anchor", "words").agg(
-        F.count(F.lit(1)).alias("n"), F.min("did").alias("oldest")).filter(F.col("n") > 1)
-    later = extended.join(first.select("anchor", "words", "oldest"), ["anchor", "words"], "left").filter(
+    first = fit_lookup(extended.filter(~F.col("again")).groupBy("anchor", "words").agg(
+        F.count(F.lit(1)).alias("n"), F.min("did").alias("oldest")).filter(F.col("n") > 1), ["anchor", "words"], ["oldest"], rows="n")
+    later = attach(extended, first).filter(
         F.col("again") | (F.col("did") > F.col("oldest"))).select("did", "th", "tl", "start", F.lit(1).alias("size"))
     return spans.unionByName(copies).unionByName(later)
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import substrings, words
+from foldwise.operators import lookup
 
 
 def brute(rows, n):
@@ -37,6 +38,12 @@ def test_against_brute_force(documents, n, k):
     assert sorted((substrings_id(r.doc_id), *r[1:]) for r in got) == brute(rows, n)
 
 
+def test_large_tables_of_keys_give_the_same(documents, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(lookup, "HOT_PARTS", 5)
+    test_against_brute_force(documents, 6, 2)
+
+
 def substrings_id(x):
     return -(1 << 63) if x is None else x
 
