@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import materialise, require_columns, require_text
+from foldwise.operators.lookup import attach, fit_lookup
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
-BROADCAST_OWNERS = 100_000
 PIECE = 1 << 16
 KEEP_BYTES = 4 << 20
 CUT_SHORT = "member is cut short"
@@ -108,12 +108,11 @@ def write_warc(
     pages = df.select(F.col(key).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("body"))
     marked = pages.withColumns({"digest": F.sha1(F.col("body").cast("binary")), "size": F.octet_length("body")})
     copies = marked.filter((F.col("size") >= min_bytes) & F.col("id").isNotNull()).groupBy("digest").agg(
-        F.max("id").alias("owner"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("digest", "owner")
-    copies = materialise(copies)
-    if copies.limit(BROADCAST_OWNERS + 1).count() <= BROADCAST_OWNERS:
-        copies = F.broadcast(copies)
+        F.max("id").alias("owner"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     later = F.when(F.col("id") < F.col("owner"), F.col("owner"))
-    rows = marked.join(copies, "digest", "left").select("id", "url", "body", "digest", later.alias("owner"))
+    # bodies stay where they are while the owners are few; of many, the hot ones are still broadcast
+    rows = attach(marked, fit_lookup(copies, ["digest"], ["owner"], rows="n")).select(
+        "id", "url", "body", "digest", later.alias("owner"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
@@ -449,8 +448,9 @@ def resolved(found: DataFrame) -> DataFrame:
     joined once; a revisit whose response was lost keeps a null size.
     """
     records = materialise(found.filter(F.col("kind") == "record").drop("kind", "reason", "payload"))
-    wanted = records.filter(F.col("type") == "revisit").select(F.col("payload_digest").alias("__d")).distinct()
+    wanted = records.filter(F.col("type") == "revisit").groupBy(F.col("payload_digest").alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
     sizes = records.filter(F.col("type") == "response").groupBy(F.col("payload_digest").alias("__d")).agg(
-        F.max("payload_bytes").alias("__size")).join(wanted, "__d", "left_semi")
-    joined = records.join(sizes, (F.col("payload_digest") == F.col("__d")) & (F.col("type") == "revisit"), "left")
-    return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", "__size")).drop("__d", "__size")
+        F.max("payload_bytes").alias("__size")).join(wanted, "__d")
+    asked = records.withColumn("__asked", F.when(F.col("type") == "revisit", F.col("payload_digest")))
+    joined = attach(asked, fit_lookup(sizes, ["__d"], ["__size"], rows="__n"), ["__asked"])
+    return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", "__size")).drop("__asked", "__size")
