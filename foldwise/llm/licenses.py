@@ -10,10 +10,13 @@ of the nearest directory above them that holds a licence file.
 
 Notices, licence texts and SPDX tags are looked for apart from lines: a stretch
 has as many words as the notice, so comment marks and line ends do not matter.
-Its vector has the weight of each distinct word. A text is only cut into
-stretches for the notices of which it holds enough words to reach the threshold.
+Its vector has the weight of each distinct word. No stretch reaches the threshold
+without one of the notice's rarest words, so only the surroundings of these words
+are looked at, and of them only those that hold enough other words of the notice. There every
+offset is judged: a word counts in the stretches in which it stands first, so sums that run
+over the offsets give the products and lengths of all stretches in one pass.
 
-The templates are a parameter of bounded size; directories are reduced to
+The templates are a parameter; directories are reduced to
 distinct ones before they are joined, and only file names, no texts, are
 shuffled for it.
 """
@@ -67,9 +70,11 @@ TITLES = (
 SPDX = (r"(?i)SPDX-License-Identifier:[ \t]*(\(?[a-z0-9][a-z0-9.+-]*\)?"
         r"(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[a-z0-9][a-z0-9.+-]*\)?)*)")
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense|notice)([.-][^/]*)?$"
-MAX_TEMPLATE_WORDS = 100_000
+#: tables of template words up to this size are broadcast
+BROADCAST_WORDS = 100_000
 BODY_WORDS = 50
-SHIFTS = 10
+#: squared weights are added up as whole numbers of this fraction, so that their order does not matter
+UNIT = 10 ** 9
 
 
 def licence_texts() -> list[tuple[str, str]]:
@@ -97,7 +102,8 @@ def _counts(text: str) -> dict[str, int]:
 
 def inverse_frequencies(df: DataFrame, text: str, vocabulary: Sequence[str]) -> tuple[dict[str, float], float]:
     """ln((1 + n) / (1 + texts with the word)) + 1 of each word, and the weight of any other word."""
-    held = df.select(F.explode(F.array_append(F.array_intersect(words(F.col(text)), F.lit(list(vocabulary))), "")).alias("w"))
+    known = F.filter(words(F.col(text)), lambda w: w.isin(list(vocabulary)))
+    held = df.select(F.explode(F.array_append(F.array_distinct(known), "")).alias("w"))
     counts = {r["w"]: r["count"] for r in held.groupBy("w").count().collect()}  # a row per template word
     n = counts.pop("", 0)
     return ({w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}, math.log((1 + n) / 2) + 1)
@@ -143,15 +149,11 @@ def scan_licences(
     outputs = ["licence", "licence_score", "licence_origin", "licence_dir"]
     vectors = [(name, body, _counts(body)) for name, body in templates]
     vectors = [v for v in vectors if v[2]]
-    if sum(len(c) for _, _, c in vectors) > MAX_TEMPLATE_WORDS:
-        raise ValueError("too many templates")
     known = notices is None and templates is TEMPLATES
     wordings = [(name, body, False) for name, body in (NOTICES if known else notices or ())]
     if known:
         wordings += [(name, body, False) for name, body in licence_texts()] + [(name, body, True) for name, body in TITLES]
     wordings = [w for w in wordings if _counts(w[1])]
-    if sum(len(_counts(body)) for _, body, _ in wordings) > MAX_TEMPLATE_WORDS:
-        raise ValueError("too many notices")
     is_file = F.coalesce(F.col(path).rlike(LICENCE_FILE) if licence_file is None else licence_file, F.lit(False))
     rest = [c for c in df.columns if c not in outputs]
     marked = df.select(*[F.col(f"`{c}`") for c in rest], is_file.alias("__is_file"), F.xxhash64(text).alias("__hash"))
@@ -202,52 +204,102 @@ def _least_shared(weights: Sequence[float], threshold: float) -> int:
     return n
 
 
-def _list(values: Sequence[str]) -> Column:
-    return F.split(F.lit(" ".join(values)), " ")
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_WORDS else table
 
 
 def _notices(
     rows: DataFrame, path: str, text: str, wordings, threshold: float, idf: dict[str, float], other: float, tags: bool,
 ) -> DataFrame:
-    """(path, hash, licence, score, body) of the stretches that match a notice, and of SPDX tags."""
+    """(path, hash, licence, score, body) of the best stretches that match a notice, and of SPDX tags."""
     spark = rows.sparkSession
-    facts, seen = [], []
+    names, own, norms, least, sizes, titles, anchors = [], [], [], [], [], [], {}
     for i, (name, body, title) in enumerate(wordings):
-        own = sorted(_counts(body))
-        weights, size = [idf[w] for w in own], sum(_counts(body).values())
-        least = _least_shared(weights, threshold)
-        facts.append((i, name, own, math.sqrt(sum(w * w for w in weights)), least, size, max(1, size // SHIFTS), title))
-        seen.append((own, least))
-    every = _list(sorted({w for own, _ in seen for w in own}))
-    # the words of a text are cut and met with the vocabulary once
-    near = F.transform(F.array(F.array_intersect(words(F.col(text)), every)), lambda have: F.filter(
-        F.array(*[F.when(F.size(F.array_intersect(have, _list(own))) >= least, F.lit(i)) for i, (own, least) in enumerate(seen)]),
-        lambda i: i.isNotNull()))[0]
+        weights = {w: idf[w] for w in _counts(body)}
+        names.append(name)
+        own.append(sorted(weights))
+        norms.append(math.sqrt(sum(w * w for w in weights.values())))
+        least.append(_least_shared(list(weights.values()), threshold))
+        sizes.append(sum(_counts(body).values()))
+        titles.append(title)
+        for word in _heavy_words(weights, threshold):
+            anchors.setdefault(word, []).append(i)
+    rare = sorted(anchors)
+    in_lines = sorted(w for w, found in anchors.items() if any(titles[i] for i in found))
+
+    def fact(values: list, kind: str, i: Column) -> Column:
+        return F.lit(values).cast(f"array<{kind}>")[i]
+
+    owners = F.create_map(*[x for w in rare for x in (F.lit(w), F.lit(anchors[w]).cast("array<int>"))])
+    lists = F.array(*[F.split(F.lit(" ".join(o)), " ") for o in own])
+
+    def holds(part: Column, i: Column) -> Column:
+        """Whether enough words of a notice are there for the threshold."""
+        return F.size(F.array_intersect(lists[i], part)) >= fact(least, "int", i)
+
     tag = F.regexp_extract(text, SPDX, 1) if tags else F.lit("")
     held = rows.select(F.col(path).alias("path"), F.col("__hash").alias("hash"), F.col("__is_file").alias("is_file"),
-                       F.col(text).alias("text"), near.alias("near"), tag.alias("tag"))
-    held = materialise(held.filter((F.size("near") > 0) | (F.col("tag") != "")).dropDuplicates(["path", "hash"]))
-    table = F.broadcast(spark.createDataFrame(
-        facts, "i int, licence string, own array<string>, norm double, least int, size int, step int, title boolean"))
-    cut = held.select("path", "hash", "is_file", "text", words(F.col("text")).alias("words"), F.explode("near").alias("i")).join(table, "i")
-    last = F.greatest(F.size("words") - F.col("size") + 1, F.lit(1))
-    starts = F.array_distinct(F.array_append(F.sequence(F.lit(1), last, F.col("step")), last))
-    stretches = F.transform(starts, lambda s: F.slice("words", s, F.col("size")))
-    lines = F.transform(F.split("text", "\r?\n"), lambda line: words(line))
-    units = F.concat(F.when(F.col("title"), lines).otherwise(stretches),
-                     F.when(F.col("is_file"), F.array("words")).otherwise(F.slice(F.array("words"), 1, 0)))
+                       F.col(text).alias("text"), words(F.col(text)).alias("words"), tag.alias("tag"))
+    place = F.filter(F.transform("words", lambda w, at: F.struct(F.when(w.isin(rare), w).alias("word"), at.alias("at"))),
+                     lambda p: p.word.isNotNull())
+    near = held.select("*", place.alias("places")).filter(F.size("places") > 0)
+    # a stretch with a place in the b-th piece of as many words as the notice lies in the words around that piece
+    spots = F.array_distinct(F.flatten(F.transform("places", lambda p: F.transform(owners[p.word], lambda i: F.struct(
+        i.alias("i"), F.floor(p.at / fact(sizes, "int", i)).cast("int").alias("piece"))))))
+    near = near.select("*", spots.alias("spots"))
+
+    def around(spot: Column) -> Column:
+        size = fact(sizes, "int", spot.i)
+        first = F.greatest((spot.piece - 1) * size + 1, F.lit(0))
+        return F.struct(spot.i.alias("i"), spot.piece.alias("at"), size.alias("size"), F.slice(
+            "words", first + 1, (spot.piece + 2) * size - 1 - first).alias("part"))
+
+    stretches = F.transform(F.filter("spots", lambda x: ~fact(titles, "boolean", x.i)), around)
+    wholes = F.transform(F.array_distinct(F.transform("spots", lambda x: x.i)), lambda i: F.struct(
+        i.alias("i"), F.lit(-1).alias("at"), F.size("words").alias("size"), F.col("words").alias("part")))
+    headings = F.filter("spots", lambda x: fact(titles, "boolean", x.i))
+    lines = F.filter(F.transform(F.split("text", "\r?\n"), words), lambda line: F.exists(line, lambda w: w.isin(in_lines)))
+    lined = F.flatten(F.transform(F.array_distinct(F.transform(headings, lambda x: x.i)), lambda i: F.transform(
+        "lines", lambda line, at: F.struct(i.alias("i"), (-2 - at).alias("at"), F.size(line).alias("size"), line.alias("part")))))
+    near = near.select("*", F.when(F.size(headings) > 0, lines).otherwise(F.slice(F.array("words"), 1, 0)).alias("lines"))
+    units = F.concat(stretches, F.when(F.col("is_file"), wholes).otherwise(F.slice(wholes, 1, 0)), lined)
+    found = near.select("path", "hash", F.explode(F.filter(units, lambda u: holds(u.part, u.i))).alias("u")).select("path", "hash", "u.*")
     # numbered once and written, so that the numbers stay
-    units = materialise(cut.select("path", "hash", "i", "licence", "own", "norm", (F.col("size") >= BODY_WORDS).alias("body"), F.explode(
-        F.filter(units, lambda u: F.size(F.array_intersect(u, F.col("own"))) >= F.col("least"))).alias("u")).withColumn(
-        "uid", F.monotonically_increasing_id()))
-    weight = F.broadcast(spark.createDataFrame(list(idf.items()), "word string, x double"))
-    square = F.pow(F.coalesce("x", F.lit(other)), F.lit(2.0))
-    mass = units.select("uid", "own", F.explode(F.array_distinct("u")).alias("word")).join(weight, "word", "left").groupBy("uid").agg(
-        F.sum(F.when(F.array_contains("own", F.col("word")), square)).alias("dot"), F.sqrt(F.sum(square)).alias("length"))
-    scored = units.join(mass, "uid").select(
-        "path", "hash", "licence", F.round(F.col("dot") / (F.col("length") * F.col("norm")), 6).alias("score"), "body")
-    return scored.filter(F.col("score") >= threshold).unionByName(held.filter(F.col("tag") != "").select(
-        "path", "hash", F.col("tag").alias("licence"), F.lit(1.0).alias("score"), F.lit(True).alias("body")))
+    found = materialise(found.dropDuplicates(["path", "hash", "i", "at"]).withColumn("uid", F.monotonically_increasing_id()))
+    facts = [(i, names[i], norms[i], sizes[i] >= BODY_WORDS) for i in range(len(names))]
+    facts = _small(spark.createDataFrame(facts, "i int, licence string, norm double, body boolean"), len(facts))
+    best = _best_stretches(found, own, idf, other).join(facts, "i")
+    score = F.round(F.sqrt(F.col("square") / UNIT) / F.col("norm"), 6)
+    scored = best.select("path", "hash", "licence", score.alias("score"), "body").filter(F.col("score") >= threshold)
+    tagged = held.filter(F.col("tag") != "").select(
+        "path", "hash", F.col("tag").alias("licence"), F.lit(1.0).alias("score"), F.lit(True).alias("body")).distinct()
+    return scored.unionByName(tagged)
+
+
+def _best_stretches(units: DataFrame, own: Sequence[Sequence[str]], idf: dict[str, float], other: float) -> DataFrame:
+    """(path, hash, i, square): per unit the greatest dot * dot / length2 over its stretches of ``size`` words.
+
+    A word adds to the stretches in which it stands first: those that begin behind its place before and hold its place. Where they begin
+    and end its weight is added and taken off again, and sums that run over the offsets give all stretches.
+    """
+    spark = units.sparkSession
+    squares = _small(spark.createDataFrame([(w, round(x * x * UNIT)) for w, x in idf.items()], "word string, known bigint"), len(idf))
+    pairs = [(w, i) for i, o in enumerate(own) for w in o]
+    shared = _small(spark.createDataFrame(pairs, "word string, i int").withColumn("mine", F.lit(True)), len(pairs))
+    word = units.select("uid", "i", F.least("size", F.size("part")).alias("size"), F.size("part").alias("m"), F.posexplode("part").alias("at", "word"))
+    before = F.coalesce(F.lag("at").over(Window.partitionBy("uid", "word").orderBy("at")), F.lit(-1))
+    first = word.withColumns({
+        "from": F.greatest(before + 1, F.col("at") - F.col("size") + 1, F.lit(0)), "to": F.least(F.col("at"), F.col("m") - F.col("size"))})
+    first = first.filter(F.col("from") <= F.col("to")).join(squares, "word", "left").join(shared, ["word", "i"], "left")
+    x = F.coalesce("known", F.lit(round(other * other * UNIT)).cast("bigint"))
+    change = F.explode(F.array(F.struct(F.col("from").alias("s"), x.alias("x")), F.struct((F.col("to") + 1).alias("s"), (-x).alias("x"))))
+    steps = first.select("uid", "mine", change.alias("c")).groupBy("uid", F.col("c.s").alias("s")).agg(
+        F.sum("c.x").alias("length2"), F.sum(F.when(F.col("mine"), F.col("c.x")).otherwise(0)).alias("dot"))
+    upto = Window.partitionBy("uid").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = steps.select("uid", F.sum("length2").over(upto).alias("length2"), F.sum("dot").over(upto).alias("dot"))
+    square = F.try_divide(F.col("dot").cast("double") * F.col("dot").cast("double"), F.col("length2").cast("double"))
+    best = sums.groupBy("uid").agg(F.max(square).alias("square"))
+    return units.select("uid", "path", "hash", "i").join(best, "uid")
 
 
 def _matches(

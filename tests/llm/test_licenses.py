@@ -1,5 +1,8 @@
 import math
+import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import licenses
@@ -85,3 +88,53 @@ def test_notices_texts_and_tags(spark):
     found = {name: got[f"{name}/f"].licence for name in cases}
     assert found == {name: want for name, (_, want) in cases.items()}
     assert all(got[f"n{i}/g"].licence is None for i in range(60))
+
+
+def plain_best(text, body, idf, other):
+    """The best cosine of the sets of words of all stretches of a text, at every offset."""
+    def listed(t):
+        return [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
+
+    have, own = listed(text), set(listed(body))
+    size, best = min(len(listed(body)), len(have)), 0.0
+    norm = math.sqrt(sum(idf[w] ** 2 for w in own))
+    for s in range(len(have) - size + 1 if have else 0):
+        part = set(have[s:s + size])
+        length = math.sqrt(sum(idf.get(w, other) ** 2 for w in part))
+        best = max(best, sum(idf[w] ** 2 for w in part & own) / (length * norm))
+    return round(best, 6)
+
+
+def test_notices_equal_a_plain_cosine_over_all_offsets(spark):
+    """Notices whole, wrapped, cut short, with words put in and changed, next to prose and to each other."""
+    rng = random.Random(6)
+    notices = [("One", "You may copy and modify this software freely if you keep this notice in all copies"),
+               ("Two", "No warranty of any kind is given with this software"), ("Three", "Keep it")]
+    prose = "the of this software and in a with any some other words here given notice".split()
+    texts = []
+    for i in range(80):
+        parts = [" ".join(rng.choice(prose) for _ in range(rng.randint(0, 30)))]
+        for _ in range(rng.randint(0, 2)):
+            listed = rng.choice(notices)[1].split()
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(listed))
+                listed[at:at + rng.randint(0, 1)] = [rng.choice(prose)] * rng.randint(0, 2)
+            parts += ["\n# ".join(listed), " ".join(rng.choice(prose) for _ in range(rng.randint(0, 12)))]
+        texts.append("\n".join(parts))
+    texts += ["", notices[0][1] * 3, "keep"]
+    frame = spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)] + [("d3/f", texts[3])], "path string, text string")
+    got = {r.path: r for r in licenses.scan_licences(frame, templates=(), notices=notices, notice_threshold=0.6).collect()}
+    vocabulary = sorted({w for _, body in notices for w in licenses._counts(body)})
+    idf, other = licenses.inverse_frequencies(frame, "text", vocabulary)
+    found = 0
+    for i, text in enumerate(texts):
+        best = max(((plain_best(text, body, idf, other), name) for name, body in notices), key=lambda b: (b[0], [-ord(c) for c in b[1]]))
+        row = got[f"d{i}/f"]
+        assert (row.licence, row.licence_score) == ((best[1], best[0]) if best[0] >= 0.6 else (None, None)), (i, text)
+        found += row.licence is not None
+    assert 30 < found < len(texts)
+    shuffled = pytest.MonkeyPatch()
+    shuffled.setattr(licenses, "BROADCAST_WORDS", 0)
+    again = licenses.scan_licences(frame, templates=(), notices=notices, notice_threshold=0.6).collect()
+    shuffled.undo()
+    assert {r.path: r for r in again} == got
