@@ -37,6 +37,9 @@ from foldwise.operators.lookup import attach, fit_lookup
 CHUNK = 1 << 17
 _RUNS = "did bigint, th bigint, tl int, start int, size int, anchor bigint, content bigint, again boolean"
 
+#: no table is broadcast whole
+SHUFFLED = -1
+
 
 class Windows:
     """Runs and windows of sequences of word hashes."""
@@ -182,7 +185,7 @@ def repeated_windows(
     require_columns(df, [key])
     windows = Windows(min_words, anchor_words or max(1, min_words * 2 // 5))
     runs = _runs(df, key, text, windows)
-    # each table below is written and measured before rows meet it: small ones are broadcast, of others the hot keys
+    # the tables below grow with the input, so rows meet them in one way at every size: shuffled, but for the hot keys
     shared = fit_lookup(
         runs.filter(~F.col("again")).groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"),
@@ -190,7 +193,7 @@ def repeated_windows(
         .filter(F.col("n") > 1)
         .select("anchor", (F.col("lo") == F.col("hi")).alias("single"), "oldest", "n"), ["anchor"], ["single", "oldest"], rows="n")
     found = materialise(
-        attach(runs, shared, ["anchor"])
+        attach(runs, shared, ["anchor"], broadcast_bytes=SHUFFLED)
         .filter(F.col("again") | F.col("single").isNotNull())
         .withColumn("again", F.col("again") | (F.col("single") & (F.col("did") > F.col("oldest"))))
         .filter(F.col("again") | ~F.col("single"))
@@ -199,13 +202,13 @@ def repeated_windows(
     open_runs = found.filter(~F.col("again"))
     oldest = fit_lookup(open_runs.groupBy("anchor", "content").agg(F.min("did").alias("oldest"), F.count(F.lit(1)).alias("n")),
                         ["anchor", "content"], ["oldest"], rows="n")
-    judged = materialise(attach(open_runs, oldest).select(
+    judged = materialise(attach(open_runs, oldest, broadcast_bytes=SHUFFLED).select(
         "did", "th", "tl", "start", "size", "anchor", (F.col("did") > F.col("oldest")).alias("again")))
     copies = judged.filter("again").select("did", "th", "tl", "start", "size")
     extended = materialise(_extensions(df, key, text, judged.filter(~F.col("again")), windows))
     first = fit_lookup(extended.filter(~F.col("again")).groupBy("anchor", "words").agg(
         F.count(F.lit(1)).alias("n"), F.min("did").alias("oldest")).filter(F.col("n") > 1), ["anchor", "words"], ["oldest"], rows="n")
-    later = attach(extended, first).filter(
+    later = attach(extended, first, broadcast_bytes=SHUFFLED).filter(
         F.col("again") | (F.col("did") > F.col("oldest"))).select("did", "th", "tl", "start", F.lit(1).alias("size"))
     return spans.unionByName(copies).unionByName(later)
 
