@@ -82,6 +82,41 @@ def metric_auc(spark, folder):
     return rounded(op.evaluate(_classes(spark, folder), "yb", "score", ["roc_auc"]), {"roc_auc": 9})
 
 
+CHANCES = """
+select case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as label, l_quantity + 10 * (l_returnflag = 'A')::int as s0,
+       l_discount * 100 + 4 * (l_returnflag = 'N')::int as s1, l_linenumber::double as s2 from lineitem"""
+
+
+@query("metric_auc_classes", f"""
+with d as ({CHANCES}), l as (
+  select 0 as class, label, s0 as score from d union all select 1, label, s1 from d union all select 2, label, s2 from d),
+n as (select label, count(*)::double as n from d group by label),
+c as (select class, label, score, count(*)::double as k from l group by all),
+e as (
+  select p.class, q.label, sum(p.k * q.k * case when q.score < p.score then 1 when q.score = p.score then 0.5 else 0 end) as wins
+  from c p join c q on q.class = p.class and p.label = p.class and q.label <> p.class group by all),
+ovr as (select e.class, sum(wins) / (any_value(n.n) * ((select sum(n) from n) - any_value(n.n))) as area, any_value(n.n) as weight
+        from e join n on n.label = e.class group by e.class),
+ovo as (select least(e.class, e.label) as a, greatest(e.class, e.label) as b, avg(wins / (x.n * y.n)) as area, any_value(x.n + y.n) as weight
+        from e join n x on x.label = e.class join n y on y.label = e.label group by 1, 2)
+select round((select avg(area) from ovr), 9) as ovr_macro, round((select sum(area * weight) / sum(weight) from ovr), 9) as ovr_weighted,
+       round((select avg(area) from ovo), 9) as ovo_macro, round((select sum(area * weight) / sum(weight) from ovo), 9) as ovo_weighted""")
+def metric_auc_classes(spark, folder):
+    """Area under the curve of three classes: each against the rest and in pairs, plain and weighted means."""
+    flag = F.col("l_returnflag")
+    rows = table(spark, folder, "lineitem").select(
+        F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2).alias("label"),
+        F.array(F.col("l_quantity") + 10 * (flag == "A").cast("int"), F.col("l_discount") * 100 + 4 * (flag == "N").cast("int"),
+                F.col("l_linenumber").cast("double")).alias("chances"))
+    parts = {f"{m}_{a}": op.evaluate(rows, "label", "chances", ["roc_auc"], average=a, multi_class=m).withColumnRenamed("roc_auc", f"{m}_{a}")
+             for m in ("ovr", "ovo") for a in ("macro", "weighted")}
+    out = None
+    for part in parts.values():
+        part = part.withColumn("one", F.lit(1))
+        out = part if out is None else out.join(part, "one")  # one row each
+    return rounded(out.drop("one"), dict.fromkeys(parts, 9))
+
+
 @query("metric_logloss", f"""
 with d as (select yb, least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16) as p from ({CLASSES}))
 select round(-avg(case when yb = 1 then ln(p) else ln(1 - p) end), 6) as logloss from d""")

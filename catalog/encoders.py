@@ -82,6 +82,64 @@ def te_mean_test(spark, folder):
     return rounded(model.transform(test).select("o_orderkey", *names), dict.fromkeys(names, 3))
 
 
+HASHED = "cast('0x' || substr(md5('3|' || o_orderkey), 1, 8) as bigint)"
+
+
+def _before(f, what):
+    return f"{what} over (partition by {f} order by {HASHED}, o_orderkey rows between unbounded preceding and 1 preceding)"
+
+
+@query("te_ordered", f"""
+with t as ({SALES}), g as (select avg(price) as m from t)
+select o_orderkey, {', '.join(f"round(case when {f} is null then g.m else (coalesce({_before(f, 'sum(price)')}, 0) + 2 * g.m) / ({_before(f, 'count(price)')} + 2) end, 3) as {f}_ots" for f in FEATURES)}
+from t, g""")
+def te_ordered(spark, folder):
+    """Each order is encoded from the orders before it in a hashed order."""
+    rows = sales(spark, folder)
+    model = op.fit_ordered_target_encoder(rows, FEATURES, "price", "o_orderkey", seed=3, smoothing=2.0)
+    names = [f"{f}_ots" for f in FEATURES]
+    return rounded(model.transform_train(rows).select("o_orderkey", *names), dict.fromkeys(names, 3))
+
+
+def _relation_sql(relation):
+    """Target means per fold of a relation r(o_orderkey, fold, role), for each row that a fold measures."""
+    parts = [f"""e_{f} as (select r.fold, t.{f}, avg(price) as s, count(price) as n from r join t using (o_orderkey)
+        where r.role = 'train' and t.{f} is not null group by 1, 2)""" for f in FEATURES]
+    outs = [f"round(coalesce((e_{f}.n * e_{f}.s + 10 * p.s) / (e_{f}.n + 10), p.s), 3) as {f}_te" for f in FEATURES]
+    joins = [f"left join e_{f} on e_{f}.fold = v.fold and e_{f}.{f} = t.{f}" for f in FEATURES]
+    return f"""with t as ({SALES}), r as ({relation}), v as (select o_orderkey, fold from r where role = 'valid'),
+        p as (select r.fold, avg(price) as s from r join t using (o_orderkey) where r.role = 'train' group by 1), {', '.join(parts)}
+        select t.o_orderkey, v.fold, {', '.join(outs)} from t left join v using (o_orderkey) left join p on p.fold = v.fold {' '.join(joins)}"""
+
+
+def _relation_encoded(rows, relation):
+    model = op.fit_relation_target_encoder(rows, FEATURES, "price", "o_orderkey", relation)
+    names = [f"{f}_te" for f in FEATURES]
+    return rounded(model.transform_pairs(rows, relation).select("o_orderkey", "fold", *names), dict.fromkeys(names, 3))
+
+
+@query("te_relation_overlap", _relation_sql("""
+select o_orderkey, f.fold, case when o_orderkey % 7 in (f.fold, f.fold + 1) then 'valid' else 'train' end as role
+from t, (select unnest([0, 1, 2, 3])::int as fold) f where o_orderkey % 7 <> 6 or f.fold = 0"""))
+def te_relation_overlap(spark, folder):
+    """Overlapping folds: most rows measure two of them, some none."""
+    rows = sales(spark, folder)
+    place = F.col("o_orderkey") % 7
+    relation = op.folds_of_conditions(rows, "o_orderkey", [
+        ((place != 6) | F.lit(i == 0), place.isin(i, i + 1)) for i in range(4)])
+    return _relation_encoded(rows, relation)
+
+
+@query("te_relation_expanding", _relation_sql("""
+select o_orderkey, f.fold, case when block = f.fold + 1 then 'valid' else 'train' end as role
+from (select o_orderkey, ntile(6) over (order by o_orderkey) - 1 as block from t), (select unnest([1, 2, 3, 4])::int as fold) f
+where block = f.fold + 1 or block <= f.fold - 1"""))
+def te_relation_expanding(spark, folder):
+    """Each block is encoded from the blocks before it but for one left out between them."""
+    rows = sales(spark, folder)
+    return _relation_encoded(rows, op.expanding_folds(rows, "o_orderkey", 5, gap=1))
+
+
 # --- counts ---------------------------------------------------------------
 
 LINES = """

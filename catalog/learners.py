@@ -77,6 +77,33 @@ def cv_log_average(spark, folder):
     return rounded(result.test, {"prediction": 3})
 
 
+def _relation_fit(relation):
+    return f"""t as ({BASKET}), r as ({relation}),
+fit as (select r.fold, regr_slope(price, quantity) as s, regr_intercept(price, quantity) as i
+from r join t using (row_id) where r.role = 'train' group by r.fold),
+v as (select row_id, max(fold) as fold from r where role = 'valid' group by row_id)
+select t.row_id, v.fold, case when v.fold is null then 'nan'::double else round(fit.i + fit.s * quantity, 3) + 0.0 end as prediction
+from t left join v using (row_id) left join fit on fit.fold = v.fold"""
+
+
+@query("cv_relation_overlap", f"""with {_relation_fit("select row_id, f.fold, case when row_id % 5 in (f.fold, f.fold + 1) then 'valid' else 'train' end as role "
+    "from t, (select unnest([0, 1, 2])::int as fold) f")}""")
+def cv_relation_overlap(spark, folder):
+    """Overlapping folds; the last one that measures a row predicts it."""
+    rows = basket(spark, folder).drop("fold")
+    place = F.col("row_id") % 5
+    relation = op.folds_of_conditions(rows, "row_id", [(F.lit(True), place.isin(i, i + 1)) for i in range(3)])
+    return _oof(plans.train_and_cv(rows, "price", ["quantity"], "ridge", "row_id", model_params={"alpha": 0.0}, relation=relation))
+
+
+@query("cv_relation_expanding", f"""with {_relation_fit("select row_id, f.fold, case when block = f.fold + 1 then 'valid' else 'train' end as role "
+    "from (select row_id, ntile(5) over (order by row_id) - 1 as block from t), (select unnest([0, 1, 2, 3])::int as fold) f where block <= f.fold + 1")}""")
+def cv_relation_expanding(spark, folder):
+    rows = basket(spark, folder).drop("fold")
+    relation = op.expanding_folds(rows, "row_id", 4)
+    return _oof(plans.train_and_cv(rows, "price", ["quantity"], "ridge", "row_id", model_params={"alpha": 0.0}, relation=relation))
+
+
 def _three(alpha):
     """Ridge coefficients of three columns by determinants, from centred sums per fold."""
     rows = [[f"(xx + {alpha})", "xz", "xd"], ["xz", f"(zz + {alpha})", "zd"], ["xd", "zd", f"(dd + {alpha})"]]

@@ -98,19 +98,85 @@ def class_metrics(df: DataFrame, y: str, p: str, names: Sequence[str], average:
     return counts.agg(*out)
 
 
-def auc_table(df: DataFrame, y: str, p: str, out: str = "auc") -> DataFrame:
-    """Exact area under the ROC curve; tied scores count half.
+def _two_labels(label: Column) -> Column:
+    """True where an aggregate sees at most two labels: then each is the smallest or the greatest one."""
+    low, high, n = F.min(label), F.max(label), F.count(label)
+    # the sum of (label - low) * (high - label), whose terms are not negative
+    between = (low + high) * F.sum(label) - F.sum(label * label) - n * low * high
+    return (n == 0) | (F.abs(between) <= 1e-9 * n * F.greatest(F.lit(1.0), low * low, high * high))
+
+
+def auc_table(df: DataFrame, y: str, p: str, out: str = "auc", pos_label=1) -> DataFrame:
+    """Exact area under the ROC curve of two labels; tied scores count half.
 
     Rows are counted per distinct score first. The number of negatives below a
-    score is a running total over score ranges.
+    score is a running total over score ranges. Rows of more than two labels raise an error.
     """
-    positive = F.col(y).cast("int") == 1
+    label = F.col(y).cast("double")
+    positive = label == float(pos_label)
     scores = df.groupBy(F.col(p).cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     ranked = running_totals(scores, "score", ["neg"])
     pos, neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before").cast("double") + F.col("neg") / 2))
-    return ranked.agg((wins / F.nullif(pos * neg, F.lit(0.0))).alias(out))
+    two = df.agg(_two_labels(label).alias("__two")).withColumn("__one", F.lit(1))
+    value = F.when(F.col("__two"), F.col(out)).otherwise(
+        F.raise_error(F.lit("roc_auc of more than two labels needs an array of chances")).cast("double"))
+    area = ranked.agg((wins / F.nullif(pos * neg, F.lit(0.0))).alias(out)).withColumn("__one", F.lit(1))
+    return area.join(two, "__one").select(value.alias(out))  # one row on either side
+
+
+def class_auc_table(
+    df: DataFrame, y: str, p: str, multi_class: str = "ovr", average: str = "macro", out: str = "auc",
+) -> DataFrame:
+    """Exact area under the ROC curve for an array of chances, one per class 0, 1, 2, ...
+
+    ``multi_class`` is 'ovr' (each class against the others) or 'ovo' (each pair of classes, both ways);
+    ``average`` is 'macro' or 'weighted' (by the rows of a class, or of a pair). Classes
+    without rows are an error. For every class the rows are counted per score and label once; running totals give how
+    often a class beats each other one.
+    """
+    if multi_class not in ("ovr", "ovo"):
+        raise ValueError("multi_class must be 'ovr' or 'ovo'")
+    if average not in ("macro", "weighted"):
+        raise ValueError("average must be 'macro' or 'weighted'")
+    k = df.agg(F.max(F.size(p))).first()[0] or 0
+    if k < 2:
+        raise ValueError("roc_auc of an array needs the chances of at least two classes")
+    every = range(k)
+    long = df.select(F.col(y).cast("int").alias("label"), F.posexplode(F.col(p).cast("array<double>")).alias("class", "score"))
+    counted = long.groupBy("class", "score").agg(*[F.count_if(F.col("label") == j).alias(f"n{j}") for j in every])
+    ranked = running_totals(counted, "score", [f"n{j}" for j in every], ["class"])
+    own = F.element_at(F.array(*[F.col(f"n{j}") for j in every]), F.col("class") + 1).cast("double")
+    # beats[j]: pairs of a row of the class and one of j in which the first has the higher score
+    table = ranked.groupBy("class").agg(F.sum(own).alias("rows"), F.array(*[
+        F.sum(own * (F.col(f"n{j}_before").cast("double") + F.col(f"n{j}") / 2)) for j in every]).alias("beats"))
+    # one row per class from here on
+    all_classes = table.agg(F.array_sort(F.collect_list(F.struct("class", "rows", "beats"))).alias("c"))
+    index = F.sequence(F.lit(0), F.lit(k - 1))
+
+    def rows(i: Column) -> Column:
+        return F.get(F.col("c"), i).getField("rows")
+
+    def area(i: Column, j: Column) -> Column:
+        return F.get(F.get(F.col("c"), i).getField("beats"), j) / (rows(i) * rows(j))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+    if multi_class == "ovr":
+        def one(i: Column) -> Column:
+            rest = F.filter(index, lambda j: j != i)
+            wins = total(F.transform(rest, lambda j: F.get(F.get(F.col("c"), i).getField("beats"), j)))
+            return F.struct((wins / (rows(i) * total(F.transform(rest, rows)))).alias("area"), rows(i).alias("weight"))
+        parts = F.transform(index, one)
+    else:
+        parts = F.flatten(F.transform(index, lambda i: F.transform(F.filter(index, lambda j: j > i), lambda j: F.struct(
+            ((area(i, j) + area(j, i)) / 2).alias("area"), (rows(i) + rows(j)).alias("weight")))))
+    weight = (lambda x: x.weight) if average == "weighted" else (lambda x: F.lit(1.0))
+    score = total(F.transform(parts, lambda x: x.area * weight(x))) / total(F.transform(parts, weight))
+    whole = F.exists(index, lambda i: F.coalesce(rows(i), F.lit(0.0)) == 0)
+    return all_classes.select(F.when(whole, F.raise_error(F.lit("roc_auc needs rows of every class")).cast("double")).otherwise(score).alias(out))
 
 
 def logloss_value(df: DataFrame, y: str, p: str) -> Column:
@@ -125,11 +191,12 @@ def logloss_value(df: DataFrame, y: str, p: str) -> Column:
 
 def evaluate(
     df: DataFrame, y: str, p: str, metrics: Sequence[str], average: str = "binary", pos_label=1,
-    skip_missing: bool = False,
+    skip_missing: bool = False, multi_class: str = "ovr",
 ) -> DataFrame:
     """One row with the requested metrics; names are case-insensitive.
 
-    ``skip_missing`` scores only rows that have a prediction.
+    ``skip_missing`` scores only rows that have a prediction. ``multi_class`` is the form of roc_auc where the
+    prediction is an array; ``average`` then is 'macro' unless it is 'weighted'.
     """
     require_columns(df, [y, p])
     names = [m.lower() for m in metrics]
@@ -160,7 +227,11 @@ def evaluate(
         tables.append(class_metrics(rows, y, p, by_class, average, pos_label))
     curve = [m for m in names if m in CURVE]
     if curve:
-        tables.append(auc_table(rows, y, p, "__auc").select(*[F.col("__auc").alias(m) for m in curve]))
+        if isinstance(df.schema[p].dataType, T.ArrayType):
+            area = class_auc_table(rows, y, p, multi_class, "weighted" if average == "weighted" else "macro", "__auc")
+        else:
+            area = auc_table(rows, y, p, "__auc", pos_label)
+        tables.append(area.select(*[F.col("__auc").alias(m) for m in curve]))
     if len(tables) == 1:
         return tables[0].select(*names)
     # every table has exactly one row

@@ -246,21 +246,42 @@ def row_numbers_in_groups(
     return shifted.select(*columns, (F.col("__start") + F.col("__inside")).alias(out))
 
 
-def running_totals(df: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
-    """Add ``<value>_before``: the total of all rows with a smaller order value.
+def running_totals(df: DataFrame, order: str, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Add ``<value>_before``: the total of all rows of the same keys with a smaller order value.
 
-    ``df`` must have one row per order value. Rows are split into ranges, the
-    range totals are accumulated (one row per range), then rows inside a range.
+    ``df`` must have one row per keys and order value. Rows are split into ranges, the
+    range totals are accumulated (one row per keys and range), then rows inside a range.
     """
-    columns = df.columns
+    columns, keys = df.columns, list(keys)
     parts = split_ranges(df, order)
-    sizes = parts.groupBy(_BUCKET).agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
-    ahead = Window.partitionBy(F.lit(0)).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(_BUCKET, *[
+    sizes = parts.groupBy(*keys, _BUCKET).agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
+    ahead = Window.partitionBy(*keys or [F.lit(0)]).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, _BUCKET, *[
         F.coalesce(F.sum(f"__sum_{v}").over(ahead), F.lit(0)).alias(f"__start_{v}") for v in values])
-    inside = Window.partitionBy(_BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    # the joined side has at most CUT_POINTS + 1 rows
-    return parts.join(F.broadcast(starts), _BUCKET).select(*columns, *[
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # the joined side has at most CUT_POINTS + 1 rows for each group of keys
+    starts = starts if keys else F.broadcast(starts)
+    return parts.join(starts, [*keys, _BUCKET]).select(*columns, *[
         (F.col(f"__start_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before")
         for v in values
     ])
+
+
+def sums_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, values: Sequence[str]) -> DataFrame:
+    """Add ``<value>_before``: the sum over the rows of the same keys that come before in the order.
+
+    ``bucket`` must not decrease along ``order``. Rows are added up inside (keys, bucket) and
+    shifted by the buckets before, so keys that hold many rows are not gathered in a task.
+    """
+    keys, columns = list(keys), df.columns
+    parts = df.withColumn(_BUCKET, bucket)
+    sizes = parts.groupBy(*keys, _BUCKET).agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.sum(v).alias(f"__sum_{v}") for v in values])
+    ahead = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = [f"__start_{v}" for v in values]
+    fitted = fit_lookup(sizes.select(*keys, _BUCKET, "__rows", *[
+        F.coalesce(F.sum(f"__sum_{v}").over(ahead), F.lit(0)).alias(s) for v, s in zip(values, starts)]), [*keys, _BUCKET], starts, rows="__rows")
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = parts.withColumns({f"__in_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    shifted = attach(summed, fitted, null_safe=True)
+    return shifted.select(*columns, *[(F.col(s) + F.col(f"__in_{v}")).alias(f"{v}_before") for v, s in zip(values, starts)])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from foldwise.frame import materialise, require_columns, require_numeric
 from foldwise.operators.encode_stats import observed_folds
+from foldwise.operators.fold_relation import check_relation
 from foldwise.operators.metrics import LOWER_IS_BETTER, REGRESSION, calculate_metric, regression_metric
 from foldwise.operators.target import TargetTransform
 from foldwise.plans.boosting import (
@@ -27,7 +28,7 @@ from foldwise.plans.boosting import (
 )
 from foldwise.plans.knn import knn_predict
 
-VECTOR, LABEL = "__vector", "__label"
+VECTOR, LABEL, ROLES = "__vector", "__label", "__roles"
 
 # fixed values: accepted parameter names of forests and their MLlib counterparts
 TREE_PARAMS = {
@@ -279,20 +280,24 @@ def train_single_fold(
 
 @dataclass(frozen=True)
 class CvResult:
-    """Out-of-fold rows (id, fold, target, prediction), averaged test rows and the models."""
+    """Out-of-fold rows (id, fold, target, prediction), averaged test rows and the models.
+
+    ``pairs`` has a row for each fold that a row measures; ``oof`` one per row, of the last such fold.
+    """
 
     oof: DataFrame
     test: DataFrame | None
     models: list[FittedFold]
     row_id: str
     target: str
+    pairs: DataFrame | None = None
 
     def pooled_score(self, metric: str, **options) -> float:
         return calculate_metric(self.oof, self.target, "prediction", metric, skip_missing=True, **options)
 
     def fold_scores(self, metric: str, **options) -> DataFrame:
         """(fold, score) rows."""
-        rows = self.oof.filter(F.col("fold").isNotNull())
+        rows = (self.oof if self.pairs is None else self.pairs).filter(F.col("fold").isNotNull())
         if metric.lower() in REGRESSION:
             score = regression_metric(metric.lower(), F.col(self.target).cast("double"), F.col("prediction"))
             return rows.groupBy("fold").agg(score.alias("score"))
@@ -313,14 +318,38 @@ def _mean_over_folds(columns: list[Column], array: bool) -> Column:
     return F.transform(total, lambda x: x / F.lit(float(len(columns))))
 
 
+def _with_roles(df: DataFrame, row_id: str, fold: str, relation: DataFrame | None) -> tuple[DataFrame, list[int]]:
+    """The rows with their role in each fold, and the folds."""
+    if relation is None:
+        folds = observed_folds(df, fold)
+        place = F.col(fold)
+        roles = F.transform(F.lit([int(k) for k in folds]).cast("array<int>"), lambda k: F.when(place == k, VALID).when(
+            place.isNotNull(), TRAIN).otherwise(0))
+        out = df.withColumn(ROLES, roles)
+    else:
+        folds = check_relation(relation, row_id)
+        own = relation.distinct().groupBy(F.col(row_id).alias("__id")).agg(F.map_from_entries(F.collect_list(F.struct(
+            "fold", F.when(F.col("role") == "valid", VALID).otherwise(TRAIN)))).alias("__own"))
+        roles = F.transform(F.lit(folds).cast("array<int>"), lambda k: F.coalesce(F.element_at("__own", k), F.lit(0)))
+        out = df.join(own, F.col(row_id) == F.col("__id"), "left").withColumn(ROLES, F.coalesce(roles, F.lit([]).cast("array<int>"))).drop(
+            "__id", "__own")
+    if not folds:
+        raise ValueError(f"column '{fold}' assigns no folds" if relation is None else "the relation holds no folds")
+    return out, folds
+
+
 def train_and_cv(
     df: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str, fold: str = "fold",
     test: DataFrame | None = None, model_params: Mapping | None = None, fit_params: Mapping | None = None,
     cat_features: Sequence[str] | None = None, target_transform: TargetTransform | None = None,
-    normalize_by: str | None = None, average_on: str = "original", parallelism: int = 2,
+    normalize_by: str | None = None, average_on: str = "original", parallelism: int = 2, relation: DataFrame | None = None,
 ) -> CvResult:
     """Train one model per fold and predict each row with the model that did not see it.
 
+    Folds are the column ``fold`` or, for any pairs of training and validation rows, a ``relation`` of
+    rows (row_id, fold, role) as ``operators.fold_relation`` makes them; of several predictions of a row
+    that of the last fold counts.
+
     ``normalize_by`` divides the target by a column and ``target_transform`` is
     applied after that; predictions are returned on the original scale.
     ``average_on`` says on which scale the test predictions of the folds are
@@ -329,7 +358,7 @@ def train_and_cv(
     """
     if average_on not in ("original", "transformed"):
         raise ValueError("average_on must be 'original' or 'transformed'")
-    require_columns(df, [row_id, fold, target, *features])
+    require_columns(df, [row_id, target, *features, *([fold] if relation is None else [])])
     label, extra = "__y", [normalize_by] if normalize_by else []
     require_columns(df, extra)
     y = F.col(target).cast("double")
@@ -338,44 +367,45 @@ def train_and_cv(
     if target_transform is not None:
         y = target_transform.forward(y)
     changed = bool(normalize_by or target_transform is not None)
-    kept = list(dict.fromkeys([row_id, fold, target, *features, *extra]))
-    rows = df.select(*kept, (y if changed else F.col(target)).alias(label))
+    kept = list(dict.fromkeys([row_id, target, *features, *extra]))
+    rows, folds = _with_roles(df, row_id, fold, relation)
+    rows = rows.select(*kept, (y if changed else F.col(target)).alias(label), ROLES)
+    # every fold reads these rows several times
+    rows = materialise(rows)
 
     def restore(p: Column) -> Column:
         if target_transform is not None:
             p = target_transform.inverse(p)
         return p * F.col(normalize_by).cast("double") if normalize_by else p
 
-    def run(k: int) -> FittedFold:
-        part, other = rows.filter(F.col(fold) != k), rows.filter(F.col(fold) == k)
-        return fit_model(part, label, features, model_type, row_id, model_params, other, cat_features, fit_params)
-
-    # every fold reads these rows several times
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        folds = observed_folds(rows, fold)
-        if not folds:
-            raise ValueError(f"column '{fold}' assigns no folds")
-        if learner_of(model_type).family:
-            # the trees of all folds grow in the same passes
-            place = F.col(fold)
-            roles = F.array(*[F.when(place == k, VALID).when(place.isNotNull(), TRAIN).otherwise(0) for k in folds])
-            models = _boosted(rows, label, features, model_type, row_id, roles, len(folds), dict(model_params or {}),
-                              dict(fit_params or {}), cat_features)
-        else:
-            with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
-                models = pool.map(inheritable_thread_target(df.sparkSession)(run), folds)
-        oof = None
-        for k, model in zip(folds, models):
-            part = model.predict(rows.filter(F.col(fold) == k), row_id, [fold, target, *extra])
-            part = part.select(row_id, F.col(fold).alias("fold"), target, restore(F.col("prediction")).alias("prediction"))
-            oof = part if oof is None else oof.unionByName(part)
-        array = isinstance(oof.schema["prediction"].dataType, T.ArrayType)
-        unseen = F.lit(None).cast("array<double>") if array else F.lit(float("nan"))
-        oof = materialise(oof.unionByName(rows.filter(F.col(fold).isNull()).select(
-            row_id, F.col(fold).alias("fold"), target, unseen.alias("prediction"))))
-    finally:
-        rows.unpersist()
+    def part_of(i: int, role: int) -> DataFrame:
+        return rows.filter(F.get(ROLES, F.lit(i)) == role)
+
+    def run(i: int) -> FittedFold:
+        return fit_model(part_of(i, TRAIN), label, features, model_type, row_id, model_params, part_of(i, VALID), cat_features, fit_params)
+
+    if learner_of(model_type).family:
+        # the trees of all folds grow in the same passes
+        models = _boosted(rows, label, features, model_type, row_id, F.col(ROLES), len(folds), dict(model_params or {}),
+                          dict(fit_params or {}), cat_features)
+    else:
+        with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+            models = pool.map(inheritable_thread_target(df.sparkSession)(run), range(len(folds)))
+    pairs = None
+    for i, (k, model) in enumerate(zip(folds, models)):
+        part = model.predict(part_of(i, VALID), row_id, [target, *extra])
+        part = part.select(row_id, F.lit(k).cast("int").alias("fold"), target, restore(F.col("prediction")).alias("prediction"))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    array = isinstance(pairs.schema["prediction"].dataType, T.ArrayType)
+    unseen = F.lit(None).cast("array<double>") if array else F.lit(float("nan"))
+    unseen = rows.filter(~F.exists(ROLES, lambda r: r == VALID)).select(
+        row_id, F.lit(None).cast("int").alias("fold"), target, unseen.alias("prediction"))
+    if relation is None:
+        oof, pairs = materialise(pairs.unionByName(unseen)), None
+    else:
+        pairs = materialise(pairs)
+        last = pairs.groupBy(row_id).agg(F.max_by(F.struct("fold", target, "prediction"), "fold").alias("last")).select(row_id, "last.*")
+        oof = materialise(last.unionByName(unseen))
 
     averaged = None
     if test is not None:
@@ -392,7 +422,7 @@ def train_and_cv(
         else:
             value = restore(_mean_over_folds(values, array))
         averaged = materialise(scored.select(row_id, value.alias("prediction")))
-    return CvResult(oof, averaged, models, row_id, target)
+    return CvResult(oof, averaged, models, row_id, target, pairs)
 
 
 def compare_models(
