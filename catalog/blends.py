@@ -1,11 +1,14 @@
 """Metrics, blends and the run log."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query, rounded, table
 from catalog.profiles import SCORED, scored
 from foldwise import operators as op
-from foldwise.sources import update_run_log
+from foldwise.frame import work_folder
+from foldwise.sources import update_run_log, update_stored_run_log
 
 
 @query("metric_regression", f"""
@@ -185,3 +188,17 @@ def runlog_upsert(spark, folder):
         name, F.col("s_acctbal").alias("cv_score"), F.lit("tuned").alias("how"), F.lit("ridge").alias("best_model"),
         F.lit("x").alias("unknown_column"))
     return update_run_log(base, updates)
+
+
+@query("runlog_stored", """
+select 's' || s_suppkey as script_file_name, case when s_suppkey % 3 = 0 then s_acctbal else s_nationkey::double end as cv_score,
+       case when s_suppkey % 3 = 0 then 'Best model: ridge.' end as how, 'done' as status
+from supplier where s_suppkey % 3 = 0 or s_suppkey % 2 = 0""")
+def runlog_stored(spark, folder):
+    """Two updates of a stored log, each published as a version."""
+    supplier, path = table(spark, folder, "supplier"), f"{work_folder(spark)}/log-{uuid.uuid4().hex}"
+    name = F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("script_file_name")
+    update_stored_run_log(supplier.filter("s_suppkey % 2 = 0").select(name, F.col("s_nationkey").cast("double").alias("cv_score")), path)
+    log = update_stored_run_log(supplier.filter("s_suppkey % 3 = 0").select(
+        name, F.col("s_acctbal").alias("cv_score"), F.lit("ridge").alias("best_model")), path)
+    return log.select("script_file_name", "cv_score", "how", "status")

@@ -1,9 +1,13 @@
 """Categorical, count, ratio, target and binned encodings."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query, rounded, table
 from foldwise import operators as op
+from foldwise.frame import work_folder
+from foldwise.sources import load_model, save_model
 
 # --- target statistics ----------------------------------------------------
 
@@ -140,6 +144,15 @@ def te_relation_expanding(spark, folder):
     return _relation_encoded(rows, op.expanding_folds(rows, "o_orderkey", 5, gap=1))
 
 
+@query("te_saved", _oof_sql("avg(t.price)", FEATURES, 10.0))
+def te_saved(spark, folder):
+    """Encoded by a model that was written and read again."""
+    rows, path = sales(spark, folder), f"{work_folder(spark)}/model-{uuid.uuid4().hex}"
+    save_model(op.fit_target_encoder(rows, FEATURES, "price", "fold", folds=range(5)), path, spark)
+    names = [f"{f}_te" for f in FEATURES]
+    return rounded(load_model(spark, path).transform_train(rows).select("o_orderkey", *names), dict.fromkeys(names, 3))
+
+
 # --- counts ---------------------------------------------------------------
 
 LINES = """

@@ -1,11 +1,14 @@
 """Cross-validated training, neighbours, selection, stacking and the whole workflow."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query, rnd, rounded, table
 from foldwise import operators as op
 from foldwise import plans
-from foldwise.frame import materialise
+from foldwise.frame import materialise, work_folder
+from foldwise.sources import load_model, save_model
 
 BASKET = """
 select l_orderkey as row_id, cast(l_orderkey % 3 as integer) as fold, count(*)::double as lines, sum(l_quantity) as quantity,
@@ -86,6 +89,22 @@ select t.row_id, v.fold, case when v.fold is null then 'nan'::double else round(
 from t left join v using (row_id) left join fit on fit.fold = v.fold"""
 
 
+@query("cv_saved", f"""
+with a as ({BASKET}), t as (select * from a where row_id % 6 <> 5), {FIT.format(y='price')}
+select row_id, t.fold, round(i + s * quantity, 3) + 0.0 as prediction from a t join fit on fit.fold = (t.row_id % 3)""")
+def cv_saved(spark, folder):
+    """Models of a cross-validation, written and read again, predict rows that they did not see in training."""
+    rows, path = basket(spark, folder), f"{work_folder(spark)}/model-{uuid.uuid4().hex}"
+    result = plans.train_and_cv(rows.filter("row_id % 6 <> 5"), "price", ["quantity"], "ridge", "row_id", model_params={"alpha": 0.0})
+    save_model(result, path, spark)
+    models = load_model(spark, path).models
+    out = None
+    for k, model in enumerate(models):
+        part = model.predict(rows.filter(F.col("fold") == k), "row_id", ["fold"])
+        out = part if out is None else out.unionByName(part)
+    return rounded(out.select("row_id", "fold", "prediction"), {"prediction": 3})
+
+
 @query("cv_relation_overlap", f"""with {_relation_fit("select row_id, f.fold, case when row_id % 5 in (f.fold, f.fold + 1) then 'valid' else 'train' end as role "
     "from t, (select unnest([0, 1, 2])::int as fold) f")}""")
 def cv_relation_overlap(spark, folder):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.frame import require_columns
+from foldwise.sources.versions import Version, latest, replace
 
 # fixed values: columns of the experiment table
 RUN_LOG_COLUMNS = (
@@ -52,3 +53,24 @@ def update_run_log(base: DataFrame | None, updates: DataFrame) -> DataFrame:
            else F.col(c)
            for c in columns]
     return joined.select(*out)
+
+
+def load_run_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored log, or None if there is none yet."""
+    version = latest(spark, path)
+    return None if version is None else spark.read.parquet(version.folder)
+
+
+def update_stored_run_log(updates: DataFrame, path: str) -> DataFrame:
+    """Merge updates into the log stored at a path and return the new log.
+
+    Two updates at the same time both count: the one that publishes second merges again into what the first one wrote. An
+    update that dies leaves the log as it was.
+    """
+    spark = updates.sparkSession
+
+    def write(folder: str, before: Version | None) -> None:
+        base = None if before is None else spark.read.parquet(before.folder)
+        update_run_log(base, updates).write.parquet(folder)
+
+    return spark.read.parquet(replace(spark, path, write).folder)

@@ -4,25 +4,29 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.frame import require_columns
 from foldwise.sources.files import save_csv
+from foldwise.sources.versions import latest, list_folder, replace
 
 log = logging.getLogger(__name__)
 
 
+def _part(path: str, model: str, split: str) -> str:
+    return f"{path.rstrip('/')}/{quote(model, safe='')}/{quote(split, safe='')}"
+
+
 def save_predictions(
     df: DataFrame, path: str, model: str, split: str, row_id: str, prediction: str = "prediction"
 ) -> None:
-    """Write one model's predictions for one split; a re-run replaces that part only."""
+    """Write one model's predictions for one split; a re-run replaces that part only, as a whole."""
     require_columns(df, [row_id, prediction])
-    (df.select(F.col(row_id).alias("row_id"), F.col(prediction).alias("prediction"),
-               F.lit(model).alias("model"), F.lit(split).alias("split"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("model", "split").parquet(path))
+    rows = df.select(F.col(row_id).alias("row_id"), F.col(prediction).alias("prediction"))
+    replace(df.sparkSession, _part(path, model, split), lambda folder, before: rows.write.parquet(folder))
 
 
 def load_predictions(
@@ -30,9 +34,15 @@ def load_predictions(
     reference: DataFrame | None = None, row_id: str = "row_id",
 ) -> DataFrame:
     """Rows of (row id, model, prediction). With ``reference`` every model must cover its rows."""
-    rows = spark.read.parquet(path).filter(F.col("split") == split)
-    if models is not None:
-        rows = rows.filter(F.col("model").isin(models))
+    rows = None
+    for name in models if models is not None else map(unquote, list_folder(spark, path)):
+        version = latest(spark, _part(path, name, split))
+        if version is None:
+            continue
+        part = spark.read.parquet(version.folder).withColumn("model", F.lit(name))
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        raise FileNotFoundError(f"no predictions of split '{split}' in {path}")
     rows = rows.select(F.col("row_id").alias(row_id), F.col("model").cast("string"), "prediction")
     if reference is not None:
         names = models or [r["model"] for r in rows.select("model").distinct().collect()]
@@ -49,12 +59,17 @@ def load_predictions(
 
 
 def save_folds(df: DataFrame, path: str, row_id: str, fold: str = "fold") -> None:
+    """Write the folds; a later save replaces them as a whole."""
     require_columns(df, [row_id, fold])
-    df.select(row_id, fold).write.mode("overwrite").parquet(path)
+    rows = df.select(row_id, fold)
+    replace(df.sparkSession, path, lambda folder, before: rows.write.parquet(folder))
 
 
 def load_folds(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    version = latest(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no folds in {path}")
+    return spark.read.parquet(version.folder)
 
 
 def generate_submission_file(
