@@ -9,17 +9,19 @@ ordered by upper bound, and exact vectors are read in that order: first the
 decides which of the others must still be read. The result is certain after
 the second read, because every vector that was not read has a smaller bound.
 
-Vectors are never paired as rows. A task sees one block of queries against one
-block of cells, both of fixed size; only ids, bounds and cells move, and exact
-vectors are joined to candidates by id.
+Vectors are never paired as rows. A task holds one block of queries and lets the
+cells of one group pass by; the k best lower bounds seen so far are the floor below which
+cells are dropped at once, and the floor at the end thins out what was kept. There are at most
+``GROUPS`` groups however many vectors there are, so the candidates of a query do not grow with the table. Only ids,
+bounds and cells move, and exact vectors are joined to candidates by id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ from foldwise.llm.shared import materialise, require_columns
 CELLS = 64
 QUERY_BLOCK = 2048
 VECTOR_BLOCK = 16384
+GROUPS = 16
+#: candidates kept by a task before the floor thins them out
+HELD = 1 << 20
 
 
 def integer_vectors(df: DataFrame, key: str, vector: str, scale: int = 64) -> DataFrame:
@@ -51,41 +56,87 @@ def _edges(vectors: DataFrame, cells: int) -> dict[int, tuple[np.ndarray, np.nda
     return {n: (np.array([e[0] for e in own]), np.array([e[1] for e in own])) for n, own in out.items()}
 
 
-def _matrix(column: pd.Series, dims: int, dtype=np.int64) -> np.ndarray:
-    return np.concatenate([np.asarray(v, dtype) for v in column]).reshape(len(column), dims)
-
-
-def _bounds(queries: pd.DataFrame, cells: pd.DataFrame, edges, k: int) -> Iterator[pd.DataFrame]:
-    """Candidates of one query block in one vector block."""
-    columns = ["query_id", "vec_id", "high", "low"]
-    if queries.empty or cells.empty:
-        return
-    dims = int(queries["dims"].iloc[0])
-    least, width = edges[dims]
-    cell = np.frombuffer(b"".join(cells["cell"]), np.uint8).reshape(len(cells), dims).astype(np.int64)
-    low = (least + cell * width).astype(np.float64)
-    high = low + (width - 1)
-    ids = cells["id"].to_numpy()
-    # float sums beyond 2^53 are off by less than this share of the sum of their terms' sizes
-    size = np.maximum(np.abs(low), np.abs(high)).max(axis=0)
-    for at in range(0, len(queries), 256):
-        part = queries.iloc[at: at + 256]
-        q = _matrix(part["v"], dims).astype(np.float64)
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        most = up @ high.T + down @ low.T
-        least_score = up @ low.T + down @ high.T
-        slack = (np.abs(q) @ size) * 2.0 ** -40
-        slack[slack < 1] = 0  # small whole numbers are exact
-        most += slack[:, None]
-        least_score -= slack[:, None]
-        own = part["id"].to_numpy()[:, None] == ids[None, :]
-        most[own], least_score[own] = -np.inf, -np.inf
-        floor = np.full(len(part), -np.inf)
-        if len(ids) > k:
-            floor = np.partition(least_score, len(ids) - k, axis=1)[:, len(ids) - k]
-        qi, vi = np.nonzero((most >= floor[:, None]) & ~own)
-        yield pd.DataFrame({"query_id": part["id"].to_numpy()[qi], "vec_id": ids[vi],
-                            "high": most[qi, vi], "low": least_score[qi, vi]})[columns]
+class _Group:
+    """One block of queries while the cells of a group pass by."""
+
+    def __init__(self, edges: tuple[np.ndarray, np.ndarray], dims: int, k: int):
+        self.least, self.width = edges
+        self.dims, self.k = dims, k
+        self.ids, self.vectors = np.zeros(0, np.int64), np.zeros((0, dims))
+        self.best = np.zeros((0, k))  # the k best lower bounds of each query
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.n_held = 0
+
+    def ask(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.vectors = np.concatenate([self.vectors, vectors.astype(np.float64)])
+        self.best = np.full((len(self.ids), self.k), -np.inf)
+
+    def see(self, ids: np.ndarray, cells: np.ndarray) -> None:
+        """Bounds of a batch of cells; those that may be results are kept."""
+        low = (self.least + cells.astype(np.int64) * self.width).astype(np.float64)
+        high = low + (self.width - 1)
+        # float sums beyond 2^53 are off by less than this share of the sum of their terms' sizes
+        size = np.maximum(np.abs(low), np.abs(high)).max(axis=0)
+        for at in range(0, len(self.ids), 256):
+            rows = slice(at, at + 256)
+            q = self.vectors[rows]
+            up, down = np.maximum(q, 0), np.minimum(q, 0)
+            most = up @ high.T + down @ low.T
+            least = up @ low.T + down @ high.T
+            slack = (np.abs(q) @ size) * 2.0 ** -40
+            slack[slack < 1] = 0  # small whole numbers are exact
+            most += slack[:, None]
+            least -= slack[:, None]
+            own = self.ids[rows, None] == ids[None, :]
+            most[own], least[own] = -np.inf, -np.inf
+            seen = np.concatenate([self.best[rows], least], axis=1)
+            self.best[rows] = np.partition(seen, seen.shape[1] - self.k, axis=1)[:, seen.shape[1] - self.k:]
+            floor = self.best[rows].min(axis=1)
+            qi, vi = np.nonzero((most >= floor[:, None]) & ~own)
+            self.held.append((qi + at, ids[vi], most[qi, vi], least[qi, vi]))
+            self.n_held += len(qi)
+        if self.n_held > HELD:
+            self.thin()
+
+    def thin(self) -> None:
+        """Drop what the floors of now rule out."""
+        if self.held:
+            query, vector, most, least = (np.concatenate(x) for x in zip(*self.held))
+            stays = most >= self.best.min(axis=1)[query]
+            self.held = [(query[stays], vector[stays], most[stays], least[stays])]
+            self.n_held = int(stays.sum())
+
+    def candidates(self) -> pa.RecordBatch:
+        self.thin()
+        query, vector, most, least = self.held[0] if self.held else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        return pa.RecordBatch.from_arrays([
+            pa.array(self.ids[query]), pa.array(vector), pa.array(most), pa.array(least)], ["query_id", "vec_id", "high", "low"])
+
+
+def _stream(batches: Iterable[pa.RecordBatch], edges, k: int) -> Iterator[pa.RecordBatch]:
+    """Candidates of groups of rows (dims, qb, g, kind, id, v, cell) in order of the first four: queries, then cells."""
+    group, key = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        marks = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
+        cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), n]
+        for a, b in zip(cuts, cuts[1:]):
+            dims, kind = int(marks[a, 0]), marks[a, 3]
+            if key != tuple(marks[a, :3]):
+                if group is not None:
+                    yield group.candidates()
+                key, group = tuple(marks[a, :3]), _Group(edges[dims], dims, k)
+            ids = batch.column(4).slice(a, b - a).to_numpy(zero_copy_only=False)
+            if kind == 0:
+                group.ask(ids, batch.column(5).slice(a, b - a).flatten().to_numpy().reshape(b - a, dims))
+            else:
+                cells = b"".join(batch.column(6).slice(a, b - a).to_pylist())
+                group.see(ids, np.frombuffer(cells, np.uint8).reshape(b - a, dims))
+    if group is not None:
+        yield group.candidates()
 
 
 def _top(df: DataFrame, by: list[Column], k: int) -> DataFrame:
@@ -139,12 +190,15 @@ def top_k_inner_product(
     def block(count: int) -> Column:
         return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
 
-    spread_queries = F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1)))
-    spread_vectors = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    left = asked.select("id", "v", "dims", block(query_blocks).alias("qb"), spread_queries.alias("vb"))
-    right = vectors.select("id", cell.alias("cell"), "dims", block(vector_blocks).alias("vb"), spread_vectors.alias("qb"))
-    bounded = left.groupBy("dims", "qb", "vb").cogroup(right.groupBy("dims", "qb", "vb")).applyInPandas(
-        lambda q, c: _joined(q, c, edges, k), "query_id bigint, vec_id bigint, high double, low double")
+    groups = min(GROUPS, vector_blocks)
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    left = asked.select("dims", block(query_blocks).alias("qb"), every_group.alias("g"), F.lit(0).alias("kind"), "id", "v",
+                        F.lit(None).cast("binary").alias("cell"))
+    right = vectors.select("dims", every_block.alias("qb"), block(groups).alias("g"), F.lit(1).alias("kind"), "id",
+                           F.lit(None).cast("array<bigint>").alias("v"), cell.alias("cell"))
+    ordered = left.unionByName(right).repartition("dims", "qb", "g").sortWithinPartitions("dims", "qb", "g", "kind")
+    bounded = ordered.mapInArrow(lambda batches: _stream(batches, edges, k), "query_id bigint, vec_id bigint, high double, low double")
     candidates = materialise(bounded)
     floors = _top(candidates.select("query_id", "vec_id", "low"), [F.desc("low"), F.asc("vec_id")], k).groupBy(
         "query_id").agg(F.min("low").alias("floor"), F.count(F.lit(1)).alias("n"))
@@ -158,10 +212,3 @@ def top_k_inner_product(
     scored = read.unionByName(_exact(rest, vectors))
     return _top(scored, [F.desc("score"), F.asc("vec_id")], k).select("query_id", "rank", "vec_id", "score")
 
-
-def _joined(queries: pd.DataFrame, cells: pd.DataFrame, edges, k: int) -> pd.DataFrame:
-    parts = list(_bounds(queries, cells, edges, k))
-    if not parts:
-        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"),
-                             "high": pd.Series(dtype="float64"), "low": pd.Series(dtype="float64")})
-    return pd.concat(parts, ignore_index=True)

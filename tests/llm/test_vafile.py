@@ -44,3 +44,24 @@ def test_empty_tables(vectors):
     assert vafile.top_k_inner_product(vectors, F.lit(False)).count() == 0
     with pytest.raises(ValueError):
         vafile.top_k_inner_product(vectors, F.lit(True), cells=300)
+
+
+def test_candidates_do_not_grow_with_the_blocks(spark, monkeypatch):
+    """What is kept per query is bounded by a constant times k, whether there is 1 block of vectors or 100."""
+    rows = spark.range(4_000).select(F.col("id").alias("vec_id"), F.array(*[
+        (F.xxhash64(F.lit(i), "id") % 1000 / 900).cast("float") for i in range(16)]).alias("embedding"))
+    kept, materialise = [], vafile.materialise
+
+    def counted(df):
+        out = materialise(df)
+        if df.columns == ["query_id", "vec_id", "high", "low"]:
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(vafile, "materialise", counted)
+    monkeypatch.setattr(vafile, "HELD", 1 << 12)
+    results = [sorted(map(tuple, vafile.top_k_inner_product(rows, F.col("vec_id") % 20 == 0, 5, query_block=64, vector_block=b).collect()))
+               for b in (4_000, 250, 40)]
+    assert results[0] == results[1] == results[2] and len(results[0]) == 200 * 5
+    # one group, 16 groups of 16 blocks, 16 groups of 100 blocks
+    assert max(kept) <= 200 * 5 * 2 * vafile.GROUPS and kept[2] <= 1.05 * kept[1]
