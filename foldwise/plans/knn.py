@@ -1,28 +1,40 @@
-"""Exact nearest neighbours as a blocked join.
-
-Queries and points are hashed into blocks, each pair of blocks meets in one
-task, and that task keeps only the k best points per query. The work grows with
-queries x points, as it must for exact neighbours in many dimensions; memory per
-task is bounded by the block size, and pairs of rows are never materialised.
+"""Exact nearest neighbours over cells around pivots.
+
+Points and queries are filed under the nearest of at most ``MAX_CELLS`` pivots, drawn
+from the points. A cell's radius is the greatest distance to its pivot, so the
+distance of two pivots, less and plus both radii, bounds every distance between two cells.
+Taking cells by their upper bounds until they hold k points gives a distance within which every
+query of a cell finds its neighbours; cells that lie farther away are not read. The
+result does not depend on the pivots. In many dimensions little can be ruled out, and the work
+then grows with queries x points.
+
+A task sees one block of a query cell and a group of point cells of about ``BLOCK_ROWS`` rows and
+keeps the k best points per query; pairs of rows are never materialised.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.frame import require_columns
+from foldwise.frame import materialise, require_columns
 
 BLOCK_ROWS = 8192
-MIN_BLOCKS = 8
 QUERY_ROWS = 512
+#: pivots, so at most the square of it pairs of cells on the driver
+MAX_CELLS = 1024
+#: points per cell that are aimed at
+CELL_ROWS = 1024
+#: more than the rounding error of a distance
+SLACK = 1e-9
 
 
 def _vector(df: DataFrame, features: Sequence[str]) -> Column:
@@ -61,6 +73,65 @@ def _best_in_block(k: int):
     return best
 
 
+def _filed(df: DataFrame, centres: np.ndarray) -> DataFrame:
+    """The rows with the nearest pivot (``cell``) and the distance to it (``gap``)."""
+    schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())])
+    at, norms = df.columns.index("vector"), (centres * centres).sum(axis=1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, centres.shape[1])
+            cell = np.concatenate([(norms - 2.0 * (x[i:i + QUERY_ROWS] @ centres.T)).argmin(axis=1) for i in range(0, len(x), QUERY_ROWS)]
+                                  ) if len(x) else np.zeros(0, np.int64)
+            gap = np.sqrt(((x - centres[cell]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(gap)], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _cell_facts(filed: DataFrame) -> dict[int, tuple[int, float]]:
+    """Rows and radius of each cell; one row per pivot."""
+    return {r["cell"]: (r["n"], r["r"]) for r in filed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("r")).collect()}
+
+
+@dataclass(frozen=True)
+class CellPlan:
+    """Which cells of points each cell of queries reads, in groups of about a block."""
+
+    queries: list[tuple[int, int, int]]          # query cell, blocks of its queries, groups of points
+    pairs: list[tuple[int, int, int, int, int]]  # point cell, query cell, its first group, its groups, blocks of the queries
+    compared: int                                # pairs of a query and a point that meet
+
+
+def plan_cells(
+    centres: np.ndarray, points: dict[int, tuple[int, float]], queries: dict[int, tuple[int, float]], k: int, block_rows: int,
+) -> CellPlan:
+    """Cells that may hold one of the ``k`` nearest points of some query of a cell; ties at the bound are read."""
+    cells = np.array(sorted(points))
+    rows = np.array([points[c][0] for c in cells])
+    radius = np.array([points[c][1] for c in cells])
+    asked, pairs, compared = [], [], 0
+    for qc, (n, r) in sorted(queries.items()):
+        between = np.sqrt(((centres[cells] - centres[qc]) ** 2).sum(axis=1))
+        scale = SLACK * (1.0 + between.max() + radius.max() + r)
+        high, low = between + radius + r + scale, between - radius - r - scale
+        order = np.argsort(high, kind="stable")
+        enough = min(int(np.searchsorted(np.cumsum(rows[order]), k)), len(order) - 1)
+        near = np.flatnonzero(low <= high[order[enough]])
+        blocks, group, held = max(1, math.ceil(n / block_rows)), 0, 0
+        for i in near.tolist():
+            size, parts = int(rows[i]), max(1, math.ceil(int(rows[i]) / block_rows))
+            if held and held + size > block_rows:
+                group, held = group + 1, 0
+            pairs.append((int(cells[i]), qc, group, parts, blocks))
+            compared += n * size
+            held += size
+            if parts > 1:
+                group, held = group + parts, 0
+        asked.append((qc, blocks, group + 1))
+    return CellPlan(asked, pairs, compared)
+
+
 @dataclass(frozen=True)
 class ProjectionIndex:
     """Random projections for large point sets: wider buckets and more tables find more, at more work."""
@@ -98,7 +169,7 @@ def nearest_neighbours(
 ) -> DataFrame:
     """Rows of (query_id, rank, point_id, distance, label), nearest first, ties by point id.
 
-    Exact, with work that grows with queries x points. With an ``index`` only
+    Exact; cells of points that are too far away from a cell of queries are not compared. With an ``index`` only
     points that share a bucket with a query are compared, which is approximate.
     """
     if index is not None:
@@ -111,19 +182,34 @@ def nearest_neighbours(
     value = F.col(label).cast("double") if label else F.lit(None).cast("double")
     p = points.select(F.col(row_id).alias("point_id"), value.alias("label"), _vector(points, features).alias("vector"))
     q = queries.select(F.col(row_id).alias("query_id"), _vector(queries, features).alias("vector"))
-    n_points = p.count()
-    p_blocks = max(1, math.ceil(n_points / block_rows))
-    q_blocks = max(MIN_BLOCKS, math.ceil(q.count() / block_rows))
-    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = q.withColumn("qb", place("query_id", q_blocks)).withColumn("pb", every(p_blocks))
-    p = p.withColumn("pb", place("point_id", p_blocks)).withColumn("qb", every(q_blocks))
     id_type = points.schema[row_id].dataType.simpleString()
+    cells = max(1, min(MAX_CELLS, math.ceil(p.count() / min(CELL_ROWS, block_rows))))
+    # a bounded sample; it decides about the work, not about the result
+    pivots = p.orderBy(F.xxhash64("point_id"), "point_id").limit(cells).select("vector").collect()
     schema = f"query_id {id_type}, point_id {id_type}, label double, distance double"
-    found = q.groupBy("qb", "pb").cogroup(p.groupBy("qb", "pb")).applyInPandas(_best_in_block(keep), schema)
+    if not pivots:
+        return p.sparkSession.createDataFrame([], schema).selectExpr("query_id", "0 as rank", "point_id", "distance", "label")
+    centres = np.array([r["vector"] for r in pivots], float)
+    p, q = materialise(_filed(p, centres)), materialise(_filed(q, centres))
+    plan = plan_cells(centres, _cell_facts(p), _cell_facts(q), keep, block_rows)
+    spark = p.sparkSession
+    # at most MAX_CELLS rows, and as many for each of them
+    asked = F.broadcast(spark.createDataFrame(plan.queries, "cell int, qsubs int, groups int"))
+    read = F.broadcast(spark.createDataFrame(plan.pairs, "cell int, qc int, first int, parts int, qsubs int"))
+
+    def part(c: str, n: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+
+    q = q.join(asked, "cell").select(
+        "query_id", "vector", F.col("cell").alias("qc"), part("query_id", "qsubs").alias("qs"),
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("pg"))
+    p = p.join(read, "cell").select(
+        "point_id", "label", "vector", "qc", F.explode(F.sequence(F.lit(0), F.col("qsubs") - 1)).alias("qs"),
+        (F.col("first") + part("point_id", "parts")).alias("pg"))
+    found = q.groupBy("qc", "qs", "pg").cogroup(p.groupBy("qc", "qs", "pg")).applyInPandas(_best_in_block(keep), schema)
     if exclude_self:
         found = found.filter(F.col("query_id") != F.col("point_id"))
-    # at most k candidates per query and block of points
+    # at most k candidates per query and group of cells
     best = Window.partitionBy("query_id").orderBy("distance", "point_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "point_id", "distance", "label")

@@ -246,6 +246,28 @@ def test_neighbours_equal_brute_force(points):
         assert got == {i: list(np.argsort(d[i], kind="stable")[:4]) for i in range(120)}
 
 
+def test_far_cells_are_not_read(spark, monkeypatch):
+    """On clustered points few pairs of cells meet, and the result is that of all pairs."""
+    from foldwise.plans import knn
+
+    monkeypatch.setattr(knn, "CELL_ROWS", 20)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(60, 3)) + 40 * rng.integers(0, 6, 3) for _ in range(20)]).round(2)
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id int, a double, b double, c double").repartition(3)
+    plans_made, plan = [], knn.plan_cells
+    monkeypatch.setattr(knn, "plan_cells", lambda *a: plans_made.append(plan(*a)) or plans_made[-1])
+    for block in (8192, 13):
+        found = plans.nearest_neighbours(df, df.filter("id % 3 = 0"), "id", ["a", "b", "c"], 4, block_rows=block).collect()
+        d = ((x[::3, None, :] - x[None]) ** 2).sum(-1)
+        want = {3 * i: list(np.argsort(row, kind="stable")[:4]) for i, row in enumerate(d)}
+        got = {}
+        for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+            got.setdefault(r["query_id"], []).append(r["point_id"])
+        assert got == want
+        assert plans_made[-1].compared < 0.3 * len(d) * len(x)
+    assert plans.nearest_neighbours(df.limit(0), df, "id", ["a"], 2).count() == 0
+
+
 def test_neighbours_with_copies(frame):
     df = frame("id int, v double", id=range(30), v=[1.0] * 25 + [2., 3., 4., 5., 6.])
     found = plans.nearest_neighbours(df, df.filter("id >= 25"), "id", ["v"], 2, block_rows=7)
