@@ -24,8 +24,11 @@ CUT_POINTS = 4096
 FEW_CUT_POINTS = 64
 CUT_ACCURACY = 20_000
 ROWS_PER_RANGE = 100_000
+#: a wanted range that is too large is split by this many cut points, as often as this
+SPLIT_POINTS = 64
+SPLITS = 6
 
-RANGE, _WEIGHT, _VALUE = "__bucket", "__weight", "__value"
+RANGE, _WEIGHT, _VALUE, _NUMBER = "__bucket", "__weight", "__value", "__real"
 _BUCKET = RANGE
 
 
@@ -71,36 +74,42 @@ def ranked_values(
     """One row per group with ``__total`` and a map from wanted rank to value.
 
     ``ranks`` is an array expression over ``__total``; ranks count from zero in
-    ascending order. Three passes: cut points, rows per range, and the rows of
-    the ranges that hold a wanted rank. Only the last are ever ordered.
+    ascending order. After a pass for cut points and one for the rows per range, a range
+    that holds a wanted rank and more than ``ROWS_PER_RANGE`` rows is split again by cut points of its own,
+    until it is small or holds one value. Only the rows of wanted ranges are read for that, and only
+    they are ever ordered.
     """
     keys = list(keys)
     times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    columns = [_VALUE, _WEIGHT, _NUMBER]
     parts = split_ranges(df.select(*keys, F.col(value).alias(_VALUE), times.alias(_WEIGHT)), _VALUE)
-    sizes = parts.groupBy(*keys, _BUCKET).agg(F.sum(_WEIGHT).alias("__size"))
+    parts = parts.withColumns({_NUMBER: F.col(_VALUE).cast("double"), _BUCKET: F.col(_BUCKET).cast("bigint")})
+    measures = [F.sum(_WEIGHT).alias("__size"), F.min(_NUMBER).alias("__lo"), F.max(_NUMBER).alias("__hi")]
     # at most CUT_POINTS + 1 rows per group reach one task here
     group = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
+    sizes = parts.groupBy(*keys, _BUCKET).agg(*measures).withColumn("__total", F.sum("__size").over(group))
     running = group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        sizes
-        .withColumn("__total", F.sum("__size").over(group))
-        .withColumn("__start", F.sum("__size").over(running) - F.col("__size"))
-        .withColumn("__wanted", F.array_distinct(ranks))
-        .withColumn("__wanted", F.filter(
-            "__wanted", lambda r: (r >= F.col("__start")) & (r < F.col("__start") + F.col("__size"))))
-        .filter(F.size("__wanted") > 0)
-    )
-    located = fit_lookup(found, [*keys, _BUCKET], ["__total", "__start", "__wanted"], rows="__size")
-
-    facts = [F.first(c).alias(c) for c in located.payload]
+    found = sizes.withColumn("__start", F.sum("__size").over(running) - F.col("__size")).withColumn("__wanted", F.array_distinct(ranks))
+    facts, large = ["__total", "__start", "__wanted", "__lo", "__hi"], (F.col("__size") > ROWS_PER_RANGE) & (F.col("__lo") < F.col("__hi"))
+    for level in range(SPLITS + 1):
+        mine = F.filter("__wanted", lambda r: (r >= F.col("__start")) & (r < F.col("__start") + F.col("__size")))
+        found = found.withColumn("__wanted", mine).filter(F.size("__wanted") > 0)
+        located = fit_lookup(found, [*keys, _BUCKET], facts, rows="__size")
+        n_large = located.table.filter(large).count() if level < SPLITS else 0
+        if not n_large:
+            break
+        parts, found = _split_again(parts, located, keys, columns, facts, large, n_large, measures)
+
+    located_rows = located.table
+    here = [F.first(c).alias(c) for c in facts]
     count = F.sum(_WEIGHT).alias(_WEIGHT)
     if located.n_bytes <= lookup.BROADCAST_BYTES:
         # the other ranges are dropped before anything is shuffled
-        near = _join_ranges(parts, F.broadcast(located.table), keys, [_VALUE, _WEIGHT], located.payload)
-        inside = near.groupBy(*keys, _BUCKET, _VALUE).agg(count, *facts)
+        near = _join_ranges(parts, F.broadcast(located_rows), keys, [_VALUE, _WEIGHT], facts)
+        inside = near.groupBy(*keys, _BUCKET, _VALUE).agg(count, *here)
     else:
         counted = parts.groupBy(*keys, _BUCKET, _VALUE).agg(count)
-        inside = _join_ranges(counted, located.table.hint("shuffle_hash"), keys, [_VALUE, _WEIGHT], located.payload)
+        inside = _join_ranges(counted, located_rows.hint("shuffle_hash"), keys, [_VALUE, _WEIGHT], facts)
     ordered = (
         Window.partitionBy(*[F.col(k) for k in keys], F.col(_BUCKET)).orderBy(_VALUE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -117,6 +126,33 @@ def ranked_values(
     )
 
 
+def _split_again(parts, located, keys, columns, facts, large, n_large: int, measures) -> tuple[DataFrame, DataFrame]:
+    """The rows of the located ranges in finer ranges, and the finer ranges with what they inherit.
+
+    A cut point ends a range and is one of its own, so a value of many rows is told apart from its neighbours; the smallest value is
+    a cut point too, so every split of two values divides them.
+    """
+    small = located.n_bytes <= lookup.BROADCAST_BYTES
+    near = _join_ranges(parts, F.broadcast(located.table) if small else located.table, keys, columns, [*facts, "__size"])
+    grid = ", ".join(f"{i / SPLIT_POINTS}D" for i in range(1, SPLIT_POINTS))
+    cuts = materialise(near.filter(large).groupBy(*keys, _BUCKET).agg(F.array_sort(F.array_distinct(F.array_append(
+        F.expr(f"percentile_approx({_NUMBER}, array({grid}), 1000)"), F.min(_NUMBER)))).alias("__cuts")))
+    cuts = F.broadcast(cuts) if n_large * SPLIT_POINTS * 8 <= lookup.BROADCAST_BYTES else cuts
+    left, right = near.alias("v"), cuts.alias("c")
+    on = F.col(f"v.{_BUCKET}") == F.col(f"c.{_BUCKET}")
+    for k in keys:
+        on = on & F.col(f"v.{k}").eqNullSafe(F.col(f"c.{k}"))
+    rows = left.join(right, on, "left").select("v.*", "c.__cuts")
+    number = F.col(_NUMBER)
+    place = F.size(F.filter("__cuts", lambda c: c < number)) + F.size(F.filter("__cuts", lambda c: c <= number))
+    finer = F.col(_BUCKET) * (2 * SPLIT_POINTS + 2) + F.when(F.col("__cuts").isNotNull(), place).otherwise(0)
+    rows = rows.withColumn("__parent", F.col(_BUCKET)).withColumn(_BUCKET, finer)
+    sizes = rows.groupBy(*keys, "__parent", _BUCKET).agg(*measures, *[F.first(c).alias(c) for c in facts[:2]], F.first("__wanted").alias("__wanted"))
+    running = Window.partitionBy(*[F.col(k) for k in keys], F.col("__parent")).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = sizes.withColumn("__start", F.col("__start") + F.sum("__size").over(running) - F.col("__size")).drop("__parent")
+    return rows.select(*keys, _BUCKET, *columns), found
+
+
 def _join_ranges(rows: DataFrame, located: DataFrame, keys, kept, facts) -> DataFrame:
     left, right = rows.alias("v"), located.alias("b")
     on = F.col(f"v.{_BUCKET}") == F.col(f"b.{_BUCKET}")

@@ -1,5 +1,6 @@
 """Shape of the plans: what is broadcast, what is shuffled, and where hot keys go."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,29 @@ def test_index_of_neighbours_recalls_most(spark):
     same = exact.select("query_id", "point_id").intersect(found.select("query_id", "point_id")).count()
     assert same >= 0.9 * exact.count()
     assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wanted_ranges_are_split_until_they_are_small(spark, monkeypatch):
+    """200 columns share the first cut points, and one column has most of its rows in one value: no task orders many counted values."""
+    monkeypatch.setattr(order_stats, "ROWS_PER_RANGE", 40)
+    monkeypatch.setattr(order_stats, "CUT_POINTS", 16)
+    n, columns = 600, 200
+    rows = spark.range(n).select(*[
+        (F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.xxhash64("id") % 1000) if c == 0 else
+         F.xxhash64("id", F.lit(c)) % 100_000 / (10.0 ** (c % 5)) + c).alias(f"c{c}") for c in range(columns)]).cache()
+    sizes, fit = [], order_stats.fit_lookup
+
+    def measured(table, keys, payload, rows):
+        out = fit(table, keys, payload, rows=rows)
+        if "__wanted" in payload:
+            sizes.append([(r["__size"], r["__lo"], r["__hi"]) for r in out.table.collect()])
+        return out
+
+    monkeypatch.setattr(order_stats, "fit_lookup", measured)
+    names = [f"c{c}" for c in range(columns)]
+    got = order_stats.column_quantiles(rows, names, [0.0, 0.25, 0.5, 1.0])
+    assert len(sizes) > 1 and any(size > 40 and lo < hi for size, lo, hi in sizes[0])
+    assert all(size <= 40 or lo == hi for size, lo, hi in sizes[-1])
+    data = rows.toPandas()
+    for c in names:
+        assert got[c] == pytest.approx(np.quantile(data[c].to_numpy(float), [0.0, 0.25, 0.5, 1.0]))
