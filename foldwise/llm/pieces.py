@@ -18,6 +18,7 @@ import re
 import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +209,7 @@ class Codec:
         self.model = load_model(path)
         self.tokenizer = _decoder(path)
         self.check = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.lone = [self.check.piece_to_id(MARK)]
         self.by_unit = self.model.splits_at_marks and self.model.add_dummy_prefix
         self.plain = not (self.model.charsmap or self.model.remove_extra_whitespaces)
         self.bare = build_tokenizer(self.model)
@@ -237,8 +239,7 @@ class Codec:
         shown = [n[1:] if cut and n.startswith(" ") else n for n in shown]
         wanted = self.check.encode(shown)
         # a lone mark ends a text that ends in a space; no text of its own gives it
-        lone = [self.check.piece_to_id(MARK)]
-        parity = np.array([own == (lone if n == MARK else w) for n, own, w in zip(normal, ids, wanted)], bool)
+        parity = np.array([own == (self.lone if n == MARK else w) for n, own, w in zip(normal, ids, wanted)], bool)
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         return parity, np.array([b == n for b, n in zip(back, shown)], bool)
 
@@ -247,8 +248,8 @@ class Codec:
         parity, trip = self._checked(units, ids)
         first = len(self.known)
         self.known.update(zip(units, range(first, first + len(units))))
-        sizes = np.array([len(i) for i in ids], np.int64)
-        self.unit_ids = np.concatenate([self.unit_ids, np.fromiter((x for i in ids for x in i), np.int32, sizes.sum())])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.unit_ids = np.concatenate([self.unit_ids, np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())])
         self.unit_bounds = np.concatenate([self.unit_bounds, self.unit_bounds[-1] + np.cumsum(sizes)])
         self.unit_parity = np.concatenate([self.unit_parity, parity])
         self.unit_trip = np.concatenate([self.unit_trip, trip])
@@ -259,17 +260,17 @@ class Codec:
         if not self.by_unit:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
             parity, trip = self._checked(normal, ids)
-            sizes = np.array([len(i) for i in ids], np.int64)
-            return np.fromiter((x for i in ids for x in i), np.int32, sizes.sum()), sizes, parity, trip
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum()), sizes, parity, trip
         units = [UNIT.findall(n) for n in normal]
-        new = {u for own in units for u in own if u not in self.known}
+        new = set().union(*units).difference(self.known)
         if new:
             if len(self.known) > KNOWN_UNITS:
                 self.forget()
-                new = {u for own in units for u in own}
+                new = set().union(*units)
             self._learn(sorted(new))
         counts = np.array([len(own) for own in units], np.int64)
-        at = np.fromiter((self.known[u] for own in units for u in own), np.int64, counts.sum())
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(units)), np.int64, counts.sum())
         begin = self.unit_bounds[at]
         size = self.unit_bounds[at + 1] - begin
         ends = np.cumsum(size)
