@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog import query, rnd, rounded, table
@@ -337,14 +338,56 @@ def compare_models(spark, folder):
     return rounded(plans.fold_score_summary(scores), {"mean": 3, "std": 3}).withColumn("chosen", F.lit(chosen))
 
 
-@query("importance_summary", """
-select 'many' as feature, 1.0::double as mean, 0.0::double as std""")
+@query("importance_summary", f"""
+with t as (select *, row_id % 2 as noise from ({BASKET})), f as (select distinct fold from t),
+g as (
+  select f.fold, 'many' as feature, covar_pop(price, many) * covar_pop(price, many) / var_pop(many) as gain from f join t on t.fold <> f.fold group by f.fold
+  union all select f.fold, 'noise', covar_pop(price, noise) * covar_pop(price, noise) / var_pop(noise) from f join t on t.fold <> f.fold group by f.fold),
+i as (select fold, feature, (gain = max(gain) over (partition by fold))::int::double as importance from g)
+select feature, round(avg(importance), 6) as mean, round(stddev_pop(importance), 6) as std from i group by feature""")
 def importance_summary(spark, folder):
-    """All importance of a tree on one column is that column's."""
-    result = plans.train_and_cv(basket(spark, folder), "price", ["many"], "rf_reg", "row_id", model_params=FOREST)
+    """A tree of one split puts all its importance on the column that explains more of the price."""
+    rows = basket(spark, folder).withColumn("noise", (F.col("row_id") % 2).cast("int"))
+    result = plans.train_and_cv(rows, "price", ["many", "noise"], "rf_reg", "row_id", model_params=FOREST)
     return rounded(plans.importance_summary(result.importances()), {"mean": 6, "std": 6})
 
 
+def _judged(result, target, classes):
+    """Per fold: rows, whether each has a prediction, and whether the predictions beat the shares of the classes."""
+    p, y = F.col("prediction"), F.col(target).cast("int")
+    chance = F.when(y == 1, p).otherwise(1 - p) if classes == 2 else F.element_at(p, y + 1)
+    scored = result.oof.withColumn("loss", -F.ln(F.greatest(F.least(chance, F.lit(1 - 1e-15)), F.lit(1e-15))))
+    shares = scored.groupBy("fold", target).agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss")).withColumn(
+        "whole", F.sum("n").over(Window.partitionBy("fold")))  # a row per fold and class
+    return shares.groupBy("fold").agg(
+        F.sum("n").alias("n"), F.every(F.col("loss").isNotNull()).alias("every_row_scored"),
+        (F.sum("loss") < F.sum(-F.col("n") * F.ln(F.col("n") / F.col("whole")))).alias("beats_the_shares"))
+
+
+JUDGED = f"""with t as ({BASKET}) select fold, count(*) as n, true as every_row_scored, true as beats_the_shares from t group by fold"""
+
+
+@query("cv_rf_rich", JUDGED)
+def cv_rf_rich(spark, folder):
+    result = plans.train_and_cv(basket(spark, folder), "load", FEATURES, "rf", "row_id", model_params={
+        "n_estimators": 10, "max_depth": 5, "min_samples_leaf": 5, "subsample": 0.8, "random_state": 7})
+    return _judged(result, "load", 3)
+
+
+@query("cv_logreg_rich", JUDGED)
+def cv_logreg_rich(spark, folder):
+    result = plans.train_and_cv(basket(spark, folder), "load", ["lines", "discount"], "logreg", "row_id", model_params={"C": 0.5, "max_iter": 50})
+    return _judged(result, "load", 3)
+
+
+@query("cv_mlp_loss", JUDGED)
+def cv_mlp_loss(spark, folder):
+    """The loss of each fold against that of constant shares."""
+    rows = basket(spark, folder).withColumn("quantity", F.col("quantity") / 100)
+    result = plans.train_and_cv(rows, "bulk", ["lines", "quantity"], "mlp", "row_id", model_params={"hidden_sizes": [6], "epochs": 60, "random_state": 3})
+    return _judged(result, "bulk", 2)
+
+
 @query("stack_ridge", f"""
 with t as ({BASKET}), a as (select * from t where row_id % 6 <> 5),
 c as (select f.fold, avg(price) as my, avg(quantity) as mx, avg(lines) as mz,

@@ -29,6 +29,10 @@ def native_value(text: str | None, dtype: T.DataType):
     return text
 
 
+#: columns that one feature may become; a plan holds no more
+ONE_HOT_COLUMNS = 10_000
+
+
 def observed_categories(df: DataFrame, features: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
     """Sorted distinct values per feature, null last; each becomes a column.
 
@@ -80,8 +84,9 @@ class OneHotModel:
 
 def fit_onehot(
     df: DataFrame, features: Sequence[str], handle_unknown: str = "ignore",
-    prefix: str = "", drop_original: bool = True, max_categories: int | None = None,
+    prefix: str = "", drop_original: bool = True, max_categories: int | None = ONE_HOT_COLUMNS,
 ) -> OneHotModel:
+    """One column per category. More than ``max_categories`` of a feature are an error: ``fit_onehot_vector`` has no bound."""
     if handle_unknown not in ("ignore", "error"):
         raise ValueError("handle_unknown must be 'ignore' or 'error'")
     return OneHotModel(observed_categories(df, features, max_categories), handle_unknown, prefix, drop_original)

@@ -13,9 +13,11 @@ Every row is kept and gets the same values on either route.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,7 +243,8 @@ def attach_features(
 ) -> DataFrame:
     """Attach the payload of several features; ``outputs`` names it per feature.
 
-    Features with small tables are broadcast, within one shared size budget. Of
+    Features with small tables are broadcast, within one shared size budget: as joins, or if there are
+    more than ``JOIN_BLOCK`` of them all in one pass over Arrow batches. Of
     the others, each costs a shuffled join, unless ``row_id`` is given: then
     they are joined together in long form and folded back per row.
     """
@@ -256,11 +259,13 @@ def attach_features(
             small.append(f)
         else:
             large.append(f)
-    out = df
-    for done, f in enumerate([f for f in wanted if f in small], start=1):
-        out = _attach_one(out, lookup, f, number[f], outputs[f], null_safe)
-        if done % JOIN_BLOCK == 0:
-            out = materialise(out)
+    out, together = df, [f for f in wanted if f in small]
+    if len(together) > JOIN_BLOCK:
+        # more joins than a plan should hold; their tables share one budget, so together they fit a worker
+        out = _attach_batches(out, lookup, {f: outputs[f] for f in together}, number, null_safe)
+    else:
+        for f in together:
+            out = _attach_one(out, lookup, f, number[f], outputs[f], null_safe)
     large = [f for f in wanted if f in large]
     if row_id is None or len(large) < 2:
         for f in large:
@@ -271,6 +276,39 @@ def attach_features(
     return out.select(*[F.col(f"`{c}`") for c in order])
 
 
+def _attach_batches(df: DataFrame, lookup: FeatureLookup, outputs, number, null_safe: bool) -> DataFrame:
+    """Look up many small features in one pass over the rows, without a shuffle or a write.
+
+    The tables, of a measured size, are broadcast to the workers; each batch finds the places of its keys
+    and takes the payloads from there.
+    """
+    features = list(outputs)
+    wanted = lookup.table.filter(F.col(FEATURE).isin([number[f] for f in features])).select(FEATURE, KEY, *lookup.payload)
+    found = wanted.toArrow()
+    tables = {}
+    for f in features:
+        own = found.filter(pc.equal(found.column(FEATURE), number[f])).combine_chunks()
+        tables[f] = (own.column(KEY).combine_chunks(), [own.column(p).combine_chunks() for p in lookup.payload])
+    sent = df.sparkSession.sparkContext.broadcast(tables)
+    kinds = [wanted.schema[p].dataType for p in lookup.payload]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(o, kind) for f in features for o, kind in zip(outputs[f], kinds)]])
+    typed = df.withColumns({f"__key{i}": F.col(f"`{f}`").cast(lookup.types[f]) for i, f in enumerate(features)})
+    keyed = typed.select(*[F.col(f"`{c}`") for c in df.columns], *[key_text(typed, f"__key{i}").alias(f"__key{i}") for i in range(len(features))])
+    width = len(df.columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            arrays = list(batch.columns[:width])
+            for i, f in enumerate(features):
+                keys, payload = known[f]
+                at = pc.index_in(batch.column(width + i).cast(keys.type), value_set=keys, skip_nulls=not null_safe)
+                arrays += [p.take(at) for p in payload]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return keyed.mapInArrow(run, schema)
+
+
 def _attach_long(df, lookup, outputs, number, row_id, null_safe) -> DataFrame:
     features = list(outputs)
     pairs = F.array(*[F.struct(F.lit(number[f]).alias(FEATURE), key_text(df, f).alias(KEY)) for f in features])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -73,12 +74,31 @@ def calculate_feature_summary(
 
 @dataclass(frozen=True)
 class Correlations:
-    """Correlation tables; None where the data do not allow one."""
+    """Correlation tables, each computed when it is first read; None where the data do not allow one."""
 
     features: list[str]
-    long: DataFrame | None      # f1, f2, r for every ordered pair
-    matrix: DataFrame | None    # feature plus one column per feature
-    target: DataFrame | None    # feature, <target>_correlation, strongest first
+    rows: DataFrame | None
+    target_name: str
+
+    @functools.cached_property
+    def long(self) -> DataFrame | None:
+        """f1, f2, r for every ordered pair."""
+        return correlation_pairs(self.rows, self.features) if len(self.features) >= 2 else None
+
+    @functools.cached_property
+    def matrix(self) -> DataFrame | None:
+        """``feature`` and one column per feature."""
+        if self.long is None:
+            return None
+        wide = self.long.groupBy("f1").pivot("f2", self.features).agg(F.first("r"))
+        return wide.withColumnRenamed("f1", "feature").select("feature", *self.features)
+
+    @functools.cached_property
+    def target(self) -> DataFrame | None:
+        """``feature`` and its correlation with the target, strongest first."""
+        if not self.features or not is_numeric(self.rows, self.target_name):
+            return None
+        return target_correlations(self.rows, self.target_name, self.features)
 
 
 def _varying(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -136,17 +156,7 @@ def calculate_correlations(
         columns = [c for c in feature_cols if is_numeric(df, c)]
     else:
         columns = numeric_columns(df, [target])
-    columns = _varying(df, columns)
-    if not columns:
-        return Correlations([], None, None, None)
-    long = matrix = by_target = None
-    if len(columns) >= 2:
-        long = correlation_pairs(df, columns)
-        wide = long.groupBy("f1").pivot("f2", columns).agg(F.first("r"))
-        matrix = wide.withColumnRenamed("f1", "feature").select("feature", *columns)
-    if is_numeric(df, target):
-        by_target = target_correlations(df, target, columns)
-    return Correlations(columns, long, matrix, by_target)
+    return Correlations(_varying(df, columns), df, target)
 
 
 def top_correlations(table: DataFrame, value: str, k: int = 50) -> DataFrame:
@@ -281,7 +291,7 @@ def profile_tables(
 
     section("summary", lambda: calculate_feature_summary(df))
     section("target_distribution", lambda: target_histogram(df, target))
-    found = Correlations([], None, None, None)
+    found = Correlations([], None, "")
     try:
         found = calculate_correlations(df, target)
     except Exception as error:
@@ -289,7 +299,7 @@ def profile_tables(
         failed.append(("correlations", str(error)[:500]))
     section("feature_correlations", lambda: found.matrix)
     section("target_correlations", lambda: found.target)
-    if found.target is not None:
+    if "target_correlations" in tables:
         section("top_target_correlations", lambda: top_correlations(found.target, f"{target}_correlation", top_k))
     if is_numeric(df, target):
         wanted = [c for c in (features or df.columns) if c in df.columns and c != target]

@@ -238,3 +238,32 @@ def test_wanted_ranges_are_split_until_they_are_small(spark, monkeypatch):
     data = rows.toPandas()
     for c in names:
         assert got[c] == pytest.approx(np.quantile(data[c].to_numpy(float), [0.0, 0.25, 0.5, 1.0]))
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_many_features_are_looked_up_in_one_pass(spark, null_safe, monkeypatch):
+    """100 features: no table is written after fitting, no join, and the values of the joins."""
+    from foldwise.operators import lookup
+
+    rows = spark.range(300).select("id", *[
+        F.when(F.xxhash64("id", F.lit(c)) % 5 != 0, (F.xxhash64("id", F.lit(c)) % (3 + c % 7)).cast("string" if c % 3 else "double")).alias(f"f{c}")
+        for c in range(100)])
+    names = [f"f{c}" for c in range(100)]
+    long = lookup.long_keys(rows, names)
+    long = long if null_safe else long.filter(F.col(lookup.KEY).isNotNull())
+    counts = long.groupBy(lookup.FEATURE, lookup.KEY).agg(F.count(F.lit(1)).alias("n"))
+    fitted = lookup.fit_features(counts.withColumn("list", F.array(F.col("n").cast("double"))), rows, names, ["n", "list"], rows="n")
+    other = spark.range(3).select("id", *[F.lit("new" if c % 3 else None).cast(rows.schema[f"f{c}"].dataType).alias(f"f{c}") for c in range(100)])
+    outputs, written = {f: [f"{f}_n", f"{f}_l"] for f in names}, []
+    monkeypatch.setattr(lookup, "materialise", lambda *a, **k: written.append(a))
+    for df in (rows, other):
+        one_pass = lookup.attach_features(df, fitted, outputs, null_safe=null_safe)
+        plan = one_pass._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Join" not in plan and "Exchange" not in plan and not written
+        got = sorted(map(str, one_pass.collect()))
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lookup, "JOIN_BLOCK", 1000)
+            joined = lookup.attach_features(df.select("id", *names[:12]), fitted, {f: outputs[f] for f in names[:12]}, null_safe=null_safe)
+        some = [c for f in names[:12] for c in outputs[f]]
+        assert sorted(map(str, one_pass.select("id", *some).collect())) == sorted(map(str, joined.select("id", *some).collect()))
+        assert len(got) == df.count()
