@@ -208,13 +208,22 @@ def _threshold(score: np.ndarray, right: np.ndarray, precision: float) -> float:
     return float(score[order[good[-1]]]) if len(good) else 1.0
 
 
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and numbers of a column of lists."""
+    whole = column.combine_chunks()
+    return whole.offsets.to_numpy(), whole.values.to_numpy()
+
+
 def fit_language_model(
     df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", usable: Column | None = None,
     per_language: int = 800, max_languages: int = 500, buckets: int = 1 << 15, hold_back: float = 0.2,
-    precision: float = 0.99, seed: int = 7,
+    precision: float = 0.99, seed: int = 7, max_entries: int = 20_000_000,
 ) -> LanguageModel:
     """Train on a sample of about ``per_language`` rows of each language.
 
+    The sample is thinned out evenly, again by hash, where it has more than about ``max_entries`` counted subwords (8 bytes
+    each on the driver).
+
     Rows are chosen by a hash of the key, so any partitioning gives the same
     sample. Rows with a null text, label or key, without letters, or outside
     ``usable`` are not used. Whole texts are counted. More than
@@ -247,8 +256,14 @@ def fit_language_model(
 
     fields = [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("n", T.ArrayType(T.IntegerType()))]
     counted = append_columns(sample, fields, compute, ["text"]).select("key", "label", "held", "at", "n")
-    found = materialise(counted.filter(F.size("at") > 0)).toArrow().sort_by([("key", "ascending"), ("label", "ascending")])
-    bags = [(np.asarray(a), np.asarray(n)) for a, n in zip(found["at"].to_pylist(), found["n"].to_pylist())]
+    drawn = materialise(counted.filter(F.size("at") > 0))
+    entries = drawn.agg(F.sum(F.size("at"))).first()[0] or 0
+    if entries > max_entries:
+        again = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("key")), F.lit(1 << 30))
+        drawn = drawn.filter(again < int(max_entries / entries * (1 << 30)))
+    found = drawn.toArrow().sort_by([("key", "ascending"), ("label", "ascending")])
+    (bounds, at), (_, n) = (_flat(found[c]) for c in ("at", "n"))
+    bags = [(at[a:b], n[a:b]) for a, b in zip(bounds, bounds[1:])]
     return train(bags, found["label"].to_pylist(), found["held"].to_pylist(), buckets, precision=precision, seed=seed)
 
 

@@ -63,6 +63,16 @@ def test_temperature_and_threshold():
     assert langid._threshold(score, ~right, 0.99) == 1.0
 
 
+@needs_tables
+def test_the_sample_of_languages_is_bounded_by_its_entries(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    taken, train = [], langid.train
+    monkeypatch.setattr(langid, "train", lambda bags, *a, **k: taken.append(sum(len(b[0]) for b in bags)) or train(bags, *a, **k))
+    whole = langid.fit_language_model(docs)
+    fewer = langid.fit_language_model(docs, max_entries=taken[0] // 4)
+    assert 0.1 * taken[0] < taken[1] < 0.4 * taken[0] and fewer.languages == whole.languages
+
+
 def test_label_model_finds_the_accuracies():
     rng = np.random.default_rng(5)
     m, n = len(quality.LABELLERS), 40_000
