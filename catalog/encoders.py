@@ -144,6 +144,33 @@ def te_relation_expanding(spark, folder):
     return _relation_encoded(rows, op.expanding_folds(rows, "o_orderkey", 5, gap=1))
 
 
+BASE = {"flag": "l_returnflag", "status": "l_linestatus", "mode": "month(l_shipdate)::varchar", "line": "l_linenumber::varchar", "disc": "round(l_discount * 100)::int::varchar",
+        "tax": "round(l_tax * 100)::int::varchar", "bulk": "(l_quantity >= 25)::int::varchar"}
+
+
+@query("te_crossed", f"""
+with t as (select l_orderkey, l_linenumber, l_partkey, l_extendedprice as price, cast(l_orderkey % 3 as integer) as fold,
+                  {', '.join(f"{e} as {n}" for n, e in BASE.items())} from lineitem),
+p as (select f.fold, avg(price) as s from (select distinct fold from t) f join t on t.fold <> f.fold group by 1),
+c as (select *, flag || '_' || mode as c2, status || '_' || line || '_' || bulk as c3, flag || '_' || status || '_' || mode || '_' || disc as c4 from t),
+{', '.join(f"e{i} as (select f.fold, c.c{i}, avg(price) as s, count(*) as n from p f join c on c.fold <> f.fold group by 1, 2), k{i} as (select c{i}, count(*) as n from c group by 1)" for i in (2, 3, 4))}
+select l_orderkey, l_linenumber, l_partkey, {', '.join(f"round((e{i}.n * e{i}.s + 10 * p.s) / (e{i}.n + 10), 3) as te{i}, k{i}.n as n{i}" for i in (2, 3, 4))}
+from c join p on p.fold = c.fold {' '.join(f"join e{i} on e{i}.fold = c.fold and e{i}.c{i} = c.c{i} join k{i} on k{i}.c{i} = c.c{i}" for i in (2, 3, 4))}""")
+def te_crossed(spark, folder):
+    """91 crossings of seven columns from one scan; three of them are compared."""
+    line = table(spark, folder, "lineitem")
+    rows = line.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("price"), (F.col("l_orderkey") % 3).cast("int").alias("fold"),
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), F.month("l_shipdate").cast("string").alias("mode"),
+        F.col("l_linenumber").cast("string").alias("line"), F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("disc"),
+        F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("tax"), (F.col("l_quantity") >= 25).cast("int").cast("string").alias("bulk"))
+    model = op.fit_crossed_encoder(rows, list(BASE), [2, 3, 4], "price", "fold", folds=range(3))
+    found = model.transform_train(rows)
+    crossed = {2: "flag_mode_inter2", 3: "status_line_bulk_inter3", 4: "flag_status_mode_disc_inter4"}
+    return rounded(found.select("l_orderkey", "l_linenumber", "l_partkey", *[F.col(f"{c}_te").alias(f"te{i}") for i, c in crossed.items()],
+                                *[F.col(f"{c}_count").alias(f"n{i}") for i, c in crossed.items()]), {f"te{i}": 3 for i in crossed})
+
+
 @query("te_saved", _oof_sql("avg(t.price)", FEATURES, 10.0))
 def te_saved(spark, folder):
     """Encoded by a model that was written and read again."""

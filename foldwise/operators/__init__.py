@@ -19,6 +19,7 @@ from foldwise.operators.folds import (
     assign_folds, contiguous_kfold, fold_pairs, group_kfold, kfold, stratified_kfold,
 )
 from foldwise.operators.impute import fit_imputer, handle_missing_values
+from foldwise.operators.lattice import fit_crossed_encoder
 from foldwise.operators.lookup import map_column
 from foldwise.operators.metrics import calculate_metric, evaluate
 from foldwise.operators.ordered_stats import fit_ordered_target_encoder
@@ -42,7 +43,7 @@ __all__ = [
     "create_enhanced_interaction_features", "create_interaction_features",
     "create_n_way_multiplication_features", "create_nway_interaction_features",
     "create_polynomial_features", "denormalize_predictions_by_feature", "drop_duplicates_keep_first",
-    "drop_null_target", "encode_categorical_features", "evaluate", "expanding_folds", "fit_bins", "fit_count_encoder",
+    "drop_null_target", "encode_categorical_features", "evaluate", "expanding_folds", "fit_bins", "fit_count_encoder", "fit_crossed_encoder",
     "fit_imputer", "fit_label", "fit_onehot", "fit_onehot_vector", "fit_ordered_target_encoder", "fit_ordinal",
     "fit_ratio_encoder", "fit_relation_target_encoder", "fit_scaler",
     "fit_target_encoder", "fit_target_transform", "fold_pairs", "folds_of_conditions", "group_kfold", "handle_missing_values",

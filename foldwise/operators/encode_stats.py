@@ -254,6 +254,39 @@ def _order_statistics(train, features, target, fold_col, folds, prob):
     return found.select(FEATURE, KEY, *out).withColumn("rows", F.col("n"))
 
 
+def _mean_parts(fitted: FeatureLookup, k: int):
+    """Overall mean, mean outside each fold, and the same per category as (mean, rows), from sums and counts per fold."""
+    # every row has one key of the first feature, so its rows sum to the whole
+    row = fitted.table.filter(F.col(FEATURE) == 0).agg(
+        *[F.sum(c).alias(c) for i in range(k) for c in (f"s{i}", f"n{i}")],
+        F.sum("s").alias("s"), F.sum("n").alias("n")).first()
+    overall = row["s"] / row["n"] if row["n"] else None
+    fold_stats = []
+    for i in range(k):
+        n = sum(row[f"n{j}"] or 0 for j in range(k) if j != i)
+        s = sum(row[f"s{j}"] or 0.0 for j in range(k) if j != i)
+        fold_stats.append(s / n if n else None)
+    sums, counts = [F.col(f"s{i}") for i in range(k)], [F.col(f"n{i}").cast("double") for i in range(k)]
+    outside = [(F.try_divide(_others(sums, i), F.nullif(_others(counts, i), F.lit(0.0))), _others(counts, i))
+               for i in range(k)]
+    whole = (F.try_divide(F.col("s"), F.nullif(F.col("n").cast("double"), F.lit(0.0))), F.col("n").cast("double"))
+    return overall, fold_stats, outside, whole
+
+
+def _target_model(fitted, features, folds, overall, fold_stats, outside, whole, amount, prior, fold_col, suffix, row_id) -> TargetModel:
+    global_prior = number_or_none(overall)
+    global_prior = 0.0 if global_prior is None else global_prior
+    fold_priors = [number_or_none(s) for s in fold_stats]
+    fold_priors = [global_prior if p is None or prior == "global" else p for p in fold_priors]
+    encoded = fitted.table.filter(F.col(KEY).isNotNull()).select(
+        FEATURE, KEY, "__covered",
+        F.array(*[_smoothed(stat, n, p, amount) for (stat, n), p in zip(outside, fold_priors)]).alias("oof"),
+        _smoothed(*whole, global_prior, amount).alias("whole"))
+    # the encoded rows are narrower than the measured statistics, so their sizes still bound them
+    lookup = FeatureLookup(encoded, features, fitted.types, ["oof", "whole"], fitted.sizes)
+    return TargetModel(lookup, folds, fold_priors, global_prior, fold_col, suffix, row_id)
+
+
 def fit_target_encoder(
     train: DataFrame,
     features: Sequence[str],
@@ -292,20 +325,7 @@ def fit_target_encoder(
         fitted = fit_features(
             _mean_statistics(train, features, target, fold_col, folds), train, features,
             [x for i in range(k) for x in (f"s{i}", f"n{i}")] + ["s", "n"], rows="rows")
-        # every row has one key of the first feature, so its rows sum to the whole
-        row = fitted.table.filter(F.col(FEATURE) == 0).agg(
-            *[F.sum(c).alias(c) for i in range(k) for c in (f"s{i}", f"n{i}")],
-            F.sum("s").alias("s"), F.sum("n").alias("n")).first()
-        overall = row["s"] / row["n"] if row["n"] else None
-        fold_stats = []
-        for i in range(k):
-            n = sum(row[f"n{j}"] or 0 for j in range(k) if j != i)
-            s = sum(row[f"s{j}"] or 0.0 for j in range(k) if j != i)
-            fold_stats.append(s / n if n else None)
-        sums, counts = [F.col(f"s{i}") for i in range(k)], [F.col(f"n{i}").cast("double") for i in range(k)]
-        outside = [(F.try_divide(_others(sums, i), F.nullif(_others(counts, i), F.lit(0.0))), _others(counts, i))
-                   for i in range(k)]
-        whole = (F.try_divide(F.col("s"), F.nullif(F.col("n").cast("double"), F.lit(0.0))), F.col("n").cast("double"))
+        overall, fold_stats, outside, whole = _mean_parts(fitted, k)
     else:
         prob = 0.5 if agg_stat == "median" else float(percentile) / 100.0
         # a constant as one more feature gives the priors in the same pass
@@ -320,17 +340,7 @@ def fit_target_encoder(
         outside = [(F.col(f"q{i}"), F.col(f"n{i}").cast("double")) for i in range(k)]
         whole = (F.col("q"), F.col("n").cast("double"))
 
-    global_prior = number_or_none(overall)
-    global_prior = 0.0 if global_prior is None else global_prior
-    fold_priors = [number_or_none(s) for s in fold_stats]
-    fold_priors = [global_prior if p is None or prior == "global" else p for p in fold_priors]
-    encoded = fitted.table.filter(F.col(KEY).isNotNull()).select(
-        FEATURE, KEY, "__covered",
-        F.array(*[_smoothed(stat, n, p, amount) for (stat, n), p in zip(outside, fold_priors)]).alias("oof"),
-        _smoothed(*whole, global_prior, amount).alias("whole"))
-    # the encoded rows are narrower than the measured statistics, so their sizes still bound them
-    lookup = FeatureLookup(encoded, features, fitted.types, ["oof", "whole"], fitted.sizes)
-    return TargetModel(lookup, folds, fold_priors, global_prior, fold_col, suffix, row_id)
+    return _target_model(fitted, features, folds, overall, fold_stats, outside, whole, amount, prior, fold_col, suffix, row_id)
 
 
 def apply_target_encoding(
