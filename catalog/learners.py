@@ -338,6 +338,19 @@ def compare_models(spark, folder):
     return rounded(plans.fold_score_summary(scores), {"mean": 3, "std": 3}).withColumn("chosen", F.lit(chosen))
 
 
+@query("cv_nn", f"""
+with t as ({BASKET}) select fold, count(*) as n, true as every_row_scored, true as better_than_at_first, true as beats_the_mean from t group by fold""")
+def cv_nn(spark, folder):
+    """A network for a price: the loss of the best epoch against that of the first one and of the mean."""
+    result = plans.train_and_cv(basket(spark, folder), "price", FEATURES, "nn", "row_id", model_params={"hidden_sizes": [16, 8], "dropout_rate": 0.1},
+                                fit_params={"epochs": 6, "batch_size": 64, "lr": 0.01, "early_stopping_rounds": 3})
+    better = F.create_map(*[x for k, m in enumerate(result.models) for x in (F.lit(k), F.lit(min(m.model.curve) < m.model.curve[0]))])
+    scored = result.oof.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.every(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("every_row_scored"),
+        (F.avg((F.col("price") - F.col("prediction")) ** 2) < F.var_pop("price")).alias("beats_the_mean"))
+    return scored.withColumn("better_than_at_first", better[F.col("fold")])
+
+
 @query("importance_summary", f"""
 with t as (select *, row_id % 2 as noise from ({BASKET})), f as (select distinct fold from t),
 g as (

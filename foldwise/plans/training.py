@@ -1,4 +1,4 @@
-"""Fold-wise training with out-of-fold predictions: boosting in ``boosting``, neighbours in ``knn``, other learners on MLlib."""
+"""Fold-wise training with out-of-fold predictions: boosting, perceptrons and neighbours of their own, other learners on MLlib."""
 
 from __future__ import annotations
 
@@ -27,6 +27,7 @@ from foldwise.plans.boosting import (
     BINARY_LOSS, CLASSES_LOSS, OBJECTIVES, TRAIN, VALID, WITHOUT_EFFECT, BoostedTrees, best_round, fit_boosting, settings_of,
 )
 from foldwise.plans.knn import knn_predict
+from foldwise.plans.perceptron import LOSSES, MSE, Perceptron, fit_perceptrons, net_settings
 
 VECTOR, LABEL, ROLES = "__vector", "__label", "__roles"
 
@@ -35,6 +36,7 @@ TREE_PARAMS = {
     "n_estimators": "numTrees", "max_depth": "maxDepth", "subsample": "subsamplingRate", "min_samples_leaf": "minInstancesPerNode",
     "min_child_samples": "minInstancesPerNode", "max_bin": "maxBins", "random_state": "seed", "seed": "seed",
 }
+CLASS_LOSSES = tuple(name for name, loss in LOSSES.items() if loss != MSE)
 CLASS_OBJECTIVES = (*OBJECTIVES[BINARY_LOSS], *OBJECTIVES[CLASSES_LOSS])
 
 
@@ -43,7 +45,7 @@ class Learner:
     kind: str  # regression or classification
     build: Callable | None
     trees: bool = False
-    family: str | None = None  # of boosting: whose defaults hold
+    family: str | None = None  # trained for all folds at once: 'nn', or of boosting whose defaults hold
 
 
 def _known(estimator, params: Mapping) -> dict:
@@ -111,7 +113,8 @@ MODELS: dict[str, Learner] = {
     **{n: Learner(_CLASS, _logreg) for n in ("logreg", "logisticregression")},
     "ridge": Learner(_REG, _ridge),
     "lasso": Learner(_REG, _lasso),
-    **{n: Learner(_CLASS, _perceptron) for n in ("nn", "mlp")},
+    "mlp": Learner(_CLASS, _perceptron),
+    "nn": Learner("objective", None, family="nn"),
     **{n: Learner(_CLASS, None) for n in ("knn", "kneighbors")},
     "knn_reg": Learner(_REG, None),
 }
@@ -127,7 +130,8 @@ def learner_of(model_type: str) -> Learner:
 def is_classifier(model_type: str, params: Mapping) -> bool:
     learner = learner_of(model_type)
     if learner.kind == "objective":
-        return params.get("objective", params.get("loss_function")) in CLASS_OBJECTIVES
+        given = params.get("objective", params.get("loss_function", params.get("loss_fn")))
+        return given in (CLASS_OBJECTIVES if learner.family != "nn" else CLASS_LOSSES)
     return learner.kind == _CLASS
 
 
@@ -190,7 +194,7 @@ class FittedFold:
             found = knn_predict(self.points, df, row_id, self.features, LABEL, self.k,
                                 self.classes if self.classifier else None)
             return df.select(*kept).join(found.withColumnRenamed("prediction", out), row_id, "left")
-        if isinstance(self.model, BoostedTrees):
+        if isinstance(self.model, (BoostedTrees, Perceptron)):
             return df.select(*kept, self.model.prediction(df).alias(out))
         vectors = assemble(df, self.features, kept, self.trees, self.indexers)
         scored = self.model.transform(vectors)
@@ -201,14 +205,18 @@ def _boosted(
     df: DataFrame, target: str, features: Sequence[str], model_type: str, row_id: str, roles: Column, models: int,
     params: Mapping, fit_params: Mapping, cat_features: Sequence[str] | None,
 ) -> list[FittedFold]:
-    """Boosted models of all folds; ``roles`` tells what a row is to each of them."""
+    """Boosted models or networks of all folds; ``roles`` tells what a row is to each of them."""
+    patience = int(fit_params.get("early_stopping_rounds") or 0)
+    if learner_of(model_type).family == "nn":
+        nets = fit_perceptrons(df, row_id, target, features, roles, models, net_settings(params, fit_params), patience)
+        return [FittedFold(m, list(features), False, (), m.classification, m.classes) for m in nets]
     rate = fit_params.get("learning_rates")
     if rate is not None and not callable(rate):
         given = list(rate)
         rate = lambda i: given[min(i, len(given) - 1)]
     settings = settings_of(learner_of(model_type).family, params, fit_params.get("num_boost_round"))
     fitted = fit_boosting(
-        df, row_id, target, features, roles, models, settings, int(fit_params.get("early_stopping_rounds") or 0),
+        df, row_id, target, features, roles, models, settings, patience,
         [f for f in cat_features or () if f in features], rate)
     return [FittedFold(m, list(features), True, (), settings.classification, m.classes) for m in fitted]
 
