@@ -38,6 +38,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHARS = 1 << 19
 TOKENS = 1 << 18
 KNOWN_UNITS = 300_000
+ROW_OF_UNITS = 256
 #: marks and what follows up to the next mark
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 PROBES = (
@@ -243,9 +244,27 @@ class Codec:
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         return parity, np.array([b == n for b, n in zip(back, shown)], bool)
 
+    def _checked_units(self, units: list[str], ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_checked``, many units at once: in a row they are a text, whose ids and way back are theirs.
+
+        Only where a row of units differs are they looked at one by one. Units of marks alone would join the next one.
+        """
+        parity, trip = np.ones(len(units), bool), np.ones(len(units), bool)
+        alone = [i for i, u in enumerate(units) if u.endswith(MARK)]
+        words = [i for i, u in enumerate(units) if not u.endswith(MARK)]
+        for at in range(0, len(words), ROW_OF_UNITS):
+            row = words[at: at + ROW_OF_UNITS]
+            text = "".join([units[i] for i in row]).replace(MARK, " ")[1:]
+            own = list(chain.from_iterable([ids[i] for i in row]))
+            if self.check.encode(text) != own or self.tokenizer.decode(own, skip_special_tokens=False) != text:
+                alone += row
+        if alone:
+            parity[alone], trip[alone] = self._checked([units[i] for i in alone], [ids[i] for i in alone])
+        return parity, trip
+
     def _learn(self, units: list[str]) -> None:
         ids = [e.ids for e in self.bare.encode_batch_fast(units, add_special_tokens=False)]
-        parity, trip = self._checked(units, ids)
+        parity, trip = self._checked_units(units, ids)
         first = len(self.known)
         self.known.update(zip(units, range(first, first + len(units))))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
