@@ -218,6 +218,31 @@ def test_selection(points):
     assert by_mae == ["a"]
 
 
+@pytest.mark.parametrize("kind, target, metric, params", [
+    ("lasso", "y", "rmse", {"alpha": 0.3}), ("lasso", "y", "r2", {"alpha": 0.01}), ("logreg", "flag", "logloss", {"C": 0.5}),
+    ("logreg", "flag", "logloss", {"C": 100.0})])
+def test_batched_scores_equal_the_learners(points, kind, target, metric, params, monkeypatch):
+    """Sums per fold give what training each candidate gives, and the passes do not depend on the candidates."""
+    from foldwise.plans import logistic, selection
+
+    df, _, _ = points
+    sets = {"one": ["a"], "two": ["a", "c"], "all": ["a", "b", "c"]}
+    score = selection._scorer(df, target, ["a", "b", "c"], kind, "id", metric, "fold", params, {})
+    passes, sums = [], logistic.LogisticRows._sums
+    monkeypatch.setattr(logistic.LogisticRows, "_sums", lambda self, w, p: passes.append(len(w)) or sums(self, w, p))
+    got = score(sets)
+    many = len(passes)
+    for name, chosen in sets.items():
+        slow = plans.evaluate_features_cv(df, target, chosen, kind, "id", metric, model_params=params)
+        assert got[name] == approx(slow, rel=2e-3)
+        del passes[:]
+        assert score({name: chosen})[name] == approx(got[name]) and len(passes) <= many
+    if kind == "logreg":
+        assert many < 30
+    order = plans.select_features_forward(df, target, ["c", "b", "a"], kind, "id", metric, model_params=params, min_improvement=0.01)
+    assert order[0] == "a"
+
+
 def test_stacking(points):
     df, _, _ = points
     train, test = df.filter("id < 90"), df.filter("id >= 90")
