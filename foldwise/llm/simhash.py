@@ -375,7 +375,8 @@ def near_duplicate_groups(
     sizes = marked.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
     named = known.join(smallest, "root").join(sizes, "fingerprint").select(
         "fingerprint", F.col("least.key").alias("component_id"), F.col("root").alias("group"), "n")
-    found = attach(marked, fit_lookup(named, ["fingerprint"], ["component_id", "group"], rows="n"))
+    # a row per fingerprint: it grows with the documents, so only hot fingerprints are broadcast
+    found = attach(marked, fit_lookup(named, ["fingerprint"], ["component_id", "group"], rows="n"), broadcast_bytes=-1)
     return found.select(F.col("key").alias(key), "fingerprint", "component_id", "group")
 
 
