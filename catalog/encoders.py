@@ -154,8 +154,8 @@ with t as (select l_orderkey, l_linenumber, l_partkey, l_extendedprice as price,
 p as (select f.fold, avg(price) as s from (select distinct fold from t) f join t on t.fold <> f.fold group by 1),
 c as (select *, flag || '_' || mode as c2, status || '_' || line || '_' || bulk as c3, flag || '_' || status || '_' || mode || '_' || disc as c4 from t),
 {', '.join(f"e{i} as (select f.fold, c.c{i}, avg(price) as s, count(*) as n from p f join c on c.fold <> f.fold group by 1, 2), k{i} as (select c{i}, count(*) as n from c group by 1)" for i in (2, 3, 4))}
-select l_orderkey, l_linenumber, l_partkey, {', '.join(f"round((e{i}.n * e{i}.s + 10 * p.s) / (e{i}.n + 10), 3) as te{i}, k{i}.n as n{i}" for i in (2, 3, 4))}
-from c join p on p.fold = c.fold {' '.join(f"join e{i} on e{i}.fold = c.fold and e{i}.c{i} = c.c{i} join k{i} on k{i}.c{i} = c.c{i}" for i in (2, 3, 4))}""")
+select l_orderkey, l_linenumber, l_partkey, {', '.join(f"round(coalesce((e{i}.n * e{i}.s + 10 * p.s) / (e{i}.n + 10), p.s), 3) as te{i}, k{i}.n as n{i}" for i in (2, 3, 4))}
+from c join p on p.fold = c.fold {' '.join(f"left join e{i} on e{i}.fold = c.fold and e{i}.c{i} = c.c{i} join k{i} on k{i}.c{i} = c.c{i}" for i in (2, 3, 4))}""")
 def te_crossed(spark, folder):
     """91 crossings of seven columns from one scan; three of them are compared."""
     line = table(spark, folder, "lineitem")
