@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from foldwise.llm.shared import require_columns, require_text
 from foldwise.operators.lookup import attach, fit_lookup
 
-CELLS_PER_TEXT = 8
-RAISED = 3
+CELLS_PER_TEXT = 16
+RAISED = 4
 BLOCK_CELLS = 4096
 BLOCKS_PER_FILE = 256
 MAX_FILTERS = 6
