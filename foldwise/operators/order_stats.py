@@ -225,7 +225,7 @@ def nearest_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)
     ])).alias("e")).select("e.*").filter(F.col("value").isNotNull())
-    ranks = F.array(*[F.floor((F.col("__total") - 1) * F.lit(p) + F.lit(0.5)).cast("bigint") for p in probs])
+    ranks = F.transform(F.lit(probs).cast("array<double>"), lambda p: F.floor((F.col("__total") - 1) * p + F.lit(0.5)).cast("bigint"))
     out: dict[str, list[float]] = {c: [] for c in columns}
     for row in ranked_values(long, ["column"], "value", ranks).collect():
         found, last = row["__ranked"], row["__total"] - 1
