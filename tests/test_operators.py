@@ -409,3 +409,22 @@ def test_blends(frame):
     arrays = lambda *v: frame("id int, p array<double>", id=range(len(v)), p=list(v))
     long = op.stack_predictions({"a": arrays([1., 0.]), "b": arrays([0., 1.])}, "id", "p")
     assert values(op.weighted_blend(long, "id", {"a": 3, "b": 1}), "id", "prediction") == [[.75, .25]]
+
+
+def test_counting_wanted_values_sorts_no_rows(spark, monkeypatch):
+    """Rows of a wanted range are counted by hash; only counted values are sorted, also where a range is split again."""
+    from foldwise.operators import order_stats
+
+    fitted, plain = [], order_stats.fit_lookup
+    monkeypatch.setattr(order_stats, "fit_lookup", lambda df, *a, **k: fitted.append(df) or plain(df, *a, **k))
+    monkeypatch.setattr(order_stats, "ROWS_PER_RANGE", 50)
+    monkeypatch.setattr(order_stats, "CUT_POINTS", 2)
+    rows = spark.range(0, 3000, numPartitions=3).select((F.col("id") * 7 % 601).alias("v"), (F.col("id") % 2).alias("k"))
+    quantiles = order_stats.grouped_quantiles(rows, ["k"], "v", [0.0, 0.5, 1.0])
+    found = {r["k"]: (r["quantiles"], r["size"]) for r in quantiles.collect()}
+    for k in (0, 1):
+        own = sorted(i * 7 % 601 for i in range(3000) if i % 2 == k)
+        assert found[k] == (approx([own[0], (own[749] + own[750]) / 2, own[-1]]), 1500)
+    assert len(fitted) > 1
+    for df in (*fitted, quantiles):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
