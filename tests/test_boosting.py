@@ -202,3 +202,32 @@ def test_flagship_flow(table):
     assert result.oof.count() == 240 and result.pooled_score("r2") > 0.5
     for m in result.models:
         assert m.model.rounds_trained == m.model.best_round + 2
+
+
+def test_leaves_by_masks(monkeypatch):
+    """Leaves found by words of bits are those of walking down; more than 64 leaves are walked."""
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 255, (500, 3)).astype(np.uint8)
+    for splits in (0, 1, 7, 15, 40, 90):
+        tree, open_ = boosting.Tree(), [0]
+        for i in range(splits):
+            node = open_.pop(0)
+            cut = frozenset(rng.integers(1, 255, 60).tolist()) if i % 5 == 4 else int(rng.integers(1, 254))
+            open_ += tree.split(node, int(rng.integers(0, 3)), cut, bool(rng.integers(0, 2)), (1.0 * i, -1.0 * i), 1.0)
+            found = tree.nodes(bins)
+        found, side = tree.nodes(bins), tree.goes_left()
+        for row, leaf in zip(bins, found):
+            node = 0
+            while tree.feature[node] >= 0:
+                node = (tree.left if side[node, row[tree.feature[node]]] else tree.right)[node]
+            assert node == leaf
+        assert ("_ways" in tree.__dict__) == (1 < tree.leaves <= 64 or splits > 63)
+
+
+def test_rows_of_bytes():
+    """Matrices go to binary columns and back by their buffers, also in a slice of a batch."""
+    for kind in (np.uint8, np.float64):
+        matrix = np.arange(30).reshape(10, 3).astype(kind)
+        column = boosting._bytes(matrix)
+        assert column.to_pylist() == [r.tobytes() for r in matrix]
+        assert (boosting._matrix(column.slice(3, 4), kind, 4) == matrix[3:7]).all()
