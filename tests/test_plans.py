@@ -350,3 +350,25 @@ def test_boosting_takes_its_loss_and_rounds_from_the_settings(spark):
     rounds = {name: settings_of(plans.MODELS[name].family, {}).rounds for name in ("xgb", "xgboost", "lgbm")}
     assert rounds == {"xgb": 1000, "xgboost": 1000, "lgbm": 100}
     assert settings_of("xgb", {"n_estimators": 7}).rounds == 7 and settings_of("xgb", {"n_estimators": 7}, 5).rounds == 5
+
+
+def test_rows_are_sent_a_bounded_number_of_times(spark, monkeypatch):
+    """Where no cell is ruled out, cells of queries are read for together: rows are sent per block, not per cell."""
+    from foldwise.plans import knn
+
+    monkeypatch.setattr(knn, "CELL_ROWS", 10)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 8)
+    x = np.random.default_rng(8).normal(size=(600, 24)).astype(np.float32)
+    schema = "id int, v array<float>"
+    plans_made, plan = [], knn.plan_cells
+    monkeypatch.setattr(knn, "plan_cells", lambda *a: plans_made.append(plan(*a)) or plans_made[-1])
+    for n in (300, 600):
+        df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x[:n])], schema).repartition(3)
+        found = plans.nearest_neighbours(df, df, "id", ["v"], 3, exclude_self=True).collect()
+        d = ((x[:n, None, :].astype(float) - x[None, :n].astype(float)) ** 2).sum(-1)
+        np.fill_diagonal(d, np.inf)
+        got = {(r["query_id"], r["rank"]): r["point_id"] for r in found}
+        assert got == {(i, k + 1): int(j) for i in range(n) for k, j in enumerate(np.argsort(d[i], kind="stable")[:3])}
+        made = plans_made[-1]
+        assert len({number for _, number, _, _ in made.queries}) <= 2 * knn.GRID
+        assert max(groups for *_, groups in made.queries) <= 2 * knn.GRID
