@@ -48,8 +48,8 @@ select n as name, o_orderkey, o_orderpriority, o_totalprice from (
   (values ('orders.csv'), ('orders.parquet')) v(n)""")
 def io_samples(spark, folder):
     raw, samples = f"{_folder(spark)}/raw", f"{_folder(spark)}/samples"
-    # one sorted file each, so that it is known which rows come first
-    ordered = _orders(spark, folder).coalesce(1).sortWithinPartitions("o_orderkey")
+    # sorted over all files, so that it is known which rows come first
+    ordered = _orders(spark, folder).orderBy("o_orderkey")
     sources.save_csv(ordered, f"{raw}/orders.csv")
     sources.save_parquet(ordered, f"{raw}/orders.parquet")
     sources.create_data_samples(spark, raw, samples, 10)

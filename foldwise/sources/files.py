@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +51,23 @@ def _list_paths(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     return sorted((s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(root))
 
 
+def _first_rows(spark: SparkSession, df: DataFrame, kind: str, options: dict, path: str, n_rows: int) -> DataFrame:
+    """The first rows of a data set in the order of its files' names; a later file is read only if rows are missing."""
+    rows = []
+    for file in sorted(unquote(f) for f in df.inputFiles()):
+        single = file.rpartition("/")[2] == path.rstrip("/").rpartition("/")[2]
+        root = {} if single else {"basePath": path}
+        # a limit that is collected takes the parts of a file one after the other
+        rows += spark.read.format(kind).schema(df.schema).options(**options, **root).load(file).limit(n_rows - len(rows)).collect()
+        if len(rows) >= n_rows:
+            break
+    return spark.createDataFrame(rows, df.schema).coalesce(1)
+
+
 def first_csv_rows(spark: SparkSession, path: str, n_rows: int) -> DataFrame:
     """The first rows of a CSV with a header; their types are inferred from these rows only."""
     names = spark.read.options(header=True).csv(path)
-    head = spark.createDataFrame(names.limit(n_rows).collect(), names.schema)
+    head = _first_rows(spark, names, "csv", {"header": True}, path, n_rows)
     if head.isEmpty():
         return head
     # what the whole sample can be read as, from narrow to wide
@@ -74,7 +88,7 @@ def create_data_samples(
 ) -> dict[str, int]:
     """Write the first rows of every data set of a directory under the same name.
 
-    Entries with other extensions are skipped; one that cannot be read is
+    Of a data set of several files those whose names come first are read first, as Spark names the parts of sorted rows. Entries with other extensions are skipped; one that cannot be read is
     counted as failed and the rest goes on.
     """
     if n_rows <= 0:
@@ -90,7 +104,7 @@ def create_data_samples(
             if extension == ".csv":
                 save_csv(first_csv_rows(spark, path, n_rows), target)
             else:
-                save_parquet(load_parquet(spark, path, n_rows=n_rows), target)
+                save_parquet(_first_rows(spark, load_parquet(spark, path), "parquet", {}, path, n_rows), target)
             done["sampled"] += 1
         except Exception as error:  # a broken file must not stop the others
             log.warning("could not sample %s: %s", path, error)

@@ -84,3 +84,17 @@ def test_run_log(frame):
     log = sources.update_run_log(log, second)
     assert values(log, "script_file_name", "cv_score", "why") == [[1., 1.5, 3.], [None, None, "new"]]
     assert values(log, "script_file_name", "how") == ["plain Best model: rf.", "Best model: gbt.", None]
+
+
+def test_samples_of_many_files(spark, tmp_path):
+    """The first rows of sorted parts are those of the files whose names come first, not of the largest file."""
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    rows = spark.range(1000).select("id", F.when(F.col("id") > 900, F.repeat(F.lit("x"), 500)).otherwise("y").alias("s"))
+    parts = rows.repartitionByRange(7, "id").sortWithinPartitions("id")
+    sources.save_csv(parts, str(raw / "a.csv"))
+    sources.save_parquet(parts, str(raw / "b.parquet"))
+    sources.save_parquet(rows.filter("id < 4").withColumn("k", F.col("id") % 2).repartition("k"), str(raw / "c d.parquet"))
+    assert sources.create_data_samples(spark, str(raw), str(out), 300)["sampled"] == 3
+    for found in (sources.load_csv(spark, str(out / "a.csv")), sources.load_parquet(spark, str(out / "b.parquet"))):
+        assert sorted(r["id"] for r in found.collect()) == list(range(300))
+    assert sources.load_parquet(spark, str(out / "c d.parquet")).count() == 4
