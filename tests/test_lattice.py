@@ -48,3 +48,21 @@ def test_one_scan_and_no_copy_of_the_rows(spark, monkeypatch):
     assert max(w.count() for w in written) < 3000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 2
+
+
+def test_texts_are_joined_per_combination(spark, monkeypatch):
+    """Rows find their places by numbers: no text of a crossing is made per row, and crossings of many values agree with it."""
+    from foldwise.operators import lattice
+
+    columns = ["a", "b", "c", "d"]
+    rows = spark.range(500).select("id", (F.col("id") % 3).cast("int").alias("fold"), (F.col("id") % 17).cast("double").alias("y"), *[
+        F.when(F.xxhash64("id", F.lit(i)) % 5 != 0, F.concat(F.lit("x_"), F.xxhash64("id", F.lit(i)) % (3 + i))).alias(c) for i, c in enumerate(columns)])
+    monkeypatch.setattr(lookup, "JOIN_BLOCK", 5)
+    model = op.fit_crossed_encoder(rows, columns, [2, 3, 4], "y", "fold")
+    out = model.transform_train(rows)
+    assert "null_str_" not in str(out._jdf.queryExecution().optimizedPlan()) and "concat(coalesce" not in str(out._jdf.queryExecution().optimizedPlan())
+    want = sorted(map(str, out.collect()))
+    monkeypatch.setattr(lattice, "CROSS_CELLS", 40)
+    assert sorted(map(str, model.transform_train(rows.repartition(5)).collect())) == want
+    monkeypatch.setattr(lookup, "JOIN_BLOCK", 1000)
+    assert sorted(map(str, model.transform_train(rows).collect())) == want
