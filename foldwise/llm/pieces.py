@@ -5,7 +5,8 @@ space marker, the piece scores and byte fallback, and a tokenizer that gives the
 ids which SentencePiece gives. Unigram models keep their scores; for BPE models
 the merges follow from the ranks of the pieces. Where no piece goes on behind a
 space, texts are cut into units before spaces, and each distinct unit is
-encoded once per task in multithreaded batches; other models encode whole texts.
+encoded once per task, in rows and multithreaded batches; other models encode
+whole texts.
 Parity with SentencePiece and the way back are verified for every distinct unit,
 so for every text, and on fixed probe texts when a tokenizer is built.
 """
@@ -175,7 +176,7 @@ def build_tokenizer(model: PieceModel):
     else:
         vocabulary = {p: i for i, p in enumerate(model.pieces)}
         core = models.BPE(vocabulary, _merges(model), unk_token=model.pieces[unknown], fuse_unk=True,
-                          byte_fallback=model.byte_fallback, ignore_merges=False)
+                          byte_fallback=model.byte_fallback, ignore_merges=False, cache_capacity=0)
     tokenizer = Tokenizer(core)
     steps = []
     if model.charsmap:
@@ -206,6 +207,7 @@ class Codec:
     def __init__(self, path: str, threads: int = 2):
         _threads(threads)
         import sentencepiece
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = load_model(path)
         self.tokenizer = _decoder(path)
@@ -215,6 +217,9 @@ class Codec:
         self.plain = not (self.model.charsmap or self.model.remove_extra_whitespaces)
         self.bare = build_tokenizer(self.model)
         self.bare.normalizer = self.bare.pre_tokenizer = None
+        self.in_rows = Tokenizer(self.bare.model)
+        self.in_rows.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+        self.opens = np.array([p.startswith(MARK) for p in self.model.pieces], bool)
         self.forget()
         wrong = [t for t in PROBES if self.tokenizer.encode(t, add_special_tokens=False).ids != self.check.encode(t)]
         if wrong:
@@ -222,7 +227,7 @@ class Codec:
 
     def forget(self) -> None:
         """Drop the units encoded so far."""
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.unit_ids = np.zeros(0, np.int32)
         self.unit_bounds = np.zeros(1, np.int64)
         self.unit_parity = self.unit_trip = np.zeros(0, bool)
@@ -233,6 +238,23 @@ class Codec:
             return ""
         return MARK + text.replace(" ", MARK) if self.plain else self.tokenizer.normalizer.normalize_str(text)
 
+    def _units(self, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        """Units of all texts in a row, in UTF-8 with spaces for marks, and the number of units of each text."""
+        if self.plain:
+            parts = [(" " + t.replace(MARK, " ")).encode() if t else b"" for t in texts]
+        else:
+            parts = [self.normal(t).replace(MARK, " ").encode() for t in texts]
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        blank = data == 32
+        opens = blank.copy()
+        opens[1:] &= ~blank[:-1]
+        opens[ends[:-1][ends[:-1] < len(data)]] = True  # the text before may end in a space
+        begins = np.flatnonzero(opens)
+        counts = np.diff(np.searchsorted(begins, ends), prepend=0)
+        bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, bounds, pa.py_buffer(data)]), counts
+
     def _checked(self, normal: list[str], ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids are those of SentencePiece, and where the backend decodes them to what was encoded."""
         cut = self.model.add_dummy_prefix
@@ -262,34 +284,61 @@ class Codec:
             parity[alone], trip[alone] = self._checked([units[i] for i in alone], [ids[i] for i in alone])
         return parity, trip
 
-    def _learn(self, units: list[str]) -> None:
-        ids = [e.ids for e in self.bare.encode_batch_fast(units, add_special_tokens=False)]
-        parity, trip = self._checked_units(units, ids)
+    def _encoded_rows(self, units: list[bytes]) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray], list[bytes]]:
+        """(units, their ids in rows, their numbers of ids, other units) of units with one mark, at the front.
+
+        A unit's ids begin where a piece has the mark. Rows that do not show each unit so, or where SentencePiece or
+        the way back differ, are left to be looked at one by one.
+        """
+        rows = [units[at: at + ROW_OF_UNITS] for at in range(0, len(units), ROW_OF_UNITS)]
+        texts = [b"".join(row).decode() for row in rows]
+        found = self.in_rows.encode_batch_fast([t.replace(" ", MARK) for t in texts], add_special_tokens=False)
+        done, ids, sizes, other = [], [], [], []
+        for row, text, encoded in zip(rows, texts, found):
+            own, shown = encoded.ids, text[1:]
+            flat = np.array(own, np.int32)
+            begins = np.flatnonzero(self.opens[flat])
+            if (len(begins) == len(row) and self.check.encode(shown) == own
+                    and self.tokenizer.decode(own, skip_special_tokens=False) == shown):
+                done += row
+                ids.append(flat)
+                sizes.append(np.diff(begins, append=len(flat)))
+            else:
+                other += row
+        return done, ids, sizes, other
+
+    def _learn(self, units: list[bytes]) -> None:
+        done, row_ids, row_sizes, other = self._encoded_rows([u for u in units if u[1:2] not in (b"", b" ")])
+        other += [u for u in units if u[1:2] in (b"", b" ")]
+        normal = [u.decode().replace(" ", MARK) for u in other]
+        ids = [e.ids for e in self.bare.encode_batch_fast(normal, add_special_tokens=False)]
+        parity, trip = self._checked_units(normal, ids)
         first = len(self.known)
-        self.known.update(zip(units, range(first, first + len(units))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.unit_ids = np.concatenate([self.unit_ids, np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())])
+        self.known.update(zip(chain(done, other), range(first, first + len(units))))
+        sizes = np.concatenate([*row_sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
+        self.unit_ids = np.concatenate([self.unit_ids, *row_ids, np.fromiter(chain.from_iterable(ids), np.int32)])
         self.unit_bounds = np.concatenate([self.unit_bounds, self.unit_bounds[-1] + np.cumsum(sizes)])
-        self.unit_parity = np.concatenate([self.unit_parity, parity])
-        self.unit_trip = np.concatenate([self.unit_trip, trip])
+        self.unit_parity = np.concatenate([self.unit_parity, np.ones(len(done), bool), parity])
+        self.unit_trip = np.concatenate([self.unit_trip, np.ones(len(done), bool), trip])
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids, parity, round trip) of each text."""
-        normal = [self.normal(t) for t in texts]
         if not self.by_unit:
+            normal = [self.normal(t) for t in texts]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
             parity, trip = self._checked(normal, ids)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum()), sizes, parity, trip
-        units = [UNIT.findall(n) for n in normal]
-        new = set().union(*units).difference(self.known)
+        units, counts = self._units(texts)
+        numbered = units.dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [u for u in distinct if u not in self.known]
         if new:
             if len(self.known) > KNOWN_UNITS:
                 self.forget()
-                new = set().union(*units)
-            self._learn(sorted(new))
-        counts = np.array([len(own) for own in units], np.int64)
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(units)), np.int64, counts.sum())
+                new = distinct
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[numbered.indices.to_numpy()]
         begin = self.unit_bounds[at]
         size = self.unit_bounds[at + 1] - begin
         ends = np.cumsum(size)

@@ -85,6 +85,40 @@ def test_forgetting_units_changes_nothing(texts, monkeypatch):
     assert codec.encode(some)[0].tolist() == whole and codec.encode(some[:3])[1].tolist() == [len(codec.check.encode(t)) for t in some[:3]]
 
 
+class Counted:
+    """A tokenizer that notes what it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, units, **options):
+        self.given += units
+        return self.tokenizer.encode_batch_fast(units, **options)
+
+
+def test_words_are_encoded_in_rows():
+    """Each distinct word once, in a row with others; only units with other marks are encoded one by one."""
+    codec = pieces.Codec(pieces.DEFAULT_MODEL)
+    codec.bare = Counted(codec.bare)
+    words = [f"word{i}, übergröße{i}\n" for i in range(700)]
+    some = ["", " ".join(words), " ".join(words[::-1]), "", "a  b ", "", " ", "▁a b", "\x00 \t"]
+    ids, sizes, parity, trip = codec.encode(some)
+    assert sorted(codec.bare.given) == ["▁", "▁▁", "▁▁a", "▁▁b"] and parity.all() and trip.all()
+    ends = np.cumsum(sizes)
+    assert [ids[e - s:e].tolist() for e, s in zip(ends, sizes)] == [codec.check.encode(t) for t in some]
+    assert [x.tolist() for x in codec.encode(["", ""])] == [[], [0, 0], [True, True], [True, True]]
+
+
+def test_rows_that_do_not_show_their_units(texts):
+    """Where the ids of a row cannot be dealt to its units, the units are encoded one by one."""
+    some = [t or "" for t in texts]
+    codec, other = pieces.Codec(pieces.DEFAULT_MODEL), pieces.Codec(pieces.DEFAULT_MODEL)
+    other.opens[:] = False
+    other.bare = Counted(other.bare)
+    assert [x.tolist() for x in other.encode(some)] == [x.tolist() for x in codec.encode(some)]
+    assert set(other.bare.given) == {u for t in some if t for u in pieces.UNIT.findall(other.normal(t))}
+
+
 def test_bad_ids(spark):
     rows = spark.createDataFrame([([1_000_000],)], "token_ids array<int>")
     with pytest.raises(Exception, match="not in the vocabulary"):
