@@ -131,6 +131,53 @@ def test_layout_changes_nothing(table, monkeypatch):
     assert predictions(table, other[0]) != pytest.approx(want[0], abs=1e-3)
 
 
+@pytest.mark.parametrize("label, settings", [
+    ("y", Settings(rounds=9, max_depth=4, learning_rate=0.8, reg_alpha=1.0, subsample=0.7, subsample_freq=2, colsample_bytree=0.7,
+                   colsample_bynode=0.5, min_child_weight=3.0, seed=5)),
+    ("y", Settings(rounds=5, max_depth=-1, num_leaves=40, learning_rate=0.5, min_child_samples=1)),
+    ("kind", Settings(rounds=4, max_depth=3, learning_rate=0.5, subsample=0.8, colsample_bytree=0.7, loss="classes")),
+])
+def test_routes_agree(table, label, settings, monkeypatch):
+    """Sums of many rounds from a pass, of a round from a pass, and of a level from a pass give the same trees and losses."""
+    # overlapping and gapped roles of four models, more kinds of rows than models
+    place = F.array(*[F.when(F.col("id") % (k + 3) == 0, VALID).when((F.col("id") + k) % 11 == 0, 0).otherwise(TRAIN) for k in range(4)])
+    found = []
+    for ahead, joint, own in ((boosting.AHEAD_CELLS, 0, roles()), (0, boosting.JOINT_CELLS, roles()), (0, 0, roles()),
+                              (boosting.AHEAD_CELLS, 0, place), (0, boosting.JOINT_CELLS, place)):
+        monkeypatch.setattr(boosting, "AHEAD_CELLS", ahead)
+        monkeypatch.setattr(boosting, "JOINT_CELLS", joint)
+        monkeypatch.setattr(boosting, "AHEAD_ROUNDS", 2)
+        monkeypatch.setattr(boosting, "AHEAD_ROWS", 10)
+        monkeypatch.setattr(boosting, "PART_CELLS", 100)
+        monkeypatch.setattr(boosting, "NODE_CELLS", 2000 if ahead else 2)
+        models = 4 if own is place else 2
+        fitted = fit_boosting(table, "id", label, FEATURES, own, models, settings, patience=3, categorical=["c"])
+        wide = settings.loss == "classes"
+        score = [values(table.select("id", (F.col("p")[0] if wide else F.col("p")).alias("p")), "id", "p") for table in (
+            table.select("id", m.prediction(table).alias("p")) for m in fitted)]
+        found.append((score, [m.curve for m in fitted], [[[(t.feature, t.cut, t.left) for t in r] for r in m.trees] for m in fitted]))
+    for first, others in ((0, (1, 2)), (3, (4,))):
+        for other in others:
+            assert found[other][2] == found[first][2]
+            for i in (0, 1):
+                for a, b in zip(found[first][i], found[other][i]):
+                    assert a == pytest.approx(b, rel=1e-9)
+
+
+def test_no_pass_for_a_level(table, monkeypatch):
+    """Features of few combinations of bins: no level and, for squared loss, no round has a pass of its own."""
+    def never(*args):
+        raise AssertionError("a pass for a level")
+
+    passes, ahead = [], boosting._draws_ahead
+    monkeypatch.setattr(boosting, "best_cuts", never)
+    monkeypatch.setattr(boosting, "_draws_ahead", lambda *a: passes.append(len(a[1])) or ahead(*a))
+    settings = Settings(rounds=20, max_depth=6, learning_rate=0.2, subsample=0.8)
+    assert [m.best_round for m in fit_boosting(table, "id", "y", FEATURES, roles(), 2, settings)] == [20, 20]
+    assert passes == [20]
+    assert fit_boosting(table, "id", "kind", FEATURES[::2], roles(), 2, Settings(rounds=2, max_depth=6, loss="classes"))[0].best_round == 2
+
+
 @pytest.mark.parametrize("label, loss", [("y", "squared"), ("kind", "classes"), ("flag", "binary")])
 def test_training_stops_when_patience_ends(table, label, loss):
     models = fit_boosting(table, "id", label, FEATURES, roles(), 2, Settings(rounds=60, max_depth=4, learning_rate=0.9, loss=loss), patience=3)
