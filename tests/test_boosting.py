@@ -278,3 +278,26 @@ def test_rows_of_bytes():
         column = boosting._bytes(matrix)
         assert column.to_pylist() == [r.tobytes() for r in matrix]
         assert (boosting._matrix(column.slice(3, 4), kind, 4) == matrix[3:7]).all()
+
+
+def test_flagship_trains_to_the_end(spark, tmp_path, monkeypatch):
+    """A long run: small falling steps, deep trees, thirty rounds of patience for every fold."""
+    from catalog import learners
+
+    rng = random.Random(4)
+    rows = [(k, n, float(rng.randint(1, 50)), rng.randint(0, 10) / 100, "RAN"[k % 3]) for k in range(900) for n in range(1, rng.randint(2, 7))]
+    rows = [(k, n, q, d, round(q * rng.uniform(900, 2000), 2), f) for k, n, q, d, f in rows]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, l_extendedprice double, "
+                          "l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    results, train = [], learners.plans.train_and_cv
+
+    def kept(*args, **options):
+        results.append((options["fit_params"], options["model_params"], train(*args, **options)))
+        return results[-1][-1]
+
+    monkeypatch.setattr(learners.plans, "train_and_cv", kept)
+    found = learners.boost_flagship(spark, str(tmp_path)).collect()
+    fit, params, result = results[0]
+    assert len(found) == 3 and all(r.every_row_scored and r.beats_the_mean and r.stopped_by_patience for r in found)
+    assert fit["early_stopping_rounds"] == 30 and params["max_depth"] == 19 and [fit["learning_rates"](i) for i in (0, 114, 115)] == [0.05, 0.05, 0.01]
+    assert all(m.model.best_round > 30 and m.model.rounds_trained == m.model.best_round + 30 for m in result.models)
